@@ -1,0 +1,385 @@
+"""The registered queries: (session, folder of test tables) -> DataFrame.
+
+Cleaning queries run on the raw lines derived from the tables. Load, quality and analysis
+queries run on a star that the package's own load has written from them: once per session and
+folder, under the shared working folder.
+"""
+
+import uuid
+from datetime import datetime
+from functools import cache
+
+from pyspark.sql import functions as F
+
+from checks.oracle import EARLY_CUT, FULL_SEED, LATE_SEED
+from tillstar.functions.dates import INVOICE_DATE_FORMAT
+from tillstar.operators import cleaning, dimensions, facts, keys, lookup, quality, updates
+from tillstar.plans import analysis, flat, views
+from tillstar.plans.load import cleaned_rows, load_batch
+from tillstar.schemas import RAW_COLUMNS
+from tillstar.session import shared_folder
+from tillstar.sources.csv_source import read_csv, source_profile
+from tillstar.sources.sample import raw_sales
+from tillstar.sources.warehouse import Warehouse
+from tillstar.streaming.incremental import read_parquet_stream, start_load
+
+_loaded = {}
+
+
+def new_folder(spark, name):
+    return f"{shared_folder(spark)}/tillstar-{uuid.uuid4().hex[:12]}/{name}"
+
+
+def _warehouse(spark, folder, seed):
+    """A loaded warehouse, built on first use in a session."""
+    key = (spark.sparkContext.applicationId, folder, seed)
+    if key not in _loaded:
+        warehouse = Warehouse(spark, new_folder(spark, "star"))
+        warehouse.create(datetime.fromisoformat(seed))
+        load_batch(raw_sales(spark, folder), warehouse)
+        _loaded[key] = warehouse
+    return _loaded[key]
+
+
+def full(spark, folder):
+    return _warehouse(spark, folder, FULL_SEED)
+
+
+def late(spark, folder):
+    """Facts above a late mark only: some products and customers have no sales."""
+    return _warehouse(spark, folder, LATE_SEED)
+
+
+def _timestamp(text):
+    return F.lit(text).cast("timestamp_ntz")
+
+
+def _early(cleaned):
+    """What an earlier load would have seen."""
+    return cleaned.filter(F.col("InvoiceDate") <= _timestamp(EARLY_CUT))
+
+
+# -- source and cleaning -------------------------------------------------------------------
+
+CLEANING = [
+    ("t2_drop_nulls", cleaning.drop_null_keys),
+    ("t3_dedup", cleaning.drop_exact_duplicates),
+    ("t4_parse_date", cleaning.parse_invoice_date),
+    ("t6_drop_cancelled", cleaning.drop_cancelled),
+    ("t7_positive", cleaning.keep_positive),
+    ("t8_amount", cleaning.add_amount),
+    ("t9_strip", cleaning.strip_text),
+    ("t10_customer_int", cleaning.customer_to_integer),
+    ("t11_date_parts", cleaning.add_date_parts),
+    ("t12_datekey", cleaning.add_date_key),
+]
+
+
+def _cleaned_through(last):
+    def query(spark, folder):
+        rows = raw_sales(spark, folder)
+        for name, step in CLEANING:
+            rows = rows.transform(step)
+            if name == last:
+                return rows
+
+    return query
+
+
+def csv_scan(spark, folder):
+    """The raw lines, written as Latin-1 CSV and read back through the CSV source."""
+    path = new_folder(spark, "csv")
+    raw_sales(spark, folder).write.options(
+        header=True, encoding="ISO-8859-1", quote='"', escape='"',
+        ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
+    ).csv(path)
+    return read_csv(spark, path).select(RAW_COLUMNS)
+
+
+def date_range(spark, folder):
+    return cleaning.date_range(_cleaned_through("t4_parse_date")(spark, folder))
+
+
+# -- dimensions and load -------------------------------------------------------------------
+
+
+def new_dates(spark, folder):
+    cleaned = cleaned_rows(full(spark, folder))
+    return dimensions.insert_if_absent(
+        dimensions.date_dimension(cleaned), dimensions.date_dimension(_early(cleaned)), "DateKey"
+    )
+
+
+def new_products(spark, folder):
+    cleaned = cleaned_rows(full(spark, folder))
+    return dimensions.insert_if_absent(
+        dimensions.first_products(cleaned), dimensions.first_products(_early(cleaned)), "StockCode"
+    )
+
+
+def new_customers(spark, folder):
+    cleaned = cleaned_rows(full(spark, folder))
+    return dimensions.insert_if_absent(
+        dimensions.customer_rollup(cleaned), dimensions.customer_rollup(_early(cleaned)),
+        "CustomerID",
+    )
+
+
+def surrogate_keys(spark, folder):
+    star = full(spark, folder).star()
+    products = star.products.select(
+        F.lit("dim_product").alias("table_name"), F.col("ProductKey").alias("key_value"),
+        F.col("StockCode").alias("business_key"),
+    )
+    customers = star.customers.select(
+        F.lit("dim_customer"), "CustomerKey", F.col("CustomerID").cast("string")
+    )
+    return products.unionAll(customers)
+
+
+def increment(spark, folder):
+    return facts.increment(
+        cleaned_rows(full(spark, folder)), datetime.fromisoformat(LATE_SEED)
+    )
+
+
+LOOKED_UP = [
+    "InvoiceNo", "StockCode", "CustomerID", "InvoiceDate", "Quantity", "ProductKey", "CustomerKey"
+]
+
+
+def lookups(spark, folder):
+    warehouse = full(spark, folder)
+    star = warehouse.star()
+    return facts.resolve(cleaned_rows(warehouse), star.products, star.customers).select(LOOKED_UP)
+
+
+def salted_lookups(spark, folder):
+    """The same lookups through the path for dimensions too big to broadcast."""
+    warehouse = full(spark, folder)
+    star = warehouse.star()
+    customers = star.customers.select(F.col("CustomerID").cast("bigint"), "CustomerKey")
+    rows = lookup.salted_lookup(
+        cleaned_rows(warehouse), star.products.select("StockCode", "ProductKey"), "StockCode"
+    )
+    return lookup.salted_lookup(rows, customers, "CustomerID").select(LOOKED_UP)
+
+
+def missing_keys(spark, folder):
+    """All rows looked up in the dimensions of an earlier load: those that find no key."""
+    cleaned = cleaned_rows(full(spark, folder))
+    early = _early(cleaned)
+    products = keys.assign_surrogate_keys(
+        dimensions.first_products(early), "StockCode", "ProductKey"
+    )
+    customers = keys.assign_surrogate_keys(
+        dimensions.customer_rollup(early), "CustomerID", "CustomerKey"
+    )
+    return (
+        facts.resolve(cleaned, products, customers)
+        .filter(F.col("Reason").isNotNull())
+        .select("InvoiceNo", "StockCode", "CustomerID", "InvoiceDate", "Reason")
+    )
+
+
+# Prices in a unit a million times smaller: some no longer fit the fact table's decimals.
+SMALL_UNITS = 1_000_000
+
+
+def rejects(spark, folder):
+    warehouse = full(spark, folder)
+    star = warehouse.star()
+    scaled = (
+        cleaned_rows(warehouse)
+        .withColumn("UnitPrice", F.col("UnitPrice") * SMALL_UNITS)
+        .transform(cleaning.add_amount)
+    )
+    resolved = facts.resolve(scaled, star.products, star.customers)
+    return facts.as_rejects(resolved, "fact_sales").select(
+        "TargetTable", "Reason", "InvoiceNo", "StockCode", "Quantity", "CustomerID"
+    )
+
+
+def fact_sales(warehouse):
+    """Facts with business keys in place of surrogate keys."""
+    star = warehouse.star()
+    return (
+        star.fact.join(star.products.select("ProductKey", "StockCode"), "ProductKey")
+        .join(star.customers.select("CustomerKey", "CustomerID"), "CustomerKey")
+        .select(
+            "InvoiceNo", "DateKey", "StockCode", "CustomerID", "Quantity", "UnitPrice",
+            "TotalSalesAmount", "Country",
+        )
+    )
+
+
+def rerun_adds_nothing(spark, folder):
+    warehouse = late(spark, folder)
+    before = warehouse.state().load_id
+    load_batch(raw_sales(spark, folder), warehouse)
+    parts = []
+    for table in ["dim_date", "dim_product", "dim_customer", "fact_sales"]:
+        old = warehouse.read(table, before).agg(F.count(F.lit(1)).alias("rows_before"))
+        new = warehouse.read_load(table, before + 1).agg(F.count(F.lit(1)).alias("rows_added"))
+        both = old.unionByName(new, allowMissingColumns=True).agg(
+            F.lit(table).alias("table_name"),
+            F.max("rows_before").alias("rows_before"),
+            F.max("rows_added").alias("rows_added"),
+        )
+        parts.append(both)
+    result = parts[0]
+    for part in parts[1:]:
+        result = result.unionAll(part)
+    return result
+
+
+# -- quality -------------------------------------------------------------------------------
+
+
+def _tables(warehouse):
+    return {**quality.star_tables(warehouse.star()), "watermark": warehouse.watermark()}
+
+
+def orphans_of_early_dims(spark, folder):
+    warehouse = full(spark, folder)
+    early = dimensions.first_products(_early(cleaned_rows(warehouse)))
+    return quality.orphans(fact_sales(warehouse), early, "StockCode")
+
+
+# -- extensions ----------------------------------------------------------------------------
+
+SLICES = 4
+
+
+def stream_load(spark, folder):
+    """The raw lines arrive in four slices by date; the stream loads them slice by slice."""
+    root = new_folder(spark, "stream")
+    landing = f"{root}/landing"
+    raw = raw_sales(spark, folder)
+    moment = F.to_timestamp_ntz("InvoiceDate", F.lit(INVOICE_DATE_FORMAT))
+    span = raw.agg(F.min(moment).alias("first"), F.max(moment).alias("last")).first()
+    width = (span["last"] - span["first"]) / SLICES
+    files = spark.sparkContext.defaultParallelism
+    for i in range(SLICES):
+        lower, upper = span["first"] + width * i, span["first"] + width * (i + 1)
+        inside = moment >= F.lit(lower)
+        if i < SLICES - 1:
+            inside &= moment < F.lit(upper)
+        raw.filter(inside).repartition(files).write.mode("append").parquet(landing)
+    warehouse = Warehouse(spark, f"{root}/star").create()
+    stream = read_parquet_stream(spark, landing, maxFilesPerTrigger=files)
+    start_load(stream, warehouse).awaitTermination()
+    return fact_sales(warehouse)
+
+
+def dim_update(spark, folder):
+    cleaned = cleaned_rows(full(spark, folder))
+    existing = keys.assign_surrogate_keys(
+        dimensions.customer_rollup(_early(cleaned)), "CustomerID", "CustomerKey"
+    )
+    last_key = existing.agg(F.max("CustomerKey")).first()[0] or 0
+    updated = updates.update_in_place(existing, dimensions.customer_rollup(cleaned), last_key)
+    return updated.select(F.col("CustomerID").cast("int"), *updates.TRACKED)
+
+
+def dim_history(spark, folder):
+    cleaned = cleaned_rows(full(spark, folder))
+    early = dimensions.customer_rollup(_early(cleaned))
+    late_rows = dimensions.customer_rollup(cleaned)
+    history = updates.start_history(early, "1995-04-01")
+    changed = updates.update_history(history, late_rows, "CustomerID", "2001-08-01")
+    return changed.withColumn("CustomerID", F.col("CustomerID").cast("int"))
+
+
+def view_by_sql(spark, folder):
+    """A registered view, queried with SQL; the date filter reaches the fact partitions."""
+    views.register(full(spark, folder))
+    return spark.sql(
+        "SELECT Country, COUNT(*) AS days, CAST(SUM(DailyRevenue) AS DECIMAL(30,2)) AS revenue "
+        "FROM vw_DailySalesSummary WHERE FullDate >= DATE '2000-01-01' GROUP BY Country"
+    )
+
+
+# -- the registry --------------------------------------------------------------------------
+
+
+def _on_raw(function):
+    return lambda spark, folder: function(raw_sales(spark, folder))
+
+
+def _on_cleaned(function):
+    return lambda spark, folder: function(cleaned_rows(full(spark, folder)))
+
+
+def _on_star(function, which=full):
+    return lambda spark, folder: function(which(spark, folder).star())
+
+
+def _on_flat(function):
+    return lambda spark, folder: function(flat.flat_model(cleaned_rows(full(spark, folder))))
+
+
+def _on_tables(function):
+    return lambda spark, folder: function(_tables(full(spark, folder)))
+
+
+@cache
+def registry():
+    found = {
+        "s1_csv_scan": csv_scan,
+        "s2_source_profile": _on_raw(source_profile),
+        "t1_null_profile": _on_raw(cleaning.null_profile),
+        "t5_date_range": date_range,
+        "t13_audit": _on_raw(cleaning.audit),
+        "d1_dim_date": _on_cleaned(dimensions.date_dimension),
+        "l1_new_dates": new_dates,
+        "l2_first_product": _on_cleaned(dimensions.first_products),
+        "l3_new_products": new_products,
+        "l4_customer_rollup": _on_cleaned(dimensions.customer_rollup),
+        "l5_new_customers": new_customers,
+        "l6_surrogate_keys": surrogate_keys,
+        "l7_watermark": lambda spark, folder: full(spark, folder).watermark(),
+        "l8_increment": increment,
+        "l10_l11_lookups": lookups,
+        "l10_l11_salted_lookups": salted_lookups,
+        "l12_missing_keys": missing_keys,
+        "l13_fact_sales": lambda spark, folder: fact_sales(full(spark, folder)),
+        "l14_rejects": rejects,
+        "l15_new_mark": _on_cleaned(facts.new_mark),
+        "l18_rerun_adds_nothing": rerun_adds_nothing,
+        "c1_unique_keys": _on_tables(quality.unique_key_check),
+        "c2_not_null": _on_tables(quality.not_null_check),
+        "c3_value_rules": _on_star(lambda star: quality.value_rules(star.fact)),
+        "c4_references": _on_star(quality.reference_check),
+        "c4_orphans_of_early_dims": orphans_of_early_dims,
+        "c5_length_limits": _on_tables(quality.limit_check),
+        "c5_precision": _on_cleaned(quality.precision_check),
+        "c6_rejected_rows": _on_raw(cleaning.rejected_rows),
+        "c7_date_range": _on_star(
+            lambda star: quality.date_range_check(star, "1996-01-01", "2000-12-31")
+        ),
+        "q1_overall_metrics": _on_star(analysis.overall_metrics),
+        "q2_top_customers": _on_star(analysis.top_customers),
+        "q3_customer_segments": _on_star(analysis.customer_segments),
+        "q4_top_products": _on_star(analysis.top_products),
+        "q5_price_dispersion": _on_star(analysis.price_dispersion),
+        "q6_revenue_by_country": _on_star(analysis.revenue_by_country),
+        "q7_monthly_trend": _on_star(analysis.monthly_trend),
+        "q8_weekday_pattern": _on_star(analysis.weekday_pattern),
+        "q9_quality_summary": _on_star(quality.quality_summary),
+        "v1_daily_sales": _on_star(analysis.daily_sales_summary),
+        "v2_product_performance": _on_star(analysis.product_performance, late),
+        "v3_customer_summary": _on_star(analysis.customer_summary, late),
+        "s9_view_by_sql": view_by_sql,
+        "a1_flat_top_customers": _on_flat(flat.top_customers),
+        "a2_flat_top_countries": _on_flat(flat.top_countries),
+        "a3_flat_top_products": _on_flat(flat.top_products),
+        "r1_top_customers_short": _on_star(analysis.top_customers_short),
+        "r2_monthly_trend_short": _on_star(analysis.monthly_trend_short),
+        "x1_stream_load": stream_load,
+        "x2_dim_update": dim_update,
+        "x2_dim_history": dim_history,
+    }
+    for name, _ in CLEANING:
+        found[name] = _cleaned_through(name)
+    return found

@@ -49,9 +49,7 @@ def load_batch(raw, warehouse, use_mark=True, batch=None):
 
     load_id = state.load_id + 1
     log.info("load %s: %s raw rows", load_id, profile["row_count"])
-    rows = warehouse.write_working(
-        "cleaned", cleaning.classify(raw), partition_by=["RowStatus"]
-    )
+    rows = warehouse.write_working("cleaned", cleaning.classify(raw))
     cleaned = rows.filter(F.col("RowStatus") == cleaning.KEPT).drop("RowStatus")
     mark = state.mark if use_mark else None
 
@@ -78,7 +76,7 @@ def load_batch(raw, warehouse, use_mark=True, batch=None):
 
 def _load_dates(cleaned, warehouse, load_id):
     new = dimensions.insert_if_absent(
-        dimensions.date_dimension(cleaned), warehouse.read("dim_date"), "DateKey"
+        dimensions.date_dimension(cleaned), warehouse.read("dim_date", load_id - 1), "DateKey"
     )
     warehouse.write("dim_date", load_id, new)
     return warehouse.read_load("dim_date", load_id).count()
@@ -87,7 +85,9 @@ def _load_dates(cleaned, warehouse, load_id):
 def _load_keyed(candidates, warehouse, load_id, table, business_key, key, reason, rejects):
     """Insert the absent candidates under new surrogate keys; set bad ones aside."""
     key_type = candidates.schema[business_key].dataType
-    existing = warehouse.read(table).withColumn(business_key, F.col(business_key).cast(key_type))
+    existing = warehouse.read(table, load_id - 1).withColumn(
+        business_key, F.col(business_key).cast(key_type)
+    )
     absent = warehouse.write_working(
         f"new_{table}",
         dimensions.insert_if_absent(candidates, existing, business_key).withColumn(

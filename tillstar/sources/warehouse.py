@@ -103,23 +103,21 @@ class Warehouse:
         )
 
     def publish(self, load_id, mark, last_sales_key, last_batch):
-        state = self.spark.createDataFrame(
-            [("fact_sales", mark, last_sales_key, last_batch)], STATE
+        state = self.spark.range(1).select(
+            F.lit("fact_sales").alias("TableName"),
+            F.lit(mark).alias("LastLoadedDate"),
+            F.lit(last_sales_key).alias("LastSalesKey"),
+            F.lit(last_batch).alias("LastBatch"),
         )
-        self.write("load_state", load_id, state.coalesce(1))
+        self.write("load_state", load_id, state)
 
-    def write_working(self, name, rows, partition_by=()):
+    def write_working(self, name, rows):
         """Write a working table of the current load and read it back.
 
         A written table, not a cached one: it outlives executors and ends the lineage.
         """
         folder = f"{self.root}/_working/{name}"
-        (
-            rows.write.mode("overwrite")
-            .option("partitionOverwriteMode", "static")
-            .partitionBy(*partition_by)
-            .parquet(folder)
-        )
+        rows.write.mode("overwrite").parquet(folder)
         return self.spark.read.schema(rows.schema).parquet(folder)
 
     # -- reading -----------------------------------------------------------------------
