@@ -14,7 +14,13 @@ from pyspark.sql import functions as F
 from tillstar.functions import dates, money, text
 from tillstar.schemas import CLEAN_COLUMNS, KEY_COLUMNS, RAW_COLUMNS, SOURCE_POSITION, TEXT_COLUMNS
 
-KEPT, CANCELLED, NON_POSITIVE = "kept", "cancelled", "non_positive"
+# What became of a raw row, in the order the rules apply.
+MISSING_KEY = "missing_key"
+BAD_DATE = "bad_date"
+CANCELLED = "cancelled"
+NON_POSITIVE = "non_positive"
+FRACTIONAL_ID = "fractional_id"
+KEPT = "kept"
 
 
 class BadBatch(Exception):
@@ -147,62 +153,118 @@ def clean(raw):
     return _with_position(rows, CLEAN_COLUMNS)
 
 
-def classify(raw):
-    """As clean(), but rows the value filters drop stay, marked in RowStatus.
+def _missing_columns():
+    """Bit i is set if raw column i is missing."""
+    bits = [F.when(F.col(c).isNull(), 1 << i).otherwise(0) for i, c in enumerate(RAW_COLUMNS)]
+    return reduce(lambda a, b: a + b, bits)
+
 
-    A load writes this once: the kept rows feed the tables, and the audit counts the rest
-    without a second pass over the source.
+def condense(raw):
+    """Distinct raw rows, with their number of copies and the columns they miss.
+
+    One pass and one shuffle serve the copy removal, the audit and the null profile. Rows that
+    lack a key column are blanked to the pattern of what they miss, so however many there are,
+    a handful of rows per task enter the shuffle. A group of copies shrinks map-side as well.
     """
-    status = (
-        F.when(text.is_cancelled(F.col("InvoiceNo")), CANCELLED)
-        .when(_is_positive(), KEPT)
-        .otherwise(NON_POSITIVE)
+    keyed = _has_keys()
+    blanked = raw.select(
+        *[F.when(keyed, F.col(c)).alias(c) for c in RAW_COLUMNS],
+        _missing_columns().alias("MissingColumns"),
+        *[c for c in raw.columns if c == SOURCE_POSITION],
     )
-    number = F.col("CustomerID")
+    sums = [F.count(F.lit(1)).alias("Copies")]
+    if SOURCE_POSITION in raw.columns:
+        sums.append(F.min(SOURCE_POSITION).alias(SOURCE_POSITION))
+    return blanked.groupBy(*RAW_COLUMNS, "MissingColumns").agg(*sums)
+
+
+def row_status():
+    """The first rule a condensed row breaks, or kept."""
+    return (
+        F.when(~_has_keys(), MISSING_KEY)
+        .when(dates.is_bad_date(F.col("InvoiceDate")), BAD_DATE)
+        .when(text.is_cancelled(F.col("InvoiceNo")), CANCELLED)
+        .when(~F.coalesce(_is_positive(), F.lit(False)), NON_POSITIVE)
+        .when(_is_fractional(F.col("CustomerID")), FRACTIONAL_ID)
+        .otherwise(KEPT)
+    )
+
+
+def classify(raw):
+    """As clean(), but nothing is dropped and nothing raises: RowStatus says what each row is.
+
+    A load writes this once. The kept rows feed the tables, the others the audit, the null
+    profile and the whole-batch checks, without a second pass over the source.
+    """
+    status = F.col("RowStatus")
     rows = (
-        raw.transform(drop_null_keys)
-        .transform(drop_exact_duplicates)
-        .withColumn("RowStatus", status)
-        # Ids are only checked on rows that survive the filters.
-        .withColumn("CustomerID", F.when((F.col("RowStatus") == KEPT) | ~_is_fractional(number), number))
+        condense(raw)
+        .withColumn("RowStatus", row_status())
+        .withColumn("InvoiceDate", F.when(status != BAD_DATE, F.col("InvoiceDate")))
+        .withColumn("CustomerID", F.when(~_is_fractional(F.col("CustomerID")), F.col("CustomerID")))
         .transform(parse_invoice_date)
         .transform(_derive)
     )
-    return _with_position(rows, [*CLEAN_COLUMNS, "RowStatus"])
+    return _with_position(rows, [*CLEAN_COLUMNS, "RowStatus", "Copies", "MissingColumns"])
 
 
-def batch_profile(raw):
-    """Everything the whole-batch rules need, as one row from one pass without a shuffle."""
-    keyed = _has_keys()
-    kept = keyed & ~text.is_cancelled(F.col("InvoiceNo")) & F.coalesce(_is_positive(), F.lit(False))
-    return raw.agg(
-        F.count(F.lit(1)).alias("row_count"),
-        *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in RAW_COLUMNS],
-        F.count_if(keyed).alias("keyed_rows"),
-        F.count_if(keyed & dates.is_bad_date(F.col("InvoiceDate"))).alias("bad_dates"),
-        F.count_if(kept & _is_fractional(F.col("CustomerID"))).alias("fractional_ids"),
+# Audit steps, in the order the rules apply.
+AUDIT_STEPS = ["drop_null_keys", "drop_duplicates", "drop_cancelled", "keep_positive"]
+
+
+def step_counts(status):
+    """Row counts n0..n4 before and after the audit steps, from condensed rows."""
+    copies = F.col("Copies")
+    gone = [MISSING_KEY]
+    columns = [
+        F.coalesce(F.sum(copies), F.lit(0)).alias("n0"),
+        F.coalesce(F.sum(F.when(status != MISSING_KEY, copies)), F.lit(0)).alias("n1"),
+    ]
+    for i, step in enumerate([None, CANCELLED, NON_POSITIVE], start=2):
+        if step:
+            gone.append(step)
+        columns.append(F.count_if(~status.isin(gone)).alias(f"n{i}"))
+    return columns
+
+
+def null_counts():
+    """Missing values per raw column, from condensed rows."""
+    return [
+        F.coalesce(
+            F.sum(F.when(F.col("MissingColumns").bitwiseAND(F.lit(1 << i)) != 0, F.col("Copies"))),
+            F.lit(0),
+        ).alias(f"null_{c}")
+        for i, c in enumerate(RAW_COLUMNS)
+    ]
+
+
+def batch_summary(rows):
+    """Everything the audit, the null profile and the whole-batch checks need, as one row."""
+    status = F.col("RowStatus")
+    return rows.agg(
+        *step_counts(status),
+        *null_counts(),
+        F.count_if(status == BAD_DATE).alias("bad_dates"),
+        F.count_if(status == FRACTIONAL_ID).alias("fractional_ids"),
+        F.max(F.when(status == KEPT, F.col("InvoiceDate"))).alias("last_date"),
     )
 
 
-def check_batch(profile):
-    """Fail before any write if the batch as a whole is unusable.
+def check_batch(summary, strict=True):
+    """Fail, before any table is touched, if the batch as a whole is unusable.
 
     An explicit check, because Catalyst is free to skip the expression that would have raised.
     """
-    if profile["row_count"] == 0:
+    if summary["n0"] == 0:
         raise BadBatch("the source has no rows")
-    if profile["bad_dates"]:
-        raise BadBatch(f"{profile['bad_dates']} rows with a bad InvoiceDate")
-    if profile["fractional_ids"]:
-        raise BadBatch(f"{profile['fractional_ids']} rows with a fractional CustomerID")
-
-
-# Audit steps, in the order the rules apply.
-AUDIT_STEPS = ["drop_null_keys", "drop_duplicates", "drop_cancelled", "keep_positive"]
+    if strict and summary["bad_dates"]:
+        raise BadBatch(f"{summary['bad_dates']} distinct rows with a bad InvoiceDate")
+    if strict and summary["fractional_ids"]:
+        raise BadBatch(f"{summary['fractional_ids']} distinct rows with a fractional CustomerID")
 
 
 def audit_rows(counts):
-    """(step, rows_in, rows_out, removed) rows from a one-row frame of n0..n4 row counts."""
+    """(step, rows_in, rows_out, removed) rows from a one-row frame of the step counts."""
     return counts.select(
         F.explode(
             F.array(*[
@@ -219,18 +281,8 @@ def audit_rows(counts):
 
 
 def audit(raw):
-    """Rows removed per step, from one pass: distinct rows with their number of copies."""
-    distinct = raw.groupBy(RAW_COLUMNS).agg(F.count(F.lit(1)).alias("copies"))
-    keyed = _has_keys()
-    alive = keyed & ~text.is_cancelled(F.col("InvoiceNo"))
-    counts = distinct.agg(
-        F.coalesce(F.sum("copies"), F.lit(0)).alias("n0"),
-        F.coalesce(F.sum(F.when(keyed, F.col("copies"))), F.lit(0)).alias("n1"),
-        F.count_if(keyed).alias("n2"),
-        F.count_if(alive).alias("n3"),
-        F.count_if(alive & _is_positive()).alias("n4"),
-    )
-    return audit_rows(counts)
+    """Rows removed per step."""
+    return audit_rows(condense(raw).agg(*step_counts(row_status())))
 
 
 def rejected_rows(raw):

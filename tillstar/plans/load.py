@@ -1,18 +1,18 @@
 """The incremental load: clean, dimensions, facts, high-water mark.
 
-One batch is read twice (a check pass without a shuffle, then the cleaning pass) and shuffled
-once in full, for the copy removal. The cleaned rows are written to a working table that the
-dimensions, the facts and the mark read, each with only the columns it needs.
+The source is read once and shuffled once in full, for the copy removal. The classified rows go
+to a working table that everything after reads, each step with only the columns it needs.
 """
 
 import logging
 from dataclasses import dataclass, field
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import functions as F
 
 from tillstar.operators import cleaning, dimensions, facts, keys
-from tillstar.schemas import AUDIT, CLEAN_COLUMNS, SOURCE_POSITION
+from tillstar.schemas import CLEAN_COLUMNS, SOURCE_POSITION
 from tillstar.sources.frames import as_raw
 
 log = logging.getLogger(__name__)
@@ -29,12 +29,13 @@ class LoadReport:
     nulls: dict = field(default_factory=dict)
 
 
-def load_batch(raw, warehouse, use_mark=True, batch=None):
+def load_batch(raw, warehouse, use_mark=True, batch=None, strict=True):
     """Load one batch of raw invoice lines into the warehouse and publish it.
 
     use_mark: only rows after the high-water mark become facts. A stream, whose checkpoint
     already says what is new, turns it off. batch: the stream's batch number, kept in the state
-    so that a repeated batch is skipped.
+    so that a repeated batch is skipped. strict: a bad date or a fractional id fails the batch;
+    otherwise such rows are set aside with the other rejects.
     """
     raw = as_raw(raw)
     state = warehouse.state()
@@ -44,36 +45,44 @@ def load_batch(raw, warehouse, use_mark=True, batch=None):
         log.info("batch %s is already loaded", batch)
         return LoadReport(state.load_id, state.mark)
 
-    profile = raw.transform(cleaning.batch_profile).first()
-    cleaning.check_batch(profile)
-
     load_id = state.load_id + 1
-    log.info("load %s: %s raw rows", load_id, profile["row_count"])
-    rows = warehouse.write_working("cleaned", cleaning.classify(raw))
-    cleaned = rows.filter(F.col("RowStatus") == cleaning.KEPT).drop("RowStatus")
     mark = state.mark if use_mark else None
+    rows = warehouse.write_working("cleaned", cleaning.classify(raw))
+    summary = rows.transform(cleaning.batch_summary).first()
+    log.info("load %s: %s raw rows", load_id, summary["n0"])
+    cleaning.check_batch(summary, strict)
 
-    added = {}
-    rejects = []
+    cleaned = _kept(rows)
+    due = facts.increment(cleaned, mark)
+    added, rejects = {}, [_unusable(rows)] if not strict else []
     added["dim_date"] = _load_dates(cleaned, warehouse, load_id)
     added["dim_product"] = _load_products(cleaned, warehouse, load_id, rejects)
     added["dim_customer"] = _load_customers(cleaned, warehouse, load_id, rejects)
-    added["fact_sales"], last_sales_key, top = _load_facts(
-        cleaned, warehouse, load_id, mark, state.last_sales_key, rejects
+    added["fact_sales"], last_sales_key = _load_facts(
+        due, warehouse, load_id, state.last_sales_key, rejects
     )
     rejected = _write_rejects(warehouse, load_id, rejects)
-    warehouse.write("load_audit", load_id, _audit(rows, profile))
+    warehouse.write("load_audit", load_id, _audit(warehouse.spark, summary))
 
     # The mark never falls, and moves only after everything else is in place.
-    new_mark = max((m for m in (state.mark, top) if m is not None), default=None)
+    dates = [d for d in (state.mark, summary["last_date"]) if d is not None]
+    new_mark = max(dates, default=None)
     warehouse.publish(
         load_id, new_mark, last_sales_key, batch if batch is not None else state.last_batch
     )
     log.info("load %s: added %s, rejected %s, mark %s", load_id, added, rejected, new_mark)
-    nulls = {k[5:]: v for k, v in profile.asDict().items() if k.startswith("null_")}
+    nulls = {k[5:]: v for k, v in summary.asDict().items() if k.startswith("null_")}
     return LoadReport(load_id, new_mark, added, rejected, nulls)
 
 
+def _unusable(rows):
+    """Rows that would fail a strict batch, as rejects."""
+    reason = F.when(F.col("RowStatus") == cleaning.BAD_DATE, "bad InvoiceDate").when(
+        F.col("RowStatus") == cleaning.FRACTIONAL_ID, "fractional CustomerID"
+    )
+    return facts.as_rejects(rows.withColumn("Reason", reason), "fact_sales")
+
+
 def _load_dates(cleaned, warehouse, load_id):
     new = dimensions.insert_if_absent(
         dimensions.date_dimension(cleaned), warehouse.read("dim_date", load_id - 1), "DateKey"
@@ -94,13 +103,20 @@ def _load_keyed(candidates, warehouse, load_id, table, business_key, key, reason
             "Reason", reason
         ),
     )
+    sizes = absent.agg(
+        F.count_if(F.col("Reason").isNull()).alias("good"), F.count("Reason").alias("bad")
+    ).first()
+    if sizes["bad"]:
+        rejects.append(facts.as_rejects(absent, table))
+    if not sizes["good"]:
+        warehouse.write_nothing(table, load_id)
+        return 0
     last_key = existing.agg(F.max(key)).first()[0] or 0
     good = absent.filter(F.col("Reason").isNull()).drop("Reason")
     warehouse.write(
         table, load_id, keys.assign_surrogate_keys(good, business_key, key, last_key)
     )
-    rejects.append(facts.as_rejects(absent, table))
-    return warehouse.read_load(table, load_id).count()
+    return sizes["good"]
 
 
 def _load_products(cleaned, warehouse, load_id, rejects):
@@ -117,18 +133,17 @@ def _load_customers(cleaned, warehouse, load_id, rejects):
     )
 
 
-def _load_facts(cleaned, warehouse, load_id, mark, last_sales_key, rejects):
-    """Append the increment. Returns rows written, highest SalesKey, latest date of the batch."""
-    due = facts.increment(cleaned, mark)
+def _load_facts(due, warehouse, load_id, last_sales_key, rejects):
+    """Append the increment. Returns the rows written and the highest SalesKey."""
     span = due.agg(
         F.count(F.lit(1)).alias("rows"),
         F.min("InvoiceDate").alias("first"),
         F.max("InvoiceDate").alias("last"),
     ).first()
     if span["rows"] == 0:
-        log.info("load %s: no rows after %s", load_id, mark)
-        top = facts.new_mark(cleaned).first()[0]
-        return 0, last_sales_key, top
+        log.info("load %s: no new rows", load_id)
+        warehouse.write_nothing("fact_sales", load_id)
+        return 0, last_sales_key
 
     months = (
         (span["last"].year - span["first"].year) * 12 + span["last"].month - span["first"].month + 1
@@ -147,28 +162,23 @@ def _load_facts(cleaned, warehouse, load_id, mark, last_sales_key, rejects):
     )
     if written["rows"] < span["rows"]:
         rejects.append(facts.as_rejects(resolved, "fact_sales"))
-    return written["rows"], written["last_key"] or last_sales_key, span["last"]
+    return written["rows"], written["last_key"] or last_sales_key
 
 
 def _write_rejects(warehouse, load_id, rejects):
-    everything = rejects[0]
-    for part in rejects[1:]:
-        everything = everything.unionAll(part)
-    warehouse.write("rejects", load_id, everything)
+    if not rejects:
+        warehouse.write_nothing("rejects", load_id)
+        return 0
+    warehouse.write("rejects", load_id, reduce(lambda a, b: a.unionAll(b), rejects))
     return warehouse.read_load("rejects", load_id).count()
 
 
-def _audit(rows, profile):
-    """Audit table of a load, from the check pass and the row counts of the working table."""
-    status = F.col("RowStatus")
-    counts = rows.agg(
-        F.lit(profile["row_count"]).cast("bigint").alias("n0"),
-        F.lit(profile["keyed_rows"]).cast("bigint").alias("n1"),
-        F.count(F.lit(1)).alias("n2"),
-        F.count_if(status != cleaning.CANCELLED).alias("n3"),
-        F.count_if(status == cleaning.KEPT).alias("n4"),
+def _audit(spark, summary):
+    """Audit table of a load, from the step counts of its summary."""
+    counts = spark.range(1).select(
+        *[F.lit(summary[f"n{i}"]).cast("bigint").alias(f"n{i}") for i in range(5)]
     )
-    return cleaning.audit_rows(counts).select(AUDIT.fieldNames())
+    return cleaning.audit_rows(counts)
 
 
 def load_csv(spark, path, warehouse, multi_line=False):
@@ -178,10 +188,13 @@ def load_csv(spark, path, warehouse, multi_line=False):
     return load_batch(read_csv(spark, path, multi_line=multi_line), warehouse)
 
 
-def cleaned_rows(warehouse):
-    """The last load's cleaned rows, from its working table."""
-    folder = f"{warehouse.root}/_working/cleaned"
-    rows = warehouse.spark.read.parquet(folder)
+def _kept(rows):
+    """The rows that passed every cleaning rule, from a load's working table."""
     return rows.filter(F.col("RowStatus") == cleaning.KEPT).select(
         *CLEAN_COLUMNS, *[c for c in rows.columns if c == SOURCE_POSITION]
     )
+
+
+def cleaned_rows(warehouse):
+    """The last load's cleaned rows."""
+    return _kept(warehouse.spark.read.parquet(f"{warehouse.root}/_working/cleaned"))

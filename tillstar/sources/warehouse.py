@@ -102,6 +102,11 @@ class Warehouse:
             .parquet(f"{self.path(table)}/load_id={load_id}")
         )
 
+    def write_nothing(self, table, load_id):
+        """Empty one load's part of a table, also of what a failed attempt may have left."""
+        columns = [F.lit(None).cast(f.dataType).alias(f.name) for f in STORED[table]]
+        self.write(table, load_id, self.spark.range(0).select(columns))
+
     def publish(self, load_id, mark, last_sales_key, last_batch):
         state = self.spark.range(1).select(
             F.lit("fact_sales").alias("TableName"),
