@@ -1,0 +1,70 @@
+from datetime import date
+
+from pyspark.sql import functions as F
+
+from tillstar.operators import cleaning, dimensions, keys
+from tillstar.schemas import SOURCE_POSITION
+
+
+def with_position(raw):
+    return raw.coalesce(1).withColumn(SOURCE_POSITION, F.monotonically_increasing_id())
+
+
+def test_dates_that_occur_and_no_others(lines):
+    cleaned = cleaning.clean(
+        lines({"InvoiceDate": "12/1/2010 8:26"}, {"InvoiceDate": "12/1/2010 9:00"},
+              {"InvoiceDate": "12/4/2010 8:26"})
+    )
+    rows = dimensions.date_dimension(cleaned).orderBy("DateKey").collect()
+    assert [tuple(r) for r in rows] == [
+        (20101201, date(2010, 12, 1), 2010, 12, "December", 4, 1, "Wednesday", False),
+        (20101204, date(2010, 12, 4), 2010, 12, "December", 4, 4, "Saturday", True),
+    ]
+
+
+def test_the_first_product_row_wins_also_without_description(lines):
+    raw = with_position(
+        lines({"Description": None, "InvoiceDate": "12/9/2010 8:00"},
+              {"Description": "X", "InvoiceDate": "12/1/2010 8:00"},
+              {"StockCode": "B", "Description": "second"},
+              {"StockCode": "B", "Description": "first"})
+    )
+    found = dimensions.first_products(cleaning.clean(raw)).collect()
+    assert {r.StockCode: r.Description for r in found} == {"85123A": None, "B": "second"}
+
+
+def test_without_a_position_the_earliest_invoice_date_wins(lines):
+    cleaned = cleaning.clean(
+        lines({"Description": "late", "InvoiceDate": "12/9/2010 8:00"},
+              {"Description": "early", "InvoiceDate": "12/1/2010 8:00"})
+    )
+    assert dimensions.first_products(cleaned).first().Description == "early"
+
+
+def test_customer_rollup_takes_the_first_known_country(lines):
+    raw = with_position(
+        lines({"Country": None, "InvoiceDate": "12/5/2010 8:00"},
+              {"Country": "X", "InvoiceDate": "12/9/2010 23:59"},
+              {"Country": "Y", "InvoiceDate": "12/1/2010 8:00"})
+    )
+    row = dimensions.customer_rollup(cleaning.clean(raw)).first()
+    assert tuple(row) == (17850, "X", date(2010, 12, 1), date(2010, 12, 9))
+
+
+def test_a_customer_without_any_country(lines):
+    row = dimensions.customer_rollup(cleaning.clean(lines({"Country": None}))).first()
+    assert row.Country is None
+
+
+def test_surrogate_keys_are_dense_and_ordered_over_many_partitions(spark):
+    n = 5000
+    rows = spark.range(n).select(F.format_string("%06d", (F.col("id") * 37) % n).alias("code"))
+    numbered = keys.assign_surrogate_keys(rows.repartition(7), "code", "Key", last_key=10)
+    found = [r.Key for r in numbered.orderBy("code").collect()]
+    assert found == list(range(11, n + 11))
+
+
+def test_sales_keys_are_unique_and_above_the_last(spark):
+    numbered = keys.assign_sales_keys(spark.range(1000).repartition(5), last_key=99)
+    found = [r.SalesKey for r in numbered.collect()]
+    assert len(set(found)) == 1000 and min(found) > 99

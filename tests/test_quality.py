@@ -1,0 +1,101 @@
+from datetime import date
+from decimal import Decimal
+
+import pytest
+
+from tillstar.operators import quality
+from tillstar.schemas import DIM_CUSTOMER, DIM_DATE, DIM_PRODUCT, FACT_SALES
+from tillstar.sources.warehouse import Star
+
+NULLABLE = "SalesKey long, InvoiceNo string, DateKey int, ProductKey long, CustomerKey long, " \
+    "Quantity int, UnitPrice decimal(10,2), TotalSalesAmount decimal(10,2), Country string"
+
+
+@pytest.fixture
+def bad_star(spark):
+    """Every rule is broken somewhere."""
+    cents = Decimal("1.00")
+    fact = spark.createDataFrame(
+        [
+            (1, "1", 20101201, 1, 1, 1, cents, cents, "France"),
+            (1, "2", 20101201, 9, 1, 0, Decimal("0.00"), Decimal("-1.00"), "c" * 101),
+            (2, "i" * 21, 20991231, 9, 8, 1, cents, cents, None),
+            (3, None, 20101201, None, 1, 1, cents, cents, None),
+        ],
+        NULLABLE,
+    )
+    day = (20101201, date(2010, 12, 1), 2010, 12, "December", 4, 1, "Wednesday", False)
+    return Star(
+        fact=fact,
+        dates=spark.createDataFrame([day], DIM_DATE),
+        products=spark.createDataFrame([(1, "A", None), (2, "A", "d" * 256)], DIM_PRODUCT),
+        customers=spark.createDataFrame([(1, 1, None, None, None)], DIM_CUSTOMER),
+    )
+
+
+def pairs(df, *keys):
+    return {tuple(r[k] for k in keys): r[-1] for r in df.collect()}
+
+
+def test_unique_keys(bad_star):
+    found = pairs(
+        quality.unique_key_check(quality.star_tables(bad_star)), "table_name", "key_column"
+    )
+    assert found[("fact_sales", "SalesKey")] == 1
+    assert found[("dim_product", "StockCode")] == 1
+    assert found[("dim_product", "ProductKey")] == 0
+
+
+def test_not_null(bad_star):
+    found = pairs(
+        quality.not_null_check(quality.star_tables(bad_star)), "table_name", "column_name"
+    )
+    assert found[("fact_sales", "InvoiceNo")] == 1
+    assert found[("fact_sales", "ProductKey")] == 1
+    assert ("fact_sales", "Country") not in found
+
+
+def test_value_rules(bad_star):
+    assert pairs(quality.value_rules(bad_star.fact), "rule") == {
+        ("Quantity <= 0",): 1, ("UnitPrice <= 0",): 1, ("TotalSalesAmount < 0",): 1
+    }
+
+
+def test_references_count_fact_rows(bad_star):
+    # A missing key is an orphan too: it finds no row.
+    assert pairs(quality.reference_check(bad_star), "foreign_key") == {
+        ("DateKey",): 1, ("ProductKey",): 3, ("CustomerKey",): 1
+    }
+
+
+def test_length_limits(bad_star):
+    found = pairs(quality.limit_check(quality.star_tables(bad_star)), "table_name", "column_name")
+    assert found[("fact_sales", "InvoiceNo")] == 1
+    assert found[("fact_sales", "Country")] == 1
+    assert found[("dim_product", "Description")] == 1
+
+
+def test_date_range(bad_star):
+    row = quality.date_range_check(bad_star).first()
+    assert tuple(row) == (date(2010, 12, 1), date(2099, 12, 31), 1)
+    assert quality.date_range_check(bad_star, "2000-01-01", "2100-01-01").first()[2] == 0
+
+
+def test_summary_has_ten_labelled_counts_in_order(bad_star):
+    rows = [(r.QualityCheck, r.RecordCount) for r in quality.quality_summary(bad_star).collect()]
+    assert dict(rows) == {
+        "Total fact_sales records": 4,
+        "Unique dates (dim_date)": 1,
+        "Unique products (dim_product)": 2,
+        "Unique customers (dim_customer)": 1,
+        "Orphaned facts (missing product)": 1,
+        "Orphaned facts (missing customer)": 0,
+        "Orphaned facts (missing date)": 0,
+        "Invalid quantities (<=0)": 1,
+        "Invalid prices (<=0)": 1,
+        "Negative sales amounts": 1,
+    }
+
+
+def test_schemas_state_what_may_be_missing():
+    assert [f.name for f in FACT_SALES if f.nullable] == ["Country"]

@@ -5,10 +5,12 @@ to a working table that everything after reads, each step with only the columns
 """
 
 import logging
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import datetime
 from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import functions as F
 
 from tillstar.operators import cleaning, dimensions, facts, keys
@@ -55,9 +57,16 @@ def load_batch(raw, warehouse, use_mark=True, batch=None, strict=True):
     cleaned = _kept(rows)
     due = facts.increment(cleaned, mark)
     added, rejects = {}, [_unusable(rows)] if not strict else []
-    added["dim_date"] = _load_dates(cleaned, warehouse, load_id)
-    added["dim_product"] = _load_products(cleaned, warehouse, load_id, rejects)
-    added["dim_customer"] = _load_customers(cleaned, warehouse, load_id, rejects)
+    # The dimensions do not depend on each other; their small jobs share the cluster.
+    in_session = inheritable_thread_target(warehouse.spark)
+    with ThreadPoolExecutor(len(DIMENSIONS)) as pool:
+        started = {
+            table: pool.submit(in_session(load), cleaned, warehouse, load_id)
+            for table, load in DIMENSIONS.items()
+        }
+    for table, result in started.items():
+        added[table], bad = result.result()
+        rejects += bad
     added["fact_sales"], last_sales_key = _load_facts(
         due, warehouse, load_id, state.last_sales_key, rejects
     )
@@ -88,10 +97,10 @@ def _load_dates(cleaned, warehouse, load_id):
         dimensions.date_dimension(cleaned), warehouse.read("dim_date", load_id - 1), "DateKey"
     )
     warehouse.write("dim_date", load_id, new)
-    return warehouse.read_load("dim_date", load_id).count()
+    return warehouse.read_load("dim_date", load_id).count(), []
 
 
-def _load_keyed(candidates, warehouse, load_id, table, business_key, key, reason, rejects):
+def _load_keyed(candidates, warehouse, load_id, table, business_key, key, reason):
     """Insert the absent candidates under new surrogate keys; set bad ones aside."""
     key_type = candidates.schema[business_key].dataType
     existing = warehouse.read(table, load_id - 1).withColumn(
@@ -106,33 +115,39 @@ def _load_keyed(candidates, warehouse, load_id, table, business_key, key, reason
     sizes = absent.agg(
         F.count_if(F.col("Reason").isNull()).alias("good"), F.count("Reason").alias("bad")
     ).first()
-    if sizes["bad"]:
-        rejects.append(facts.as_rejects(absent, table))
+    rejects = [facts.as_rejects(absent, table)] if sizes["bad"] else []
     if not sizes["good"]:
         warehouse.write_nothing(table, load_id)
-        return 0
+        return 0, rejects
     last_key = existing.agg(F.max(key)).first()[0] or 0
     good = absent.filter(F.col("Reason").isNull()).drop("Reason")
     warehouse.write(
         table, load_id, keys.assign_surrogate_keys(good, business_key, key, last_key)
     )
-    return sizes["good"]
+    return sizes["good"], rejects
 
 
-def _load_products(cleaned, warehouse, load_id, rejects):
+def _load_products(cleaned, warehouse, load_id):
     return _load_keyed(
         dimensions.first_products(cleaned), warehouse, load_id,
-        "dim_product", "StockCode", "ProductKey", facts.product_reason(), rejects,
+        "dim_product", "StockCode", "ProductKey", facts.product_reason(),
     )
 
 
-def _load_customers(cleaned, warehouse, load_id, rejects):
+def _load_customers(cleaned, warehouse, load_id):
     return _load_keyed(
         dimensions.customer_rollup(cleaned), warehouse, load_id,
-        "dim_customer", "CustomerID", "CustomerKey", facts.customer_reason(), rejects,
+        "dim_customer", "CustomerID", "CustomerKey", facts.customer_reason(),
     )
 
 
+DIMENSIONS = {
+    "dim_date": _load_dates,
+    "dim_product": _load_products,
+    "dim_customer": _load_customers,
+}
+
+
 def _load_facts(due, warehouse, load_id, last_sales_key, rejects):
     """Append the increment. Returns the rows written and the highest SalesKey."""
     span = due.agg(

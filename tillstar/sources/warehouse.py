@@ -17,6 +17,7 @@ One writer at a time.
 from dataclasses import dataclass
 from datetime import datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -88,6 +89,15 @@ class Warehouse:
         self.publish(0, seed, 0, None)
         return self
 
+    def exists(self):
+        """Whether create() has run for this folder."""
+        try:
+            return self.state() is not None
+        except AnalysisException as problem:
+            if problem.getCondition() == "PATH_NOT_FOUND":
+                return False
+            raise
+
     # -- writing -----------------------------------------------------------------------
 
     def write(self, table, load_id, rows):
