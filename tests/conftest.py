@@ -1,3 +1,4 @@
+import shutil
 import tempfile
 
 import pytest
@@ -17,9 +18,24 @@ def spark():
     return session
 
 
+@pytest.fixture(scope="session")
+def fresh(spark, tmp_path_factory):
+    """A created, empty warehouse; tests work on copies of its folder."""
+    return Warehouse(spark, tmp_path_factory.mktemp("fresh") / "star").create()
+
+
+@pytest.fixture
+def new_warehouse(spark, fresh, tmp_path):
+    def make(name):
+        shutil.copytree(fresh.root, tmp_path / name)
+        return Warehouse(spark, tmp_path / name)
+
+    return make
+
+
 @pytest.fixture
-def warehouse(spark, tmp_path):
-    return Warehouse(spark, tmp_path / "star").create()
+def warehouse(new_warehouse):
+    return new_warehouse("star")
 
 
 LINE = {

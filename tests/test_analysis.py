@@ -8,11 +8,9 @@ from tillstar.plans.load import cleaned_rows, load_batch
 
 
 @pytest.fixture
-def loaded(spark, tmp_path, lines):
-    from tillstar.sources.warehouse import Warehouse
-
+def loaded(new_warehouse, lines):
     def load(*changes):
-        warehouse = Warehouse(spark, tmp_path / "star").create()
+        warehouse = new_warehouse("loaded")
         load_batch(lines(*changes), warehouse)
         return warehouse
 

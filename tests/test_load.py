@@ -72,10 +72,10 @@ def test_the_mark_never_falls(lines, warehouse):
     assert report.added["fact_sales"] == 0 and report.added["dim_date"] == 1
 
 
-def test_two_loads_give_the_facts_of_one(lines, spark, tmp_path):
-    whole = Warehouse(spark, tmp_path / "one").create()
+def test_two_loads_give_the_facts_of_one(lines, new_warehouse):
+    whole = new_warehouse("one")
     load_batch(batch(lines), whole)
-    parts = Warehouse(spark, tmp_path / "two").create()
+    parts = new_warehouse("two")
     load_batch(batch(lines).filter("InvoiceNo = '1'"), parts)
     load_batch(batch(lines), parts)
     assert facts_of(parts) == facts_of(whole)
@@ -220,12 +220,12 @@ def test_integrity_after_a_load(lines, warehouse):
     assert quality.value_rules(star.fact).filter("violations > 0").count() == 0
 
 
-def test_the_lookup_beyond_the_broadcast_bound_loads_the_same(lines, spark, tmp_path):
-    plain = Warehouse(spark, tmp_path / "a").create()
+def test_the_lookup_beyond_the_broadcast_bound_loads_the_same(lines, spark, new_warehouse):
+    plain = new_warehouse("a")
     load_batch(batch(lines), plain)
     spark.conf.set("spark.tillstar.broadcastRows", "1")
     try:
-        salted = Warehouse(spark, tmp_path / "b").create()
+        salted = new_warehouse("b")
         load_batch(batch(lines), salted)
     finally:
         spark.conf.unset("spark.tillstar.broadcastRows")

@@ -30,7 +30,7 @@ def date_key(date):
 
 def month_of_key(key):
     """YYYYMM of a YYYYMMDD key."""
-    return F.floor(key / 100).cast("int")
+    return (key / 100).cast("int")
 
 
 def weekday_rank(name):

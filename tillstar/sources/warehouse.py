@@ -6,12 +6,13 @@
     <root>/fact_sales/load_id=<n>/SalesMonth=<yyyymm>/
     <root>/rejects/load_id=<n>/
     <root>/load_audit/load_id=<n>/
-    <root>/load_state/load_id=<n>/     written last: this publishes the load
+    <root>/load_state/slot=<n % 2>/    written last: this publishes the load
     <root>/_working/...                overwritten by each load
 
 Every load only adds folders of its own id, and readers ignore ids above the last published one.
 A load that dies half-way leaves nothing visible, and its replay overwrites its own folders.
-One writer at a time.
+The state keeps its last two rows in two slots, written in turn: while one is replaced, the other
+is whole. One writer at a time.
 """
 
 from dataclasses import dataclass
@@ -29,7 +30,7 @@ SALES_MONTH = T.StructField("SalesMonth", T.IntegerType())
 
 STATE = T.StructType(
     [*schemas.WATERMARK.fields, T.StructField("LastSalesKey", T.LongType()),
-     T.StructField("LastBatch", T.LongType())]
+     T.StructField("LastBatch", T.LongType()), T.StructField("load_id", T.IntegerType())]
 )
 
 # Stored columns per folder, in the order a reset clears them: facts before dimensions.
@@ -40,7 +41,6 @@ STORED = {
     "dim_date": schemas.DIM_DATE,
     "rejects": schemas.REJECTS,
     "load_audit": schemas.AUDIT,
-    "load_state": STATE,
 }
 PARTITIONS = {"fact_sales": ["SalesMonth"]}
 
@@ -79,16 +79,24 @@ class Warehouse:
     def create(self, seed=DEFAULT_SEED):
         """Drop whatever is there, create empty tables, seed the high-water mark."""
         for table, schema in STORED.items():
-            empty = self.spark.createDataFrame([], T.StructType([*schema.fields, LOAD_ID]))
-            (
-                empty.write.mode("overwrite")
-                .option("partitionOverwriteMode", "static")
-                .partitionBy("load_id")
-                .parquet(self.path(table))
-            )
+            empty = self._empty(T.StructType([*schema.fields, LOAD_ID]))
+            self._overwrite(self.path(table), empty, ["load_id"])
+        self._overwrite(self.path("load_state"), self._empty(STATE), ["load_id"])
         self.publish(0, seed, 0, None)
         return self
 
+    def _empty(self, schema):
+        columns = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema]
+        return self.spark.range(0).select(columns)
+
+    def _overwrite(self, folder, rows, partition_by=()):
+        (
+            rows.write.mode("overwrite")
+            .option("partitionOverwriteMode", "static")
+            .partitionBy(*partition_by)
+            .parquet(folder)
+        )
+
     def exists(self):
         """Whether create() has run for this folder."""
         try:
@@ -105,26 +113,20 @@ class Warehouse:
         stored = rows.select(
             [F.col(f.name).cast(f.dataType).alias(f.name) for f in STORED[table]]
         )
-        (
-            stored.write.mode("overwrite")
-            .option("partitionOverwriteMode", "static")
-            .partitionBy(*PARTITIONS.get(table, []))
-            .parquet(f"{self.path(table)}/load_id={load_id}")
-        )
+        self._overwrite(self._part(table, load_id), stored, PARTITIONS.get(table, []))
 
     def write_nothing(self, table, load_id):
-        """Empty one load's part of a table, also of what a failed attempt may have left."""
-        columns = [F.lit(None).cast(f.dataType).alias(f.name) for f in STORED[table]]
-        self.write(table, load_id, self.spark.range(0).select(columns))
+        """Leave one load's part of a table empty, also of what a failed attempt left there."""
+        if self._read_part(table, load_id) is not None:
+            self.write(table, load_id, self._empty(STORED[table]))
 
     def publish(self, load_id, mark, last_sales_key, last_batch):
-        state = self.spark.range(1).select(
-            F.lit("fact_sales").alias("TableName"),
-            F.lit(mark).alias("LastLoadedDate"),
-            F.lit(last_sales_key).alias("LastSalesKey"),
-            F.lit(last_batch).alias("LastBatch"),
+        """Make a load visible: one row, one file, one rename."""
+        values = ["fact_sales", mark, last_sales_key, last_batch, load_id]
+        row = self.spark.range(1).select(
+            [F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(values, STATE, strict=True)]
         )
-        self.write("load_state", load_id, state)
+        self._overwrite(f"{self.path('load_state')}/slot={load_id % 2}", row)
 
     def write_working(self, name, rows):
         """Write a working table of the current load and read it back.
@@ -137,12 +139,15 @@ class Warehouse:
 
     # -- reading -----------------------------------------------------------------------
 
+    def _last_state(self):
+        rows = self.spark.read.schema(STATE).parquet(self.path("load_state"))
+        return rows.orderBy(F.desc("load_id")).limit(1)
+
     def state(self):
         """Last published load, or None if the warehouse was never seeded."""
-        rows = self._all("load_state").orderBy(F.desc("load_id")).limit(1).collect()
-        if not rows:
+        row = self._last_state().first()
+        if row is None:
             return None
-        row = rows[0]
         return State(row.load_id, row.LastLoadedDate, row.LastSalesKey, row.LastBatch)
 
     def get_watermark(self):
@@ -150,24 +155,34 @@ class Warehouse:
         state = self.state()
         return state.mark if state else None
 
-    def _all(self, table):
-        schema = T.StructType([*STORED[table].fields, LOAD_ID])
-        return self.spark.read.schema(schema).parquet(self.path(table))
+    def watermark(self):
+        """The load-state table: one row per target."""
+        return self._last_state().select(schemas.WATERMARK.fieldNames())
+
+    def _part(self, table, load_id):
+        return f"{self.path(table)}/load_id={load_id}"
+
+    def _read_part(self, table, load_id):
+        """One load's part of a table, without listing the others; None if it has none."""
+        try:
+            return self.spark.read.schema(STORED[table]).parquet(self._part(table, load_id))
+        except AnalysisException as problem:
+            if problem.getCondition() == "PATH_NOT_FOUND":
+                return None
+            raise
 
     def read(self, table, upto=None):
         """Rows of the published loads (or up to a given load id)."""
         if upto is None:
             upto = self.state().load_id
-        return self._all(table).filter(F.col("load_id") <= upto).drop("load_id")
+        schema = T.StructType([*STORED[table].fields, LOAD_ID])
+        rows = self.spark.read.schema(schema).parquet(self.path(table))
+        return rows.filter(F.col("load_id") <= upto).drop("load_id")
 
     def read_load(self, table, load_id):
         """Rows one load added."""
-        return self._all(table).filter(F.col("load_id") == load_id).drop("load_id")
-
-    def watermark(self):
-        """The load-state table: one row per target."""
-        last = self.state().load_id
-        return self.read_load("load_state", last).select(schemas.WATERMARK.fieldNames())
+        rows = self._read_part(table, load_id)
+        return self._empty(STORED[table]) if rows is None else rows
 
     def star(self):
         upto = self.state().load_id
