@@ -10,9 +10,13 @@ from tillstar.sources.warehouse import Warehouse
 
 @pytest.fixture(scope="session")
 def spark():
+    # Tiny data: start-up, planning and compilation are all the cost there is.
     session = get_session(
-        app_name="tests", cores=4,
+        app_name="tests", cores=2,
         spark__checkpoint__dir=tempfile.mkdtemp(prefix="run-", dir="/tmp"),
+        spark__driver__extraJavaOptions="-XX:TieredStopAtLevel=1 -XX:+UseSerialGC",
+        spark__sql__codegen__wholeStage="false",
+        spark__sql__codegen__factoryMode="NO_CODEGEN",
     )
     session.sparkContext.setLogLevel("ERROR")
     return session

@@ -2,6 +2,7 @@ from datetime import datetime
 
 from tillstar import settings
 from tillstar.__main__ import run
+from tillstar.session import partitions_for
 from tillstar.sources.warehouse import Warehouse
 
 HEADER = "InvoiceNo,StockCode,Description,Quantity,InvoiceDate,UnitPrice,CustomerID,Country\n"
@@ -33,3 +34,8 @@ def test_the_job_fails_without_a_source_and_on_a_bad_batch(spark, tmp_path):
     nothing = settings.parse(["--source", str(empty), "--warehouse", str(tmp_path / "w")], {})
     assert not run(spark, nothing)
     assert Warehouse(spark, tmp_path / "w").star().fact.count() == 0
+
+
+def test_shuffles_are_sized_by_the_input():
+    assert partitions_for(0) == 200
+    assert partitions_for(100 * 1024**4) == 409_600

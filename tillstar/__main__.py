@@ -6,7 +6,7 @@ import sys
 from tillstar import settings
 from tillstar.operators.cleaning import BadBatch
 from tillstar.plans.load import load_csv
-from tillstar.session import get_session, shared_folder
+from tillstar.session import get_session, partitions_for, shared_folder
 from tillstar.sources.csv_source import SourceUnavailable
 from tillstar.sources.warehouse import Warehouse
 from tillstar.streaming.incremental import read_csv_stream, start_load
@@ -15,6 +15,9 @@ from tillstar.streaming.incremental import read_csv_stream, start_load
 def run(spark, chosen):
     """One job: create the tables if asked or absent, then load. True on success."""
     shared_folder(spark)
+    if chosen.input_gb:
+        partitions = partitions_for(int(chosen.input_gb * 1024**3))
+        spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
     warehouse = Warehouse(spark, chosen.warehouse)
     if chosen.reset or not warehouse.exists():
         warehouse.create(chosen.seed)

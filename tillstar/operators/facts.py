@@ -23,10 +23,10 @@ def new_mark(cleaned):
 
 def resolve(rows, products, customers):
     """Cleaned rows with ProductKey, CustomerKey and the reason they cannot be loaded, if any."""
-    rows = attach_key(rows, products, "StockCode", "ProductKey")
     customers = customers.withColumn("CustomerID", F.col("CustomerID").cast("bigint"))
-    rows = attach_key(rows, customers, "CustomerID", "CustomerKey")
-    return rows.withColumn("Reason", reject_reason())
+    keyed = attach_key(rows, products, "StockCode", "ProductKey")
+    keyed = attach_key(keyed, customers, "CustomerID", "CustomerKey", source=rows)
+    return keyed.withColumn("Reason", reject_reason())
 
 
 def reject_reason():

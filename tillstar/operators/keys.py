@@ -41,7 +41,10 @@ def assign_surrogate_keys(rows, order_by, key, last_key=0):
 
 
 def assign_sales_keys(rows, last_key=0):
-    """Unique keys above last_key, with gaps: no sort, no shuffle."""
+    """Unique keys above last_key, with gaps: no sort, no shuffle.
+
+    Each task takes a range of 2^33 keys, so a table's life has room for a billion tasks.
+    """
     return rows.withColumn(
         "SalesKey", F.lit(last_key) + F.monotonically_increasing_id() + F.lit(1)
     )

@@ -20,19 +20,20 @@ def is_small(df, bound=None):
     return df.count() <= bound
 
 
-def attach_key(rows, dimension, on, key):
+def attach_key(rows, dimension, on, key, source=None):
     """Left lookup of a surrogate key; rows without a match get NULL.
 
     A dimension proven small is broadcast: no shuffle of the rows. Beyond the bound the join
-    shuffles both sides, with hot keys spread by salt.
+    shuffles both sides, with hot keys spread by salt. source: the frame to find hot keys in, if
+    `rows` has come through other lookups since.
     """
     entries = dimension.select(on, key)
     if is_small(entries):
         return rows.join(F.broadcast(entries), on, "left")
-    return salted_lookup(rows, entries, on)
+    return salted_lookup(rows, entries, on, source=source)
 
 
-def salted_lookup(rows, entries, on, partitions=None):
+def salted_lookup(rows, entries, on, partitions=None, source=None):
     """Left join that splits each hot key over several tasks.
 
     A key is hot if it holds more than one partition's fair share of the rows, so there are never
@@ -43,7 +44,8 @@ def salted_lookup(rows, entries, on, partitions=None):
     spark = rows.sparkSession
     shared_folder(spark)
     partitions = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    counts = rows.groupBy(on).agg(F.count(F.lit(1)).alias("_n")).checkpoint()
+    counted = rows if source is None else source
+    counts = counted.groupBy(on).agg(F.count(F.lit(1)).alias("_n")).checkpoint()
     total = counts.agg(F.sum("_n")).first()[0] or 0
     share = max(1, total // partitions)
     hot = counts.filter(F.col(on).isNotNull() & (F.col("_n") > share)).select(

@@ -28,6 +28,15 @@ def get_session(app_name="tillstar", cores=None, **extra):
     return builder.getOrCreate()
 
 
+# Shuffled bytes per task that fit an executor core's share of memory without spilling.
+BYTES_PER_TASK = 256 * 1024 * 1024
+
+
+def partitions_for(input_bytes, least=200):
+    """Shuffle partitions for a batch of this size; AQE merges those that turn out small."""
+    return max(least, -(-input_bytes // BYTES_PER_TASK))
+
+
 def shared_folder(spark):
     """The folder for checkpoints and working tables.
 

@@ -16,6 +16,7 @@ class Settings:
     reset: bool = False
     multi_line: bool = False
     stream: bool = False
+    input_gb: float | None = None
 
 
 def parse(arguments=None, environment=os.environ):
@@ -29,4 +30,7 @@ def parse(arguments=None, environment=os.environ):
     parser.add_argument("--reset", action="store_true", help="drop and create the tables first")
     parser.add_argument("--multi-line", action="store_true", help="quoted fields may hold line breaks")
     parser.add_argument("--stream", action="store_true", help="load a folder of CSV files as a stream")
+    parser.add_argument(
+        "--input-gb", type=float, help="size of the batch, to size the shuffles for it"
+    )
     return Settings(**vars(parser.parse_args(arguments)))
