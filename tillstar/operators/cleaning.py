@@ -238,15 +238,21 @@ def null_counts():
     ]
 
 
-def batch_summary(rows):
-    """Everything the audit, the null profile and the whole-batch checks need, as one row."""
-    status = F.col("RowStatus")
+def batch_summary(rows, due=None):
+    """Everything the audit, the null profile, the whole-batch checks and the fact load need to
+    know about a batch, as one row from one pass. due: which kept rows become facts."""
+    status, date = F.col("RowStatus"), F.col("InvoiceDate")
+    kept = status == KEPT
+    loaded = kept if due is None else kept & due
     return rows.agg(
         *step_counts(status),
         *null_counts(),
         F.count_if(status == BAD_DATE).alias("bad_dates"),
         F.count_if(status == FRACTIONAL_ID).alias("fractional_ids"),
-        F.max(F.when(status == KEPT, F.col("InvoiceDate"))).alias("last_date"),
+        F.max(F.when(kept, date)).alias("last_date"),
+        F.count_if(loaded).alias("due_rows"),
+        F.min(F.when(loaded, date)).alias("due_first"),
+        F.max(F.when(loaded, date)).alias("due_last"),
     )
 
 

@@ -9,11 +9,14 @@ from tillstar.schemas import FACT_SALES, REJECTS, TEXT_LIMITS
 INT_MIN, INT_MAX = -(2**31), 2**31 - 1
 
 
-def increment(cleaned, mark):
+def is_due(mark):
     """Rows strictly after the mark; rows without a date never qualify. No mark: every dated row."""
-    if mark is None:
-        return cleaned.filter(F.col("InvoiceDate").isNotNull())
-    return cleaned.filter(F.col("InvoiceDate") > F.lit(mark).cast("timestamp_ntz"))
+    date = F.col("InvoiceDate")
+    return date.isNotNull() if mark is None else date > F.lit(mark).cast("timestamp_ntz")
+
+
+def increment(cleaned, mark):
+    return cleaned.filter(is_due(mark))
 
 
 def new_mark(cleaned):

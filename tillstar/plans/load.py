@@ -50,7 +50,7 @@ def load_batch(raw, warehouse, use_mark=True, batch=None, strict=True):
     load_id = state.load_id + 1
     mark = state.mark if use_mark else None
     rows = warehouse.write_working("cleaned", cleaning.classify(raw))
-    summary = rows.transform(cleaning.batch_summary).first()
+    summary = cleaning.batch_summary(rows, facts.is_due(mark)).first()
     log.info("load %s: %s raw rows", load_id, summary["n0"])
     cleaning.check_batch(summary, strict)
 
@@ -68,7 +68,7 @@ def load_batch(raw, warehouse, use_mark=True, batch=None, strict=True):
         added[table], bad = result.result()
         rejects += bad
     added["fact_sales"], last_sales_key = _load_facts(
-        due, warehouse, load_id, state.last_sales_key, rejects
+        due, summary, warehouse, load_id, state.last_sales_key, rejects
     )
     rejected = _write_rejects(warehouse, load_id, rejects)
     warehouse.write("load_audit", load_id, _audit(warehouse.spark, summary))
@@ -148,21 +148,15 @@ DIMENSIONS = {
 }
 
 
-def _load_facts(due, warehouse, load_id, last_sales_key, rejects):
+def _load_facts(due, summary, warehouse, load_id, last_sales_key, rejects):
     """Append the increment. Returns the rows written and the highest SalesKey."""
-    span = due.agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.min("InvoiceDate").alias("first"),
-        F.max("InvoiceDate").alias("last"),
-    ).first()
-    if span["rows"] == 0:
+    if summary["due_rows"] == 0:
         log.info("load %s: no new rows", load_id)
         warehouse.write_nothing("fact_sales", load_id)
         return 0, last_sales_key
 
-    months = (
-        (span["last"].year - span["first"].year) * 12 + span["last"].month - span["first"].month + 1
-    )
+    first, last = summary["due_first"], summary["due_last"]
+    months = (last.year - first.year) * 12 + last.month - first.month + 1
     partitions = int(warehouse.spark.conf.get("spark.sql.shuffle.partitions"))
     resolved = facts.resolve(
         due, warehouse.read("dim_product", load_id), warehouse.read("dim_customer", load_id)
@@ -175,7 +169,7 @@ def _load_facts(due, warehouse, load_id, last_sales_key, rejects):
         .agg(F.count(F.lit(1)).alias("rows"), F.max("SalesKey").alias("last_key"))
         .first()
     )
-    if written["rows"] < span["rows"]:
+    if written["rows"] < summary["due_rows"]:
         rejects.append(facts.as_rejects(resolved, "fact_sales"))
     return written["rows"], written["last_key"] or last_sales_key
 

@@ -14,6 +14,8 @@ def get_session(app_name="tillstar", cores=None, **extra):
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        # Recording the Python line of every column expression costs driver round trips.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     if cores:
         builder = (
