@@ -13,7 +13,7 @@ import os
 import sys
 import time
 
-from checks.registry import new_folder
+from tillstar_checks.registry import new_folder
 from tillstar.operators import quality
 from tillstar.plans import analysis, flat
 from tillstar.plans.load import cleaned_rows, load_csv

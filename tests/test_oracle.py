@@ -4,7 +4,7 @@ import os
 
 import pytest
 
-from checks import compare, oracle, registry
+from tillstar_checks import compare, oracle, registry
 
 FOLDER = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 

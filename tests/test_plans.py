@@ -4,7 +4,7 @@ import os
 
 import pytest
 
-from checks import registry
+from tillstar_checks import registry
 from tillstar.operators import cleaning, dimensions, facts
 from tillstar.plans import analysis, flat
 from tillstar.plans.load import cleaned_rows

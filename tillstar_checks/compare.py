@@ -1,6 +1,6 @@
 """Run registered queries in Spark and their SQL forms in DuckDB, and compare row by row.
 
-    python -m checks.compare /root/testdata/sf0.01 [name ...]
+    python -m tillstar_checks.compare /root/testdata/sf0.01 [name ...]
 """
 
 import sys
@@ -9,8 +9,8 @@ from decimal import Decimal
 
 import duckdb
 
-from checks.oracle import oracle_sql
-from checks.registry import registry
+from tillstar_checks.oracle import oracle_sql
+from tillstar_checks.registry import registry
 from tillstar.session import get_session
 
 TABLES = (

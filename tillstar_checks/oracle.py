@@ -5,7 +5,7 @@ distinct counts are the same.
 """
 
 FULL_SEED = "1900-01-01 00:00:00"
-# The bounds of the increment queries; see checks/registry.py.
+# The bounds of the increment queries; see tillstar_checks/registry.py.
 LATE_SEED = "2001-01-01 00:00:00"
 EARLY_CUT = "1995-04-01 00:00:00"
 

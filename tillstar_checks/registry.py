@@ -11,7 +11,7 @@ from functools import cache
 
 from pyspark.sql import functions as F
 
-from checks.oracle import EARLY_CUT, FULL_SEED, LATE_SEED
+from tillstar_checks.oracle import EARLY_CUT, FULL_SEED, LATE_SEED
 from tillstar.functions.dates import INVOICE_DATE_FORMAT
 from tillstar.operators import cleaning, dimensions, facts, keys, lookup, quality, updates
 from tillstar.plans import analysis, flat, views
