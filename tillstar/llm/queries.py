@@ -3,9 +3,12 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tillstar.llm import byte_bpe
+from tillstar.llm import byte_bpe, pii, word_bpe
 from tillstar.llm.common import read_table
 
+# Tokens that a training sequence holds.
+TOKEN_LIMIT = 2048
+
 
 def op1_byte_bpe(spark, sf_dir):
     """Round trip of every document's text through the byte-level vocabulary."""
@@ -22,7 +25,38 @@ def op1_byte_bpe(spark, sf_dir):
     )
 
 
+def op4_token_counts(spark, sf_dir):
+    """Tokens of every document by the word-level vocabulary."""
+    docs = read_table(spark, sf_dir, "documents").select(
+        "doc_id", "text", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes")
+    )
+    path = public_tokenizers.path("word_bpe_49k.json")
+    counted = word_bpe.count_tokens(docs, path, keep=["doc_id", "n_bytes"])
+    return counted.select(
+        "row.doc_id", "row.n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit")
+    )
+
+
+def op10_pii(spark, sf_dir):
+    """Personal data in every document."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.detect(docs, keep=["doc_id"])
+    base = F.filter("spans", lambda s: s["base"])
+
+    def count(kind):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "row.doc_id",
+        *[count(kind) for kind in pii.BASE_KINDS],
+        F.sha2(pii.span_text(base).cast("binary"), 256).alias("base_sha256"),
+        pii.span_text(F.col("spans")).alias("spans"),
+    )
+
+
 def registry():
     return {
         "op1_byte_bpe": op1_byte_bpe,
+        "op4_token_counts": op4_token_counts,
+        "op10_pii": op10_pii,
     }
