@@ -80,20 +80,20 @@ def _shared_ranks(spark, path):
         return spark.sparkContext.broadcast(file.read())
 
 
+def _id_lists(codec, texts):
+    lists = [encode_text(codec, t or "") for t in texts.to_pylist()]
+    ends = np.cumsum([0, *map(len, lists)], dtype=np.int32)
+    flat = np.fromiter((i for ids in lists for i in ids), np.int32, int(ends[-1]))
+    return lists, pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
+
+
 def encode(df, path, pattern, text="text", keep=None):
     """Rows with `ids`, the token ids of the text."""
     ranks = _shared_ranks(df.sparkSession, path)
 
     def make():
         codec = encoding(ranks.value, pattern)
-
-        def work(texts):
-            lists = [encode_text(codec, t or "") for t in texts.to_pylist()]
-            ends = np.cumsum([0, *map(len, lists)], dtype=np.int32)
-            flat = np.fromiter((i for ids in lists for i in ids), np.int32, int(ends[-1]))
-            return [pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))]
-
-        return work
+        return lambda texts: [_id_lists(codec, texts)[1]]
 
     return map_rows(df, [F.col(text)], make, {"ids": "array<int>"}, keep)
 
@@ -107,3 +107,19 @@ def decode(df, path, pattern, ids="ids", keep=None):
         return lambda lists: [[codec.decode_bytes(i or []) for i in lists.to_pylist()]]
 
     return map_rows(df, [F.col(ids)], make, {"decoded": "binary"}, keep)
+
+
+def round_trip(df, path, pattern, text="text", keep=None):
+    """Rows with `ids` and `decoded` in one pass, so that a task needs one Python worker only."""
+    ranks = _shared_ranks(df.sparkSession, path)
+
+    def make():
+        codec = encoding(ranks.value, pattern)
+
+        def work(texts):
+            lists, ids = _id_lists(codec, texts)
+            return [ids, [codec.decode_bytes(i) for i in lists]]
+
+        return work
+
+    return map_rows(df, [F.col(text)], make, {"ids": "array<int>", "decoded": "binary"}, keep)

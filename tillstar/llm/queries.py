@@ -14,13 +14,11 @@ def op1_byte_bpe(spark, sf_dir):
     """Round trip of every document's text through the byte-level vocabulary."""
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    encoded = byte_bpe.encode(docs, path, public_tokenizers.PATTERN, keep=["doc_id"])
-    decoded = byte_bpe.decode(encoded, path, public_tokenizers.PATTERN)
-    ids = F.col("row.ids")
-    return decoded.select(
-        F.col("row.row.doc_id").alias("doc_id"),
-        F.size(ids).cast("long").alias("n_tokens"),
-        F.sha2(F.concat_ws(" ", ids.cast("array<string>")).cast("binary"), 256).alias("ids_sha256"),
+    coded = byte_bpe.round_trip(docs, path, public_tokenizers.PATTERN, keep=["doc_id"])
+    return coded.select(
+        "row.doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")).cast("binary"), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
 
