@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tillstar.llm import byte_bpe, pii, word_bpe
+from tillstar.llm import byte_bpe, pii, simhash, word_bpe
 from tillstar.llm.common import read_table
 
 # Tokens that a training sequence holds.
@@ -35,6 +35,12 @@ def op4_token_counts(spark, sf_dir):
     )
 
 
+def op9_simhash(spark, sf_dir):
+    """Fingerprints of all documents and the groups they link to."""
+    grouped = simhash.groups(read_table(spark, sf_dir, "documents"))
+    return grouped.select("doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
+
+
 def op10_pii(spark, sf_dir):
     """Personal data in every document."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -56,5 +62,6 @@ def registry():
     return {
         "op1_byte_bpe": op1_byte_bpe,
         "op4_token_counts": op4_token_counts,
+        "op9_simhash": op9_simhash,
         "op10_pii": op10_pii,
     }
