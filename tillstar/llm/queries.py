@@ -3,8 +3,8 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tillstar.llm import byte_bpe, pii, simhash, word_bpe
-from tillstar.llm.common import read_table
+from tillstar.llm import byte_bpe, langid, pii, quality, simhash, word_bpe
+from tillstar.llm.common import held_out, read_table
 
 # Tokens that a training sequence holds.
 TOKEN_LIMIT = 2048
@@ -35,6 +35,29 @@ def op4_token_counts(spark, sf_dir):
     )
 
 
+def op6_language_id(spark, sf_dir):
+    """Language of every document, learned from those not held out."""
+    docs = read_table(spark, sf_dir, "documents").select(
+        "doc_id", "text", "lang", held_out(F.col("doc_id")).alias("held_out")
+    )
+    model = langid.train(docs.filter("not held_out"))
+    found = langid.predict(docs, model, keep=["doc_id", "held_out"])
+    return found.select("row.doc_id", "row.held_out", "lang_pred", "score")
+
+
+def op8_quality(spark, sf_dir):
+    """Quality score of every document, learned from good labels and unlabelled text not held out."""
+    docs = read_table(spark, sf_dir, "documents").select(
+        "doc_id", "text", held_out(F.col("doc_id")).alias("held_out")
+    )
+    learning = docs.filter("not held_out")
+    model = quality.train(quality.trusted(learning, read_table(spark, sf_dir, "labels")), learning)
+    found = quality.score(docs, model, keep=["doc_id", "held_out"])
+    return found.select(
+        "row.doc_id", "row.held_out", "score", (F.col("score") >= quality.PREDICT_FROM).cast("int").alias("predicted")
+    )
+
+
 def op9_simhash(spark, sf_dir):
     """Fingerprints of all documents and the groups they link to."""
     grouped = simhash.groups(read_table(spark, sf_dir, "documents"))
@@ -62,6 +85,8 @@ def registry():
     return {
         "op1_byte_bpe": op1_byte_bpe,
         "op4_token_counts": op4_token_counts,
+        "op6_language_id": op6_language_id,
+        "op8_quality": op8_quality,
         "op9_simhash": op9_simhash,
         "op10_pii": op10_pii,
     }
