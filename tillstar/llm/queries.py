@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tillstar.llm import byte_bpe, langid, pii, quality, simhash, word_bpe
+from tillstar.llm import byte_bpe, langid, packing, pii, quality, simhash, word_bpe
 from tillstar.llm.common import held_out, read_table
 
 # Tokens that a training sequence holds.
@@ -35,6 +35,12 @@ def op4_token_counts(spark, sf_dir):
     )
 
 
+def op5_packing(spark, sf_dir):
+    """All documents packed into sequences of at most 2048 tokens."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), limit=TOKEN_LIMIT)
+
+
 def op6_language_id(spark, sf_dir):
     """Language of every document, learned from those not held out."""
     docs = read_table(spark, sf_dir, "documents").select(
@@ -85,6 +91,7 @@ def registry():
     return {
         "op1_byte_bpe": op1_byte_bpe,
         "op4_token_counts": op4_token_counts,
+        "op5_packing": op5_packing,
         "op6_language_id": op6_language_id,
         "op8_quality": op8_quality,
         "op9_simhash": op9_simhash,

@@ -24,7 +24,7 @@ from tillstar.llm.common import map_rows
 # another, so that the normal form goes character by character.
 FAST_BELOW = 0x250
 # Words remembered by a worker beside the vocabulary.
-REMEMBERED_WORDS = 300_000
+REMEMBERED_WORDS = 600_000
 # Longer texts are given to the library in parts, cut before a space.
 PART_CHARS = 50_000
 
