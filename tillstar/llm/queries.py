@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tillstar.llm import byte_bpe, langid, packing, pii, quality, simhash, word_bpe
+from tillstar.llm import byte_bpe, langid, order_minhash, packing, pii, quality, simhash, word_bpe
 from tillstar.llm.common import held_out, read_table
 
 # Tokens that a training sequence holds.
@@ -23,6 +23,20 @@ def op1_byte_bpe(spark, sf_dir):
     )
 
 
+def op3_order_minhash(spark, sf_dir):
+    """Fingerprints of every document, an edited form of it and the next document."""
+    columns = [
+        F.col("key").alias("doc_id"),
+        "n_chars",
+        F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        "fingerprint",
+        "edited_fingerprint",
+        "near_edited",
+        "near_next",
+    ]
+    return order_minhash.with_next(read_table(spark, sf_dir, "documents"), query=columns)
+
+
 def op4_token_counts(spark, sf_dir):
     """Tokens of every document by the word-level vocabulary."""
     docs = read_table(spark, sf_dir, "documents").select(
@@ -90,6 +104,7 @@ def op10_pii(spark, sf_dir):
 def registry():
     return {
         "op1_byte_bpe": op1_byte_bpe,
+        "op3_order_minhash": op3_order_minhash,
         "op4_token_counts": op4_token_counts,
         "op5_packing": op5_packing,
         "op6_language_id": op6_language_id,
