@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tillstar.llm import byte_bpe, langid, order_minhash, packing, pii, quality, simhash, word_bpe
+from tillstar.llm import byte_bpe, embedding_forest, langid, order_minhash, packing, pii, quality, simhash, word_bpe
 from tillstar.llm.common import held_out, read_table
 
 # Tokens that a training sequence holds.
@@ -65,6 +65,11 @@ def op6_language_id(spark, sf_dir):
     return found.select("row.doc_id", "row.held_out", "lang_pred", "score")
 
 
+def op7_embedding_forest(spark, sf_dir):
+    """Near-duplicate vectors of the whole table."""
+    return embedding_forest.near_duplicates(read_table(spark, sf_dir, "embeddings"))
+
+
 def op8_quality(spark, sf_dir):
     """Quality score of every document, learned from good labels and unlabelled text not held out."""
     docs = read_table(spark, sf_dir, "documents").select(
@@ -108,6 +113,7 @@ def registry():
         "op4_token_counts": op4_token_counts,
         "op5_packing": op5_packing,
         "op6_language_id": op6_language_id,
+        "op7_embedding_forest": op7_embedding_forest,
         "op8_quality": op8_quality,
         "op9_simhash": op9_simhash,
         "op10_pii": op10_pii,
