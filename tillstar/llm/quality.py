@@ -26,7 +26,7 @@ from dataclasses import dataclass
 import numpy as np
 from pyspark.sql import functions as F
 
-from tillstar.llm.common import map_rows
+from tillstar.llm.common import map_rows, written
 
 POSITIVE_ROWS = 6_000
 UNLABELLED_ROWS = 12_000
@@ -213,12 +213,17 @@ def _vectors(df, text):
     return np.frombuffer(b"".join(found), np.float32).reshape(len(found), -1)
 
 
-def train(positives, unlabelled, text="text", positive_rows=POSITIVE_ROWS, unlabelled_rows=UNLABELLED_ROWS):
-    """A model from frames of trusted good texts and of unlabelled ones."""
-    return fit(
-        _vectors(_sampled(positives, positive_rows, 3), text),
-        _vectors(_sampled(unlabelled, unlabelled_rows, 5), text),
-    )
+def train(docs, labels, text="text", positive_rows=POSITIVE_ROWS, unlabelled_rows=UNLABELLED_ROWS):
+    """A model from the documents that labels call good and from all documents, unlabelled.
+
+    Positives are sampled by id, before any text is read; of rows that repeat an id, one counts.
+    """
+    good = labels.filter("quality = 1").select("doc_id").distinct()
+    known = docs.select("doc_id").distinct().join(good, "doc_id", "left_semi")
+    # About positive_rows ids, so small enough to broadcast.
+    chosen = written(_sampled(known, positive_rows, 3), "positives")
+    positives = docs.join(F.broadcast(chosen), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return fit(_vectors(positives, text), _vectors(_sampled(docs, unlabelled_rows, 5), text))
 
 
 def score(df, model, text="text", keep=None):
@@ -229,9 +234,3 @@ def score(df, model, text="text", keep=None):
         return lambda texts: [score_texts(shared.value, texts.to_pylist())]
 
     return map_rows(df, [F.col(text)], make, {"score": "double"}, keep)
-
-
-def trusted(docs, labels):
-    """The documents that labels call good; each row once, whatever labels repeat."""
-    good = labels.filter("quality = 1").select("doc_id").distinct()
-    return docs.join(good, "doc_id", "left_semi")

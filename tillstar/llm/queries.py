@@ -75,8 +75,7 @@ def op8_quality(spark, sf_dir):
     docs = read_table(spark, sf_dir, "documents").select(
         "doc_id", "text", held_out(F.col("doc_id")).alias("held_out")
     )
-    learning = docs.filter("not held_out")
-    model = quality.train(quality.trusted(learning, read_table(spark, sf_dir, "labels")), learning)
+    model = quality.train(docs.filter("not held_out"), read_table(spark, sf_dir, "labels"))
     found = quality.score(docs, model, keep=["doc_id", "held_out"])
     return found.select(
         "row.doc_id", "row.held_out", "score", (F.col("score") >= quality.PREDICT_FROM).cast("int").alias("predicted")
