@@ -3,9 +3,15 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tillstar.llm import byte_bpe, embedding_forest, langid, order_minhash, packing, pii, quality, simhash, word_bpe
+from tillstar.llm import byte_bpe, embedding_forest, langid, order_minhash, packing, pii, quality, simhash, url_filter, word_bpe
 from tillstar.llm.common import held_out, read_table
 
+URL_RULES = [
+    ("net", "/", "block"),
+    ("example.net", "/en/", "allow"),
+    ("example.com", "/de/", "block"),
+    ("org", "/fr/", "allow"),
+]
 # Tokens that a training sequence holds.
 TOKEN_LIMIT = 2048
 
@@ -23,6 +29,13 @@ def op1_byte_bpe(spark, sf_dir):
     )
 
 
+def op2_url_filter(spark, sf_dir):
+    """Every page's URL judged by four rules."""
+    rules = spark.sql(f"SELECT * FROM VALUES {', '.join(map(str, URL_RULES))} AS rules(host, path, verdict)")
+    pages = read_table(spark, sf_dir, "pages").select("page_id", "url")
+    return url_filter.judge(pages, rules).select("page_id", "host", "path", "rule", "verdict")
+
+
 def op3_order_minhash(spark, sf_dir):
     """Fingerprints of every document, an edited form of it and the next document."""
     columns = [
@@ -108,6 +121,7 @@ def op10_pii(spark, sf_dir):
 def registry():
     return {
         "op1_byte_bpe": op1_byte_bpe,
+        "op2_url_filter": op2_url_filter,
         "op3_order_minhash": op3_order_minhash,
         "op4_token_counts": op4_token_counts,
         "op5_packing": op5_packing,

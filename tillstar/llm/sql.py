@@ -1,5 +1,28 @@
 """SQL forms of the queries that SQL can express over whole tables."""
 
+OP2_URL_FILTER = r"""
+WITH rules(host, path, verdict) AS (
+    VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'),
+           ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')
+),
+parsed AS (
+    SELECT row_number() OVER () AS n, page_id,
+           translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 1),
+                     'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+           regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 2) AS path
+    FROM pages
+),
+fitting AS (
+    SELECT p.n, arg_max(struct_pack(rule := r.host || r.path, verdict := r.verdict),
+                        length(r.host || r.path)) AS best
+    FROM parsed p JOIN rules r
+      ON (p.host = r.host OR ends_with(p.host, '.' || r.host)) AND starts_with(p.path, r.path)
+    GROUP BY p.n
+)
+SELECT p.page_id, p.host, p.path, f.best.rule AS rule, coalesce(f.best.verdict, 'allow') AS verdict
+FROM parsed p LEFT JOIN fitting f ON p.n = f.n
+"""
+
 
 def oracle_sql():
-    return {}
+    return {"op2_url_filter": OP2_URL_FILTER}
