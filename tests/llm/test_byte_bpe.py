@@ -1,0 +1,56 @@
+import base64
+import random
+
+import public_tokenizers
+import pytest
+import tiktoken
+
+from tests.llm.conftest import ODD_ROWS
+from tillstar.llm import byte_bpe
+
+PATH = public_tokenizers.path("byte_bpe_50k.tiktoken")
+PATTERN = public_tokenizers.PATTERN
+
+
+@pytest.fixture(scope="module")
+def library():
+    with open(PATH, "rb") as file:
+        lines = [line.split() for line in file]
+    ranks = {base64.b64decode(token): int(rank) for token, rank in lines}
+    return tiktoken.Encoding("plain", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
+def test_pieces_change_no_id(library):
+    rng = random.Random(1)
+    for _ in range(3_000):
+        text = "".join(rng.choice("ab  \n\t1'sé。字　\x1f\x85!") for _ in range(rng.randint(0, 40)))
+        limit = rng.randint(1, 5)
+        assert byte_bpe.encode_text(library, text, limit) == library.encode_ordinary(text)
+
+
+def test_runs_the_library_cannot_take(library):
+    run = " " * 2_000_000
+    ids = byte_bpe.encode_text(library, f"a{run}x")
+    assert library.decode(ids) == f"a{run}x"
+    assert ids[-1] == library.encode_ordinary(" x")[0]
+
+
+def test_encode_and_decode(odd, library):
+    found = byte_bpe.encode(odd, PATH, PATTERN, keep=["doc_id", "text"])
+    back = byte_bpe.decode(found, PATH, PATTERN).select("row.row.doc_id", "row.row.text", "row.ids", "decoded").collect()
+    assert len(back) == len(ODD_ROWS)
+    for row in back:
+        assert list(row["ids"]) == library.encode_ordinary(row["text"] or "")
+        assert bytes(row["decoded"]) == (row["text"] or "").encode()
+
+
+def test_round_trip_carries_other_columns(odd, none):
+    found = byte_bpe.round_trip(odd, PATH, PATTERN)
+    assert found.schema["row"].dataType == odd.select("*").schema
+    assert found.select("row.ids").first()[0] == "ids-0"
+    assert byte_bpe.round_trip(none, PATH, PATTERN).count() == 0
+
+
+def test_bytes_that_are_not_text(spark):
+    ids = spark.createDataFrame([([188],), (None,), ([],)], "ids array<int>")
+    assert sorted(len(r["decoded"]) for r in byte_bpe.decode(ids, PATH, PATTERN).collect()) == [0, 0, 1]

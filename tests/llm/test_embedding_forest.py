@@ -1,0 +1,48 @@
+import numpy as np
+import pytest
+
+from tests.llm.test_simhash import plain_components
+from tillstar.llm import embedding_forest as ef
+
+
+def clouds(seed, dims=16):
+    rng = np.random.default_rng(seed)
+    centres = rng.standard_normal((60, dims))
+    near = np.concatenate([c + rng.standard_normal((rng.integers(1, 12), dims)) * 0.08 for c in centres])
+    dense = centres[0] + rng.standard_normal((80, dims)) * 0.01
+    return np.concatenate([near, dense, near[:5], near[:5] * 3, dense[:1].repeat(40, axis=0)])
+
+
+def wanted(vectors, cosine=0.9):
+    units = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    close = units @ units.T >= cosine
+    np.fill_diagonal(close, False)
+    pairs = np.argwhere(close).tolist()
+    return close.sum(axis=1), plain_components(range(len(vectors)), pairs)
+
+
+@pytest.mark.parametrize("options", [{}, {"leaf": 40}, {"leaf": 40, "leaf_rows": 30, "sample_rows": 100}])
+def test_against_brute_force(spark, options):
+    vectors = clouds(3)
+    rows = [(i, v.tolist()) for i, v in enumerate(vectors)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    found = {r.vec_id: r for r in ef.near_duplicates(df, **options).collect()}
+    counts, components = wanted(vectors)
+    got = np.array([found[i].n_links for i in range(len(vectors))])
+    assert (got <= counts).all() and got.sum() >= 0.98 * counts.sum()
+    right = np.mean([found[i].component_id == components[i] for i in range(len(vectors))])
+    assert right >= 0.98
+    assert all(r.kept == (r.vec_id == r.component_id) for r in found.values())
+    if not options:
+        assert (got == counts).all() and right == 1
+
+
+def test_vectors_that_link_with_nothing(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [(1, [1.0, 2.0]), (2, [2.0, 4.0]), (2, [2.0, 4.0]), (3, None), (4, [0.0, 0.0]), (5, [nan, 1.0]), (6, [1.0, inf]),
+            (7, [1.0, None]), (8, []), (9, [1.0, 2.0, 0.0]), (None, [1.0, 2.0]), (10, [1e-300, 2e-300]), (11, [-1.0, -2.0])]
+    df = spark.createDataFrame([(*r, 0) for r in rows], "vec_id bigint, embedding array<double>, n_links int")
+    found = sorted((r.vec_id or 0, r.n_links, r.component_id, r.kept) for r in ef.near_duplicates(df).collect())
+    linked = [(i, 4, 1, i == 1) for i in (0, 1, 2, 2, 10)]
+    assert found == sorted(linked + [(i, 0, i, True) for i in (3, 4, 5, 6, 7, 8, 9, 11)])
+    assert ef.near_duplicates(df.limit(0)).count() == 0

@@ -1,0 +1,60 @@
+import numpy as np
+
+from tests.llm.conftest import ODD_ROWS
+from tillstar.llm import langid
+
+EN = "the cat sat on the mat and the dog ran over the hill with this thing"
+FR = "le chat est sur la table et le chien court vers la colline avec une chose"
+DE = "die katze sitzt auf der matte und der hund rennt über den hügel mit dem ding"
+
+
+def trained(spark, rows):
+    return langid.train(spark.createDataFrame(rows, "text string, lang string"))
+
+
+def test_tells_languages_apart(spark):
+    rows = [(EN, "en"), (FR, "fr"), (DE, "de"), (None, "en"), ("lost", None), ("", "fr")]
+    model = trained(spark, rows * 2)
+    names, scores = langid.predict_texts(model, ["the dog on the hill", "le chien sur la colline", "der hund auf dem hügel"])
+    assert names == ["en", "fr", "de"]
+    assert all(0.5 < s <= 1 for s in scores)
+
+
+def test_filter_returns_all_languages_of_a_gram(spark):
+    model = trained(spark, [(EN, "en"), (EN + " " + FR, "fr")])
+    hashes, _ = langid.grams(["the cat"])
+    masks = np.bitwise_and.reduce([model.masks[p] for p in langid.places(hashes)])
+    assert model.languages == ["en", "fr"] and (masks == 3).all()
+
+
+def test_a_text_counts_alike_alone_and_among_others(spark):
+    model = trained(spark, [(EN, "en"), (FR, "fr")])
+    texts = ["  «The cat", "le chat!", "x", EN * 50]
+    together = langid.predict_texts(model, texts)
+    alone = [langid.predict_texts(model, [t]) for t in texts]
+    assert together[0] == [n[0] for n, _ in alone] and together[1] == [s[0] for _, s in alone]
+
+
+def test_long_texts_in_pieces(spark, monkeypatch):
+    model = trained(spark, [(EN, "en"), (FR, "fr")])
+    whole = langid.predict_texts(model, [(FR + " ") * 200])
+    monkeypatch.setattr(langid, "PIECE_CHARS", 100)
+    names, scores = langid.predict_texts(model, [(FR + " ") * 200])
+    assert names == whole[0] and abs(scores[0] - whole[1][0]) < 0.05
+
+
+def test_rows(spark, odd, none):
+    model = trained(spark, [(EN, "en"), (EN, "en"), (FR, "fr")])
+    found = langid.predict(odd, model)
+    assert found.count() == len(ODD_ROWS)
+    for row in found.select("row.text", "row.score", "lang_pred", "score").collect():
+        letters = any(c.isalpha() for c in row[0] or "")
+        assert (row[2] == "und") == (not letters) and 0 <= row[3] <= 1
+        assert row[1].startswith("score-")
+    assert langid.predict_texts(model, ["字母表"]) == (["en"], [0.0])
+    assert langid.predict(none, model).count() == 0
+
+
+def test_nothing_to_learn_from(spark):
+    model = trained(spark, [(None, "en"), ("text", None)])
+    assert langid.predict_texts(model, [EN]) == (["und"], [0.0])

@@ -10,7 +10,7 @@ at random into chunks of about CHUNK_ITEMS; each chunk is packed on several isla
 - mutation empties some of the worst-filled bins and puts their documents back by best fit;
 - after each epoch the best packing of an island goes to the next island of its chunk.
 
-An island rests once its packing needs no more bins than the lengths' sum allows, for then none is
+An island rests once its packing has as few bins as the lengths allow at all, for then none is
 better. Then the worst-filled bins of all chunks are opened and their items packed together in the
 same way, as the chunks' remainders fit each other.
 
@@ -173,9 +173,29 @@ def _numbers(bins):
     return numbers
 
 
+def least_bins(lengths, limit):
+    """A number of bins that no packing can go below.
+
+    For each small length, items that leave less room than it are alone, other items over half a bin
+    need one each, and what else is at least that long needs the room these leave or more bins.
+    """
+    x = np.sort(np.asarray(lengths, np.int64))
+    if not len(x):
+        return 0
+    sums = np.concatenate([[0], np.cumsum(x)])
+    half = np.searchsorted(x, limit // 2, "right")
+    small = np.unique(np.concatenate([[0], x[:half]]))
+    alone = np.searchsorted(x, limit - small, "right")
+    from_small = np.searchsorted(x, small, "left")
+    over = np.maximum(alone, half)
+    room = (over - half) * limit - (sums[over] - sums[half])
+    more = np.maximum(0, sums[half] - sums[from_small] - room)
+    return int((len(x) - half + -(-more // limit)).max())
+
+
 def evolve(lengths, elites, limit, rng, offspring=OFFSPRING):
     """The best packings after one epoch on one island."""
-    least = -(-sum(lengths) // limit)
+    least = least_bins(lengths, limit)
     population = [_from_numbers(e, lengths, limit) for e in elites] or [_first(lengths, limit)]
     ranked = sorted(population, key=_Bins.fitness, reverse=True)
     if len(ranked[0].members) > least:

@@ -210,7 +210,7 @@ def _vectors(df, text):
 
     rows = map_rows(df.select(F.col(text).alias("text")), [F.col("text")], make, {"x": "binary"}, keep=["text"])
     found = rows.select("x").toArrow()["x"].to_pylist()
-    return np.frombuffer(b"".join(found), np.float32).reshape(len(found), -1)
+    return np.frombuffer(b"".join(found), np.float32).reshape(len(found), len(features("")))
 
 
 def train(docs, labels, text="text", positive_rows=POSITIVE_ROWS, unlabelled_rows=UNLABELLED_ROWS):
