@@ -90,9 +90,13 @@ def fingerprint(points):
     return (mixed >> np.uint64(32)).astype(np.uint32)
 
 
+def as_bytes(found):
+    return found.astype(">u4").tobytes()
+
+
 def as_text(found):
     """Eight hexadecimal digits per sketch."""
-    return found.astype(">u4").tobytes().hex()
+    return as_bytes(found).hex()
 
 
 def likeness(one, other):
@@ -116,7 +120,7 @@ def edited_text(text, following):
 
 
 _FIELDS = (
-    "n_chars bigint, edited string, fingerprint string, edited_fingerprint string, "
+    "n_chars bigint, edited string, fingerprint binary, edited_fingerprint binary, "
     "near_edited double, near_next double"
 )
 
@@ -126,18 +130,18 @@ def _compared(text, mark, following, next_mark):
     edited = edited_text(text, following)
     edited_mark = mark if edited == text else fingerprint(code_points(edited))
     return (
-        len(text), edited, as_text(mark), as_text(edited_mark),
+        len(text), edited, as_bytes(mark), as_bytes(edited_mark),
         likeness(mark, edited_mark), likeness(mark, next_mark),
     )
 
 
-def with_next(df, order_by="doc_id", text="text", query=None):
+def with_next(df, order_by="doc_id", text="text", edited_as=lambda edited: edited):
     """Each document compared with an edited form of itself and with the next document.
 
     Next is the following row by falling order_by, nulls last; after the last row comes the first;
     rows that tie go by a hash of their text. A single row is its own next. Columns: order_by,
-    n_chars, edited, fingerprint, edited_fingerprint, near_edited, near_next. query: what to keep
-    of these columns before the rows are written, as expressions.
+    n_chars, edited, fingerprint, edited_fingerprint, near_edited, near_next. edited_as: what to
+    keep of the edited text, for those who need a digest of it only.
 
     The rows are range-partitioned once. Each partition is read in order and needs only its
     predecessor in memory; the last row of each waits for the first of the next one, and these two
@@ -181,9 +185,8 @@ def with_next(df, order_by="doc_id", text="text", query=None):
                 out.append((value, *_compared(one, marks[0], other, marks[1])))
             yield _batch(out, [types[0], *types[4:]], ["key", *names[4:]])
 
-    columns = [F.col("key").alias(order_by), *added.fieldNames()] if query is None else query
-    made = ranged.mapInArrow(run, schema)
-    kept = written(made.select("part", "end", F.when(F.col("end").isNotNull(), F.col("key")).alias("end_key"), "text", *columns), "compared")
+    columns = ["key", "n_chars", edited_as(F.col("edited")).alias("edited"), *added.fieldNames()[2:]]
+    kept = written(ranged.mapInArrow(run, schema).select("part", "end", "text", *columns), "compared")
     firsts = kept.filter("end = 'first'").select("part", F.col("text").alias("next_text"))
     # One row per partition: the next one that has rows, and after the last the first.
     line = Window.orderBy("part")
@@ -192,10 +195,13 @@ def with_next(df, order_by="doc_id", text="text", query=None):
         F.col("part").alias("last_part"),
         F.coalesce(F.lead("part").over(line), F.min("part").over(everything)).alias("part"),
     )
-    lasts = kept.filter("end = 'last'").select(F.col("end_key").alias("key"), "text", F.col("part").alias("last_part"))
+    lasts = kept.filter("end = 'last'").select("key", "text", F.col("part").alias("last_part"))
     met = lasts.join(following, "last_part").join(firsts, "part").select("key", "text", "next_text")
     rest = met.mapInArrow(end, T.StructType([key, *added.fields])).select(*columns)
-    return kept.filter("end is null").select(*rest.columns).union(rest)
+    digits = [F.lower(F.hex(c)).alias(c) for c in ("fingerprint", "edited_fingerprint")]
+    return kept.filter("end is null").select(*rest.columns).union(rest).select(
+        F.col("key").alias(order_by), "n_chars", "edited", *digits, "near_edited", "near_next"
+    )
 
 
 def _batch(rows, types, names):

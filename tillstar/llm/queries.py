@@ -38,16 +38,9 @@ def op2_url_filter(spark, sf_dir):
 
 def op3_order_minhash(spark, sf_dir):
     """Fingerprints of every document, an edited form of it and the next document."""
-    columns = [
-        F.col("key").alias("doc_id"),
-        "n_chars",
-        F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
-        "fingerprint",
-        "edited_fingerprint",
-        "near_edited",
-        "near_next",
-    ]
-    return order_minhash.with_next(read_table(spark, sf_dir, "documents"), query=columns)
+    docs = read_table(spark, sf_dir, "documents")
+    compared = order_minhash.with_next(docs, edited_as=lambda edited: F.sha2(edited.cast("binary"), 256))
+    return compared.withColumnRenamed("edited", "edited_sha256")
 
 
 def op4_token_counts(spark, sf_dir):
