@@ -21,7 +21,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import functions as F
 
-from tillstar.llm.common import written
+from tillstar.llm.common import map_rows, written
 from tillstar.llm.components import connected_components
 
 COSINE = 0.9
@@ -77,22 +77,41 @@ class Forest:
         return np.concatenate(rows), np.concatenate(numbers)
 
 
-def _unit(vectors):
-    return vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+def unit_vectors(lists):
+    """The unit vector of each list as bytes of doubles; None if there is none."""
+    found = [None] * len(lists)
+    lengths = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+    for dims in np.unique(lengths[lengths > 0]).tolist():
+        at = np.flatnonzero(lengths == dims)
+        flat = lists.take(pa.array(at)).flatten().to_numpy(zero_copy_only=False)
+        rows = flat.astype(np.float64).reshape(-1, dims)
+        largest = np.abs(rows).max(axis=1, keepdims=True)
+        good = np.flatnonzero(np.isfinite(largest[:, 0]) & (largest[:, 0] > 0))
+        # Scaled by the largest component first, so that no norm over- or underflows.
+        units = rows[good] / largest[good]
+        units /= np.linalg.norm(units, axis=1, keepdims=True)
+        units += 0.0
+        for k, row in zip(at[good].tolist(), units, strict=True):
+            found[k] = row.tobytes()
+    return found
 
 
 def _matrix(column, dims):
-    return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dims)
+    return np.frombuffer(b"".join(column.to_pylist()), np.float64).reshape(-1, dims)
+
+
+def _dims(column):
+    return pc.binary_length(column).to_numpy(zero_copy_only=False) // 8
 
 
 def _routed(batches, forests):
     """Each class with the sorted numbers of the leaves it is in."""
     for batch in batches:
         ids, vectors = batch.column(0), batch.column(1)
-        lengths = pc.list_value_length(vectors).to_numpy()
+        lengths = _dims(vectors)
         for dims in np.unique(lengths).tolist():
             at = np.flatnonzero(lengths == dims)
-            units = _unit(_matrix(vectors.take(pa.array(at)), dims))
+            units = _matrix(vectors.take(pa.array(at)), dims)
             forest = forests.get(dims)
             row, leaf = forest.leaves(units) if forest else (np.arange(len(at)), np.zeros(len(at), np.int64))
             order = np.lexsort((leaf, row))
@@ -187,7 +206,7 @@ def _compared(batches, cosine):
         leaf = run.column(1)[0].as_py()
         ids, weight = run.column(3).to_numpy(), run.column(4).to_numpy()
         shard = run.column(5).to_numpy()
-        units = _unit(_matrix(run.column(6), dims))
+        units = _matrix(run.column(6), dims)
         leaves = run.column(7)
         ends = leaves.offsets.to_numpy()
         numbers = leaves.values.to_numpy()
@@ -219,12 +238,12 @@ def _fitted(classes, rows, cosine, trees, leaf, sample_rows):
     """A forest for each length of vectors in a sample."""
     sample = classes.filter(F.rand(seed=SEED) < min(1.0, sample_rows / max(1, rows))).select("vector").toArrow()
     vectors = sample["vector"].combine_chunks()
-    lengths = pc.list_value_length(vectors).to_numpy() if len(vectors) else np.zeros(0, int)
+    lengths = _dims(vectors)
     forests = {}
     for dims in np.unique(lengths).tolist():
         at = np.flatnonzero(lengths == dims)
         share = len(at) / len(lengths)
-        forests[dims] = Forest(_unit(_matrix(vectors.take(pa.array(at)), dims)), rows * share, cosine, trees, leaf)
+        forests[dims] = Forest(_matrix(vectors.take(pa.array(at)), dims), rows * share, cosine, trees, leaf)
     return forests
 
 
@@ -233,14 +252,12 @@ def near_duplicates(
     sample_rows=SAMPLE_ROWS, leaf_rows=LEAF_ROWS,
 ):
     """One row per vector: vec_id, n_links, component_id, kept."""
-    source = df.select(F.col(vec_id).alias("vec_id"), F.col(vector).cast("array<double>").alias("vector"))
-    finite = F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
-    good = finite & F.exists("vector", lambda x: x != 0)
-    source = source.withColumn("good", F.coalesce(good, F.lit(False)))
-    # Scaled by the largest component, so that no norm over- or underflows.
-    largest = F.nullif(F.array_max(F.transform("vector", F.abs)), F.lit(0.0))
-    source = source.withColumn("vector", F.when(F.col("good"), F.transform("vector", lambda x: x / largest)))
-    classes = source.filter("good").groupBy("vector").agg(
+    found = map_rows(
+        df.select(F.col(vec_id).alias("vec_id"), F.col(vector).alias("vector")),
+        [F.col("vector")], lambda: lambda lists: [unit_vectors(lists)], {"vector": "binary"}, keep=["vec_id"],
+    )
+    source = written(found.select("row.vec_id", "vector"), "units")
+    classes = source.filter("vector is not null").groupBy("vector").agg(
         F.min("vec_id").alias("least_id"), F.count(F.lit(1)).alias("weight")
     )
     classes = written(classes.withColumn("class", F.monotonically_increasing_id()), "classes")
@@ -250,11 +267,11 @@ def near_duplicates(
         lambda batches: _routed(batches, shared.value), "class bigint, leaves array<bigint>"
     )
     routed = written(routed, "routed")
-    sizes = routed.join(classes.select("class", F.size("vector").alias("dims")), "class")
+    sizes = routed.join(classes.select("class", (F.octet_length("vector") / 8).cast("int").alias("dims")), "class")
     sizes = sizes.select("dims", F.explode("leaves").alias("leaf")).groupBy("dims", "leaf").count()
     long = written(sizes.filter(F.col("count") > leaf_rows), "long_leaves")
     members = classes.join(routed, "class").select(
-        F.size("vector").alias("dims"), F.explode("leaves").alias("leaf"), "class", "weight", "vector", "leaves"
+        (F.octet_length("vector") / 8).cast("int").alias("dims"), F.explode("leaves").alias("leaf"), "class", "weight", "vector", "leaves"
     )
     if long.isEmpty():
         members = members.withColumn("cell", F.lit(0)).withColumn("shard", F.lit(0))
@@ -288,7 +305,7 @@ def near_duplicates(
     placed = written(placed, "placed")
     least = placed.groupBy("root").agg(F.min("least_id").alias("component_id"))
     result = source.join(placed.join(least, "root").select("vector", "n_links", "component_id"), "vector", "left")
-    component = F.when(F.col("good"), F.col("component_id")).otherwise(F.col("vec_id"))
+    component = F.when(F.col("vector").isNotNull(), F.col("component_id")).otherwise(F.col("vec_id"))
     return result.select(
         "vec_id",
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
