@@ -20,8 +20,14 @@ CANCEL_PREFIX = "C"
 
 
 def strip(column):
-    """Remove whitespace of any kind at both ends; btrim stays in codegen, a regex would not pay."""
-    return F.btrim(column, F.lit(WHITESPACE))
+    """Remove whitespace of any kind at both ends.
+
+    btrim looks up every character in the list; most texts need no trim, which their first and
+    last characters tell much faster.
+    """
+    ends = F.substring(column, 1, 1), F.substring(column, -1, 1)
+    padded = ends[0].isin(list(WHITESPACE)) | ends[1].isin(list(WHITESPACE))
+    return F.when(padded, F.btrim(column, F.lit(WHITESPACE))).otherwise(column)
 
 
 def null_tokens_to_null(column):

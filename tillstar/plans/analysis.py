@@ -164,6 +164,19 @@ def top_products(star, n=20):
     )
 
 
+def _deviation(price):
+    """Sample standard deviation from exact decimal sums, so that it does not depend on row order.
+
+    Sums too large for the decimals' product go on as doubles. NULL for a single row.
+    """
+    count = _lines().cast("decimal(18,0)")
+    total, squares = F.sum(price), F.sum(price * price)
+    exact = F.try_subtract(F.try_multiply(count, squares), F.try_multiply(total, total)).cast("double")
+    rough = count.cast("double") * squares.cast("double") - F.pow(total.cast("double"), 2)
+    pairs = count.cast("double") * (count.cast("double") - 1)
+    return F.sqrt(F.coalesce(exact, F.greatest(rough, F.lit(0.0))) / F.nullif(pairs, F.lit(0.0)))
+
+
 def price_dispersion(star, n=30, min_lines=5):
     """Products whose price varies most, among those sold on more than min_lines lines."""
     return (
@@ -172,7 +185,7 @@ def price_dispersion(star, n=30, min_lines=5):
             F.min("UnitPrice").alias("MinPrice"),
             F.max("UnitPrice").alias("MaxPrice"),
             mean(F.sum("UnitPrice"), _lines()).alias("AvgPrice"),
-            F.round(F.stddev_samp(F.col("UnitPrice").cast("double")), 6).alias("PriceStdDev"),
+            F.round(_deviation(F.col("UnitPrice")), 6).alias("PriceStdDev"),
             _lines().alias("TransactionCount"),
         )
         .filter(F.col("TransactionCount") > min_lines)
@@ -263,13 +276,30 @@ def daily_sales_summary(star):
 
 def product_performance(star):
     """View: every product with its sales; unsold ones have no sums and zero counts."""
-    sales = star.fact.groupBy("ProductKey").agg(
-        F.sum("Quantity").alias("TotalQuantitySold"),
-        F.sum("TotalSalesAmount").alias("TotalRevenue"),
-        F.countDistinct("InvoiceNo").alias("TimesPurchased"),
-        mean(F.sum("UnitPrice"), _lines()).alias("AvgUnitPrice"),
-        F.countDistinct("CustomerKey").alias("UniqueCustomersBought"),
+    # One distinct count per pass: two in one would multiply every line.
+    sales = (
+        star.fact.groupBy("ProductKey", "InvoiceNo")
+        .agg(
+            F.sum("Quantity").alias("units"),
+            F.sum("TotalSalesAmount").alias("amount"),
+            F.sum("UnitPrice").alias("prices"),
+            _lines().alias("lines"),
+        )
+        .groupBy("ProductKey")
+        .agg(
+            F.sum("units").alias("TotalQuantitySold"),
+            F.sum("amount").cast("decimal(20,2)").alias("TotalRevenue"),
+            _lines().alias("TimesPurchased"),
+            mean(F.sum("prices"), F.sum("lines")).alias("AvgUnitPrice"),
+        )
+    )
+    buyers = (
+        star.fact.select("ProductKey", "CustomerKey")
+        .distinct()
+        .groupBy("ProductKey")
+        .agg(_lines().alias("UniqueCustomersBought"))
     )
+    sales = sales.join(buyers, "ProductKey")
     return star.products.join(sales, "ProductKey", "left").select(
         "StockCode",
         "Description",
