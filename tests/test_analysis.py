@@ -4,7 +4,7 @@ from decimal import Decimal
 import pytest
 
 from tillstar.plans import analysis, flat, views
-from tillstar.plans.load import cleaned_rows, load_batch
+from tillstar.plans.load import load_batch
 
 
 @pytest.fixture
@@ -106,7 +106,7 @@ def test_flat_model(loaded):
         {"CustomerID": 1.0, "UnitPrice": 1.0, "Quantity": 1},
         {"CustomerID": 2.0, "UnitPrice": 2.0, "Quantity": 1, "Country": "France"},
     )
-    model = flat.flat_model(cleaned_rows(warehouse))
+    model = warehouse.star()
     assert [tuple(r) for r in flat.top_customers(model).collect()] == [
         (2, "France", Decimal("2.00")), (1, "United Kingdom", Decimal("1.00"))
     ]

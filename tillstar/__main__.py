@@ -3,6 +3,8 @@
 import logging
 import sys
 
+from pyspark.errors import StreamingQueryException
+
 from tillstar import settings
 from tillstar.operators.cleaning import BadBatch
 from tillstar.plans.load import load_csv
@@ -15,18 +17,21 @@ from tillstar.streaming.incremental import read_csv_stream, start_load
 def run(spark, chosen):
     """One job: create the tables if asked or absent, then load. True on success."""
     shared_folder(spark)
-    if chosen.input_gb:
-        partitions = partitions_for(int(chosen.input_gb * 1024**3))
-        spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    partitions = partitions_for(int(chosen.input_gb * 1024**3)) if chosen.input_gb else None
+    strict, customers = not chosen.lenient, chosen.customers
     warehouse = Warehouse(spark, chosen.warehouse)
     if chosen.reset or not warehouse.exists():
         warehouse.create(chosen.seed)
     try:
         if chosen.stream:
-            start_load(read_csv_stream(spark, chosen.source), warehouse).awaitTermination()
+            stream = read_csv_stream(spark, chosen.source, strict)
+            start_load(stream, warehouse, strict=strict, customers=customers).awaitTermination()
         else:
-            load_csv(spark, chosen.source, warehouse, multi_line=chosen.multi_line)
-    except (SourceUnavailable, BadBatch) as problem:
+            load_csv(
+                spark, chosen.source, warehouse, multi_line=chosen.multi_line, strict=strict,
+                customers=customers, partitions=partitions,
+            )
+    except (SourceUnavailable, BadBatch, StreamingQueryException) as problem:
         logging.getLogger("tillstar").error("load failed: %s", problem)
         return False
     return True

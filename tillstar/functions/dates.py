@@ -14,9 +14,14 @@ def is_bad_date(text):
     return text.isNotNull() & F.try_to_timestamp(text, F.lit(INVOICE_DATE_FORMAT)).isNull()
 
 
+def read_date(text):
+    """Timestamp without zone of a text that is known to be a date."""
+    return F.to_timestamp_ntz(text, F.lit(INVOICE_DATE_FORMAT))
+
+
 def parse_invoice_date(text):
     """Timestamp without zone; a bad text fails the job, whatever the ANSI setting."""
-    parsed = F.to_timestamp_ntz(text, F.lit(INVOICE_DATE_FORMAT))
+    parsed = read_date(text)
     return F.when(
         is_bad_date(text),
         F.raise_error(F.concat(F.lit("bad InvoiceDate: "), text)).cast("timestamp_ntz"),

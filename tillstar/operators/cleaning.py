@@ -12,10 +12,20 @@ from functools import reduce
 from pyspark.sql import functions as F
 
 from tillstar.functions import dates, money, text
-from tillstar.schemas import CLEAN_COLUMNS, KEY_COLUMNS, RAW_COLUMNS, SOURCE_POSITION, TEXT_COLUMNS
+from tillstar.schemas import (
+    CLEAN_COLUMNS,
+    KEY_COLUMNS,
+    MALFORMED_LINE,
+    RAW_COLUMNS,
+    ROW_HASH,
+    SOURCE_POSITION,
+    TEXT_COLUMNS,
+)
 
 # What became of a raw row, in the order the rules apply.
+MALFORMED = "malformed"
 MISSING_KEY = "missing_key"
+AT_OR_BEFORE_MARK = "at_or_before_mark"
 BAD_DATE = "bad_date"
 CANCELLED = "cancelled"
 NON_POSITIVE = "non_positive"
@@ -27,6 +37,10 @@ class BadBatch(Exception):
     """The batch breaks a rule that fails it as a whole; nothing was written."""
 
 
+class EmptyBatch(BadBatch):
+    """The batch has no rows."""
+
+
 def _has_keys():
     return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in KEY_COLUMNS])
 
@@ -159,29 +173,50 @@ def _missing_columns():
     return reduce(lambda a, b: a + b, bits)
 
 
-def condense(raw):
+def _malformed(rows):
+    return F.col(MALFORMED_LINE).isNotNull() if MALFORMED_LINE in rows.columns else F.lit(False)
+
+
+def is_old(mark):
+    """Raw rows that have keys and a date at or before the mark: no facts, whatever else they are."""
+    if mark is None:
+        return F.lit(False)
+    text_date = F.col("InvoiceDate")
+    moment = F.when(~dates.is_bad_date(text_date), dates.read_date(text_date))
+    return _has_keys() & F.coalesce(moment <= F.lit(mark).cast("timestamp_ntz"), F.lit(False))
+
+
+def condense(raw, mark=None):
     """Distinct raw rows, with their number of copies and the columns they miss.
 
     One pass and one shuffle serve the copy removal, the audit and the null profile. Rows that
-    lack a key column are blanked to the pattern of what they miss, so however many there are,
-    a handful of rows per task enter the shuffle. A group of copies shrinks map-side as well.
+    lack a key column, and rows at or before the mark, are blanked to the pattern of what they
+    miss, so however many there are, a handful of rows per task enter the shuffle. A group of copies
+    shrinks map-side as well.
     """
-    keyed = _has_keys()
+    good = ~_malformed(raw)
+    old = is_old(mark) & good
+    whole = _has_keys() & good & ~old
     blanked = raw.select(
-        *[F.when(keyed, F.col(c)).alias(c) for c in RAW_COLUMNS],
+        *[F.when(whole, F.col(c)).alias(c) for c in RAW_COLUMNS],
         _missing_columns().alias("MissingColumns"),
-        *[c for c in raw.columns if c == SOURCE_POSITION],
+        old.alias("Old"),
+        *[c for c in raw.columns if c in (SOURCE_POSITION, MALFORMED_LINE)],
     )
     sums = [F.count(F.lit(1)).alias("Copies")]
     if SOURCE_POSITION in raw.columns:
         sums.append(F.min(SOURCE_POSITION).alias(SOURCE_POSITION))
-    return blanked.groupBy(*RAW_COLUMNS, "MissingColumns").agg(*sums)
+    line = [c for c in raw.columns if c == MALFORMED_LINE]
+    return blanked.groupBy(*RAW_COLUMNS, "MissingColumns", "Old", *line).agg(*sums)
 
 
-def row_status():
-    """The first rule a condensed row breaks, or kept."""
+def row_status(rows):
+    """The first rule a row breaks, or kept. Condensed rows also say whether they are old."""
+    status = F.when(_malformed(rows), MALFORMED)
+    if "Old" in rows.columns:
+        status = status.when(F.col("Old"), AT_OR_BEFORE_MARK)
     return (
-        F.when(~_has_keys(), MISSING_KEY)
+        status.when(~_has_keys(), MISSING_KEY)
         .when(dates.is_bad_date(F.col("InvoiceDate")), BAD_DATE)
         .when(text.is_cancelled(F.col("InvoiceNo")), CANCELLED)
         .when(~F.coalesce(_is_positive(), F.lit(False)), NON_POSITIVE)
@@ -190,26 +225,63 @@ def row_status():
     )
 
 
-def classify(raw):
-    """As clean(), but nothing is dropped and nothing raises: RowStatus says what each row is.
-
-    A load writes this once. The kept rows feed the tables, the others the audit, the null
-    profile and the whole-batch checks, without a second pass over the source.
-    """
+def _classified(rows):
+    """As clean(), but nothing is dropped and nothing raises: RowStatus says what each row is."""
     status = F.col("RowStatus")
-    rows = (
-        condense(raw)
-        .withColumn("RowStatus", row_status())
+    return (
+        rows.withColumn(ROW_HASH.name, F.xxhash64(*RAW_COLUMNS))
+        .withColumn("RowStatus", row_status(rows))
         .withColumn("InvoiceDate", F.when(status != BAD_DATE, F.col("InvoiceDate")))
         .withColumn("CustomerID", F.when(~_is_fractional(F.col("CustomerID")), F.col("CustomerID")))
         .transform(parse_invoice_date)
         .transform(_derive)
     )
-    return _with_position(rows, [*CLEAN_COLUMNS, "RowStatus", "Copies", "MissingColumns"])
+
+
+def classify(raw, mark=None):
+    """The condensed rows, each with its status and its values as a clean row has them.
+
+    A load writes this once. The kept rows feed the tables, the others the audit, the null
+    profile and the whole-batch checks, without a second pass over the source.
+    """
+    rows = _classified(condense(raw, mark))
+    line = [c for c in raw.columns if c == MALFORMED_LINE]
+    return _with_position(
+        rows, [*CLEAN_COLUMNS, "RowStatus", "Copies", "MissingColumns", ROW_HASH.name, *line]
+    )
+
+
+def old_rows(raw, mark):
+    """The rows at or before the mark that no rule drops, as far as the dimensions need them.
+
+    Copies are not removed and texts not stripped. They have keys and a date, so the rules left
+    are few; a fractional id is flagged.
+    """
+    stays = ~text.is_cancelled(F.col("InvoiceNo")) & F.coalesce(_is_positive(), F.lit(False))
+    return raw.filter(is_old(mark) & ~_malformed(raw) & stays).select(
+        "StockCode", "Description", "Country", "CustomerID",
+        dates.read_date(F.col("InvoiceDate")).alias("InvoiceDate"),
+        _is_fractional(F.col("CustomerID")).alias("Fractional"),
+        *[c for c in raw.columns if c == SOURCE_POSITION],
+    )
 
 
 # Audit steps, in the order the rules apply.
 AUDIT_STEPS = ["drop_null_keys", "drop_duplicates", "drop_cancelled", "keep_positive"]
+# The steps of a load, with the statuses whose rows they take; the audit of a load says of every raw
+# row what became of it.
+LOAD_STEPS = {
+    "set_aside_malformed": MALFORMED,
+    "drop_null_keys": MISSING_KEY,
+    "skip_at_or_before_mark": AT_OR_BEFORE_MARK,
+    "drop_duplicates": None,
+    "set_aside_bad_date": BAD_DATE,
+    "drop_cancelled": CANCELLED,
+    "keep_positive": NON_POSITIVE,
+    "set_aside_fractional_id": FRACTIONAL_ID,
+}
+# Of these every copy counts; of the others, whose copies went before, one.
+_UNCONDENSED = (MALFORMED, MISSING_KEY, AT_OR_BEFORE_MARK)
 
 
 def step_counts(status):
@@ -227,6 +299,34 @@ def step_counts(status):
     return columns
 
 
+def removed_counts(status):
+    """How many rows each step of a load takes, from condensed rows."""
+    copies = F.col("Copies")
+    columns = []
+    for step, taken in LOAD_STEPS.items():
+        if taken is None:
+            counted = F.sum(F.when(~status.isin(*_UNCONDENSED), copies - 1))
+        else:
+            counted = F.sum(F.when(status == taken, copies if taken in _UNCONDENSED else 1))
+        columns.append(F.coalesce(counted, F.lit(0)).alias(f"step_{step}"))
+    return columns
+
+
+def load_audit(summary, later):
+    """(step, rows_in, rows_out, removed) of a load, closing with the facts it wrote.
+
+    later: steps after the cleaning, with the rows each took. Of the steps that are no cleaning
+    rules only those are listed that took rows.
+    """
+    removed = {step: summary[f"step_{step}"] for step in LOAD_STEPS} | later
+    rows, found = summary["n0"], []
+    for step, gone in removed.items():
+        if gone or step in AUDIT_STEPS:
+            found.append((step, rows, rows - gone, gone))
+        rows -= gone
+    return found
+
+
 def null_counts():
     """Missing values per raw column, from condensed rows."""
     return [
@@ -246,23 +346,31 @@ def batch_summary(rows, due=None):
     loaded = kept if due is None else kept & due
     return rows.agg(
         *step_counts(status),
+        *removed_counts(status),
         *null_counts(),
         F.count_if(status == BAD_DATE).alias("bad_dates"),
         F.count_if(status == FRACTIONAL_ID).alias("fractional_ids"),
         F.max(F.when(kept, date)).alias("last_date"),
+        F.count_if(kept).alias("kept_rows"),
         F.count_if(loaded).alias("due_rows"),
         F.min(F.when(loaded, date)).alias("due_first"),
         F.max(F.when(loaded, date)).alias("due_last"),
     )
 
 
+def _step_of(status):
+    return next(step for step, taken in LOAD_STEPS.items() if taken == status)
+
+
 def check_batch(summary, strict=True):
     """Fail, before any table is touched, if the batch as a whole is unusable.
 
     An explicit check, because Catalyst is free to skip the expression that would have raised.
     """
     if summary["n0"] == 0:
-        raise BadBatch("the source has no rows")
+        raise EmptyBatch("the source has no rows")
+    if strict and summary[f"step_{_step_of(MALFORMED)}"]:
+        raise BadBatch(f"{summary[f'step_{_step_of(MALFORMED)}']} malformed lines")
     if strict and summary["bad_dates"]:
         raise BadBatch(f"{summary['bad_dates']} distinct rows with a bad InvoiceDate")
     if strict and summary["fractional_ids"]:
@@ -288,7 +396,8 @@ def audit_rows(counts):
 
 def audit(raw):
     """Rows removed per step."""
-    return audit_rows(condense(raw).agg(*step_counts(row_status())))
+    rows = condense(raw)
+    return audit_rows(rows.agg(*step_counts(row_status(rows))))
 
 
 def rejected_rows(raw):

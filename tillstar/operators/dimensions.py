@@ -8,7 +8,7 @@ row per task and value before anything is shuffled.
 
 from pyspark.sql import functions as F
 
-from tillstar.functions import dates
+from tillstar.functions import dates, text
 from tillstar.schemas import DIM_DATE, SOURCE_POSITION
 
 
@@ -17,26 +17,35 @@ def row_order(df):
     return SOURCE_POSITION if SOURCE_POSITION in df.columns else "InvoiceDate"
 
 
+def sale_dates(cleaned):
+    """The dates that occur."""
+    day = F.col("FullDate")
+    return cleaned.select(F.to_date("InvoiceDate").alias("FullDate")).filter(day.isNotNull()).distinct()
+
+
 def date_dimension(cleaned):
     """One row per date that occurs in the batch (not a calendar)."""
+    return date_attributes(sale_dates(cleaned))
+
+
+def date_attributes(days):
     day = F.col("FullDate")
-    return (
-        cleaned.select(F.to_date("InvoiceDate").alias("FullDate"))
-        .filter(day.isNotNull())
-        .distinct()
-        .select(
-            dates.date_key(day).alias("DateKey"),
-            day,
-            F.year(day).alias("Year"),
-            F.month(day).alias("Month"),
-            F.date_format(day, "MMMM").alias("MonthName"),
-            F.quarter(day).alias("Quarter"),
-            F.dayofmonth(day).alias("Day"),
-            F.date_format(day, "EEEE").alias("DayOfWeek"),
-            (F.weekday(day) >= 5).alias("IsWeekend"),
-        )
-        .select(DIM_DATE.fieldNames())
-    )
+    return days.select(
+        dates.date_key(day).alias("DateKey"),
+        day,
+        F.year(day).alias("Year"),
+        F.month(day).alias("Month"),
+        F.date_format(day, "MMMM").alias("MonthName"),
+        F.quarter(day).alias("Quarter"),
+        F.dayofmonth(day).alias("Day"),
+        F.date_format(day, "EEEE").alias("DayOfWeek"),
+        (F.weekday(day) >= 5).alias("IsWeekend"),
+    ).select(DIM_DATE.fieldNames())
+
+
+def product_values(cleaned):
+    """The descriptions of each StockCode, and where each is seen first."""
+    return cleaned.groupBy("StockCode", "Description").agg(F.min(row_order(cleaned)).alias("seen"))
 
 
 def first_products(cleaned):
@@ -44,9 +53,10 @@ def first_products(cleaned):
 
     Rows that tie on the order are taken by description, missing last.
     """
-    per_value = cleaned.groupBy("StockCode", "Description").agg(
-        F.min(row_order(cleaned)).alias("seen")
-    )
+    return products_of(product_values(cleaned))
+
+
+def products_of(values):
     first = F.min_by(
         F.struct("Description"),
         F.struct(
@@ -54,29 +64,74 @@ def first_products(cleaned):
         ),
     )
     return (
-        per_value.groupBy("StockCode")
+        values.groupBy("StockCode")
         .agg(first.alias("first"))
         .select("StockCode", F.col("first.Description").alias("Description"))
     )
 
 
-def customer_rollup(cleaned):
-    """CustomerID with its first known country and its first and last purchase date."""
-    per_value = cleaned.groupBy("CustomerID", "Country").agg(
+def customer_values(cleaned):
+    """The countries of each CustomerID, where each is seen first, and the dates it is sold on."""
+    return cleaned.groupBy("CustomerID", "Country").agg(
         F.min(row_order(cleaned)).alias("seen"),
         F.min("InvoiceDate").alias("earliest"),
         F.max("InvoiceDate").alias("latest"),
     )
+
+
+def customer_rollup(cleaned):
+    """CustomerID with its first known country and its first and last purchase date."""
+    return customers_of(customer_values(cleaned))
+
+
+def customers_of(values):
     known = F.when(
         F.col("Country").isNotNull(), F.struct(F.col("seen").isNull(), "seen", "Country")
     )
-    return per_value.groupBy("CustomerID").agg(
+    return values.groupBy("CustomerID").agg(
         F.min_by("Country", known).alias("Country"),
         F.to_date(F.min("earliest")).alias("FirstPurchaseDate"),
         F.to_date(F.max("latest")).alias("LastPurchaseDate"),
     )
 
 
+def all_values(rows):
+    """What product_values(), customer_values() and sale_dates() give of rows whose copies are not
+    removed (copies change none of it), in one pass.
+
+    Each result row belongs to one of them: `part` is product, customer or date. Every row has a stock
+    code and a date. Rows flagged Fractional are left out, but counted as `fractional` in a row of
+    part date.
+    """
+    keys = ["StockCode", "Description", "CustomerID", "Country", "FullDate"]
+    good = ~F.col("Fractional")
+    keyed = rows.select(
+        "StockCode", "Description", "CustomerID", "Country",
+        F.to_date("InvoiceDate").alias("FullDate"),
+        F.col(row_order(rows)).alias("order"), "InvoiceDate", "Fractional",
+    )
+    sets = [["StockCode", "Description"], ["CustomerID", "Country"], ["FullDate"]]
+    grouped = keyed.groupingSets([[F.col(k) for k in own] for own in sets], *[F.col(k) for k in keys]).agg(
+        F.min(F.when(good, F.col("order"))).alias("seen"),
+        F.min(F.when(good, F.col("InvoiceDate"))).alias("earliest"),
+        F.max(F.when(good, F.col("InvoiceDate"))).alias("latest"),
+        F.count_if("Fractional").alias("fractional"),
+    )
+    part = (
+        F.when(F.col("FullDate").isNotNull(), "date")
+        .when(F.col("StockCode").isNotNull(), "product")
+        .otherwise("customer")
+    )
+    kept = F.col("earliest").isNotNull()
+    # Stripped after the aggregate, of which there are few rows.
+    return grouped.select(
+        F.when(kept, part).alias("part"),
+        *[text.strip(F.col(c)).alias(c) for c in ("StockCode", "Description", "Country")],
+        F.when(kept, F.col("CustomerID").cast("bigint")).alias("CustomerID"),
+        "FullDate", "seen", "earliest", "latest", "fractional",
+    )
+
+
 def insert_if_absent(candidates, existing, key):
     """Candidates whose key the table does not hold yet."""
     return candidates.join(existing.select(key), key, "left_anti")

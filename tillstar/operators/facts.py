@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from tillstar.functions import dates, money
 from tillstar.operators.lookup import attach_key
-from tillstar.schemas import FACT_SALES, REJECTS, TEXT_LIMITS
+from tillstar.schemas import FACT_SALES, REJECTS, ROW_HASH, TEXT_LIMITS
 
 INT_MIN, INT_MAX = -(2**31), 2**31 - 1
 
@@ -24,6 +24,26 @@ def new_mark(cleaned):
     return cleaned.agg(F.max("InvoiceDate").alias("LastLoadedDate"))
 
 
+def not_loaded(rows, fact, first, last):
+    """Rows that are not copies of published facts of the months from first to last.
+
+    A copy has the same hash of its untouched columns; the columns that a fact keeps as they were
+    are compared as well.
+    """
+    same = [ROW_HASH.name, "InvoiceNo", "DateKey", "Quantity"]
+    months = [day.year * 100 + day.month for day in (first, last)]
+    known = fact.filter(F.col("SalesMonth").between(*months)).select(*same)
+    return rows.join(known, same, "left_anti")
+
+
+def new_rejects(rejects, known):
+    """Rejects that earlier loads have not set aside."""
+    content = F.xxhash64(*REJECTS.fieldNames())
+    seen = known.select(content.alias("_content"), "TargetTable", "Reason")
+    keyed = rejects.withColumn("_content", content)
+    return keyed.join(seen, ["_content", "TargetTable", "Reason"], "left_anti").select(REJECTS.fieldNames())
+
+
 def resolve(rows, products, customers):
     """Cleaned rows with ProductKey, CustomerKey and the reason they cannot be loaded, if any."""
     customers = customers.withColumn("CustomerID", F.col("CustomerID").cast("bigint"))
@@ -32,6 +52,27 @@ def resolve(rows, products, customers):
     return keyed.withColumn("Reason", reject_reason())
 
 
+def resolve_versions(rows, products, versions):
+    """As resolve(), with the customer's version that is valid on the row's date."""
+    keyed = attach_key(rows, products, "StockCode", "ProductKey")
+    spans = versions.select(
+        F.col("CustomerID").cast("bigint").alias("CustomerID"), "CustomerKey", "ValidFrom", "ValidTo"
+    )
+    # A customer's versions as one row, so that the lookup keeps the number of rows.
+    spans = spans.groupBy("CustomerID").agg(
+        F.collect_list(F.struct("CustomerKey", "ValidFrom", "ValidTo")).alias("versions")
+    )
+    day = F.to_date("InvoiceDate")
+    valid = F.filter(
+        "versions",
+        lambda v: (v["ValidFrom"].isNull() | (v["ValidFrom"] <= day))
+        & (v["ValidTo"].isNull() | (v["ValidTo"] > day)),
+    )
+    placed = attach_key(keyed, spans, "CustomerID", "versions", source=rows)
+    placed = placed.withColumn("CustomerKey", F.get(valid, F.lit(0))["CustomerKey"]).drop("versions")
+    return placed.withColumn("Reason", reject_reason())
+
+
 def reject_reason():
     """First rule a row breaks on its way into the fact table; NULL for a good row."""
     reason = F.when(F.col("ProductKey").isNull(), "missing product key").when(
@@ -52,6 +93,7 @@ def fact_rows(resolved):
     The amount is rounded from the unrounded product, never recomputed from the rounded price.
     """
     return resolved.filter(F.col("Reason").isNull()).select(
+        *[c for c in resolved.columns if c == ROW_HASH.name],
         "InvoiceNo",
         "DateKey",
         "ProductKey",

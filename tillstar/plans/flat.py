@@ -1,63 +1,47 @@
-"""The older flat model: transactions are the cleaned rows, customers and products their rollups."""
+"""The older flat reports, answered from the published star.
 
-from dataclasses import dataclass
+A transaction of the flat model is a fact with its product's code and its customer's id; every
+load counts. The facts are reduced by surrogate key before they meet a dimension.
+"""
 
-from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillstar.functions.money import to_money
-from tillstar.operators.dimensions import customer_rollup, first_products
 
-
-@dataclass(frozen=True)
-class Flat:
-    transactions: DataFrame
-    customers: DataFrame
-    products: DataFrame
-
-
-def flat_model(cleaned):
-    return Flat(
-        transactions=cleaned.select(
-            "InvoiceNo", "StockCode", "CustomerID", "Country",
-            to_money(F.col("TotalSalesAmount")).alias("TotalSalesAmount"),
-        ),
-        customers=customer_rollup(cleaned).select("CustomerID", "Country"),
-        products=first_products(cleaned),
-    )
-
-
-def top_customers(flat, n=20):
+def top_customers(star, n=20):
     return (
-        flat.transactions.groupBy("CustomerID")
+        star.fact.groupBy("CustomerKey")
         .agg(F.sum("TotalSalesAmount").alias("TotalSpent"))
-        .join(flat.customers, "CustomerID")
-        .select("CustomerID", "Country", "TotalSpent")
+        .join(star.customers, "CustomerKey")
+        .select(F.col("CustomerID").cast("long").alias("CustomerID"), "Country", "TotalSpent")
         .orderBy(F.desc("TotalSpent"), "CustomerID")
         .limit(n)
     )
 
 
-def top_countries(flat, n=15):
+def top_countries(star, n=15):
     return (
-        flat.transactions.groupBy("Country")
+        star.fact.groupBy("Country", "CustomerKey")
+        .agg(F.sum("TotalSalesAmount").alias("amount"))
+        .groupBy("Country")
         .agg(
-            F.countDistinct("CustomerID").alias("UniqueCustomers"),
-            F.sum("TotalSalesAmount").alias("TotalRevenue"),
+            F.count(F.lit(1)).alias("UniqueCustomers"),
+            F.sum("amount").cast("decimal(20,2)").alias("TotalRevenue"),
         )
         .orderBy(F.desc("TotalRevenue"), "Country")
         .limit(n)
     )
 
 
-def top_products(flat, n=20):
+def top_products(star, n=20):
     return (
-        flat.transactions.groupBy("StockCode")
+        star.fact.groupBy("ProductKey", "InvoiceNo")
+        .agg(F.sum("TotalSalesAmount").alias("amount"))
+        .groupBy("ProductKey")
         .agg(
-            F.countDistinct("InvoiceNo").alias("TimesPurchased"),
-            F.sum("TotalSalesAmount").alias("TotalRevenue"),
+            F.count(F.lit(1)).alias("TimesPurchased"),
+            F.sum("amount").cast("decimal(20,2)").alias("TotalRevenue"),
         )
-        .join(flat.products, "StockCode")
+        .join(star.products, "ProductKey")
         .select("StockCode", "Description", "TimesPurchased", "TotalRevenue")
         .orderBy(F.desc("TotalRevenue"), "StockCode")
         .limit(n)

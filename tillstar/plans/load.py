@@ -1,24 +1,36 @@
 """The incremental load: clean, dimensions, facts, high-water mark.
 
-The source is read once and shuffled once in full, for the copy removal. The classified rows go
-to a working table that everything after reads, each step with only the columns it needs.
+The source is read once and what is new in it shuffled once in full, for the copy removal. The
+classified rows go to a working table that everything after reads, each step with only the columns
+it needs. Rows at or before the mark do not enter that shuffle: if there are any, a second pass
+over the source gathers what the dimensions need of them, map-side.
 """
 
 import logging
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from datetime import datetime
 from functools import reduce
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import functions as F
 
-from tillstar.operators import cleaning, dimensions, facts, keys
-from tillstar.schemas import CLEAN_COLUMNS, SOURCE_POSITION
+from tillstar.operators import cleaning, dimensions, facts, keys, updates
+from tillstar.schemas import (
+    AUDIT,
+    CLEAN_COLUMNS,
+    MALFORMED_LINE,
+    ROW_HASH,
+    SOURCE_POSITION,
+)
+from tillstar.session import sized_shuffles
 from tillstar.sources.frames import as_raw
 
 log = logging.getLogger(__name__)
 
+# What a load does with customers it knows.
+INSERT, UPDATE, HISTORY = "insert", "update", "history"
+
 
 @dataclass(frozen=True)
 class LoadReport:
@@ -31,57 +43,127 @@ class LoadReport:
     nulls: dict = field(default_factory=dict)
 
 
-def load_batch(raw, warehouse, use_mark=True, batch=None, strict=True):
+@dataclass
+class _Load:
+    """One load under way. values: what the dimensions need of old rows, if there are any."""
+
+    warehouse: object
+    load_id: int
+    base: object
+    summary: object
+    cleaned: object
+    values: object = None
+
+    def of(self, part, own, columns):
+        """The batch's values of one dimension, those of the old rows included."""
+        if self.values is None:
+            return own
+        old = self.values.filter(F.col("part") == part).select(*columns)
+        return own.unionByName(old.select(*own.columns))
+
+
+def load_batch(
+    raw, warehouse, use_mark=True, batch=None, stream="", strict=True, customers=INSERT,
+    partitions=None,
+):
     """Load one batch of raw invoice lines into the warehouse and publish it.
 
-    use_mark: only rows after the high-water mark become facts. A stream, whose checkpoint
-    already says what is new, turns it off. batch: the stream's batch number, kept in the state
-    so that a repeated batch is skipped. strict: a bad date or a fractional id fails the batch;
-    otherwise such rows are set aside with the other rejects.
+    use_mark: only rows after the high-water mark become facts. A stream turns it off: every
+    dated row becomes a fact, unless it is a copy of a published one. batch: the batch's number in
+    its stream, kept in the state by stream, so that a repeated batch is skipped. strict: a bad
+    date, a fractional id or a malformed line fails the batch; otherwise such rows are set aside
+    with the other rejects. customers: "insert" leaves known customers as they are, "update" takes
+    over a later known country and widens their dates, "history" gives a customer with another
+    country a new version, valid from the batch's first new date on, which facts from then on point
+    to; it needs the mark. A warehouse stays with one of the last two. partitions: of the shuffles, instead of a
+    number from the size of what is read.
     """
     raw = as_raw(raw)
     state = warehouse.state()
     if state is None:
         raise ValueError(f"{warehouse.root} has no load state; call create() first")
-    if batch is not None and state.last_batch is not None and batch <= state.last_batch:
+    if customers == HISTORY and not use_mark:
+        raise ValueError("history needs the high-water mark")
+    if batch is not None and batch <= state.batches.get(stream, -1):
         log.info("batch %s is already loaded", batch)
         return LoadReport(state.load_id, state.mark)
+    with sized_shuffles(raw, warehouse.spark, partitions=partitions):
+        report, loaded = _load(raw, warehouse, state, use_mark, strict, customers)
+    if batch is not None:
+        loaded = replace(loaded, batches={**state.batches, stream: batch})
+    warehouse.publish(loaded)
+    warehouse.remove(warehouse.working(""))
+    return report
+
 
+def _load(raw, warehouse, state, use_mark, strict, customers):
+    """Write everything of a load but its state, which is returned."""
     load_id = state.load_id + 1
     mark = state.mark if use_mark else None
-    rows = warehouse.write_working("cleaned", cleaning.classify(raw))
+    rows = warehouse.write_working("cleaned", cleaning.classify(raw, mark))
     summary = cleaning.batch_summary(rows, facts.is_due(mark)).first()
     log.info("load %s: %s raw rows", load_id, summary["n0"])
     cleaning.check_batch(summary, strict)
+    load = _Load(warehouse, load_id, state, summary, _kept(rows))
+    if summary["step_skip_at_or_before_mark"]:
+        load.values = _old_values(raw, mark, warehouse, strict)
 
-    cleaned = _kept(rows)
-    due = facts.increment(cleaned, mark)
-    added, rejects = {}, [_unusable(rows)] if not strict else []
+    rejects = [] if strict else _unusable(rows)
+    added = {}
     # The dimensions do not depend on each other; their small jobs share the cluster.
     in_session = inheritable_thread_target(warehouse.spark)
-    with ThreadPoolExecutor(len(DIMENSIONS)) as pool:
-        started = {
-            table: pool.submit(in_session(load), cleaned, warehouse, load_id)
-            for table, load in DIMENSIONS.items()
-        }
+    steps = {
+        "dim_date": _load_dates,
+        "dim_product": _insert_products,
+        "dim_customer": CUSTOMERS[customers],
+    }
+    with ThreadPoolExecutor(len(steps)) as pool:
+        started = {table: pool.submit(in_session(step), load) for table, step in steps.items()}
     for table, result in started.items():
         added[table], bad = result.result()
         rejects += bad
-    added["fact_sales"], last_sales_key = _load_facts(
-        due, summary, warehouse, load_id, state.last_sales_key, rejects
-    )
+    loaded, bad = _load_facts(load, use_mark, customers)
+    added["fact_sales"] = loaded["good"]
+    if loaded["bad"]:
+        rejects.append(bad)
     rejected = _write_rejects(warehouse, load_id, rejects)
-    warehouse.write("load_audit", load_id, _audit(warehouse.spark, summary))
+    later = {
+        "skip_without_date": summary["kept_rows"] - summary["due_rows"],
+        "skip_already_loaded": summary["due_rows"] - loaded["good"] - loaded["bad"],
+        "set_aside_unfit": loaded["bad"],
+    }
+    audit = cleaning.load_audit(summary, later)
+    warehouse.write("load_audit", load_id, _as_rows(warehouse.spark, audit, AUDIT))
 
     # The mark never falls, and moves only after everything else is in place.
     dates = [d for d in (state.mark, summary["last_date"]) if d is not None]
     new_mark = max(dates, default=None)
-    warehouse.publish(
-        load_id, new_mark, last_sales_key, batch if batch is not None else state.last_batch
-    )
     log.info("load %s: added %s, rejected %s, mark %s", load_id, added, rejected, new_mark)
     nulls = {k[5:]: v for k, v in summary.asDict().items() if k.startswith("null_")}
-    return LoadReport(load_id, new_mark, added, rejected, nulls)
+    bases = dict(state.bases)
+    if customers != INSERT:
+        bases["dim_customer"] = load_id
+    if customers == HISTORY:
+        bases["customer_versions"] = load_id
+    return LoadReport(load_id, new_mark, added, rejected, nulls), replace(
+        state, load_id=load_id, mark=new_mark, last_sales_key=loaded["last_key"], bases=bases
+    )
+
+
+def _as_rows(spark, values, schema):
+    """A few rows as a frame, without a Python worker."""
+    names = schema.fieldNames()
+    entries = [F.struct(*[F.lit(v).alias(n) for v, n in zip(row, names, strict=True)]) for row in values]
+    return spark.range(1).select(F.inline(F.array(*entries)))
+
+
+def _old_values(raw, mark, warehouse, strict):
+    """What the dimensions need of the rows at or before the mark: one map-side aggregate."""
+    values = dimensions.all_values(cleaning.old_rows(raw, mark))
+    values = warehouse.write_working("old_values", values)
+    if strict and not values.filter("fractional > 0").isEmpty():
+        raise cleaning.BadBatch("rows with a fractional CustomerID")
+    return values
 
 
 def _unusable(rows):
@@ -89,19 +171,30 @@ def _unusable(rows):
     reason = F.when(F.col("RowStatus") == cleaning.BAD_DATE, "bad InvoiceDate").when(
         F.col("RowStatus") == cleaning.FRACTIONAL_ID, "fractional CustomerID"
     )
-    return facts.as_rejects(rows.withColumn("Reason", reason), "fact_sales")
-
-
-def _load_dates(cleaned, warehouse, load_id):
+    found = [facts.as_rejects(rows.withColumn("Reason", reason), "fact_sales")]
+    if MALFORMED_LINE in rows.columns:
+        lines = rows.filter(F.col("RowStatus") == cleaning.MALFORMED).select(
+            F.explode(F.array_repeat(F.lit("malformed line"), F.col("Copies").cast("int"))).alias("Reason"),
+            F.col(MALFORMED_LINE).alias("RawLine"),
+            F.xxhash64(MALFORMED_LINE).alias(ROW_HASH.name),
+        )
+        found.append(facts.as_rejects(lines, "fact_sales"))
+    return found
+
+
+def _load_dates(load):
+    warehouse = load.warehouse
+    days = load.of("date", dimensions.sale_dates(load.cleaned), ["FullDate"]).distinct()
     new = dimensions.insert_if_absent(
-        dimensions.date_dimension(cleaned), warehouse.read("dim_date", load_id - 1), "DateKey"
+        dimensions.date_attributes(days), warehouse.read("dim_date", load.load_id - 1), "DateKey"
     )
-    warehouse.write("dim_date", load_id, new)
-    return warehouse.read_load("dim_date", load_id).count(), []
+    warehouse.write("dim_date", load.load_id, new)
+    return warehouse.read_load("dim_date", load.load_id).count(), []
 
 
-def _load_keyed(candidates, warehouse, load_id, table, business_key, key, reason):
+def _insert_keyed(load, candidates, table, business_key, key, reason):
     """Insert the absent candidates under new surrogate keys; set bad ones aside."""
+    warehouse, load_id = load.warehouse, load.load_id
     key_type = candidates.schema[business_key].dataType
     existing = warehouse.read(table, load_id - 1).withColumn(
         business_key, F.col(business_key).cast(key_type)
@@ -127,83 +220,130 @@ def _load_keyed(candidates, warehouse, load_id, table, business_key, key, reason
     return sizes["good"], rejects
 
 
-def _load_products(cleaned, warehouse, load_id):
-    return _load_keyed(
-        dimensions.first_products(cleaned), warehouse, load_id,
+def _insert_products(load):
+    columns = ["StockCode", "Description", "seen"]
+    values = load.of("product", dimensions.product_values(load.cleaned), columns)
+    return _insert_keyed(
+        load, dimensions.products_of(values),
         "dim_product", "StockCode", "ProductKey", facts.product_reason(),
-    )
+    )
 
 
-def _load_customers(cleaned, warehouse, load_id):
-    return _load_keyed(
-        dimensions.customer_rollup(cleaned), warehouse, load_id,
-        "dim_customer", "CustomerID", "CustomerKey", facts.customer_reason(),
-    )
+def _rolled_up_customers(load):
+    columns = ["CustomerID", "Country", "seen", "earliest", "latest"]
+    values = load.of("customer", dimensions.customer_values(load.cleaned), columns)
+    return dimensions.customers_of(values)
 
 
-DIMENSIONS = {
-    "dim_date": _load_dates,
-    "dim_product": _load_products,
-    "dim_customer": _load_customers,
-}
+def _insert_customers(load):
+    return _insert_keyed(
+        load, _rolled_up_customers(load),
+        "dim_customer", "CustomerID", "CustomerKey", facts.customer_reason(),
+    )
 
 
-def _load_facts(due, summary, warehouse, load_id, last_sales_key, rejects):
-    """Append the increment. Returns the rows written and the highest SalesKey."""
+def _update_customers(load):
+    """The whole dimension anew: known customers with the batch's values merged in, new ones added."""
+    warehouse, load_id = load.warehouse, load.load_id
+    rolled = warehouse.write_working(
+        "new_dim_customer", _rolled_up_customers(load).withColumn("Reason", facts.customer_reason())
+    )
+    existing = warehouse.read("dim_customer", load_id - 1)
+    known = existing.agg(F.count(F.lit(1)).alias("rows"), F.max("CustomerKey").alias("last")).first()
+    good = rolled.filter(F.col("Reason").isNull()).drop("Reason")
+    warehouse.write("dim_customer", load_id, updates.update_in_place(existing, good, known["last"] or 0))
+    written = warehouse.read_load("dim_customer", load_id).count()
+    return written - known["rows"], [facts.as_rejects(rolled, "dim_customer")]
+
+
+def _keep_versions(load):
+    """The versions of all customers anew, and the dimension with a row for each."""
+    warehouse, load_id, summary = load.warehouse, load.load_id, load.summary
+    rolled = warehouse.write_working(
+        "new_dim_customer", _rolled_up_customers(load).withColumn("Reason", facts.customer_reason())
+    )
+    versions = warehouse.read("customer_versions", load_id - 1)
+    if versions.isEmpty():
+        # What earlier loads have inserted is valid from ever.
+        versions = warehouse.read("dim_customer", load_id - 1).withColumns({
+            "ValidFrom": F.lit(None).cast("date"), "ValidTo": F.lit(None).cast("date"), "IsCurrent": F.lit(True),
+        })
+    known = versions.agg(F.count(F.lit(1)).alias("rows"), F.max("CustomerKey").alias("last")).first()
+    good = rolled.filter(F.col("Reason").isNull()).drop("Reason")
+    if summary["due_first"] is None:
+        # Without new sales no customer changes.
+        good = good.join(versions.select(F.col("CustomerID").cast("bigint").alias("CustomerID")), "CustomerID", "left_anti")
+    new = updates.update_versions(versions, good, summary["due_first"], known["last"] or 0)
+    warehouse.write("customer_versions", load_id, new)
+    written = warehouse.read_load("customer_versions", load_id)
+    warehouse.write("dim_customer", load_id, written)
+    return written.count() - known["rows"], [facts.as_rejects(rolled, "dim_customer")]
+
+
+CUSTOMERS = {INSERT: _insert_customers, UPDATE: _update_customers, HISTORY: _keep_versions}
+
+
+def _load_facts(load, use_mark, customers):
+    """Append the increment. Returns the rows written and set aside with the last SalesKey, and the
+    latter rows as rejects."""
+    warehouse, load_id, summary = load.warehouse, load.load_id, load.summary
+    nothing = {"good": 0, "bad": 0, "last_key": load.base.last_sales_key}
     if summary["due_rows"] == 0:
         log.info("load %s: no new rows", load_id)
         warehouse.write_nothing("fact_sales", load_id)
-        return 0, last_sales_key
+        return nothing, None
 
     first, last = summary["due_first"], summary["due_last"]
+    due = load.cleaned.filter(F.col("InvoiceDate").isNotNull())
+    if not use_mark and load_id > 1:
+        due = facts.not_loaded(due, warehouse.read("fact_sales", load_id - 1), first, last)
+    products = warehouse.read("dim_product", load_id)
+    if customers == HISTORY:
+        versions = warehouse.read_load("customer_versions", load_id)
+        resolved = facts.resolve_versions(due, products, versions)
+    else:
+        # An update has written the whole dimension as this load's part.
+        read = warehouse.read_load if customers == UPDATE else warehouse.read
+        resolved = facts.resolve(due, products, read("dim_customer", load_id))
+    # Looked up once, then split into facts and rejects.
+    resolved = warehouse.write_working("resolved", resolved)
+    sizes = resolved.agg(
+        F.count_if(F.col("Reason").isNull()).alias("good"), F.count("Reason").alias("bad")
+    ).first()
+    rejects = facts.as_rejects(resolved, "fact_sales")
+    if not sizes["good"]:
+        warehouse.write_nothing("fact_sales", load_id)
+        return {**nothing, "bad": sizes["bad"]}, rejects
     months = (last.year - first.year) * 12 + last.month - first.month + 1
-    partitions = int(warehouse.spark.conf.get("spark.sql.shuffle.partitions"))
-    resolved = facts.resolve(
-        due, warehouse.read("dim_product", load_id), warehouse.read("dim_customer", load_id)
-    )
-    placed = facts.lay_out(facts.fact_rows(resolved), months, partitions)
-    warehouse.write("fact_sales", load_id, keys.assign_sales_keys(placed, last_sales_key))
-
-    written = (
-        warehouse.read_load("fact_sales", load_id)
-        .agg(F.count(F.lit(1)).alias("rows"), F.max("SalesKey").alias("last_key"))
-        .first()
-    )
-    if written["rows"] < summary["due_rows"]:
-        rejects.append(facts.as_rejects(resolved, "fact_sales"))
-    return written["rows"], written["last_key"] or last_sales_key
+    parts = int(warehouse.spark.conf.get("spark.sql.shuffle.partitions"))
+    placed = facts.lay_out(facts.fact_rows(resolved), months, parts)
+    warehouse.write("fact_sales", load_id, keys.assign_sales_keys(placed, load.base.last_sales_key))
+    last_key = warehouse.read_load("fact_sales", load_id).agg(F.max("SalesKey")).first()[0]
+    return {"good": sizes["good"], "bad": sizes["bad"], "last_key": last_key}, rejects
 
 
 def _write_rejects(warehouse, load_id, rejects):
+    """Set rows aside that no earlier load has. Returns how many."""
     if not rejects:
         warehouse.write_nothing("rejects", load_id)
         return 0
-    warehouse.write("rejects", load_id, reduce(lambda a, b: a.unionAll(b), rejects))
+    found = reduce(lambda a, b: a.unionAll(b), rejects)
+    if load_id > 1:
+        found = facts.new_rejects(found, warehouse.read("rejects", load_id - 1))
+    warehouse.write("rejects", load_id, found)
     return warehouse.read_load("rejects", load_id).count()
 
 
-def _audit(spark, summary):
-    """Audit table of a load, from the step counts of its summary."""
-    counts = spark.range(1).select(
-        *[F.lit(summary[f"n{i}"]).cast("bigint").alias(f"n{i}") for i in range(5)]
-    )
-    return cleaning.audit_rows(counts)
-
-
-def load_csv(spark, path, warehouse, multi_line=False):
+def load_csv(spark, path, warehouse, multi_line=False, strict=True, **options):
     """The whole job: read a CSV, clean it, load the star, move the mark."""
     from tillstar.sources.csv_source import read_csv
 
-    return load_batch(read_csv(spark, path, multi_line=multi_line), warehouse)
+    raw = read_csv(spark, path, multi_line=multi_line, strict=strict)
+    return load_batch(raw, warehouse, strict=strict, **options)
 
 
 def _kept(rows):
     """The rows that passed every cleaning rule, from a load's working table."""
     return rows.filter(F.col("RowStatus") == cleaning.KEPT).select(
-        *CLEAN_COLUMNS, *[c for c in rows.columns if c == SOURCE_POSITION]
+        *CLEAN_COLUMNS, ROW_HASH.name, *[c for c in rows.columns if c == SOURCE_POSITION]
     )
-
-
-def cleaned_rows(warehouse):
-    """The last load's cleaned rows."""
-    return _kept(warehouse.spark.read.parquet(f"{warehouse.root}/_working/cleaned"))

@@ -10,7 +10,11 @@ VIEWS = {
 
 
 def register(warehouse):
-    """Create or replace the table and summary views of the last published load."""
+    """Create or replace the table and summary views of the last published load.
+
+    They follow each load that this session publishes in the warehouse.
+    """
+    warehouse.follow(register)
     star = warehouse.star()
     star.dates.createOrReplaceTempView("dim_date")
     star.products.createOrReplaceTempView("dim_product")

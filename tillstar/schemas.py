@@ -19,8 +19,13 @@ RAW = T.StructType(
 )
 RAW_COLUMNS = RAW.fieldNames()
 
-# Optional ninth raw column: where the row stood in its source file.
+# Optional raw columns: where the row stood in its source file, and the text of a line that
+# cannot be read as one.
 SOURCE_POSITION = "SourcePosition"
+MALFORMED_LINE = "MalformedLine"
+OPTIONAL_COLUMNS = [SOURCE_POSITION, MALFORMED_LINE]
+# What tells a raw row from others after a load: a hash of its untouched columns.
+ROW_HASH = T.StructField("RowHash", T.LongType())
 
 CLEAN = T.StructType(
     [
@@ -73,6 +78,16 @@ DIM_CUSTOMER = T.StructType(
     ]
 )
 
+# Versions of customers: valid from a date (from ever, if missing) to before another.
+CUSTOMER_VERSIONS = T.StructType(
+    [
+        *DIM_CUSTOMER.fields,
+        T.StructField("ValidFrom", T.DateType()),
+        T.StructField("ValidTo", T.DateType()),
+        T.StructField("IsCurrent", T.BooleanType(), False),
+    ]
+)
+
 FACT_SALES = T.StructType(
     [
         T.StructField("SalesKey", T.LongType(), False),
@@ -107,6 +122,8 @@ REJECTS = T.StructType(
         T.StructField("CustomerID", T.LongType()),
         T.StructField("Country", T.StringType()),
         T.StructField("TotalSalesAmount", T.DecimalType(29, 6)),
+        T.StructField("RawLine", T.StringType()),
+        ROW_HASH,
     ]
 )
 

@@ -2,6 +2,7 @@
 
 import os
 import tempfile
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -33,12 +34,40 @@ def get_session(app_name="tillstar", cores=None, **extra):
 # Shuffled bytes per task that fit an executor core's share of memory without spilling.
 BYTES_PER_TASK = 256 * 1024 * 1024
 
+# Spark's stand-in for a size it does not know is beyond this.
+UNKNOWN_BYTES = 1 << 60
+
 
 def partitions_for(input_bytes, least=200):
     """Shuffle partitions for a batch of this size; AQE merges those that turn out small."""
     return max(least, -(-input_bytes // BYTES_PER_TASK))
 
 
+def input_bytes(df):
+    """Size of the files and tables a frame reads, as far as Spark knows it."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size())]
+    return sum(size for size in sizes if size < UNKNOWN_BYTES)
+
+
+@contextmanager
+def sized_shuffles(df, *sessions, partitions=None):
+    """Within, shuffles have partitions of a size that fits a task for what the frame reads.
+
+    Never fewer than the session has set. partitions: a number to use instead.
+    """
+    key = "spark.sql.shuffle.partitions"
+    confs = {id(s): s.conf for s in (df.sparkSession, *sessions)}.values()
+    before = [conf.get(key) for conf in confs]
+    for conf, old in zip(confs, before, strict=True):
+        conf.set(key, str(partitions or partitions_for(input_bytes(df), int(old))))
+    try:
+        yield
+    finally:
+        for conf, old in zip(confs, before, strict=True):
+            conf.set(key, old)
+
+
 def shared_folder(spark):
     """The folder for checkpoints and working tables.
 

@@ -16,6 +16,8 @@ class Settings:
     reset: bool = False
     multi_line: bool = False
     stream: bool = False
+    lenient: bool = False
+    customers: str = "insert"
     input_gb: float | None = None
 
 
@@ -31,6 +33,14 @@ def parse(arguments=None, environment=os.environ):
     parser.add_argument("--multi-line", action="store_true", help="quoted fields may hold line breaks")
     parser.add_argument("--stream", action="store_true", help="load a folder of CSV files as a stream")
     parser.add_argument(
-        "--input-gb", type=float, help="size of the batch, to size the shuffles for it"
+        "--lenient", action="store_true", help="set bad lines aside instead of failing the batch"
+    )
+    parser.add_argument(
+        "--customers", choices=["insert", "update", "history"], default="insert",
+        help="what to do with known customers: leave them, take over later values, or keep versions",
+    )
+    parser.add_argument(
+        "--input-gb", type=float,
+        help="size of a batch, to size the shuffles for it instead of what the files' size says",
     )
     return Settings(**vars(parser.parse_args(arguments)))

@@ -5,9 +5,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillstar.functions.text import null_tokens_to_null, strict_cast
-from tillstar.schemas import RAW, SOURCE_POSITION
+from tillstar.schemas import MALFORMED_LINE, OPTIONAL_COLUMNS, RAW, RAW_COLUMNS, SOURCE_POSITION
 
-_AS_TEXT = T.StructType([T.StructField(f.name, T.StringType()) for f in RAW])
+_IRREGULAR = "_irregular_line"
+AS_TEXT = T.StructType(
+    [T.StructField(f, T.StringType()) for f in [*RAW_COLUMNS, _IRREGULAR]]
+)
 
 # Header row, Latin-1, doubled quotes inside quoted fields.
 OPTIONS = {
@@ -16,6 +19,9 @@ OPTIONS = {
     "quote": '"',
     "escape": '"',
     "enforceSchema": "false",
+    "columnNameOfCorruptRecord": _IRREGULAR,
+    # Else a query of few columns would not see that a line has too many fields.
+    "columnPruning": "false",
 }
 
 
@@ -23,38 +29,71 @@ class SourceUnavailable(Exception):
     """The input is missing, unreadable or empty; the job stops before any write."""
 
 
-def from_text(rows):
-    """Text fields to the raw schema: missing tokens become NULL, bad numbers fail the job."""
+def malformed(line):
+    """Whether a line that has not the expected fields has too many, or an open quote.
+
+    A line with too few is no fault: the fields it lacks are missing. Counted outside of quoted
+    parts; a quote that is open in a complete line's last field ends with the line.
+    """
+    plain = F.regexp_replace(line, '"([^"]|"")*"', "")
+    return (F.size(F.split(plain, ",")) > len(RAW_COLUMNS)) | F.contains(plain, F.lit('"'))
+
+
+def from_text(rows, strict=True):
+    """Text fields to the raw schema: missing tokens become NULL.
+
+    Lines that are malformed carry their text in MalformedLine; the load fails a batch with such
+    lines or sets them aside. A bad number fails the job; if not strict, or in a line that lacks
+    fields, its line counts as malformed.
+    """
+    fields = {f.name: null_tokens_to_null(F.col(f.name)) for f in RAW}
+    numbers = [f for f in RAW if not isinstance(f.dataType, T.StringType)]
+    irregular = F.col(_IRREGULAR)
+    unread = F.lit(False)
+    for f in numbers:
+        unread |= fields[f.name].isNotNull() & fields[f.name].try_cast(f.dataType).isNull()
+    bad = F.when(irregular.isNotNull() & (malformed(irregular) | unread), irregular)
+    if not strict:
+        line = F.concat_ws(",", *[F.coalesce(F.col(c), F.lit("")) for c in RAW_COLUMNS])
+        bad = F.coalesce(bad, F.when(unread, line))
     columns = []
     for field in RAW:
-        value = null_tokens_to_null(F.col(field.name))
-        if not isinstance(field.dataType, T.StringType):
-            value = strict_cast(value, field.dataType.simpleString())
+        value = fields[field.name]
+        if field in numbers:
+            # Short expressions: they are repeated wherever a later step filters by the column.
+            known = value.try_cast(field.dataType)
+            if strict:
+                known = F.when(
+                    irregular.isNull(), strict_cast(value, field.dataType.simpleString())
+                ).otherwise(known)
+            value = known
         columns.append(value.alias(field.name))
-    return rows.select(*columns, *[c for c in rows.columns if c == SOURCE_POSITION])
+    position = [c for c in rows.columns if c == SOURCE_POSITION]
+    return rows.select(*columns, *position, bad.alias(MALFORMED_LINE))
 
 
-def read_csv(spark, path, multi_line=False, keep_position=True):
+def read_csv(spark, path, multi_line=False, keep_position=True, strict=True):
     """Invoice lines of a CSV file or folder.
 
     multi_line allows line breaks inside quoted fields, but then a file is one task; leave it
-    off for big files. keep_position numbers the rows in scan order, which is file order for a
-    single file, so that "first row wins" means the first row of the file.
+    off for big files (without it, a line break in quotes makes its line malformed). keep_position
+    numbers the rows in scan order, which is file order for a single file, so that "first row wins"
+    means the first row of the file.
     """
     try:
         text = (
-            spark.read.options(**OPTIONS).option("multiLine", multi_line).schema(_AS_TEXT).csv(path)
+            spark.read.options(**OPTIONS).option("multiLine", multi_line).schema(AS_TEXT).csv(path)
         )
     except AnalysisException as problem:
         raise SourceUnavailable(f"cannot read {path}: {problem}") from problem
     if keep_position:
         text = text.withColumn(SOURCE_POSITION, F.monotonically_increasing_id())
-    return from_text(text)
+    return from_text(text, strict)
 
 
 def source_profile(raw):
     """Row count, column count and column names of a source, as one row."""
-    names = [c for c in raw.columns if c != SOURCE_POSITION]
+    names = [c for c in raw.columns if c not in OPTIONAL_COLUMNS]
     return raw.agg(
         F.count(F.lit(1)).alias("row_count"),
         F.lit(len(names)).alias("column_count"),

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillstar.schemas import RAW, SOURCE_POSITION
+from tillstar.schemas import OPTIONAL_COLUMNS, RAW
 
 
 def as_raw(df):
@@ -14,4 +14,4 @@ def as_raw(df):
         if isinstance(field.dataType, T.DoubleType):
             value = F.when(~F.isnan(value), value)
         columns.append(value.alias(field.name))
-    return df.select(*columns, *[c for c in df.columns if c == SOURCE_POSITION])
+    return df.select(*columns, *[c for c in df.columns if c in OPTIONAL_COLUMNS])

@@ -13,8 +13,11 @@ def table(spark, folder, name):
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def raw_sales(spark, folder):
-    """One row per invoice line in the raw schema, exact copies included."""
+def raw_sales(spark, folder, varied=False):
+    """One row per invoice line in the raw schema, exact copies included.
+
+    varied: a product's description and a customer's country differ from line to line.
+    """
     lines = table(spark, folder, "lineitem")
     orders = table(spark, folder, "orders")
     parts = table(spark, folder, "part")
@@ -33,6 +36,16 @@ def raw_sales(spark, folder):
         .join(nations, customers.c_nationkey == nations.n_nationkey)
         .join(parts, lines.l_partkey == parts.p_partkey)
     )
+    description = (
+        F.when(part % 97 == 0, None)
+        .when(part % 5 == 0, F.concat(F.lit("  "), "p_name", F.lit(" ")))
+        .otherwise(F.col("p_name"))
+    )
+    country = F.concat("n_name", F.when(order % 7 == 0, " ").otherwise(""))
+    if varied:
+        numbered = F.concat("p_name", F.lit(" v"), (line % 3).cast("string"))
+        description = F.when(order % 11 != 0, numbered)
+        country = F.when(order % 9 != 0, F.when(order % 5 == 0, "Elsewhere").otherwise(F.col("n_name")))
     rows = joined.select(
         F.concat(
             F.when(cancelled, "C").otherwise(""), (order + 500000).cast("string")
@@ -40,10 +53,7 @@ def raw_sales(spark, folder):
         F.concat(
             (part + 10000).cast("string"), F.when(part % 10 == 0, "A").otherwise("")
         ).alias("StockCode"),
-        F.when(part % 97 == 0, None)
-        .when(part % 5 == 0, F.concat(F.lit("  "), "p_name", F.lit(" ")))
-        .otherwise(F.col("p_name"))
-        .alias("Description"),
+        description.alias("Description"),
         F.when(cancelled, -F.col("l_quantity"))
         .when(part % 1009 == 5, 0)
         .otherwise(F.col("l_quantity"))
@@ -57,7 +67,7 @@ def raw_sales(spark, folder):
         .otherwise(F.col("l_extendedprice") / 1000)
         .alias("UnitPrice"),
         F.when(order % 4 != 3, (F.col("o_custkey") + 12000).cast("double")).alias("CustomerID"),
-        F.concat("n_name", F.when(order % 7 == 0, " ").otherwise("")).alias("Country"),
+        country.alias("Country"),
         F.explode(F.array_repeat(F.lit(0), copies)).alias("copy"),
     )
     return rows.select(RAW_COLUMNS)

@@ -3,23 +3,29 @@
     <root>/dim_date/load_id=<n>/
     <root>/dim_product/load_id=<n>/
     <root>/dim_customer/load_id=<n>/
+    <root>/customer_versions/load_id=<n>/   only of loads that keep history
     <root>/fact_sales/load_id=<n>/SalesMonth=<yyyymm>/
     <root>/rejects/load_id=<n>/
     <root>/load_audit/load_id=<n>/
     <root>/load_state/slot=<n % 2>/    written last: this publishes the load
-    <root>/_working/...                overwritten by each load
+    <root>/_working/load_id=<n>/...    a load's own tables, removed when it is published
 
 Every load only adds folders of its own id, and readers ignore ids above the last published one.
 A load that dies half-way leaves nothing visible, and its replay overwrites its own folders.
 The state keeps its last two rows in two slots, written in turn: while one is replaced, the other
 is whole. One writer at a time.
+
+The state also says from which load id on each table counts: compact() writes a table's rows as one
+part under a new id, and an update of a dimension replaces it whole; either way the older parts
+stay for readers that have begun, until the next compaction.
 """
 
-from dataclasses import dataclass
+import uuid
+from dataclasses import dataclass, replace
 from datetime import datetime
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,14 +36,17 @@ SALES_MONTH = T.StructField("SalesMonth", T.IntegerType())
 
 STATE = T.StructType(
     [*schemas.WATERMARK.fields, T.StructField("LastSalesKey", T.LongType()),
-     T.StructField("LastBatch", T.LongType()), T.StructField("load_id", T.IntegerType())]
+     T.StructField("Batches", T.MapType(T.StringType(), T.LongType())),
+     T.StructField("Bases", T.MapType(T.StringType(), T.IntegerType())),
+     T.StructField("Generation", T.StringType()), T.StructField("load_id", T.IntegerType())]
 )
 
 # Stored columns per folder, in the order a reset clears them: facts before dimensions.
 STORED = {
-    "fact_sales": T.StructType([*schemas.FACT_SALES.fields, SALES_MONTH]),
+    "fact_sales": T.StructType([*schemas.FACT_SALES.fields, schemas.ROW_HASH, SALES_MONTH]),
     "dim_product": schemas.DIM_PRODUCT,
     "dim_customer": schemas.DIM_CUSTOMER,
+    "customer_versions": schemas.CUSTOMER_VERSIONS,
     "dim_date": schemas.DIM_DATE,
     "rejects": schemas.REJECTS,
     "load_audit": schemas.AUDIT,
@@ -50,10 +59,18 @@ DEFAULT_SEED = datetime(1900, 1, 1)
 
 @dataclass(frozen=True)
 class State:
+    """batches: last batch number by stream. bases: first load id that counts, by table."""
+
     load_id: int
     mark: datetime | None
     last_sales_key: int
-    last_batch: int | None
+    batches: dict
+    bases: dict
+    generation: str
+
+    @property
+    def last_batch(self):
+        return max(self.batches.values(), default=None)
 
 
 @dataclass(frozen=True)
@@ -66,6 +83,14 @@ class Star:
     customers: DataFrame
 
 
+# What to call after a publication, by session and folder.
+_followers = {}
+
+
+def _as_map(values):
+    return F.create_map(*[F.lit(x) for pair in values.items() for x in pair])
+
+
 class Warehouse:
     def __init__(self, spark, root):
         self.spark = spark
@@ -77,12 +102,16 @@ class Warehouse:
     # -- create and seed ---------------------------------------------------------------
 
     def create(self, seed=DEFAULT_SEED):
-        """Drop whatever is there, create empty tables, seed the high-water mark."""
+        """Drop whatever is there, create empty tables, seed the high-water mark.
+
+        The state goes first, so that a reset that dies leaves no mark over emptied tables. Streams
+        start anew: their default checkpoint belongs to the warehouse's generation.
+        """
+        self._overwrite(self.path("load_state"), self._empty(STATE), ["load_id"])
         for table, schema in STORED.items():
             empty = self._empty(T.StructType([*schema.fields, LOAD_ID]))
             self._overwrite(self.path(table), empty, ["load_id"])
-        self._overwrite(self.path("load_state"), self._empty(STATE), ["load_id"])
-        self.publish(0, seed, 0, None)
+        self.publish(State(0, seed, 0, {}, {}, uuid.uuid4().hex))
         return self
 
     def _empty(self, schema):
@@ -120,22 +149,61 @@ class Warehouse:
         if self._read_part(table, load_id) is not None:
             self.write(table, load_id, self._empty(STORED[table]))
 
-    def publish(self, load_id, mark, last_sales_key, last_batch):
-        """Make a load visible: one row, one file, one rename."""
-        values = ["fact_sales", mark, last_sales_key, last_batch, load_id]
+    def publish(self, state):
+        """Make a load visible: one row, one file, one rename. Registered views follow."""
+        values = [
+            "fact_sales", state.mark, state.last_sales_key, _as_map(state.batches),
+            _as_map(state.bases), state.generation, state.load_id,
+        ]
+        columns = [v if isinstance(v, Column) else F.lit(v) for v in values]
         row = self.spark.range(1).select(
-            [F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(values, STATE, strict=True)]
+            [c.cast(f.dataType).alias(f.name) for c, f in zip(columns, STATE, strict=True)]
         )
-        self._overwrite(f"{self.path('load_state')}/slot={load_id % 2}", row)
+        self._overwrite(f"{self.path('load_state')}/slot={state.load_id % 2}", row)
+        for follow in _followers.get(self._place(), []):
+            follow(self)
+
+    def follow(self, action):
+        """Call action(warehouse) after each load this session publishes here."""
+        actions = _followers.setdefault(self._place(), [])
+        if action not in actions:
+            actions.append(action)
+
+    def _place(self):
+        return self.spark.sparkContext.applicationId, self.root
+
+    def compact(self):
+        """Rewrite the published parts of each table as one, and publish that.
+
+        Nothing a query sees changes. Parts that an earlier compaction replaced are removed.
+        """
+        state = self.state()
+        load_id = state.load_id + 1
+        for table in STORED:
+            rows = self.read(table)
+            if "SalesMonth" in rows.columns:
+                rows = rows.hint("rebalance", "SalesMonth").sortWithinPartitions("SalesMonth", "DateKey", "InvoiceNo")
+            self.write(table, load_id, rows)
+            for old in range(state.bases.get(table, 1)):
+                self.remove(self._part(table, old))
+        self.publish(replace(state, load_id=load_id, bases=dict.fromkeys(STORED, load_id)))
+
+    def remove(self, folder):
+        """Delete a folder of this warehouse, if it is there."""
+        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(conf).delete(path, True)
+
+    def working(self, name):
+        return f"{self.root}/_working/{name}"
 
     def write_working(self, name, rows):
         """Write a working table of the current load and read it back.
 
         A written table, not a cached one: it outlives executors and ends the lineage.
         """
-        folder = f"{self.root}/_working/{name}"
-        rows.write.mode("overwrite").parquet(folder)
-        return self.spark.read.schema(rows.schema).parquet(folder)
+        rows.write.mode("overwrite").parquet(self.working(name))
+        return self.spark.read.schema(rows.schema).parquet(self.working(name))
 
     # -- reading -----------------------------------------------------------------------
 
@@ -148,7 +216,10 @@ class Warehouse:
         row = self._last_state().first()
         if row is None:
             return None
-        return State(row.load_id, row.LastLoadedDate, row.LastSalesKey, row.LastBatch)
+        return State(
+            row.load_id, row.LastLoadedDate, row.LastSalesKey, dict(row.Batches or {}),
+            dict(row.Bases or {}), row.Generation,
+        )
 
     def get_watermark(self):
         """Date up to which facts are loaded; None if the state row is absent."""
@@ -173,11 +244,13 @@ class Warehouse:
 
     def read(self, table, upto=None):
         """Rows of the published loads (or up to a given load id)."""
-        if upto is None:
-            upto = self.state().load_id
+        state = self.state()
         schema = T.StructType([*STORED[table].fields, LOAD_ID])
         rows = self.spark.read.schema(schema).parquet(self.path(table))
-        return rows.filter(F.col("load_id") <= upto).drop("load_id")
+        loads = F.col("load_id").between(
+            state.bases.get(table, 0), state.load_id if upto is None else upto
+        )
+        return rows.filter(loads).drop("load_id")
 
     def read_load(self, table, load_id):
         """Rows one load added."""
@@ -185,10 +258,9 @@ class Warehouse:
         return self._empty(STORED[table]) if rows is None else rows
 
     def star(self):
-        upto = self.state().load_id
         return Star(
-            fact=self.read("fact_sales", upto),
-            dates=self.read("dim_date", upto),
-            products=self.read("dim_product", upto),
-            customers=self.read("dim_customer", upto),
+            fact=self.read("fact_sales").drop(schemas.ROW_HASH.name),
+            dates=self.read("dim_date"),
+            products=self.read("dim_product"),
+            customers=self.read("dim_customer"),
         )

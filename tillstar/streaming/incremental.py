@@ -1,78 +1,63 @@
 """The load as a stream: every micro-batch of raw invoice lines goes through the batch load.
 
-Batches are recognised by their number in the load state, so a batch that is repeated after a
-failure changes nothing. The stream's own checkpoint says what is new, so the high-water mark
-does not filter; it is still moved.
+The stream's own checkpoint says which files are new, so the high-water mark does not filter; it is
+still moved. Rows may arrive in any order and as late as they like: copies are removed inside each
+micro-batch, and against the published facts by a hash of the raw row, within the months the batch
+touches. So a batch that is repeated after a failure, a file that comes twice, or a stream over what
+a batch load has taken before adds nothing, and no row is dropped without a line in the audit.
 
-Copies are removed across micro-batches within an event-time watermark. Exact copies carry the
-same invoice date, so the delay only has to cover how far arrival may be out of order; rows that
-come later than that are dropped, as a batch load drops rows at or before its mark. State is
-bounded by the delay.
+A batch that is repeated as it was is recognised by its number and its stream's id, and skipped.
 """
 
-import pyarrow as pa
-from pyspark.sql import functions as F
+import logging
 
-from tillstar.functions.dates import INVOICE_DATE_FORMAT
-from tillstar.operators.cleaning import drop_null_keys
+from pyspark.errors import AnalysisException
+
+from tillstar.operators.cleaning import EmptyBatch
 from tillstar.plans.load import load_batch
-from tillstar.schemas import RAW, RAW_COLUMNS
-from tillstar.sources.csv_source import OPTIONS, _AS_TEXT, from_text
-from tillstar.sources.frames import as_raw
+from tillstar.schemas import RAW
+from tillstar.sources.csv_source import AS_TEXT, OPTIONS, SourceUnavailable, from_text
 
-DEFAULT_DELAY = "2 days"
+log = logging.getLogger(__name__)
 
 
 def read_parquet_stream(spark, folder, **options):
     return spark.readStream.options(**options).schema(RAW).parquet(folder)
 
 
-def read_csv_stream(spark, folder, **options):
-    text = spark.readStream.options(**OPTIONS).options(**options).schema(_AS_TEXT).csv(folder)
-    return from_text(text)
-
-
-def _distinct_batches(batches):
-    """Arrow batches without the copies inside each one."""
-    for batch in batches:
-        table = pa.Table.from_batches([batch])
-        distinct = table.group_by(table.column_names, use_threads=False).aggregate([])
-        yield from distinct.select(table.column_names).to_batches()
+def read_csv_stream(spark, folder, strict=True, **options):
+    try:
+        text = spark.readStream.options(**OPTIONS).options(**options).schema(AS_TEXT).csv(folder)
+    except AnalysisException as problem:
+        raise SourceUnavailable(f"cannot read {folder}: {problem}") from problem
+    return from_text(text, strict)
 
 
-def distinct_in_stream(raw, delay=DEFAULT_DELAY):
-    """Raw rows without copies that arrive within the delay of each other.
+def start_load(raw_stream, warehouse, checkpoint=None, strict=True, customers="insert", **trigger):
+    """Start the stream. trigger: as for DataStreamWriter.trigger(), default availableNow.
 
-    The stateful step has no map-side pass of its own, so copies are first removed inside each
-    Arrow batch: a row that makes up a third of the input does not flood one state partition.
-    Rows without a readable date have no event time; they pass, and the load judges them.
+    The default checkpoint belongs to the warehouse as it was created; after another create() the
+    stream starts from the beginning. strict, customers: as for load_batch().
     """
-    keyed = as_raw(raw).transform(drop_null_keys).mapInArrow(_distinct_batches, RAW)
-    event_time = F.try_to_timestamp("InvoiceDate", F.lit(INVOICE_DATE_FORMAT))
-    timed = keyed.withColumn("EventTime", event_time)
-    dated = (
-        timed.filter(F.col("EventTime").isNotNull())
-        .withWatermark("EventTime", delay)
-        .dropDuplicatesWithinWatermark(RAW_COLUMNS)
-    )
-    undated = timed.filter(F.col("EventTime").isNull())
-    return dated.select(RAW_COLUMNS).union(undated.select(RAW_COLUMNS))
-
-
-def start_load(raw_stream, warehouse, delay=DEFAULT_DELAY, checkpoint=None, **trigger):
-    """Start the stream. trigger: as for DataStreamWriter.trigger(), default availableNow."""
+    state = warehouse.state()
+    if state is None:
+        raise ValueError(f"{warehouse.root} has no load state; call create() first")
+    checkpoint = checkpoint or f"{warehouse.root}/_checkpoint/{state.generation}"
 
     def load_one(batch, number):
-        # Written once: the load reads a batch more than once, and a stateful plan should not
-        # run again for each reading.
-        rows = warehouse.write_working("stream_batch", batch)
-        if not rows.isEmpty():
-            load_batch(rows, warehouse, use_mark=False, batch=number)
+        # The id is kept in the checkpoint, so it is the same after a restart.
+        stream = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        try:
+            load_batch(
+                batch, warehouse, use_mark=False, batch=number if stream else None,
+                stream=stream or "", strict=strict, customers=customers,
+            )
+        except EmptyBatch:
+            log.info("batch %s has no rows", number)
 
     return (
-        distinct_in_stream(raw_stream, delay)
-        .writeStream.foreachBatch(load_one)
-        .option("checkpointLocation", checkpoint or f"{warehouse.root}/_checkpoint")
+        raw_stream.writeStream.foreachBatch(load_one)
+        .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True}))
         .start()
     )

@@ -521,24 +521,26 @@ def oracle_sql():
         "FROM fact_sales JOIN dim_date USING (DateKey) GROUP BY FullDate, DayOfWeek, Country"
     )
     sql["v1_daily_sales"] = star(daily)
-    sql["v2_product_performance"] = star(
+    performance = (
         "SELECT p.StockCode, p.Description, CAST(SUM(Quantity) AS BIGINT) AS TotalQuantitySold, "
         f"{_revenue()} AS TotalRevenue, COUNT(DISTINCT InvoiceNo) AS TimesPurchased, "
         f"{_avg('SUM(UnitPrice)', 'COUNT(UnitPrice)')} AS AvgUnitPrice, "
         "COUNT(DISTINCT CustomerID) AS UniqueCustomersBought "
         "FROM dim_product p LEFT JOIN fact_sales f ON p.StockCode = f.StockCode "
-        "GROUP BY p.StockCode, p.Description",
-        LATE_SEED,
+        "GROUP BY p.StockCode, p.Description"
     )
-    sql["v3_customer_summary"] = star(
+    sql["v2_product_performance"] = star(performance)
+    sql["v2_product_performance_unsold"] = star(performance, LATE_SEED)
+    per_customer = (
         "SELECT c.CustomerID, c.Country, c.FirstPurchaseDate, c.LastPurchaseDate, "
         f"{lifespan}, COUNT(DISTINCT InvoiceNo) AS TotalOrders, "
         f"CAST(SUM(Quantity) AS BIGINT) AS TotalItemsPurchased, {_revenue()} AS TotalSpent, "
         f"{_avg('SUM(TotalSalesAmount)', 'COUNT(TotalSalesAmount)')} AS AvgOrderValue "
         "FROM dim_customer c LEFT JOIN fact_sales f ON c.CustomerID = f.CustomerID "
-        "GROUP BY c.CustomerID, c.Country, c.FirstPurchaseDate, c.LastPurchaseDate",
-        LATE_SEED,
+        "GROUP BY c.CustomerID, c.Country, c.FirstPurchaseDate, c.LastPurchaseDate"
     )
+    sql["v3_customer_summary"] = star(per_customer)
+    sql["v3_customer_summary_unsold"] = star(per_customer, LATE_SEED)
     sql["s9_view_by_sql"] = star(
         "SELECT Country, COUNT(*) AS days, CAST(SUM(DailyRevenue) AS DECIMAL(30,2)) AS revenue "
         f"FROM ({daily}) WHERE FullDate >= DATE '2000-01-01' GROUP BY Country"
@@ -584,4 +586,170 @@ WHERE e.CustomerID IS NULL OR e.Country IS DISTINCT FROM n.Country
    OR e.LastPurchaseDate IS DISTINCT FROM n.LastPurchaseDate""",
         EARLY_KEYS, DIM_CUSTOMER, history_early,
     )
+    sql["x2_load_updates_customers"] = star("SELECT * FROM dim_customer")
+    _varied(sql)
+    _broken(sql)
+    sql["s1_bad_lines"] = upto(
+        RAW,
+        f"SELECT InvoiceNo, COUNT(*) AS lines, COUNT(StockCode) AS with_stock_code FROM raw "
+        f"WHERE {NUMBER} % 50 = 1 GROUP BY InvoiceNo",
+    )
+    sql["c6_load_rejects"] = sql["l14_rejects"]
+    delivered = f"""
+delivered AS (
+  SELECT *, {NUMBER} % 4 AS slice FROM raw
+  UNION ALL SELECT *, 3 FROM raw WHERE {NUMBER} % 20 = 0
+),
+whole AS (SELECT * FROM delivered WHERE CustomerID IS NOT NULL),
+batches AS (SELECT DISTINCT * FROM whole)"""
+    sql["x1_stream_audit"] = upto(
+        RAW,
+        _labelled(
+            [("drop_null_keys", _where("delivered", "CustomerID IS NULL")),
+             ("drop_cancelled", _where("batches", "starts_with(InvoiceNo, 'C')")),
+             ("keep_positive", _where("batches", f"NOT starts_with(InvoiceNo, 'C') AND NOT {_SOLD}")),
+             ("copies", f"({_where('whole')} - {_where('batches')} + {_where('batches', _KEPT)} - "
+              f"(SELECT COUNT(*) FROM (SELECT DISTINCT * EXCLUDE (slice) FROM batches WHERE {_KEPT})))")],
+            "step", "removed",
+        ),
+        delivered,
+    )
     return sql
+
+
+NUMBER = "CAST(replace(InvoiceNo, 'C', '') AS INTEGER)"
+_SOLD = "(Quantity > 0 AND UnitPrice > 0)"
+_KEPT = f"NOT starts_with(InvoiceNo, 'C') AND {_SOLD}"
+
+
+def _varied(sql):
+    """The rollups over lines whose description and country differ from line to line."""
+    raw = RAW.replace(
+        "CASE WHEN l_partkey % 97 = 0 THEN NULL\n"
+        "              WHEN l_partkey % 5 = 0 THEN '  ' || p_name || ' ' ELSE p_name END AS Description",
+        "CASE WHEN l_orderkey % 11 <> 0 THEN p_name || ' v' || CAST(l_linenumber % 3 AS VARCHAR) END "
+        "AS Description",
+    ).replace(
+        "n_name || CASE WHEN l_orderkey % 7 = 0 THEN ' ' ELSE '' END AS Country",
+        "CASE WHEN l_orderkey % 9 <> 0 THEN CASE WHEN l_orderkey % 5 = 0 THEN 'Elsewhere' ELSE n_name "
+        "END END AS Country",
+    )
+    for plain in ("l2_first_product", "l4_customer_rollup"):
+        sql[f"{plain}_varied"] = sql[plain].replace(RAW, raw)
+    late_rows = f"late AS (SELECT * FROM clean WHERE InvoiceDate > TIMESTAMP '{EARLY_CUT}')"
+    rollups = [
+        DIM_CUSTOMER.replace("FROM clean", f"FROM {rows}").replace("dim_customer AS", f"{rows}_customer AS")
+        for rows in ("early", "late")
+    ]
+    versions = """
+since AS (SELECT CAST(MIN(InvoiceDate) AS DATE) AS day FROM late),
+both_customer AS (
+  SELECT coalesce(e.CustomerID, n.CustomerID) AS CustomerID, e.CustomerID IS NOT NULL AS known,
+         e.Country AS was, n.Country AS now,
+         e.CustomerID IS NOT NULL AND n.Country IS NOT NULL AND n.Country IS DISTINCT FROM e.Country
+           AS changed
+  FROM early_customer e FULL JOIN late_customer n ON e.CustomerID = n.CustomerID
+),
+early_sold AS (SELECT CustomerID, COUNT(*) AS n FROM early GROUP BY CustomerID),
+late_sold AS (SELECT CustomerID, COUNT(*) AS n FROM late GROUP BY CustomerID)"""
+    sql["x2_load_keeps_history"] = upto(
+        CLEAN,
+        """
+SELECT b.CustomerID, CASE WHEN known THEN was ELSE now END AS Country, CAST(NULL AS DATE) AS ValidFrom,
+       CASE WHEN changed THEN day END AS ValidTo, NOT changed AS IsCurrent,
+       CAST(coalesce(e.n, 0) + CASE WHEN changed THEN 0 ELSE coalesce(l.n, 0) END AS BIGINT) AS facts
+FROM both_customer b CROSS JOIN since
+LEFT JOIN early_sold e ON e.CustomerID = b.CustomerID LEFT JOIN late_sold l ON l.CustomerID = b.CustomerID
+UNION ALL
+SELECT b.CustomerID, now, day, NULL, TRUE, CAST(l.n AS BIGINT)
+FROM both_customer b CROSS JOIN since JOIN late_sold l ON l.CustomerID = b.CustomerID WHERE changed""",
+        EARLY_KEYS, late_rows, *rollups, versions,
+    ).replace(RAW, raw)
+
+
+def _broken(sql):
+    """The checks over a star with every rule broken somewhere."""
+    number = "CAST(InvoiceNo AS INTEGER) % 100"
+    planted = f"""
+sold AS (
+  SELECT * FROM good_fact UNION ALL SELECT * FROM good_fact WHERE {number} = 0
+),
+fact_sales AS (
+  SELECT CASE {number} WHEN 8 THEN repeat('9', 21) WHEN 9 THEN NULL ELSE InvoiceNo END AS InvoiceNo,
+         CASE {number} WHEN 4 THEN 19000101 ELSE DateKey END AS DateKey,
+         CASE {number} WHEN 1 THEN NULL WHEN 2 THEN 'none' ELSE StockCode END AS StockCode,
+         CASE {number} WHEN 3 THEN -1 ELSE CustomerID END AS CustomerID,
+         CASE {number} WHEN 5 THEN 0 ELSE Quantity END AS Quantity,
+         CASE {number} WHEN 6 THEN 0 ELSE UnitPrice END AS UnitPrice,
+         CASE {number} WHEN 7 THEN -1 ELSE TotalSalesAmount END AS TotalSalesAmount,
+         CASE {number} WHEN 10 THEN repeat('x', 101) ELSE Country END AS Country
+  FROM sold
+),
+dim_product AS (
+  SELECT StockCode, CASE WHEN ends_with(StockCode, '77') THEN repeat('d', 256) ELSE Description END
+           AS Description
+  FROM (SELECT * FROM good_product UNION ALL
+        SELECT * FROM good_product WHERE ends_with(StockCode, '55'))
+),
+dim_customer AS (
+  SELECT * FROM good_customer UNION ALL SELECT * FROM good_customer WHERE CustomerID % 100 = 0
+),
+dim_date AS (
+  SELECT * REPLACE (CASE WHEN Day <> 30 THEN MonthName END AS MonthName)
+  FROM (SELECT * FROM good_date UNION ALL SELECT * FROM good_date WHERE Day = 31)
+)"""
+    good = [
+        part.replace(f"{name} AS (", f"good_{short} AS (", 1)
+        for part, name, short in [
+            (DIM_DATE, "dim_date", "date"), (DIM_PRODUCT, "dim_product", "product"),
+            (DIM_CUSTOMER, "dim_customer", "customer"), (_fact(FULL_SEED), "fact_sales", "fact"),
+        ]
+    ]
+
+    def broken(rows, *names):
+        return upto(CLEAN, _labelled(rows, *names), *good, planted)
+
+    keys = [
+        ("dim_date", "DateKey", "DateKey"), ("dim_product", "ProductKey", "StockCode"),
+        ("dim_product", "StockCode", "StockCode"), ("dim_customer", "CustomerKey", "CustomerID"),
+        ("dim_customer", "CustomerID", "CustomerID"),
+    ]
+    twice = [(t, k, _duplicates(t, c)) for t, k, c in keys]
+    twice.append(("fact_sales", "SalesKey", _where("good_fact", f"{number} = 0")))
+    sql["c1_unique_keys_broken"] = broken(twice, "table_name", "key_column", "duplicated")
+    nulls = [(t, c, n) for t, c, n in _null_counts() if t != "watermark" and c != "SalesKey"]
+    nulls.append(("fact_sales", "SalesKey", "CAST(0 AS BIGINT)"))
+    sql["c2_not_null_broken"] = broken(nulls, "table_name", "column_name", "null_count")
+    rules = ["Quantity <= 0", "UnitPrice <= 0", "TotalSalesAmount < 0"]
+    sql["c3_value_rules_broken"] = broken(
+        [(rule, _where("fact_sales", rule)) for rule in rules], "rule", "violations"
+    )
+    references = [
+        ("DateKey", "DateKey", "dim_date"), ("ProductKey", "StockCode", "dim_product"),
+        ("CustomerKey", "CustomerID", "dim_customer"),
+    ]
+    sql["c4_references_broken"] = broken(
+        [(key, _where("fact_sales f", f"NOT EXISTS (SELECT 1 FROM {dim} d WHERE d.{c} = f.{c})"))
+         for key, c, dim in references],
+        "foreign_key", "orphans",
+    )
+    limits = [
+        ("dim_date", "MonthName", 20), ("dim_date", "DayOfWeek", 20),
+        ("dim_product", "StockCode", 50), ("dim_product", "Description", 255),
+        ("dim_customer", "Country", 100), ("fact_sales", "InvoiceNo", 20),
+        ("fact_sales", "Country", 100),
+    ]
+    sql["c5_length_limits_broken"] = broken(
+        [(t, c, n, _where(t, f"length({c}) > {n}")) for t, c, n in limits],
+        "table_name", "column_name", "length_limit", "too_long",
+    )
+    price = "CAST(UnitPrice * 1000000 AS DECIMAL(18,6))"
+    sql["c5_precision_broken"] = upto(
+        CLEAN,
+        _labelled(
+            [("UnitPrice", _where("clean", f"TRY_CAST(ROUND({price}, 2) AS DECIMAL(10,2)) IS NULL")),
+             ("TotalSalesAmount", _where("clean", f"TRY_CAST(ROUND(Quantity * {price}, 2) AS "
+                                         "DECIMAL(10,2)) IS NULL"))],
+            "column_name", "does_not_fit",
+        ),
+    )

@@ -1,6 +1,6 @@
 """The registered queries: (session, folder of test tables) -> DataFrame.
 
-Cleaning queries run on the raw lines derived from the tables. Load, quality and analysis
+Cleaning and rollup queries run on the raw lines derived from the tables. Load, quality and analysis
 queries run on a star that the package's own load has written from them: once per session and
 folder, under the shared working folder.
 """
@@ -15,12 +15,12 @@ from tillstar_checks.oracle import EARLY_CUT, FULL_SEED, LATE_SEED
 from tillstar.functions.dates import INVOICE_DATE_FORMAT
 from tillstar.operators import cleaning, dimensions, facts, keys, lookup, quality, updates
 from tillstar.plans import analysis, flat, views
-from tillstar.plans.load import cleaned_rows, load_batch
-from tillstar.schemas import RAW_COLUMNS
+from tillstar.plans.load import load_batch
+from tillstar.schemas import MALFORMED_LINE, RAW_COLUMNS
 from tillstar.session import shared_folder
 from tillstar.sources.csv_source import read_csv, source_profile
 from tillstar.sources.sample import raw_sales
-from tillstar.sources.warehouse import Warehouse
+from tillstar.sources.warehouse import Star, Warehouse
 from tillstar.streaming.incremental import read_parquet_stream, start_load
 
 _loaded = {}
@@ -50,6 +50,11 @@ def late(spark, folder):
     return _warehouse(spark, folder, LATE_SEED)
 
 
+def cleaned_rows(spark, folder):
+    """The raw lines after all cleaning rules."""
+    return cleaning.clean(raw_sales(spark, folder))
+
+
 def _timestamp(text):
     return F.lit(text).cast("timestamp_ntz")
 
@@ -104,21 +109,21 @@ def date_range(spark, folder):
 
 
 def new_dates(spark, folder):
-    cleaned = cleaned_rows(full(spark, folder))
+    cleaned = cleaned_rows(spark, folder)
     return dimensions.insert_if_absent(
         dimensions.date_dimension(cleaned), dimensions.date_dimension(_early(cleaned)), "DateKey"
     )
 
 
 def new_products(spark, folder):
-    cleaned = cleaned_rows(full(spark, folder))
+    cleaned = cleaned_rows(spark, folder)
     return dimensions.insert_if_absent(
         dimensions.first_products(cleaned), dimensions.first_products(_early(cleaned)), "StockCode"
     )
 
 
 def new_customers(spark, folder):
-    cleaned = cleaned_rows(full(spark, folder))
+    cleaned = cleaned_rows(spark, folder)
     return dimensions.insert_if_absent(
         dimensions.customer_rollup(cleaned), dimensions.customer_rollup(_early(cleaned)),
         "CustomerID",
@@ -139,7 +144,7 @@ def surrogate_keys(spark, folder):
 
 def increment(spark, folder):
     return facts.increment(
-        cleaned_rows(full(spark, folder)), datetime.fromisoformat(LATE_SEED)
+        cleaned_rows(spark, folder), datetime.fromisoformat(LATE_SEED)
     )
 
 
@@ -151,7 +156,7 @@ LOOKED_UP = [
 def lookups(spark, folder):
     warehouse = full(spark, folder)
     star = warehouse.star()
-    return facts.resolve(cleaned_rows(warehouse), star.products, star.customers).select(LOOKED_UP)
+    return facts.resolve(cleaned_rows(spark, folder), star.products, star.customers).select(LOOKED_UP)
 
 
 def salted_lookups(spark, folder):
@@ -160,14 +165,14 @@ def salted_lookups(spark, folder):
     star = warehouse.star()
     customers = star.customers.select(F.col("CustomerID").cast("bigint"), "CustomerKey")
     rows = lookup.salted_lookup(
-        cleaned_rows(warehouse), star.products.select("StockCode", "ProductKey"), "StockCode"
+        cleaned_rows(spark, folder), star.products.select("StockCode", "ProductKey"), "StockCode"
     )
     return lookup.salted_lookup(rows, customers, "CustomerID").select(LOOKED_UP)
 
 
 def missing_keys(spark, folder):
     """All rows looked up in the dimensions of an earlier load: those that find no key."""
-    cleaned = cleaned_rows(full(spark, folder))
+    cleaned = cleaned_rows(spark, folder)
     early = _early(cleaned)
     products = keys.assign_surrogate_keys(
         dimensions.first_products(early), "StockCode", "ProductKey"
@@ -182,19 +187,24 @@ def missing_keys(spark, folder):
     )
 
 
+# Which invoices the stream fixtures deliver twice, and which get a bad line.
+TWICE, BAD_LINE = 20, 50
+
 # Prices in a unit a million times smaller: some no longer fit the fact table's decimals.
 SMALL_UNITS = 1_000_000
 
 
-def rejects(spark, folder):
-    warehouse = full(spark, folder)
-    star = warehouse.star()
-    scaled = (
-        cleaned_rows(warehouse)
+def _scaled(spark, folder):
+    return (
+        cleaned_rows(spark, folder)
         .withColumn("UnitPrice", F.col("UnitPrice") * SMALL_UNITS)
         .transform(cleaning.add_amount)
     )
-    resolved = facts.resolve(scaled, star.products, star.customers)
+
+
+def rejects(spark, folder):
+    star = full(spark, folder).star()
+    resolved = facts.resolve(_scaled(spark, folder), star.products, star.customers)
     return facts.as_rejects(resolved, "fact_sales").select(
         "TargetTable", "Reason", "InvoiceNo", "StockCode", "Quantity", "CustomerID"
     )
@@ -242,38 +252,142 @@ def _tables(warehouse):
 
 def orphans_of_early_dims(spark, folder):
     warehouse = full(spark, folder)
-    early = dimensions.first_products(_early(cleaned_rows(warehouse)))
+    early = dimensions.first_products(_early(cleaned_rows(spark, folder)))
     return quality.orphans(fact_sales(warehouse), early, "StockCode")
 
 
+def dirty(spark, folder):
+    """The full star with every rule broken somewhere."""
+    star = full(spark, folder).star()
+    rest = F.col("InvoiceNo").cast("int") % 100
+
+    def planted(column, broken):
+        value = F.col(column)
+        for number, wrong in broken.items():
+            value = F.when(rest == number, F.lit(wrong)).otherwise(value)
+        return value.cast(star.fact.schema[column].dataType).alias(column)
+
+    broken = {
+        "ProductKey": {1: None, 2: -1}, "CustomerKey": {3: -1}, "DateKey": {4: 19000101},
+        "Quantity": {5: 0}, "UnitPrice": {6: 0}, "TotalSalesAmount": {7: -1},
+        "InvoiceNo": {8: "9" * 21, 9: None}, "Country": {10: "x" * 101},
+    }
+    fact = star.fact.unionAll(star.fact.filter(rest == 0))
+    fact = fact.select(*[planted(c, broken.get(c, {})) for c in star.fact.columns])
+    long_text = F.when(F.col("StockCode").endswith("77"), F.lit("d" * 256)).otherwise(F.col("Description"))
+    products = star.products.unionAll(star.products.filter(F.col("StockCode").endswith("55")))
+    customers = star.customers.unionAll(star.customers.filter("CustomerID % 100 = 0"))
+    dates = star.dates.unionAll(star.dates.filter("Day = 31"))
+    month = F.when(F.col("Day") != 30, F.col("MonthName"))
+    return Star(
+        fact, dates.withColumn("MonthName", month), products.withColumn("Description", long_text), customers
+    )
+
+
 # -- extensions ----------------------------------------------------------------------------
 
 SLICES = 4
 
 
-def stream_load(spark, folder):
-    """The raw lines arrive in four slices by date; the stream loads them slice by slice."""
+def _order_number(rows):
+    """The number in an invoice's number."""
+    return F.regexp_replace("InvoiceNo", "C", "").cast("int")
+
+
+def _streamed(spark, folder):
+    """A warehouse loaded by a stream of four slices, each of which spans all dates, so that most
+    rows arrive after later ones; some invoices come in two slices."""
     root = new_folder(spark, "stream")
     landing = f"{root}/landing"
     raw = raw_sales(spark, folder)
-    moment = F.to_timestamp_ntz("InvoiceDate", F.lit(INVOICE_DATE_FORMAT))
-    span = raw.agg(F.min(moment).alias("first"), F.max(moment).alias("last")).first()
-    width = (span["last"] - span["first"]) / SLICES
+    number = _order_number(raw)
     files = spark.sparkContext.defaultParallelism
-    for i in range(SLICES):
-        lower, upper = span["first"] + width * i, span["first"] + width * (i + 1)
-        inside = moment >= F.lit(lower)
-        if i < SLICES - 1:
-            inside &= moment < F.lit(upper)
+    for i in reversed(range(SLICES)):
+        inside = number % SLICES == i
+        if i == SLICES - 1:
+            inside |= number % TWICE == 0
         raw.filter(inside).repartition(files).write.mode("append").parquet(landing)
     warehouse = Warehouse(spark, f"{root}/star").create()
     stream = read_parquet_stream(spark, landing, maxFilesPerTrigger=files)
     start_load(stream, warehouse).awaitTermination()
-    return fact_sales(warehouse)
+    return warehouse
+
+
+def stream_load(spark, folder):
+    return fact_sales(_streamed(spark, folder))
+
+
+def stream_audit(spark, folder):
+    """What became of the rows of a streamed load, over all its batches."""
+    audit = _streamed(spark, folder).read("load_audit")
+    copies = F.col("step").isin("drop_duplicates", "skip_already_loaded")
+    return audit.groupBy(F.when(copies, "copies").otherwise(F.col("step")).alias("step")).agg(
+        F.sum("removed").alias("removed")
+    )
+
+
+def bad_lines(spark, folder):
+    """Lines with a field too many, as the CSV source finds them, by invoice."""
+    path = new_folder(spark, "bad_csv")
+    raw = raw_sales(spark, folder)
+    line = F.concat(
+        F.to_csv(F.struct(*RAW_COLUMNS)),
+        F.when(_order_number(raw) % BAD_LINE == 1, F.lit(",surplus")).otherwise(""),
+    )
+    # The first line of each file is its header.
+    first = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) == 0
+    text = F.concat(F.when(first, F.lit(",".join(RAW_COLUMNS) + "\n")).otherwise(""), line)
+    raw.select(text.alias("value")).write.text(path)
+    found = read_csv(spark, path).filter(F.col(MALFORMED_LINE).isNotNull())
+    return found.groupBy(F.split(MALFORMED_LINE, ",")[0].alias("InvoiceNo")).agg(
+        F.count(F.lit(1)).alias("lines"), F.count("StockCode").alias("with_stock_code")
+    )
+
+
+def _unfit(spark, folder):
+    """A warehouse whose load had to set rows aside, loaded twice."""
+    key = (spark.sparkContext.applicationId, folder, "unfit")
+    if key not in _loaded:
+        warehouse = Warehouse(spark, new_folder(spark, "unfit")).create()
+        raw = raw_sales(spark, folder).withColumn("UnitPrice", F.col("UnitPrice") * SMALL_UNITS)
+        for _ in range(2):
+            load_batch(raw, warehouse, use_mark=False)
+        _loaded[key] = warehouse
+    return _loaded[key]
+
+
+def load_rejects(spark, folder):
+    return _unfit(spark, folder).read("rejects").select(
+        "TargetTable", "Reason", "InvoiceNo", "StockCode", "Quantity", "CustomerID"
+    )
+
+
+def updated_customers(spark, folder):
+    """Two loads, the later of which takes over what it knows better of the customers."""
+    warehouse = Warehouse(spark, new_folder(spark, "updated")).create()
+    raw = raw_sales(spark, folder)
+    moment = F.to_timestamp_ntz("InvoiceDate", F.lit(INVOICE_DATE_FORMAT))
+    load_batch(raw.filter(moment <= _timestamp(EARLY_CUT)), warehouse)
+    load_batch(raw, warehouse, customers="update")
+    return warehouse.star().customers.select("CustomerID", *updates.TRACKED)
+
+
+def customer_history(spark, folder):
+    """Two loads that keep history, over countries that change; with the facts of each version."""
+    warehouse = Warehouse(spark, new_folder(spark, "history")).create()
+    raw = raw_sales(spark, folder, varied=True)
+    early = F.to_timestamp_ntz("InvoiceDate", F.lit(INVOICE_DATE_FORMAT)) <= _timestamp(EARLY_CUT)
+    for part in (early, ~early):
+        load_batch(raw.filter(part), warehouse, customers="history")
+    sold = warehouse.star().fact.groupBy("CustomerKey").agg(F.count(F.lit(1)).alias("facts"))
+    return warehouse.read("customer_versions").join(sold, "CustomerKey", "left").select(
+        "CustomerID", "Country", "ValidFrom", "ValidTo", "IsCurrent",
+        F.coalesce("facts", F.lit(0)).alias("facts"),
+    )
 
 
 def dim_update(spark, folder):
-    cleaned = cleaned_rows(full(spark, folder))
+    cleaned = cleaned_rows(spark, folder)
     existing = keys.assign_surrogate_keys(
         dimensions.customer_rollup(_early(cleaned)), "CustomerID", "CustomerKey"
     )
@@ -283,7 +397,7 @@ def dim_update(spark, folder):
 
 
 def dim_history(spark, folder):
-    cleaned = cleaned_rows(full(spark, folder))
+    cleaned = cleaned_rows(spark, folder)
     early = dimensions.customer_rollup(_early(cleaned))
     late_rows = dimensions.customer_rollup(cleaned)
     history = updates.start_history(early, "1995-04-01")
@@ -308,7 +422,7 @@ def _on_raw(function):
 
 
 def _on_cleaned(function):
-    return lambda spark, folder: function(cleaned_rows(full(spark, folder)))
+    return lambda spark, folder: function(cleaned_rows(spark, folder))
 
 
 def _on_star(function, which=full):
@@ -316,7 +430,15 @@ def _on_star(function, which=full):
 
 
 def _on_flat(function):
-    return lambda spark, folder: function(flat.flat_model(cleaned_rows(full(spark, folder))))
+    return lambda spark, folder: function(full(spark, folder).star())
+
+
+def _on_varied(function):
+    return lambda spark, folder: function(cleaning.clean(raw_sales(spark, folder, varied=True)))
+
+
+def _on_dirty(function):
+    return lambda spark, folder: function(quality.star_tables(dirty(spark, folder)))
 
 
 def _on_tables(function):
@@ -368,8 +490,23 @@ def registry():
         "q8_weekday_pattern": _on_star(analysis.weekday_pattern),
         "q9_quality_summary": _on_star(quality.quality_summary),
         "v1_daily_sales": _on_star(analysis.daily_sales_summary),
-        "v2_product_performance": _on_star(analysis.product_performance, late),
-        "v3_customer_summary": _on_star(analysis.customer_summary, late),
+        "v2_product_performance": _on_star(analysis.product_performance),
+        "v3_customer_summary": _on_star(analysis.customer_summary),
+        "v2_product_performance_unsold": _on_star(analysis.product_performance, late),
+        "v3_customer_summary_unsold": _on_star(analysis.customer_summary, late),
+        "s1_bad_lines": bad_lines,
+        "l2_first_product_varied": _on_varied(dimensions.first_products),
+        "l4_customer_rollup_varied": _on_varied(dimensions.customer_rollup),
+        "c1_unique_keys_broken": _on_dirty(quality.unique_key_check),
+        "c2_not_null_broken": _on_dirty(quality.not_null_check),
+        "c3_value_rules_broken": lambda spark, folder: quality.value_rules(dirty(spark, folder).fact),
+        "c4_references_broken": lambda spark, folder: quality.reference_check(dirty(spark, folder)),
+        "c5_length_limits_broken": _on_dirty(quality.limit_check),
+        "c5_precision_broken": lambda spark, folder: quality.precision_check(_scaled(spark, folder)),
+        "c6_load_rejects": load_rejects,
+        "x1_stream_audit": stream_audit,
+        "x2_load_updates_customers": updated_customers,
+        "x2_load_keeps_history": customer_history,
         "s9_view_by_sql": view_by_sql,
         "a1_flat_top_customers": _on_flat(flat.top_customers),
         "a2_flat_top_countries": _on_flat(flat.top_countries),
