@@ -1,6 +1,7 @@
 """What the physical plans must and must not contain."""
 
 import os
+from datetime import datetime
 
 import pytest
 
@@ -98,3 +99,21 @@ def test_no_cross_joins_and_no_python(spark, star):
 def test_the_fact_layout_can_be_split_and_keeps_invoices_together(cleaned, star):
     rows = facts.fact_rows(facts.resolve(cleaned, star.products, star.customers))
     assert "REBALANCE_PARTITIONS_BY_COL" in plan(facts.lay_out(rows, 80, 8))
+
+
+def test_product_performance_does_not_multiply_lines(star):
+    assert "Expand" not in plan(analysis.product_performance(star))
+
+
+def test_flat_reports_scan_the_facts_once(star):
+    for query in (flat.top_customers, flat.top_countries, flat.top_products):
+        found = optimized(query(star))
+        assert found.count("TotalSalesAmount#") and found.count("Relation [SalesKey") == 1
+
+
+def test_only_new_rows_enter_the_copy_removal(lines):
+    """Old rows are blanked below the exchange, in the map-side part of the aggregate."""
+    found = plan(cleaning.classify(lines({}), datetime(2010, 12, 1)))
+    assert found.count("Exchange hashpartitioning") == 1
+    below = found[found.index("Exchange hashpartitioning"):]
+    assert "partial_count(1)" in below and "AS Old#" in below
