@@ -23,6 +23,8 @@ from tillstar.llm.common import map_rows, written
 KMER = 8
 TUPLE = 2
 SKETCHES = 32
+# Partitions whose last rows one task finishes.
+ENDS_PER_TASK = 64
 # K-mers times hash functions worked on at once.
 CELLS = 400_000
 
@@ -197,6 +199,9 @@ def with_next(df, order_by="doc_id", text="text", edited_as=lambda edited: edite
     )
     lasts = kept.filter("end = 'last'").select("key", "text", F.col("part").alias("last_part"))
     met = lasts.join(following, "last_part").join(firsts, "part").select("key", "text", "next_text")
+    # A row for each partition of the documents, so a task may take those of many.
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    met = met.coalesce(max(1, partitions // ENDS_PER_TASK))
     rest = met.mapInArrow(end, T.StructType([key, *added.fields])).select(*columns)
     digits = [F.lower(F.hex(c)).alias(c) for c in ("fingerprint", "edited_fingerprint")]
     return kept.filter("end is null").select(*rest.columns).union(rest).select(
