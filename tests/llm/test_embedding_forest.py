@@ -46,3 +46,32 @@ def test_vectors_that_link_with_nothing(spark):
     linked = [(i, 4, 1, i == 1) for i in (0, 1, 2, 2, 10)]
     assert found == sorted(linked + [(i, 0, i, True) for i in (3, 4, 5, 6, 7, 8, 9, 11)])
     assert ef.near_duplicates(df.limit(0)).count() == 0
+
+
+def loose_group(size, dims=64, seed=5):
+    """A third in one group of pairwise cosine about 0.92, a third in pairs just linked, the rest alone."""
+    rng = np.random.default_rng(seed)
+
+    def units(vectors):
+        return vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+
+    third, sixth = size // 3, size // 6
+    group = units(units(rng.standard_normal((1, dims))) + rng.standard_normal((third, dims)) * np.sqrt(0.087 / dims))
+    one, alone = units(rng.standard_normal((sixth, dims))), units(rng.standard_normal((size - third - 2 * sixth, dims)))
+    across = rng.standard_normal(one.shape)
+    across = units(across - (across * one).sum(axis=1, keepdims=True) * one)
+    other = 0.901 * one + np.sqrt(1 - 0.901**2) * across
+    return rng.permutation(np.concatenate([group, one, other, alone]))
+
+
+@pytest.mark.parametrize("levels", [10, 13])
+def test_links_of_a_dense_group_meet_however_deep_the_trees(levels):
+    vectors = loose_group(1_500)
+    row, leaf = ef.Forest(vectors, len(vectors), 0.9, leaf=1_500 / 2**levels).leaves(vectors)
+    met = np.zeros((len(vectors), len(vectors)), bool)
+    for number in np.unique(leaf):
+        members = row[leaf == number]
+        met[np.ix_(members, members)] = True
+    group = (vectors @ vectors.T >= 0.9).sum(axis=1) > 10
+    linked = (vectors @ vectors.T >= 0.9) & group[:, None] & group
+    assert linked.sum() > 200_000 and met[linked].all()

@@ -1,15 +1,21 @@
 """Near-duplicate vectors by a forest of random-projection trees with spill.
 
-Equal vectors are one class first. Each tree splits the classes again and again along a random
-direction at the middle of a sample; vectors near a split go to both sides, so that close ones
-rarely part. Within the leaves of all trees every pair is verified by its cosine in double
-precision, links are counted and united to components. A pair that meets in several leaves counts in
-the one with the smallest number only, which its members can tell from the leaves each is in, so
-no pairs are written: a leaf gives a count for each member and links enough to connect what is
-connected. Leaves of over LEAF_ROWS members are dealt out as pairs of shards.
-
-Splits are fitted on a sample of at most about SAMPLE_ROWS classes; every vector is in every tree.
-A tree has at most 2 ** MOST_LEVELS leaves, so that what is broadcast is bounded.
+Equal vectors are one class first. Dense groups, which any split would cut, are found in a sample
+and leave the trees: the core of a centre is all within CORE link angles of it, its leaf all within one
+link angle more, so that every link of a vector of the core is in that leaf, without exception.
+
+Each tree splits the other classes again and again along random directions, of which neighbouring
+nodes take different ones, at the middle of a sample; vectors near a split go to both sides, so that
+close ones rarely part. A deeper forest has more trees, as each level may part a pair. Within the
+leaves every pair is verified by its cosine in double precision, links are counted and united to
+components. A pair that meets in several leaves counts in the one with the smallest number only,
+which its members can tell from the leaves each is in, so no pairs are written: a leaf gives a count
+for each member and links enough to connect what is connected. Leaves of over LEAF_ROWS members are
+dealt out as pairs of shards.
+
+Splits and centres are fitted on a sample of at most about SAMPLE_ROWS classes; every vector is in
+every tree or in a core. A tree has at most 2 ** MOST_LEVELS leaves and there are at most
+MOST_CENTRES centres, so that what is broadcast is bounded; groups without a centre are in the trees.
 
 Defined results: vectors that are null, empty, zero or hold null or non-finite components link with
 nothing, nor do vectors of different lengths; repeated rows are separate vectors that link; a null
@@ -32,47 +38,93 @@ SAMPLE_ROWS = 50_000
 LEAF_ROWS = 20_000
 # Width of the overlap on each side of a split, in typical projected distances of a linked pair.
 SPILL = 0.36
+# Directions of a level; nodes whose last four turns differ take different ones.
+DIRECTIONS = 16
+# A core reaches beyond the link angle, for groups in which only some pairs are links.
+CORE = 1.4
+# A core has at least so many sampled vectors (and LEAF of all), and its leaf at most WIDEST times as
+# many, so that a leaf is not much more than a dense group.
+DENSE_SAMPLE = 8
+WIDEST = 4
+CANDIDATES = 8_192
+MOST_CENTRES = 512
 SEED = 17
 BLOCK = 2_048
 
 
 class Forest:
-    """Directions and split points of the trees for vectors of one length."""
+    """Centres, and directions and split points of the trees, for vectors of one length."""
 
     def __init__(self, sample, rows, cosine, trees=TREES, leaf=LEAF):
         dims = sample.shape[1]
-        self.levels = min(MOST_LEVELS, max(0, int(np.ceil(np.log2(max(1, rows / leaf))))))
         rng = np.random.default_rng([SEED, dims])
-        self.directions = rng.standard_normal((trees, self.levels, dims))
+        angle = np.arccos(np.clip(cosine, -1, 1))
+        self.core = np.cos(min(np.pi, CORE * angle))
+        self.wide = np.cos(min(np.pi, (CORE + 1) * angle)) - 1e-9
+        self.centres, rest = self._dense(sample, max(DENSE_SAMPLE, leaf * len(sample) / max(1, rows)), rng)
+        rows = rows * len(rest) / max(1, len(sample))
+        self.levels = min(MOST_LEVELS, max(0, int(np.ceil(np.log2(max(1, rows / leaf))))))
+        self.directions = rng.standard_normal((max(trees, self.levels), self.levels * DIRECTIONS, dims))
         self.directions /= np.linalg.norm(self.directions, axis=2, keepdims=True) + 1e-300
         self.margin = SPILL * np.sqrt((2 - 2 * cosine) / dims)
-        self.splits = [self._fit(sample @ d.T) for d in self.directions]
+        self.splits = [self._fit(rest @ d.T) for d in self.directions]
+
+    def _dense(self, sample, least, rng):
+        """Centres of dense groups, and the sampled vectors that are in no core."""
+        candidates = rng.permutation(len(sample))[:CANDIDATES]
+        # Rounded, as it only decides which candidates are tried, and in which order.
+        small = sample.astype(np.float32)
+        near, wide = np.zeros(len(candidates), np.int64), np.zeros(len(candidates), np.int64)
+        for at in range(0, len(candidates), 128):
+            along = small[candidates[at : at + 128]] @ small.T
+            near[at : at + 128] = (along >= self.core).sum(axis=1)
+            wide[at : at + 128] = (along >= self.wide).sum(axis=1)
+        centres, rest = [], np.ones(len(sample), bool)
+        for k in np.argsort(-near, kind="stable"):
+            if near[k] < least or len(centres) == MOST_CENTRES:
+                break
+            if not rest[candidates[k]] or wide[k] > WIDEST * near[k]:
+                continue
+            new = rest & (sample @ sample[candidates[k]] >= self.core)
+            if new.sum() >= max(least, wide[k] / WIDEST):
+                centres.append(candidates[k])
+                rest &= ~new
+        return sample[centres].reshape(-1, sample.shape[1]), sample[rest]
+
+    @staticmethod
+    def _column(level, node):
+        return level * DIRECTIONS + node % DIRECTIONS
 
     def _fit(self, along):
         """For each level the middle of each node's sample."""
         node = np.zeros(len(along), np.int64)
         splits = []
         for level in range(self.levels):
-            order = np.lexsort((along[:, level], node))
+            at = along[np.arange(len(along)), self._column(level, node)]
+            order = np.lexsort((at, node))
             ends = np.searchsorted(node[order], np.arange(2**level + 1))
-            middle = order[np.minimum((ends[:-1] + ends[1:]) // 2, max(0, len(order) - 1))]
-            split = np.where(ends[1:] > ends[:-1], along[middle, level], 0.0)
+            split = np.zeros(2**level)
+            some = ends[1:] > ends[:-1]
+            split[some] = at[order[(ends[:-1] + ends[1:])[some] // 2]]
             splits.append(split)
-            node = 2 * node + (along[:, level] >= split[node])
+            node = 2 * node + (at >= split[node])
         return splits
 
     def leaves(self, vectors):
-        """(row, leaf number) for every leaf of every tree a unit vector is in."""
-        rows, numbers = [], []
+        """(row, leaf number) for every leaf a unit vector is in; those of centres are below zero."""
+        near = vectors @ self.centres.T
+        row, centre = np.nonzero(near >= self.wide)
+        rows, numbers = [row], [centre - len(self.centres)]
+        rest = np.flatnonzero(~(near >= self.core).any(axis=1))
         for tree, (directions, splits) in enumerate(zip(self.directions, self.splits, strict=True)):
-            along = vectors @ directions.T
-            row, node = np.arange(len(vectors)), np.zeros(len(vectors), np.int64)
+            along = vectors[rest] @ directions.T
+            row, node = np.arange(len(rest)), np.zeros(len(rest), np.int64)
             for level in range(self.levels):
-                gap = along[row, level] - splits[level][node]
+                gap = along[row, self._column(level, node)] - splits[level][node]
                 right, left = gap >= -self.margin, gap < self.margin
                 node = np.concatenate([2 * node[left], 2 * node[right] + 1])
                 row = np.concatenate([row[left], row[right]])
-            rows.append(row)
+            rows.append(rest[row])
             numbers.append(tree << MOST_LEVELS | node)
         return np.concatenate(rows), np.concatenate(numbers)
 
