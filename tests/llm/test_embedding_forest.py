@@ -75,3 +75,18 @@ def test_links_of_a_dense_group_meet_however_deep_the_trees(levels):
     group = (vectors @ vectors.T >= 0.9).sum(axis=1) > 10
     linked = (vectors @ vectors.T >= 0.9) & group[:, None] & group
     assert linked.sum() > 200_000 and met[linked].all()
+
+
+@pytest.mark.parametrize("levels", [10, 13])
+def test_recall_of_links_in_deep_trees(spark, levels):
+    vectors = loose_group(2_400)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id bigint, embedding array<double>")
+    # Some two thirds of the vectors are in the trees.
+    found = ef.near_duplicates(df, leaf=1_600 / 2**levels).collect()
+    got = np.zeros(len(vectors), np.int64)
+    got[[r.vec_id for r in found]] = [r.n_links for r in found]
+    counts, _ = wanted(vectors)
+    dense = counts > 10
+    assert dense.sum() >= 700 and (got <= counts).all()
+    assert got[dense].sum() >= 0.999 * counts[dense].sum() and (got[dense] >= 0.99 * counts[dense]).all()
+    assert got[~dense].sum() >= 0.99 * counts[~dense].sum()
