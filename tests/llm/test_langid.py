@@ -58,3 +58,10 @@ def test_rows(spark, odd, none):
 def test_nothing_to_learn_from(spark):
     model = trained(spark, [(None, "en"), ("text", None)])
     assert langid.predict_texts(model, [EN]) == (["und"], [0.0])
+
+
+def test_more_than_64_languages(spark):
+    words = ["".join(chr(0x4E00 + 40 * i + j) for j in range(30)) for i in range(130)]
+    model = trained(spark, [(w, f"l{i:03}") for i, w in enumerate(words)])
+    names, scores = langid.predict_texts(model, words)
+    assert names == [f"l{i:03}" for i in range(130)] and min(scores) > 0.9

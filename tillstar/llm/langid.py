@@ -1,19 +1,19 @@
 """Language identification by language-bitmask n-gram filters.
 
 Training finds the character n-grams of each language and sets, for every n-gram, the bits of its
-languages in a bit-sliced Bloom filter: one array of bitmasks, a bit per language, so that the AND
-of the masks at an n-gram's places gives all languages that may contain it at once. For a text the
+languages in a bit-sliced Bloom filter: an array of bitmasks for every 64 languages, a bit per
+language, so that the AND of the masks at an n-gram's places gives all languages that may contain it. For a text the
 set bits are counted per language, the hits expected from false positives are taken off, and the
 language with most hits left decides.
 
 Training uses a sample of at most about SAMPLE_ROWS rows of each language (every row of a language
-is equally likely to be in it); prediction reads whole texts. The filter has a fixed size, whatever
-the data: 2 ** PLACE_BITS masks of 8 bytes are broadcast.
+is equally likely to be in it); prediction reads whole texts. The filter's size does not
+grow with the rows: 2 ** PLACE_BITS masks of 8 bytes are broadcast for every 64 languages.
 
 Defined results: a null text, or one without a letter, is "und" with score 0; a text none of whose
 n-grams is known gets the language with most training rows, score 0; ties go to the language with
-more training rows, then by name. Rows without language or text don't train. More than 64
-languages raise ValueError; with none, every text is "und". Other columns are carried along.
+more training rows, then by name. Rows without language or text don't train; without languages every text is "und". Other
+columns are carried along. The names of the languages and their row counts are held by the driver.
 """
 
 from dataclasses import dataclass
@@ -33,6 +33,7 @@ SHARE_OF_HIGHEST = 0.25
 # Once a language has so many sampled rows, an n-gram must be in two of them.
 ROWS_FOR_TWO = 50
 PIECE_CHARS = 200_000
+MASK_BITS = 64
 UNKNOWN = "und"
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -45,6 +46,8 @@ class Model:
     languages: list
     masks: np.ndarray
     false_rates: np.ndarray
+    # The masks of the languages after the first 64, for every 64 an array.
+    more: list
 
 
 def _letter_table():
@@ -131,8 +134,11 @@ def _gram_counts(batches):
 def _place_masks(batches):
     for batch in batches:
         at = np.concatenate(places(batch.column(0).to_numpy().view(np.uint64)))
-        mask = np.tile(batch.column(1).to_numpy(), HASHES)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(mask)], ["place", "mask"])
+        lang = np.tile(batch.column(1).to_numpy(), HASHES)
+        mask = np.left_shift(np.uint64(1), (lang % MASK_BITS).astype(np.uint64)).view(np.int64)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(lang // MASK_BITS), pa.array(at), pa.array(mask)], ["part", "place", "mask"]
+        )
 
 
 def train(df, text="text", lang="lang", sample_rows=SAMPLE_ROWS):
@@ -140,33 +146,31 @@ def train(df, text="text", lang="lang", sample_rows=SAMPLE_ROWS):
     rows = df.select(F.col(text).alias("text"), F.col(lang).alias("lang")).dropna()
     sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
     languages = sorted(sizes, key=lambda x: (-sizes[x], x))
-    if len(languages) > 64:
-        raise ValueError("a mask has room for 64 languages")
     if not languages:
-        return Model([], np.zeros(1 << PLACE_BITS, np.uint64), np.zeros(0))
+        return Model([], np.zeros(1 << PLACE_BITS, np.uint64), np.zeros(0), [])
     number = F.create_map(*[F.lit(x) for i, x in enumerate(languages) for x in (x, i)])[F.col("lang")]
     share = F.create_map(*[F.lit(x) for k in languages for x in (k, min(1.0, sample_rows / sizes[k]))])[F.col("lang")]
     sampled = rows.withColumn("share", share).filter(F.rand(seed=7) < F.col("share"))
     counted = sampled.select("text", number.alias("lang")).mapInArrow(_gram_counts, "gram bigint, lang int, n bigint")
+    counted = counted.groupBy("gram", "lang").agg(F.sum("n").alias("n"))
+    expected = [min(sizes[k], sample_rows) for k in languages]
+    rows_of = F.element_at(F.lit(expected), F.col("lang") + 1)
+    least = F.when(rows_of >= ROWS_FOR_TWO, 2).otherwise(1)
+    counted = counted.withColumn("rate", F.col("n") / rows_of).withColumn("enough", F.col("n") >= least)
     by_gram = counted.groupBy("gram").agg(
-        *[F.sum(F.when(F.col("lang") == i, F.col("n"))).alias(f"n{i}") for i in range(len(languages))]
+        F.max("rate").alias("highest"), F.collect_list(F.struct("lang", "rate", "enough")).alias("found")
     )
-    expected = [min(sizes[k], sample_rows) for k in languages]
-    rates = [F.coalesce(F.col(f"n{i}"), F.lit(0)) / rows_of for i, rows_of in enumerate(expected)]
-    highest = F.greatest(*rates) if len(rates) > 1 else rates[0]
-    mask = F.lit(0).cast("bigint")
-    for i, rate in enumerate(rates):
-        least = 2 if expected[i] >= ROWS_FOR_TWO else 1
-        holds = (F.col(f"n{i}") >= least) & (rate >= SHARE_OF_HIGHEST * highest)
-        bit = (1 << i) - (1 << 64 if i == 63 else 0)
-        mask = mask.bitwiseOR(F.when(holds, F.lit(bit).cast("bigint")).otherwise(F.lit(0).cast("bigint")))
-    held = by_gram.select("gram", mask.alias("mask")).filter("mask <> 0")
-    placed = held.mapInArrow(_place_masks, "place bigint, mask bigint")
-    table = placed.groupBy("place").agg(F.bit_or("mask").alias("mask")).toArrow()
-    masks = np.zeros(1 << PLACE_BITS, np.uint64)
-    masks[table["place"].to_numpy()] = table["mask"].to_numpy().view(np.uint64)
-    fill = np.array([np.count_nonzero(masks >> np.uint64(i) & np.uint64(1)) for i in range(len(languages))])
-    return Model(languages, masks, (fill / len(masks)) ** HASHES)
+    held = by_gram.select("gram", "highest", F.inline("found")).filter(
+        F.col("enough") & (F.col("rate") >= SHARE_OF_HIGHEST * F.col("highest"))
+    )
+    placed = held.select("gram", "lang").mapInArrow(_place_masks, "part int, place bigint, mask bigint")
+    table = placed.groupBy("part", "place").agg(F.bit_or("mask").alias("mask")).toArrow()
+    masks = np.zeros((-(-len(languages) // MASK_BITS), 1 << PLACE_BITS), np.uint64)
+    masks[table["part"].to_numpy(), table["place"].to_numpy()] = table["mask"].to_numpy().view(np.uint64)
+    fill = np.array([
+        np.count_nonzero(masks[i // MASK_BITS] >> np.uint64(i % MASK_BITS) & np.uint64(1)) for i in range(len(languages))
+    ])
+    return Model(languages, masks[0], (fill / masks.shape[1]) ** HASHES, list(masks[1:]))
 
 
 def _bit_counts(masks, owners, texts, languages):
@@ -188,11 +192,13 @@ def predict_texts(model, texts):
         owners = np.array([number for number, _ in group])
         hashes, of = grams([piece for _, piece in group])
         first, *others = places(hashes)
-        masks = model.masks[first]
-        for at in others:
-            masks &= model.masks[at]
-        counts = _bit_counts(masks, of, len(group), known)
-        np.add.at(hits, owners, counts)
+        for part, table in enumerate([model.masks, *model.more]):
+            masks = table[first]
+            for at in others:
+                masks &= table[at]
+            start = part * MASK_BITS
+            counts = _bit_counts(masks, of, len(group), min(MASK_BITS, known - start))
+            np.add.at(hits[:, start : start + MASK_BITS], owners, counts)
         np.add.at(total, owners, np.bincount(of, minlength=len(group)))
     names, scores = [], []
     for text, found, n in zip(texts, hits, total, strict=True):
