@@ -1,0 +1,108 @@
+import re
+from collections import Counter
+
+import pytest
+
+from tests.llm.conftest import ODD_ROWS, ODD_TEXTS
+from tillstar.llm import collocations
+
+
+def plain_counts(rows):
+    """Occurrences of all phrases of one to five words, by language."""
+    f = Counter()
+    for text, lang in rows:
+        lower = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", lower):
+            w = re.findall(r"[^\x20\x09]+", piece)
+            for i in range(len(w)):
+                for k in range(1, min(5, len(w) - i) + 1):
+                    f[lang or "und", tuple(w[i : i + k])] += 1
+    return f
+
+
+def plain(rows, least=100, top=2000):
+    f = plain_counts(rows)
+    found = {}
+    for (lang, w), a in f.items():
+        if len(w) < 2 or a < least:
+            continue
+        longer = [
+            n for (other, v), n in f.items() if other == lang and len(v) > len(w) and n >= a
+            and any(v[i : i + len(w)] == w for i in range(len(v) - len(w) + 1))
+        ]
+        if longer:
+            continue
+        n = sum(x for (other, v), x in f.items() if other == lang and len(v) == 1)
+        cuts = [(1000 * a * n // (f[lang, w[:k]] * f[lang, w[k:]]), k) for k in range(1, len(w))]
+        score, k = min(cuts)
+        found.setdefault(lang, []).append((-score, -a, " ".join(w).encode(), f[lang, w[:k]], f[lang, w[k:]], n))
+    return {
+        (lang, i + 1, p.decode(), -a, l, r, n, -s)
+        for lang, best in found.items() for i, (s, a, p, l, r, n) in enumerate(sorted(best)[:top])
+    }
+
+
+ROWS = [
+    ("Terms of use apply. New York city, new york state! the the the the the", "en"),
+    ("the end of the road\tof the end", "en"), ("New York\nterms of use apply; ÉTÉ Zoë", None),
+    ("a b c d e f g h i j", "en"), ("la fin de la fin de la fin", "fr"), (None, "fr"), ("", None),
+    ("x y z a b c d e f g h q", "en"), ("one two. one two", "en"),
+]
+
+
+@pytest.mark.parametrize("least", [1, 3, 4])
+def test_against_plain(spark, least):
+    rows = ROWS * 3
+    found = collocations.mine(spark.createDataFrame(rows, "text string, lang string"), least=least)
+    assert {tuple(r) for r in found.collect()} == plain(rows, least)
+
+
+def test_blocks_and_top(spark, monkeypatch):
+    rows = [(" ".join(f"w{i * i % 7}" for i in range(200)) + ". end of it", "en")] * 2 + ROWS
+    wanted = plain(rows, 2, top=5)
+    monkeypatch.setattr(collocations, "BLOCK_BYTES", 10)
+    frame = spark.createDataFrame(rows, "text string, lang string")
+    assert {tuple(r) for r in collocations.mine(frame, least=2, top=5).collect()} == wanted
+
+
+def test_blocks_in_one_process(monkeypatch):
+    text = "one two three four five six. seven eight nine ten " * 3 + "x" * 60 + " tail end"
+    whole = Counter()
+    for size in (1_000, 7, 1):
+        monkeypatch.setattr(collocations, "BLOCK_BYTES", size)
+        found = Counter()
+        for block in collocations._blocks(text, 5):
+            words = collocations._Words([block], "en")
+            found.update(words.edges(words.joined, 5).to_pylist())
+        whole = whole or found
+        assert found == whole
+
+
+def test_paths(spark):
+    text = "a b c d e f g h i j"
+    rows = [(text, "en")] * 3 + [("x y z a b c d e f g h q", "en")] * 2 + [("r r r r r r r r", "fr")] * 4
+    nodes, _ = collocations.graph_of(spark.createDataFrame(rows, "text string, lang string"), least=2)
+    found = {tuple(r) for r in collocations.paths(nodes).collect()}
+    assert found == {
+        ("en", "x y z a b c d", 2), ("en", "a b c d e f g h", 5), ("en", "e f g h i j", 3),
+        ("en", "e f g h q", 2), ("fr", "r r r r r", 16),
+    }
+
+
+def test_paths_on_a_circle(spark):
+    rows = [("en", " ".join("abcdef"[(i + k) % 6] for k in range(5)), 7) for i in range(6)]
+    rows += [("en", " ".join("abcdef"[(i + k) % 6] for k in range(4)), 7) for i in range(6)]
+    found = collocations.paths(spark.createDataFrame(rows, "lang string, phrase string, f bigint")).collect()
+    assert sorted(r.phrase for r in found) == sorted(p for _, p, _ in rows[:6])
+
+
+def test_odd_rows(spark, odd, none):
+    # A column named lang, and others with names that the operator uses.
+    rows = [(t, None) for t in ODD_TEXTS] + [("\n", None), ("no id", None), (None, None)]
+    frame = odd.selectExpr("*", "CAST(NULL AS string) AS lang", "'x' AS phrase", "'y' AS gram", "'z' AS n")
+    assert len(rows) == len(ODD_ROWS)
+    assert {tuple(r) for r in collocations.mine(frame, least=1).collect()} == plain(rows, 1)
+    empty = none.selectExpr("*", "CAST(NULL AS string) AS lang")
+    assert collocations.mine(empty).count() == 0
+    nodes, _ = collocations.graph_of(empty)
+    assert collocations.paths(nodes).count() == 0

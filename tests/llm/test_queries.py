@@ -14,9 +14,11 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
+from tests.llm.test_collocations import plain as plain_collocations
 from tests.llm.test_embedding_forest import wanted as wanted_links
 from tests.llm.test_order_minhash import wanted as wanted_order
 from tests.llm.test_pii import plain as plain_spans
+from tests.llm.test_resampling import plain as plain_draw
 from tests.llm.test_simhash import close_pairs, plain_components, plain_fingerprint
 from tests.llm.test_url_filter import plain as plain_verdict
 from tillstar.llm import langid, pii, quality, queries, sql
@@ -152,6 +154,26 @@ def test_op10(run, texts):
         assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [sum(s[0] == k for s in spans) for k in pii.BASE_KINDS]
 
 
+def test_op11(run):
+    rows = table("documents")
+    wanted = plain_collocations(zip(rows.text, rows.lang, strict=True))
+    assert {tuple(r) for r in run("op11_collocations")} == wanted
+
+
+def test_op12(run, texts):
+    wanted = plain_draw(list(texts.items()), table("benchmark").text.tolist())
+    assert sorted((tuple(r) for r in run("op12_resampling")), key=str) == wanted
+
+
+def test_op13_finds_held_out_toxic_documents(run):
+    labels = table("labels").set_index("doc_id").toxic.to_dict()
+    found = run("op13_toxicity")
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) for r in found)
+    out = [(r.predicted, labels[r.doc_id]) for r in found if r.held_out and r.doc_id in labels]
+    toxic, ordinary = ([p for p, label in out if label == x] for x in (1, 0))
+    assert np.mean(ordinary) <= 0.02 and np.mean(toxic or [1]) >= 0.7
+
+
 def test_pipeline(spark, tmp_path):
     """Every stage against the plain version of its decision on the same input."""
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet")

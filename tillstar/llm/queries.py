@@ -3,7 +3,10 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tillstar.llm import byte_bpe, embedding_forest, langid, order_minhash, packing, pii, quality, simhash, url_filter, word_bpe
+from tillstar.llm import (
+    byte_bpe, collocations, embedding_forest, langid, order_minhash, packing, pii, quality, resampling, simhash,
+    toxicity, url_filter, word_bpe,
+)
 from tillstar.llm.common import held_out, read_table
 
 URL_RULES = [
@@ -111,6 +114,30 @@ def op10_pii(spark, sf_dir):
     )
 
 
+def op11_collocations(spark, sf_dir):
+    """Each language's best collocations over all documents."""
+    return collocations.mine(read_table(spark, sf_dir, "documents"))
+
+
+def op12_resampling(spark, sf_dir):
+    """A quarter of the documents, drawn towards the benchmark's distribution."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = resampling.resample(docs, read_table(spark, sf_dir, "benchmark"), keep=["doc_id"])
+    return found.select(F.col("row.doc_id").cast("bigint").alias("doc_id"), "n_features", "weight", "score", "rank")
+
+
+def op13_toxicity(spark, sf_dir):
+    """Toxicity of every document, learned from the labelled ones not held out."""
+    docs = read_table(spark, sf_dir, "documents").select(
+        "doc_id", "text", held_out(F.col("doc_id")).alias("held_out")
+    )
+    model = toxicity.train(docs.filter("not held_out"), read_table(spark, sf_dir, "labels"))
+    found = toxicity.score(docs, model, keep=["doc_id", "held_out"])
+    return found.select(
+        "row.doc_id", "row.held_out", "score", (F.col("score") >= toxicity.PREDICT_FROM).cast("int").alias("predicted")
+    )
+
+
 def registry():
     return {
         "op1_byte_bpe": op1_byte_bpe,
@@ -123,4 +150,7 @@ def registry():
         "op8_quality": op8_quality,
         "op9_simhash": op9_simhash,
         "op10_pii": op10_pii,
+        "op11_collocations": op11_collocations,
+        "op12_resampling": op12_resampling,
+        "op13_toxicity": op13_toxicity,
     }
