@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tillstar.operators import cleaning, quality
 from tillstar.plans import load
-from tillstar.plans.load import load_batch
+from tillstar.plans.load import HISTORY, load_batch
 from tillstar.sources.warehouse import Warehouse
 
 
@@ -390,29 +390,104 @@ def test_shuffles_are_sized_by_what_is_read(spark, lines, tmp_path):
     assert spark.conf.get(key) == before
 
 
-def test_history_gives_facts_the_version_of_their_date(lines, warehouse):
-    from tillstar.plans.load import HISTORY
+def _versions(warehouse, customer=17850):
+    rows = warehouse.read("customer_versions").filter(f"CustomerID = {customer}").collect()
+    found = [(v.Country, v.ValidFrom, v.ValidTo, v.IsCurrent) for v in rows]
+    return sorted(found, key=lambda v: v[1] or date(1, 1, 1))
+
+
+def _countries_of_facts(warehouse):
+    star = warehouse.star()
+    met = star.fact.select("InvoiceNo", "CustomerKey").join(star.customers.select("CustomerKey", "Country"), "CustomerKey")
+    return {r.InvoiceNo: r.Country for r in met.collect()}
+
+
+def _sale(number, day, country="United Kingdom", **more):
+    return {"InvoiceNo": str(number), "InvoiceDate": f"{day} 8:26", "Country": country, **more}
 
-    first = {"InvoiceNo": "1", "InvoiceDate": "12/1/2010 8:26"}
+
+def test_history_gives_facts_the_version_of_their_date(lines, warehouse):
+    first = _sale(1, "12/1/2010")
     load_batch(lines(first), warehouse)
-    same = {"InvoiceNo": "2", "InvoiceDate": "12/2/2010 8:26"}
-    moved = {"InvoiceNo": "3", "InvoiceDate": "12/9/2010 8:26", "Country": "France"}
-    load_batch(lines(same), warehouse, customers=HISTORY)
+    moved = _sale(3, "12/9/2010", "France")
+    load_batch(lines(_sale(2, "12/2/2010")), warehouse, customers=HISTORY)
+    # The source has grown: the first row comes again.
     load_batch(lines(first, moved, {**moved, "InvoiceNo": "4", "CustomerID": 5.0}), warehouse, customers=HISTORY)
-    versions = warehouse.read("customer_versions").orderBy("CustomerKey").collect()
-    found = [(v.CustomerID, v.Country, v.ValidFrom, v.ValidTo, v.IsCurrent) for v in versions]
-    # The batch's first row, an old one, has the known country first; the customer stays as it is.
-    assert found == [(17850, "United Kingdom", None, None, True), (5, "France", None, None, True)]
-    later = {**moved, "InvoiceNo": "5", "InvoiceDate": "12/10/2010 8:26"}
-    load_batch(lines(later), warehouse, customers=HISTORY)
-    versions = warehouse.read("customer_versions").filter("CustomerID = 17850").orderBy("CustomerKey").collect()
-    day = date(2010, 12, 10)
-    assert [(v.Country, v.ValidFrom, v.ValidTo, v.IsCurrent) for v in versions] == [
-        ("United Kingdom", None, day, False), ("France", day, None, True)
-    ]
-    star = warehouse.star()
-    of = {r.InvoiceNo: r.Country for r in star.fact.select("InvoiceNo", "CustomerKey").join(
-        star.customers.select("CustomerKey", "Country"), "CustomerKey").collect()}
-    assert of == {"1": "United Kingdom", "2": "United Kingdom", "3": "United Kingdom", "4": "France", "5": "France"}
-    with pytest.raises(ValueError):
-        load_batch(lines(later), warehouse, customers=HISTORY, use_mark=False)
+    day = date(2010, 12, 9)
+    assert _versions(warehouse) == [("United Kingdom", None, day, False), ("France", day, None, True)]
+    assert _versions(warehouse, 5) == [("France", None, None, True)]
+    load_batch(lines(_sale(5, "12/10/2010", "France")), warehouse, customers=HISTORY)
+    assert len(_versions(warehouse)) == 2
+    uk, france = "United Kingdom", "France"
+    assert _countries_of_facts(warehouse) == {"1": uk, "2": uk, "3": france, "4": france, "5": france}
+    customers = {(r.CustomerID, r.Country): r for r in warehouse.star().customers.collect()}
+    assert customers[17850, "France"].LastPurchaseDate == date(2010, 12, 10)
+    assert customers[17850, uk].LastPurchaseDate == date(2010, 12, 2)
+
+
+def test_a_country_changes_within_a_batch_and_back(lines, warehouse):
+    other = _sale(9, "3/1/2011", CustomerID=8.0)
+    rows = [_sale(1, "3/1/2011", "France"), _sale(2, "3/20/2011", "Spain"), _sale(3, "3/25/2011", None), _sale(4, "4/2/2011", "France")]
+    load_batch(lines(other, *rows), warehouse, customers=HISTORY)
+    spain, back = date(2011, 3, 20), date(2011, 4, 2)
+    assert _versions(warehouse) == [("France", None, spain, False), ("Spain", spain, back, False), ("France", back, None, True)]
+    assert _countries_of_facts(warehouse) == {"9": "United Kingdom", "1": "France", "2": "Spain", "3": "Spain", "4": "France"}
+    keys = [r.CustomerKey for r in warehouse.star().customers.collect()]
+    assert sorted(keys) == [1, 2, 3, 4]
+
+
+def test_versions_and_facts_do_not_depend_on_the_order_of_batches(lines, new_warehouse):
+    batches = [
+        [_sale(1, "1/5/2011", "France"), _sale(2, "2/5/2011", "France"), _sale(3, "5/5/2011", "France")],
+        [_sale(4, "2/1/2011", "Spain"), _sale(5, "2/9/2011", None), _sale(6, "4/9/2011", "Spain")],
+        [_sale(7, "1/1/2011", "Italy"), {**_sale(8, "2/5/2011", "Spain"), "InvoiceDate": "2/5/2011 7:00"}, _sale(9, "6/1/2011", None, CustomerID=4.0)],
+    ]
+    found = []
+    for n, order in enumerate(([0, 1, 2], [2, 1, 0], [1, 0, 2, 0])):
+        warehouse = new_warehouse(f"order{n}")
+        for i in order:
+            load_batch(lines(*batches[i]), warehouse, customers=HISTORY, use_mark=False)
+        assert quality.reference_check(warehouse.star()).filter("orphans > 0").count() == 0
+        keys = [r.SalesKey for r in warehouse.star().fact.collect()]
+        assert len(set(keys)) == len(keys) == 9
+        found.append((_versions(warehouse), _versions(warehouse, 4), _countries_of_facts(warehouse)))
+    assert found[0] == found[1] == found[2]
+    versions, unknown, countries = found[0]
+    assert [v[0] for v in versions] == ["Italy", "France", "Spain", "France"]
+    assert unknown == [(None, None, None, True)] and countries["2"] == "Spain" and countries["9"] is None
+
+
+def test_rewritten_months_replace_only_themselves(lines, warehouse):
+    load_batch(lines(_sale(1, "1/5/2011", "France"), _sale(2, "2/5/2011", "France"), _sale(3, "3/5/2011", "France")), warehouse, customers=HISTORY)
+    load_batch(lines(_sale(4, "2/1/2011", "Spain"), _sale(5, "3/1/2011", "France")), warehouse, customers=HISTORY, use_mark=False)
+    state = warehouse.state()
+    # From 5 February on there is a second French version; January stays as it was written.
+    assert {k for k in state.bases if "/" in k} == {"fact_sales/201102", "fact_sales/201103"}
+    assert _countries_of_facts(warehouse) == {"1": "France", "2": "France", "3": "France", "4": "Spain", "5": "France"}
+    assert warehouse.star().fact.select("CustomerKey").distinct().count() == 3
+    warehouse.compact()
+    assert _countries_of_facts(warehouse) == {"1": "France", "2": "France", "3": "France", "4": "Spain", "5": "France"}
+    assert not any("/" in k for k in warehouse.state().bases)
+    load_batch(lines(_sale(6, "2/2/2011", "France")), warehouse, customers=HISTORY, use_mark=False)
+    assert _countries_of_facts(warehouse)["2"] == "France" and len(_versions(warehouse)) == 3
+
+
+def test_old_rows_of_a_late_start_say_what_was_before(lines, new_warehouse):
+    warehouse = new_warehouse("late")
+    load_batch(lines(_sale(1, "1/5/2011", CustomerID=2.0)), warehouse, customers=HISTORY)
+    load_batch(lines(_sale(2, "1/2/2011", "France"), _sale(3, "2/5/2011", "Spain")), warehouse, customers=HISTORY)
+    day = date(2011, 2, 5)
+    assert _versions(warehouse) == [("France", None, day, False), ("Spain", day, None, True)]
+
+
+def test_an_update_takes_the_latest_known_country_of_new_sales(lines, new_warehouse):
+    old, new = _sale(1, "1/5/2011", "France"), _sale(2, "2/5/2011", "Spain")
+    for name, second in {"grown": [old, new], "alone": [new]}.items():
+        warehouse = new_warehouse(name)
+        load_batch(lines(old), warehouse)
+        load_batch(lines(*second, _sale(3, "2/6/2011", None)), warehouse, customers="update")
+        assert [r.Country for r in warehouse.star().customers.collect()] == ["Spain"]
+        # An earlier sale that comes later changes nothing but the dates.
+        load_batch(lines(_sale(4, "1/1/2011", "Italy")), warehouse, customers="update", use_mark=False)
+        row = warehouse.star().customers.first()
+        assert (row.Country, row.FirstPurchaseDate) == ("Spain", date(2011, 1, 1))

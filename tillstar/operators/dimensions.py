@@ -95,6 +95,14 @@ def customers_of(values):
     )
 
 
+def latest_countries(values):
+    """The country each customer was last seen with, and when; of two at a time the later name."""
+    known = F.when(F.col("Country").isNotNull(), F.struct("latest", "Country"))
+    return values.groupBy("CustomerID").agg(F.max(known).alias("_last")).select(
+        "CustomerID", F.col("_last.Country").alias("Country"), F.col("_last.latest").alias("SeenLast")
+    )
+
+
 def all_values(rows):
     """What product_values(), customer_values() and sale_dates() give of rows whose copies are not
     removed (copies change none of it), in one pass.

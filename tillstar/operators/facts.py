@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from tillstar.functions import dates, money
+from tillstar.operators import history
 from tillstar.operators.lookup import attach_key
 from tillstar.schemas import FACT_SALES, REJECTS, ROW_HASH, TEXT_LIMITS
 
@@ -24,15 +25,21 @@ def new_mark(cleaned):
     return cleaned.agg(F.max("InvoiceDate").alias("LastLoadedDate"))
 
 
-def not_loaded(rows, fact, first, last):
-    """Rows that are not copies of published facts of the months from first to last.
+def months_of(rows):
+    """The months of dated rows, as YYYYMM numbers: as many as the calendar has at most."""
+    found = rows.select(dates.month_of_key(F.col("DateKey")).alias("month")).filter("month IS NOT NULL").distinct()
+    return sorted(r.month for r in found.collect())
+
+
+def not_loaded(rows, fact, months):
+    """Rows that are not copies of published facts of these months.
 
     A copy has the same hash of its untouched columns; the columns that a fact keeps as they were
-    are compared as well.
+    are compared as well. The months are literals, so that other partitions are not even listed for
+    reading, those between a late row's month and the others least of all.
     """
     same = [ROW_HASH.name, "InvoiceNo", "DateKey", "Quantity"]
-    months = [day.year * 100 + day.month for day in (first, last)]
-    known = fact.filter(F.col("SalesMonth").between(*months)).select(*same)
+    known = fact.filter(F.col("SalesMonth").isin(months)).select(*same)
     return rows.join(known, same, "left_anti")
 
 
@@ -55,22 +62,9 @@ def resolve(rows, products, customers):
 def resolve_versions(rows, products, versions):
     """As resolve(), with the customer's version that is valid on the row's date."""
     keyed = attach_key(rows, products, "StockCode", "ProductKey")
-    spans = versions.select(
-        F.col("CustomerID").cast("bigint").alias("CustomerID"), "CustomerKey", "ValidFrom", "ValidTo"
-    )
-    # A customer's versions as one row, so that the lookup keeps the number of rows.
-    spans = spans.groupBy("CustomerID").agg(
-        F.collect_list(F.struct("CustomerKey", "ValidFrom", "ValidTo")).alias("versions")
-    )
-    day = F.to_date("InvoiceDate")
-    valid = F.filter(
-        "versions",
-        lambda v: (v["ValidFrom"].isNull() | (v["ValidFrom"] <= day))
-        & (v["ValidTo"].isNull() | (v["ValidTo"] > day)),
-    )
-    placed = attach_key(keyed, spans, "CustomerID", "versions", source=rows)
-    placed = placed.withColumn("CustomerKey", F.get(valid, F.lit(0))["CustomerKey"]).drop("versions")
-    return placed.withColumn("Reason", reject_reason())
+    placed = attach_key(keyed, history.spans_of(versions), "CustomerID", "versions", source=rows)
+    key = history.key_on(F.col("versions"), F.to_date("InvoiceDate"))
+    return placed.withColumn("CustomerKey", key).drop("versions").withColumn("Reason", reject_reason())
 
 
 def reject_reason():

@@ -1,8 +1,9 @@
 """Dimension updates, for users who want more than insert-if-absent.
 
 The load keeps a known customer's row as it is. These operators fold a later rollup into the
-dimension instead: in place (type 1) or with history (type 2). Each is one full outer join on
-the business key, dimension-sized on both sides.
+dimension instead: in place (type 1) or as snapshots with history (type 2). Each is one full outer
+join on the business key, dimension-sized on both sides. Versions by the dates of the sales
+themselves are in history.py.
 """
 
 from functools import reduce
@@ -38,40 +39,22 @@ def update_in_place(existing, rollup, last_key):
     return known.select(columns).unionAll(numbered.select(columns))
 
 
-def update_versions(versions, rollup, as_of, last_key):
-    """Type 2 with a key per version: the versions of customers after a batch.
+def taking_over(rollup, existing, latest):
+    """A batch's rollup with the country that known customers take over, NULL if they take none.
 
-    A known customer whose latest known country differs gets a new version from as_of on, under a
-    new key, and the current one ends there. Otherwise the current version takes over the wider
-    dates. A new customer's version is valid from ever.
+    latest: the customers' latest known countries among new sales, with the moment they were seen.
+    A country seen before the last purchase that is known does not take over. Customers who are new
+    get their latest country, or else the rollup's.
     """
-    columns = ["CustomerKey", "CustomerID", *TRACKED, "ValidFrom", "ValidTo", "IsCurrent"]
-    today, never = F.lit(as_of).cast("date"), F.lit(None).cast("date")
-    old = versions.filter("IsCurrent").withColumn("CustomerID", F.col("CustomerID").cast("bigint"))
-    met = old.alias("old").join(rollup.alias("new"), "CustomerID", "full_outer")
-    known = F.col("old.CustomerKey").isNotNull()
-    differs = known & F.col("new.Country").isNotNull() & ~F.col("new.Country").eqNullSafe(F.col("old.Country"))
-
-    def version(key, country, first, last, since, until, current):
-        values = [key, F.col("CustomerID"), country, first, last, since, until, F.lit(current)]
-        return F.struct(*[v.alias(c) for v, c in zip(values, columns, strict=True)])
-
-    no_key = F.lit(None).cast("bigint")
-    key, country = F.col("old.CustomerKey"), F.col("old.Country")
-    first = F.least("old.FirstPurchaseDate", "new.FirstPurchaseDate")
-    last = F.greatest("old.LastPurchaseDate", "new.LastPurchaseDate")
-    since = F.col("old.ValidFrom")
-    ended = version(key, country, F.col("old.FirstPurchaseDate"), F.col("old.LastPurchaseDate"), since, today, False)
-    opened = version(no_key, F.col("new.Country"), first, last, today, never, True)
-    same = version(key, country, first, last, since, never, True)
-    new = version(no_key, F.col("new.Country"), first, last, never, never, True)
-    found = F.when(differs, F.array(ended, opened)).when(known, F.array(same)).otherwise(F.array(new))
-    latest = met.select(F.inline(found))
-    numbered = assign_surrogate_keys(
-        latest.filter(F.col("CustomerKey").isNull()).drop("CustomerKey"), "CustomerID", "CustomerKey", last_key
-    )
-    kept = versions.filter("NOT IsCurrent").unionByName(latest.filter(F.col("CustomerKey").isNotNull()))
-    return kept.select(columns).unionByName(numbered.select(columns))
+    old = existing.select(
+        F.col("CustomerID").cast("bigint").alias("CustomerID"), F.lit(True).alias("_known"),
+        F.col("Country").alias("_was"), F.col("LastPurchaseDate").alias("_until"),
+    )
+    seen = latest.select("CustomerID", F.col("Country").alias("_now"), F.to_date("SeenLast").alias("_on"))
+    met = rollup.join(seen, "CustomerID", "left").join(old, "CustomerID", "left")
+    newer = F.col("_until").isNull() | (F.col("_on") >= F.col("_until"))
+    country = F.when(F.col("_known") & F.col("_was").isNotNull(), F.when(newer, F.col("_now"))).otherwise(F.coalesce("_now", "Country"))
+    return met.withColumn("Country", country).select(rollup.columns)
 
 
 def start_history(rows, since):

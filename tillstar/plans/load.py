@@ -15,13 +15,14 @@ from functools import reduce
 from pyspark import inheritable_thread_target
 from pyspark.sql import functions as F
 
-from tillstar.operators import cleaning, dimensions, facts, keys, updates
+from tillstar.operators import cleaning, dimensions, facts, history, keys, updates
 from tillstar.schemas import (
     AUDIT,
     CLEAN_COLUMNS,
     MALFORMED_LINE,
     ROW_HASH,
     SOURCE_POSITION,
+    TEXT_LIMITS,
 )
 from tillstar.session import sized_shuffles
 from tillstar.sources.frames import as_raw
@@ -45,7 +46,8 @@ class LoadReport:
 
 @dataclass
 class _Load:
-    """One load under way. values: what the dimensions need of old rows, if there are any."""
+    """One load under way. values: what the dimensions need of old rows, if there are any. moved: the
+    customers and days whose earlier facts belong to another version now, if there are any."""
 
     warehouse: object
     load_id: int
@@ -53,6 +55,7 @@ class _Load:
     summary: object
     cleaned: object
     values: object = None
+    moved: object = None
 
     def of(self, part, own, columns):
         """The batch's values of one dimension, those of the old rows included."""
@@ -73,17 +76,16 @@ def load_batch(
     its stream, kept in the state by stream, so that a repeated batch is skipped. strict: a bad
     date, a fractional id or a malformed line fails the batch; otherwise such rows are set aside
     with the other rejects. customers: "insert" leaves known customers as they are, "update" takes
-    over a later known country and widens their dates, "history" gives a customer with another
-    country a new version, valid from the batch's first new date on, which facts from then on point
-    to; it needs the mark. A warehouse stays with one of the last two. partitions: of the shuffles, instead of a
+    over the latest known country of new sales and widens the dates, "history" keeps a version of a
+    customer, with a key of its own, for each stretch of days with one country; facts point to the
+    version of their day, also if later batches change which one that is. A warehouse stays with
+    one of the last two. partitions: of the shuffles, instead of a
     number from the size of what is read.
     """
     raw = as_raw(raw)
     state = warehouse.state()
     if state is None:
         raise ValueError(f"{warehouse.root} has no load state; call create() first")
-    if customers == HISTORY and not use_mark:
-        raise ValueError("history needs the high-water mark")
     if batch is not None and batch <= state.batches.get(stream, -1):
         log.info("batch %s is already loaded", batch)
         return LoadReport(state.load_id, state.mark)
@@ -145,6 +147,7 @@ def _load(raw, warehouse, state, use_mark, strict, customers):
         bases["dim_customer"] = load_id
     if customers == HISTORY:
         bases["customer_versions"] = load_id
+    bases |= {f"fact_sales/{month}": load_id for month in loaded["rewritten"]}
     return LoadReport(load_id, new_mark, added, rejected, nulls), replace(
         state, load_id=load_id, mark=new_mark, last_sales_key=loaded["last_key"], bases=bases
     )
@@ -251,52 +254,94 @@ def _update_customers(load):
     existing = warehouse.read("dim_customer", load_id - 1)
     known = existing.agg(F.count(F.lit(1)).alias("rows"), F.max("CustomerKey").alias("last")).first()
     good = rolled.filter(F.col("Reason").isNull()).drop("Reason")
+    latest = dimensions.latest_countries(dimensions.customer_values(_fitting(load.cleaned)))
+    good = updates.taking_over(good, existing, latest)
     warehouse.write("dim_customer", load_id, updates.update_in_place(existing, good, known["last"] or 0))
     written = warehouse.read_load("dim_customer", load_id).count()
     return written - known["rows"], [facts.as_rejects(rolled, "dim_customer")]
 
 
+def _fitting(rows):
+    """Rows whose country fits the dimension."""
+    country = F.col("Country")
+    return rows.filter(country.isNull() | (F.length(country) <= TEXT_LIMITS["dim_customer"]["Country"]))
+
+
 def _keep_versions(load):
-    """The versions of all customers anew, and the dimension with a row for each."""
-    warehouse, load_id, summary = load.warehouse, load.load_id, load.summary
+    """The versions of all customers anew, and the dimension with a row for each.
+
+    Only customers with days that were not known are worked on; the others' versions are copied.
+    """
+    warehouse, load_id = load.warehouse, load.load_id
     rolled = warehouse.write_working(
         "new_dim_customer", _rolled_up_customers(load).withColumn("Reason", facts.customer_reason())
     )
+    good = rolled.filter(F.col("Reason").isNull()).drop("Reason")
     versions = warehouse.read("customer_versions", load_id - 1)
-    if versions.isEmpty():
+    starts = versions.isEmpty()
+    if starts:
         # What earlier loads have inserted is valid from ever.
-        versions = warehouse.read("dim_customer", load_id - 1).withColumns({
+        customers = warehouse.read("dim_customer", load_id - 1)
+        versions = customers.withColumns({
             "ValidFrom": F.lit(None).cast("date"), "ValidTo": F.lit(None).cast("date"), "IsCurrent": F.lit(True),
         })
+        sold = history.days_of_facts(warehouse.read("fact_sales", load_id - 1), customers)
+        days = warehouse.write_working("first_days", history.merged(sold, history.from_ever(customers)))
+    else:
+        days = warehouse.read("customer_days", load_id - 1)
+    added = history.sale_days(_fitting(load.cleaned)).join(good, "CustomerID", "left_semi")
+    added = added.unionByName(_days_from_ever(load, good, versions, added))
+    added = warehouse.write_working("added_days", added)
+    met = days.join(added.select("CustomerID").distinct(), "CustomerID", "left_semi")
+    met = history.merged(met, added.limit(0))
+    changed = warehouse.write_working("changed_days", history.changed_days(met, added))
+    whose = changed.select("CustomerID").distinct()
+    met = warehouse.write_working("met_days", met.join(whose, "CustomerID", "left_semi"))
+
+    by_id = versions.withColumn("CustomerID", F.col("CustomerID").cast("bigint"))
+    old = by_id.join(whose, "CustomerID", "left_semi")
     known = versions.agg(F.count(F.lit(1)).alias("rows"), F.max("CustomerKey").alias("last")).first()
-    good = rolled.filter(F.col("Reason").isNull()).drop("Reason")
-    if summary["due_first"] is None:
-        # Without new sales no customer changes.
-        good = good.join(versions.select(F.col("CustomerID").cast("bigint").alias("CustomerID")), "CustomerID", "left_anti")
-    new = updates.update_versions(versions, good, summary["due_first"], known["last"] or 0)
-    warehouse.write("customer_versions", load_id, new)
+    keyed = warehouse.write_working("keyed", history.keyed(history.intervals(history.merged(met, changed)), old))
+    new = warehouse.write_working("new_versions", history.numbered(keyed, known["last"] or 0))
+    kept = by_id.join(whose, "CustomerID", "left_anti")
+    warehouse.write("customer_versions", load_id, kept.unionByName(new))
+    warehouse.write("customer_days", load_id, history.merged(days, changed) if starts else changed)
     written = warehouse.read_load("customer_versions", load_id)
     warehouse.write("dim_customer", load_id, written)
+    moved = warehouse.write_working("moved", history.moved_days(met, old, new))
+    load.moved = None if moved.isEmpty() else moved
     return written.count() - known["rows"], [facts.as_rejects(rolled, "dim_customer")]
 
 
+def _days_from_ever(load, good, versions, added):
+    """What new customers have had from ever: their country in rows at or before the mark, if there
+    are any, or the batch's if they have no dated sale."""
+    known = versions.select(F.col("CustomerID").cast("bigint").alias("CustomerID"))
+    new = good.join(known, "CustomerID", "left_anti")
+    undated = new.join(added, "CustomerID", "left_anti")
+    if load.values is None:
+        return history.from_ever(undated)
+    before = dimensions.latest_countries(_fitting(load.values.filter("part = 'customer'")))
+    old = before.join(new, "CustomerID", "left_semi")
+    return history.from_ever(old).unionByName(history.from_ever(undated.join(old, "CustomerID", "left_anti")))
+
+
 CUSTOMERS = {INSERT: _insert_customers, UPDATE: _update_customers, HISTORY: _keep_versions}
 
 
 def _load_facts(load, use_mark, customers):
-    """Append the increment. Returns the rows written and set aside with the last SalesKey, and the
-    latter rows as rejects."""
+    """Append the increment, and rewrite the months whose facts change versions. Returns the rows
+    written and set aside with the last SalesKey, and the latter rows as rejects."""
     warehouse, load_id, summary = load.warehouse, load.load_id, load.summary
-    nothing = {"good": 0, "bad": 0, "last_key": load.base.last_sales_key}
+    last_key = load.base.last_sales_key
     if summary["due_rows"] == 0:
         log.info("load %s: no new rows", load_id)
         warehouse.write_nothing("fact_sales", load_id)
-        return nothing, None
+        return {"good": 0, "bad": 0, "last_key": last_key, "rewritten": []}, None
 
-    first, last = summary["due_first"], summary["due_last"]
     due = load.cleaned.filter(F.col("InvoiceDate").isNotNull())
     if not use_mark and load_id > 1:
-        due = facts.not_loaded(due, warehouse.read("fact_sales", load_id - 1), first, last)
+        due = facts.not_loaded(due, warehouse.read("fact_sales", load_id - 1), facts.months_of(due))
     products = warehouse.read("dim_product", load_id)
     if customers == HISTORY:
         versions = warehouse.read_load("customer_versions", load_id)
@@ -310,16 +355,27 @@ def _load_facts(load, use_mark, customers):
     sizes = resolved.agg(
         F.count_if(F.col("Reason").isNull()).alias("good"), F.count("Reason").alias("bad")
     ).first()
-    rejects = facts.as_rejects(resolved, "fact_sales")
-    if not sizes["good"]:
-        warehouse.write_nothing("fact_sales", load_id)
-        return {**nothing, "bad": sizes["bad"]}, rejects
+    first, last = summary["due_first"], summary["due_last"]
     months = (last.year - first.year) * 12 + last.month - first.month + 1
     parts = int(warehouse.spark.conf.get("spark.sql.shuffle.partitions"))
-    placed = facts.lay_out(facts.fact_rows(resolved), months, parts)
-    warehouse.write("fact_sales", load_id, keys.assign_sales_keys(placed, load.base.last_sales_key))
-    last_key = warehouse.read_load("fact_sales", load_id).agg(F.max("SalesKey")).first()[0]
-    return {"good": sizes["good"], "bad": sizes["bad"], "last_key": last_key}, rejects
+    rows, rewritten = None, []
+    if sizes["good"]:
+        placed = facts.lay_out(facts.fact_rows(resolved), months, parts)
+        rows = keys.assign_sales_keys(placed, last_key)
+    if load.moved is not None:
+        rewritten = facts.months_of(load.moved)
+        old = warehouse.read("fact_sales", load_id - 1).filter(F.col("SalesMonth").isin(rewritten))
+        log.info("load %s: rewriting months %s", load_id, rewritten)
+        old = history.rekeyed(old, load.moved).hint("rebalance", "SalesMonth")
+        old = old.sortWithinPartitions("SalesMonth", "DateKey", "InvoiceNo")
+        rows = old if rows is None else rows.unionByName(old)
+    if rows is None:
+        warehouse.write_nothing("fact_sales", load_id)
+    else:
+        warehouse.write("fact_sales", load_id, rows)
+        last_key = max(last_key, warehouse.read_load("fact_sales", load_id).agg(F.max("SalesKey")).first()[0] or 0)
+    loaded = {"good": sizes["good"], "bad": sizes["bad"], "last_key": last_key, "rewritten": rewritten}
+    return loaded, facts.as_rejects(resolved, "fact_sales")
 
 
 def _write_rejects(warehouse, load_id, rejects):

@@ -88,6 +88,16 @@ CUSTOMER_VERSIONS = T.StructType(
     ]
 )
 
+# What versions are made from: the days of a customer's sales, with the first known country of each.
+CUSTOMER_DAYS = T.StructType(
+    [
+        T.StructField("CustomerID", T.LongType(), False),
+        T.StructField("Day", T.DateType(), False),
+        T.StructField("Moment", T.TimestampNTZType()),
+        T.StructField("Country", T.StringType()),
+    ]
+)
+
 FACT_SALES = T.StructType(
     [
         T.StructField("SalesKey", T.LongType(), False),

@@ -77,8 +77,8 @@ def read_csv(spark, path, multi_line=False, keep_position=True, strict=True):
 
     multi_line allows line breaks inside quoted fields, but then a file is one task; leave it
     off for big files (without it, a line break in quotes makes its line malformed). keep_position
-    numbers the rows in scan order, which is file order for a single file, so that "first row wins"
-    means the first row of the file.
+    numbers the rows in the order of the files' paths and of the lines in them, so that "first row wins"
+    means the first row of the folder, whatever order the files are scanned in.
     """
     try:
         text = (
@@ -87,10 +87,43 @@ def read_csv(spark, path, multi_line=False, keep_position=True, strict=True):
     except AnalysisException as problem:
         raise SourceUnavailable(f"cannot read {path}: {problem}") from problem
     if keep_position:
-        text = text.withColumn(SOURCE_POSITION, F.monotonically_increasing_id())
+        text = _with_position(text, path)
     return from_text(text, strict)
 
 
+# A position is the number of a stretch of the folder's bytes, above the row's number in its task.
+_ROW_BITS = 33
+_STRETCHES = 1 << 30
+_LEAST_STRETCH = 4096
+
+
+def _with_position(text, path):
+    """Rows with SOURCE_POSITION, a number that grows with the file's path and the place in the file.
+
+    A split of a file is read by one task, in order; the number of the stretch its first byte is in
+    puts splits in order. Stretches are counted through the files as sorted by path, about 2 ** 30 of
+    them however large the folder is, so that a position stays a long and minima of it fit hash
+    aggregates. The only list is that of the files, which the driver holds to plan any scan.
+    """
+    spark = text.sparkSession
+    listed = spark.read.format("binaryFile").load(path).select("_metadata.file_path", "_metadata.file_size")
+    files = sorted((r.file_path, r.file_size) for r in listed.collect())
+    stretch = max(_LEAST_STRETCH, sum(size for _, size in files) // _STRETCHES + 1)
+    first, starts = 0, []
+    for name, size in files:
+        starts.append((name, first))
+        first += size // stretch + 1
+    row = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
+    placed = text.select("*", "_metadata.file_path", "_metadata.file_block_start", row.alias("_row"))
+    if len(starts) > 1:
+        table = spark.createDataFrame(starts, "file_path string, _first long")
+        placed = placed.join(F.broadcast(table), "file_path", "left")
+    else:
+        placed = placed.withColumn("_first", F.lit(0).cast("long"))
+    place = F.col("_first") + F.floor(F.col("file_block_start") / stretch)
+    return placed.select(*text.columns, (F.shiftleft(place, _ROW_BITS) + F.col("_row")).alias(SOURCE_POSITION))
+
+
 def source_profile(raw):
     """Row count, column count and column names of a source, as one row."""
     names = [c for c in raw.columns if c not in OPTIONAL_COLUMNS]

@@ -4,6 +4,7 @@
     <root>/dim_product/load_id=<n>/
     <root>/dim_customer/load_id=<n>/
     <root>/customer_versions/load_id=<n>/   only of loads that keep history
+    <root>/customer_days/load_id=<n>/       likewise
     <root>/fact_sales/load_id=<n>/SalesMonth=<yyyymm>/
     <root>/rejects/load_id=<n>/
     <root>/load_audit/load_id=<n>/
@@ -17,7 +18,8 @@ is whole. One writer at a time.
 
 The state also says from which load id on each table counts: compact() writes a table's rows as one
 part under a new id, and an update of a dimension replaces it whole; either way the older parts
-stay for readers that have begun, until the next compaction.
+stay for readers that have begun, until the next compaction. Months of facts that a load rewrites, because
+versions of customers have changed, count from that load on.
 """
 
 import uuid
@@ -47,6 +49,7 @@ STORED = {
     "dim_product": schemas.DIM_PRODUCT,
     "dim_customer": schemas.DIM_CUSTOMER,
     "customer_versions": schemas.CUSTOMER_VERSIONS,
+    "customer_days": schemas.CUSTOMER_DAYS,
     "dim_date": schemas.DIM_DATE,
     "rejects": schemas.REJECTS,
     "load_audit": schemas.AUDIT,
@@ -59,7 +62,8 @@ DEFAULT_SEED = datetime(1900, 1, 1)
 
 @dataclass(frozen=True)
 class State:
-    """batches: last batch number by stream. bases: first load id that counts, by table."""
+    """batches: last batch number by stream. bases: first load id that counts, by table, or by
+    table/month for months that were rewritten since."""
 
     load_id: int
     mark: datetime | None
@@ -247,10 +251,13 @@ class Warehouse:
         state = self.state()
         schema = T.StructType([*STORED[table].fields, LOAD_ID])
         rows = self.spark.read.schema(schema).parquet(self.path(table))
-        loads = F.col("load_id").between(
-            state.bases.get(table, 0), state.load_id if upto is None else upto
-        )
-        return rows.filter(loads).drop("load_id")
+        last = state.load_id if upto is None else upto
+        first = F.lit(state.bases.get(table, 0))
+        rewritten = {int(k.split("/")[1]): v for k, v in state.bases.items() if k.startswith(f"{table}/")}
+        if rewritten:
+            # On partition columns only, so parts that no longer count are not read.
+            first = F.coalesce(F.element_at(_as_map(rewritten), F.col("SalesMonth")), first)
+        return rows.filter(F.col("load_id").between(first, F.lit(last))).drop("load_id")
 
     def read_load(self, table, load_id):
         """Rows one load added."""

@@ -636,35 +636,51 @@ def _varied(sql):
     )
     for plain in ("l2_first_product", "l4_customer_rollup"):
         sql[f"{plain}_varied"] = sql[plain].replace(RAW, raw)
-    late_rows = f"late AS (SELECT * FROM clean WHERE InvoiceDate > TIMESTAMP '{EARLY_CUT}')"
-    rollups = [
-        DIM_CUSTOMER.replace("FROM clean", f"FROM {rows}").replace("dim_customer AS", f"{rows}_customer AS")
-        for rows in ("early", "late")
-    ]
+    in_folder = """
+named AS (
+  SELECT *, row_number() OVER (PARTITION BY StockCode ORDER BY
+    CASE WHEN number % 10 < 1 THEN 1 WHEN number % 10 < 8 THEN 2 ELSE 3 END, number, Description NULLS FIRST) AS place
+  FROM (SELECT *, CAST(InvoiceNo AS INTEGER) AS number FROM clean)
+)"""
+    sql["l2_first_product_folder"] = upto(
+        CLEAN, "SELECT StockCode, Description FROM named WHERE place = 1", in_folder
+    ).replace(RAW, raw)
+    # The latest known country of each customer.
+    latest = DIM_CUSTOMER.replace("ORDER BY InvoiceDate, Country", "ORDER BY InvoiceDate DESC, Country DESC")
+    sql["x2_load_updates_customers_varied"] = upto(CLEAN, "SELECT * FROM dim_customer", latest).replace(RAW, raw)
     versions = """
-since AS (SELECT CAST(MIN(InvoiceDate) AS DATE) AS day FROM late),
-both_customer AS (
-  SELECT coalesce(e.CustomerID, n.CustomerID) AS CustomerID, e.CustomerID IS NOT NULL AS known,
-         e.Country AS was, n.Country AS now,
-         e.CustomerID IS NOT NULL AND n.Country IS NOT NULL AND n.Country IS DISTINCT FROM e.Country
-           AS changed
-  FROM early_customer e FULL JOIN late_customer n ON e.CustomerID = n.CustomerID
+named AS (
+  SELECT CustomerID, CAST(InvoiceDate AS DATE) AS day, Country, row_number() OVER (
+    PARTITION BY CustomerID, CAST(InvoiceDate AS DATE) ORDER BY InvoiceDate, Country) AS rn
+  FROM clean WHERE Country IS NOT NULL
+),
+known AS (
+  SELECT *, lag(Country) OVER (PARTITION BY CustomerID ORDER BY day) AS before FROM named WHERE rn = 1
 ),
-early_sold AS (SELECT CustomerID, COUNT(*) AS n FROM early GROUP BY CustomerID),
-late_sold AS (SELECT CustomerID, COUNT(*) AS n FROM late GROUP BY CustomerID)"""
-    sql["x2_load_keeps_history"] = upto(
+starts AS (
+  SELECT CustomerID, Country, day, lead(day) OVER (PARTITION BY CustomerID ORDER BY day) AS until,
+         row_number() OVER (PARTITION BY CustomerID ORDER BY day) AS n
+  FROM known WHERE before IS NULL OR before <> Country
+),
+versions AS (
+  SELECT CustomerID, Country, CASE WHEN n > 1 THEN day END AS ValidFrom, until AS ValidTo FROM starts
+  UNION ALL
+  SELECT DISTINCT CustomerID, NULL, NULL, NULL FROM clean WHERE CustomerID NOT IN (SELECT CustomerID FROM known)
+)"""
+    history = upto(
         CLEAN,
         """
-SELECT b.CustomerID, CASE WHEN known THEN was ELSE now END AS Country, CAST(NULL AS DATE) AS ValidFrom,
-       CASE WHEN changed THEN day END AS ValidTo, NOT changed AS IsCurrent,
-       CAST(coalesce(e.n, 0) + CASE WHEN changed THEN 0 ELSE coalesce(l.n, 0) END AS BIGINT) AS facts
-FROM both_customer b CROSS JOIN since
-LEFT JOIN early_sold e ON e.CustomerID = b.CustomerID LEFT JOIN late_sold l ON l.CustomerID = b.CustomerID
-UNION ALL
-SELECT b.CustomerID, now, day, NULL, TRUE, CAST(l.n AS BIGINT)
-FROM both_customer b CROSS JOIN since JOIN late_sold l ON l.CustomerID = b.CustomerID WHERE changed""",
-        EARLY_KEYS, late_rows, *rollups, versions,
+SELECT CAST(v.CustomerID AS INTEGER) AS CustomerID, v.Country, ValidFrom, ValidTo, ValidTo IS NULL AS IsCurrent,
+       CAST(COUNT(c.InvoiceNo) AS BIGINT) AS facts
+FROM versions v LEFT JOIN clean c ON c.CustomerID = v.CustomerID
+  AND (ValidFrom IS NULL OR CAST(c.InvoiceDate AS DATE) >= ValidFrom)
+  AND (ValidTo IS NULL OR CAST(c.InvoiceDate AS DATE) < ValidTo)
+GROUP BY ALL""",
+        versions,
     ).replace(RAW, raw)
+    # Whatever the order and the cut of the loads.
+    for name in ("x2_load_keeps_history", "x2_history_any_order", "x2_history_stream"):
+        sql[name] = history
 
 
 def _broken(sql):

@@ -294,12 +294,12 @@ def _order_number(rows):
     return F.regexp_replace("InvoiceNo", "C", "").cast("int")
 
 
-def _streamed(spark, folder):
+def _streamed(spark, folder, varied=False, **options):
     """A warehouse loaded by a stream of four slices, each of which spans all dates, so that most
     rows arrive after later ones; some invoices come in two slices."""
     root = new_folder(spark, "stream")
     landing = f"{root}/landing"
-    raw = raw_sales(spark, folder)
+    raw = raw_sales(spark, folder, varied)
     number = _order_number(raw)
     files = spark.sparkContext.defaultParallelism
     for i in reversed(range(SLICES)):
@@ -309,7 +309,7 @@ def _streamed(spark, folder):
         raw.filter(inside).repartition(files).write.mode("append").parquet(landing)
     warehouse = Warehouse(spark, f"{root}/star").create()
     stream = read_parquet_stream(spark, landing, maxFilesPerTrigger=files)
-    start_load(stream, warehouse).awaitTermination()
+    start_load(stream, warehouse, **options).awaitTermination()
     return warehouse
 
 
@@ -372,13 +372,42 @@ def updated_customers(spark, folder):
     return warehouse.star().customers.select("CustomerID", *updates.TRACKED)
 
 
+def updated_varied_customers(spark, folder):
+    """Two loads of a source that grows, over countries that change: the latest known one stays."""
+    warehouse = Warehouse(spark, new_folder(spark, "updated_varied")).create()
+    raw = raw_sales(spark, folder, varied=True)
+    moment = F.to_timestamp_ntz("InvoiceDate", F.lit(INVOICE_DATE_FORMAT))
+    for part in (raw.filter(moment <= _timestamp(EARLY_CUT)), raw):
+        load_batch(part, warehouse, customers="update")
+    return warehouse.star().customers.select("CustomerID", *updates.TRACKED)
+
+
 def customer_history(spark, folder):
-    """Two loads that keep history, over countries that change; with the facts of each version."""
+    """Two loads that keep history, over countries that change, the second of the grown source."""
     warehouse = Warehouse(spark, new_folder(spark, "history")).create()
     raw = raw_sales(spark, folder, varied=True)
     early = F.to_timestamp_ntz("InvoiceDate", F.lit(INVOICE_DATE_FORMAT)) <= _timestamp(EARLY_CUT)
-    for part in (early, ~early):
-        load_batch(raw.filter(part), warehouse, customers="history")
+    for part in (raw.filter(early), raw):
+        load_batch(part, warehouse, customers="history")
+    return _versions_with_facts(warehouse)
+
+
+def history_any_order(spark, folder):
+    """Three loads that span all dates each, so that later ones split versions and move facts."""
+    warehouse = Warehouse(spark, new_folder(spark, "any_order")).create()
+    raw = raw_sales(spark, folder, varied=True)
+    for i in (2, 0, 1):
+        load_batch(raw.filter(_order_number(raw) % 3 == i), warehouse, customers="history", use_mark=False)
+    return _versions_with_facts(warehouse)
+
+
+def history_in_a_stream(spark, folder):
+    """The same from a stream."""
+    return _versions_with_facts(_streamed(spark, folder, varied=True, customers="history"))
+
+
+def _versions_with_facts(warehouse):
+    """The versions of all customers, with the number of facts that point to each."""
     sold = warehouse.star().fact.groupBy("CustomerKey").agg(F.count(F.lit(1)).alias("facts"))
     return warehouse.read("customer_versions").join(sold, "CustomerKey", "left").select(
         "CustomerID", "Country", "ValidFrom", "ValidTo", "IsCurrent",
@@ -386,6 +415,26 @@ def customer_history(spark, folder):
     )
 
 
+# Fixed value: the sizes of the folder fixture's files, as tenths of the orders, by path.
+FILES = {"a": 1, "b": 7, "c": 2}
+
+
+def folder_order(spark, folder):
+    """First products of a folder of CSV files of unlike size, by path and line."""
+    root = new_folder(spark, "folder_csv")
+    raw = raw_sales(spark, folder, varied=True)
+    tenth, start = _order_number(raw) % 10, 0
+    for name, size in FILES.items():
+        part = raw.filter(tenth.between(start, start + size - 1)).withColumn("number", _order_number(raw))
+        rows = part.coalesce(1).sortWithinPartitions("number", "StockCode", F.asc_nulls_first("Description")).drop("number")
+        rows.write.options(
+            header=True, encoding="ISO-8859-1", quote='"', escape='"',
+            ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
+        ).csv(f"{root}/{name}")
+        start += size
+    return dimensions.first_products(cleaning.clean(read_csv(spark, f"{root}/*")))
+
+
 def dim_update(spark, folder):
     cleaned = cleaned_rows(spark, folder)
     existing = keys.assign_surrogate_keys(
@@ -507,6 +556,10 @@ def registry():
         "x1_stream_audit": stream_audit,
         "x2_load_updates_customers": updated_customers,
         "x2_load_keeps_history": customer_history,
+        "x2_load_updates_customers_varied": updated_varied_customers,
+        "x2_history_any_order": history_any_order,
+        "x2_history_stream": history_in_a_stream,
+        "l2_first_product_folder": folder_order,
         "s9_view_by_sql": view_by_sql,
         "a1_flat_top_customers": _on_flat(flat.top_customers),
         "a2_flat_top_countries": _on_flat(flat.top_countries),
