@@ -55,6 +55,21 @@ def test_rows(spark, odd, none):
     assert langid.predict(none, model).count() == 0
 
 
+def test_layout_and_size_do_not_matter(spark):
+    rows = [(i, (EN, FR, DE)[i % 3] + " " + " ".join(f"x{chr(97 + i % 26)}{chr(97 + i // 26)}q" for _ in range(3)), ("en", "fr", "de")[i % 3]) for i in range(150)]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    found = []
+    for layout in (frame.coalesce(1), frame.repartition(5, "text")):
+        model = langid.train(layout, sample_rows=30)
+        found.append((model.masks.tolist(), model.false_rates.tolist()))
+    assert found[0] == found[1]
+    # One row more or less changes no rule: grams of a single row count with 49 rows as with 50.
+    own = langid.grams([rows[0][1].split()[-1]])[0]
+    for n in (147, 150):
+        model = langid.train(frame.filter(f"doc_id < {n}"))
+        assert all((np.bitwise_and.reduce([model.masks[p] for p in langid.places(own)]) != 0))
+
+
 def test_nothing_to_learn_from(spark):
     model = trained(spark, [(None, "en"), ("text", None)])
     assert langid.predict_texts(model, [EN]) == (["und"], [0.0])

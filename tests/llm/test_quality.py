@@ -46,6 +46,17 @@ def test_train_and_score(spark, documents, odd, none):
     assert quality.score(none, model).count() == 0
 
 
+def test_layout_does_not_matter(spark, documents):
+    rows = [(i, good(i)) for i in range(60)] + [(i, bad(i)) for i in range(60, 90)] + [(1, bad(500))]
+    labels = spark.createDataFrame([(i, int(i < 60)) for i in range(90) if i % 3], "doc_id bigint, quality int")
+    docs = documents(*rows)
+    scores = []
+    for layout in (docs.coalesce(1), docs.repartition(7, "doc_id").sortWithinPartitions("text")):
+        model = quality.train(layout, labels, positive_rows=30, unlabelled_rows=40)
+        scores.append(quality.score_texts(model, [t for _, t in rows]).tolist())
+    assert scores[0] == scores[1]
+
+
 def test_nothing_to_learn_from(spark, documents):
     docs = documents((1, "a"), (2, "b"))
     labels = spark.createDataFrame([], "doc_id bigint, quality int")

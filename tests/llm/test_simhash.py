@@ -3,6 +3,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import pytest
 import xxhash
 
 from tests.llm.conftest import ODD_ROWS
@@ -120,6 +121,17 @@ def test_rows(odd, none):
     assert simhash.groups(none).count() == 0
 
 
+@pytest.mark.parametrize("broadcast_keys", [0, 1_000])
+def test_keep_one_by_either_path(documents, broadcast_keys):
+    base = " ".join(f"w{i}" for i in range(200))
+    rows = [(5, base), (3, base + " end"), (9, base), (7, "something else here"), (7, "something else here"), (2, "alone in this table of texts")]
+    docs = documents(*rows, (None, base), more="fp string, row string, best string")
+    kept = simhash.keep_one(docs, broadcast_keys=broadcast_keys)
+    assert kept.columns == docs.columns
+    groups = {r.doc_id: r.component_id for r in simhash.groups(docs).collect() if r.doc_id is not None}
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(set(groups.values()))
+
+
 def test_keep_one(documents, none):
     text = "one two three four five six seven eight"
     docs = documents((5, text), (3, text.upper()), (3, text.upper()), (9, "other words are here now"), (None, text), (None, "x"), (None, "x"))

@@ -3,6 +3,7 @@
 import uuid
 
 import pyarrow as pa
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
@@ -27,6 +28,14 @@ def held_out(doc_id):
     return F.crc32(text.cast("binary")) % 5 == 0
 
 
+def sampled(df, share, seed, *columns):
+    """About that share (a number or column) of the rows, the same ones whatever the layout: by a
+    hash of these columns. They must tell rows apart, or copies come and go together."""
+    place = F.pmod(F.xxhash64(F.lit(seed), *[F.col(c) for c in columns]), F.lit(1 << 40))
+    share = share if isinstance(share, Column) else F.lit(float(share))
+    return df.filter(place < share * float(1 << 40))
+
+
 def written(df, name):
     """The frame as a Parquet table in the shared folder: computed once, safe from lost executors."""
     folder = f"{shared_folder(df.sparkSession)}/llm-{uuid.uuid4().hex[:12]}/{name}"

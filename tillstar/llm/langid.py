@@ -6,8 +6,8 @@ language, so that the AND of the masks at an n-gram's places gives all languages
 set bits are counted per language, the hits expected from false positives are taken off, and the
 language with most hits left decides.
 
-Training uses a sample of at most about SAMPLE_ROWS rows of each language (every row of a language
-is equally likely to be in it); prediction reads whole texts. The filter's size does not
+Training uses a sample of at most about SAMPLE_ROWS rows of each language, chosen by a hash of the id
+and text, so the model is the same whatever the layout; the same rates decide at every size. Prediction reads whole texts. The filter's size does not
 grow with the rows: 2 ** PLACE_BITS masks of 8 bytes are broadcast for every 64 languages.
 
 Defined results: a null text, or one without a letter, is "und" with score 0; a text none of whose
@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from tillstar.llm.common import map_rows
+from tillstar.llm.common import map_rows, sampled, written
 
 GRAM = 4
 PLACE_BITS = 20
@@ -30,8 +30,8 @@ HASHES = 3
 SAMPLE_ROWS = 2_000
 # A language holds an n-gram if its rate there is at least this share of its highest rate.
 SHARE_OF_HIGHEST = 0.25
-# Once a language has so many sampled rows, an n-gram must be in two of them.
-ROWS_FOR_TWO = 50
+# And if it is in at least this share of the language's sampled rows.
+LEAST_RATE = 0.001
 PIECE_CHARS = 200_000
 MASK_BITS = 64
 UNKNOWN = "und"
@@ -112,18 +112,22 @@ def _pieces(texts):
         yield group
 
 
+# Stands for the number of rows among the counts of n-grams.
+_ROWS = 0
+
+
 def _gram_counts(batches):
-    """Number of rows with each n-gram, by language, as far as this task has seen."""
+    """Number of rows with each n-gram, and of all rows, by language, as far as this task has seen."""
     for batch in batches:
         texts, langs = batch.column(0).to_pylist(), batch.column(1).to_numpy()
-        found = []
+        if not len(langs):
+            continue
+        found = [np.stack([np.full(len(langs), _ROWS), np.arange(len(langs))], axis=1)]
         for group in _pieces(texts):
             owners = np.array([number for number, _ in group])
             hashes, of = grams([piece for _, piece in group])
             rows = np.stack([hashes.view(np.int64), owners[of]], axis=1)
-            found.append(np.unique(rows, axis=0))
-        if not found:
-            continue
+            found.append(np.unique(rows[rows[:, 0] != _ROWS], axis=0))
         rows = np.unique(np.concatenate(found), axis=0)
         pairs, n = np.unique(np.stack([rows[:, 0], langs[rows[:, 1]]], axis=1), axis=0, return_counts=True)
         yield pa.RecordBatch.from_arrays(
@@ -141,27 +145,29 @@ def _place_masks(batches):
         )
 
 
-def train(df, text="text", lang="lang", sample_rows=SAMPLE_ROWS):
-    """A model from labelled rows; rows without text or language are left out."""
-    rows = df.select(F.col(text).alias("text"), F.col(lang).alias("lang")).dropna()
+def train(df, text="text", lang="lang", sample_rows=SAMPLE_ROWS, doc_id="doc_id"):
+    """A model from labelled rows; rows without text or language are left out.
+
+    doc_id, if there is such a column, tells rows of one text apart when the sample is drawn.
+    """
+    key = F.col(doc_id) if doc_id in df.columns else F.lit(None)
+    rows = df.select(F.col(text).alias("text"), F.col(lang).alias("lang"), key.cast("string").alias("key"))
+    rows = rows.dropna(subset=["text", "lang"])
     sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
     languages = sorted(sizes, key=lambda x: (-sizes[x], x))
     if not languages:
         return Model([], np.zeros(1 << PLACE_BITS, np.uint64), np.zeros(0), [])
     number = F.create_map(*[F.lit(x) for i, x in enumerate(languages) for x in (x, i)])[F.col("lang")]
     share = F.create_map(*[F.lit(x) for k in languages for x in (k, min(1.0, sample_rows / sizes[k]))])[F.col("lang")]
-    sampled = rows.withColumn("share", share).filter(F.rand(seed=7) < F.col("share"))
-    counted = sampled.select("text", number.alias("lang")).mapInArrow(_gram_counts, "gram bigint, lang int, n bigint")
-    counted = counted.groupBy("gram", "lang").agg(F.sum("n").alias("n"))
-    expected = [min(sizes[k], sample_rows) for k in languages]
-    rows_of = F.element_at(F.lit(expected), F.col("lang") + 1)
-    least = F.when(rows_of >= ROWS_FOR_TWO, 2).otherwise(1)
-    counted = counted.withColumn("rate", F.col("n") / rows_of).withColumn("enough", F.col("n") >= least)
-    by_gram = counted.groupBy("gram").agg(
-        F.max("rate").alias("highest"), F.collect_list(F.struct("lang", "rate", "enough")).alias("found")
-    )
+    drawn = sampled(rows.withColumn("share", share), F.col("share"), 7, "key", "text")
+    counted = drawn.select("text", number.alias("lang")).mapInArrow(_gram_counts, "gram bigint, lang int, n bigint")
+    # About sample_rows texts a language, so small.
+    counted = written(counted.groupBy("gram", "lang").agg(F.sum("n").alias("n")), "grams")
+    rows_of = counted.filter(F.col("gram") == _ROWS).select("lang", F.col("n").alias("rows"))
+    rated = counted.filter(F.col("gram") != _ROWS).join(rows_of, "lang").withColumn("rate", F.col("n") / F.col("rows"))
+    by_gram = rated.groupBy("gram").agg(F.max("rate").alias("highest"), F.collect_list(F.struct("lang", "rate")).alias("found"))
     held = by_gram.select("gram", "highest", F.inline("found")).filter(
-        F.col("enough") & (F.col("rate") >= SHARE_OF_HIGHEST * F.col("highest"))
+        (F.col("rate") >= LEAST_RATE) & (F.col("rate") >= SHARE_OF_HIGHEST * F.col("highest"))
     )
     placed = held.select("gram", "lang").mapInArrow(_place_masks, "part int, place bigint, mask bigint")
     table = placed.groupBy("part", "place").agg(F.bit_or("mask").alias("mask")).toArrow()

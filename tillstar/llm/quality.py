@@ -12,8 +12,9 @@ the prior is the least ratio of the unlabelled share to the positive share above
 
 Features are shares, so long and short texts compare: letter cases, marks, repeated words and
 lines, and pairs of neighbouring character shapes. Fitting uses a sample of about POSITIVE_ROWS
-positives and UNLABELLED_ROWS unlabelled rows; only their feature vectors reach the driver. Scores
-use whole texts.
+positives and UNLABELLED_ROWS unlabelled rows; only their feature vectors reach the driver. The rows
+are chosen by hashes and fitted in an order of their own, so the model is the same whatever the
+layout of the tables and the number of tasks. Scores use whole texts.
 
 Defined results: a null text counts as empty; an empty text has all-zero features and so a score like
 any other; without positives or unlabelled rows every score is 0.5; equal texts have equal
@@ -26,7 +27,7 @@ from dataclasses import dataclass
 import numpy as np
 from pyspark.sql import functions as F
 
-from tillstar.llm.common import map_rows, written
+from tillstar.llm.common import map_rows, sampled, written
 
 POSITIVE_ROWS = 6_000
 UNLABELLED_ROWS = 12_000
@@ -199,31 +200,31 @@ def score_texts(model, texts):
     return _sigmoid(x @ np.append(model.weights, model.bias))
 
 
-def _sampled(df, rows, seed):
-    total = df.count()
-    return df.filter(F.rand(seed=seed) < F.lit(min(1.0, rows / max(1, total))))
-
-
 def _vectors(df, text):
     def make():
         return lambda texts: [[features(t or "").tobytes() for t in texts.to_pylist()]]
 
     rows = map_rows(df.select(F.col(text).alias("text")), [F.col("text")], make, {"x": "binary"}, keep=["text"])
-    found = rows.select("x").toArrow()["x"].to_pylist()
+    # Rows arrive in any order; theirs is by content, then mixed.
+    found = sorted(rows.select("x").toArrow()["x"].to_pylist())
+    found = [found[i] for i in np.random.default_rng(len(found)).permutation(len(found))]
     return np.frombuffer(b"".join(found), np.float32).reshape(len(found), len(features("")))
 
 
 def train(docs, labels, text="text", positive_rows=POSITIVE_ROWS, unlabelled_rows=UNLABELLED_ROWS):
     """A model from the documents that labels call good and from all documents, unlabelled.
 
-    Positives are sampled by id, before any text is read; of rows that repeat an id, one counts.
+    Positives are sampled by id, before any text is read; of rows that repeat an id, the one with the
+    least text counts.
     """
     good = labels.filter("quality = 1").select("doc_id").distinct()
     known = docs.select("doc_id").distinct().join(good, "doc_id", "left_semi")
     # About positive_rows ids, so small enough to broadcast.
-    chosen = written(_sampled(known, positive_rows, 3), "positives")
-    positives = docs.join(F.broadcast(chosen), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return fit(_vectors(positives, text), _vectors(_sampled(docs, unlabelled_rows, 5), text))
+    chosen = written(sampled(known, positive_rows / max(1, known.count()), 3, "doc_id"), "positives")
+    rows = docs.select("doc_id", F.col(text).alias("text"))
+    positives = rows.join(F.broadcast(chosen), "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text"))
+    unlabelled = sampled(rows, unlabelled_rows / max(1, docs.count()), 5, "doc_id", "text")
+    return fit(_vectors(positives, "text"), _vectors(unlabelled, "text"))
 
 
 def score(df, model, text="text", keep=None):

@@ -222,11 +222,8 @@ def links(classes, bits=BITS, run_rows=RUN_ROWS):
     return found.distinct()
 
 
-def groups(df, doc_id="doc_id", text="text", words=SHINGLE_WORDS, bits=BITS):
-    """One row per document: doc_id, text_hash, fp, root, component_id.
-
-    component_id is the smallest id reachable by links, root a fingerprint of the component.
-    """
+def _placed(df, doc_id, text, words, bits):
+    """(doc_id, text_hash, fp) of all documents, and (fp, least_id, root) of all fingerprints."""
     source = df.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     source = source.withColumn("text_hash", F.xxhash64("text"))
     made = fingerprints(source, words=words, keep=["doc_id", "text_hash"])
@@ -236,33 +233,58 @@ def groups(df, doc_id="doc_id", text="text", words=SHINGLE_WORDS, bits=BITS):
     placed = classes.join(components, classes["fp"] == components["node"], "left").select(
         "fp", "least_id", F.coalesce("component", "fp").alias("root")
     )
-    placed = written(placed, "placed")
+    return docs, written(placed, "placed")
+
+
+def groups(df, doc_id="doc_id", text="text", words=SHINGLE_WORDS, bits=BITS):
+    """One row per document: doc_id, text_hash, fp, root, component_id.
+
+    component_id is the smallest id reachable by links, root a fingerprint of the component.
+    """
+    docs, placed = _placed(df, doc_id, text, words, bits)
     least = placed.groupBy("root").agg(F.min("least_id").alias("component_id"))
     of_fp = placed.join(least, "root")
     return docs.join(of_fp, "fp").select("doc_id", "text_hash", "fp", "root", "component_id")
 
 
-def keep_one(df, doc_id="doc_id", text="text", words=SHINGLE_WORDS, bits=BITS):
+# Keys of rows to drop that are broadcast, 17 bytes each and as much again in a hash table: 100 MB.
+BROADCAST_KEYS = 1_000_000
+
+
+def keep_one(df, doc_id="doc_id", text="text", words=SHINGLE_WORDS, bits=BITS, broadcast_keys=BROADCAST_KEYS):
     """The rows of df without near-duplicates: of each group the row with the smallest id.
 
     Null ids come last; of rows equal in id, the one with the smaller text hash stays, of rows equal
-    in both, one.
+    in both, one. Which rows go is decided on keys alone, by minima that are taken map-side, so no
+    group, however large, meets in one task. Up to `broadcast_keys` keys to drop are broadcast, and
+    the texts stay where they are; beyond, texts and keys meet in a shuffle.
     """
-    grouped = groups(df, doc_id, text, words, bits)
-    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
-    best = grouped.groupBy("root").agg(F.min(order).alias("best"))
-    kept = best.select(
-        F.col("best.none").alias("_none"),
-        F.coalesce("best.doc_id", F.lit(0)).alias("_id"),
-        F.col("best.text_hash").alias("_hash"),
+    docs, placed = _placed(df, doc_id, text, words, bits)
+    keys = ["_none", "_id", "_hash"]
+    ids = docs.select(
+        F.col("doc_id").isNull().alias("_none"), F.coalesce("doc_id", F.lit(0)).alias("_id"), F.col("text_hash").alias("_hash"), "fp"
     )
-    keyed = df.select(
+    best = F.min(F.struct(*keys)).alias("best")
+    best_of_fp = ids.groupBy("fp").agg(best)
+    kept = placed.join(best_of_fp, "fp").groupBy("root").agg(F.min("best").alias("best")).select("best.*")
+    counted = ids.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    marked = counted.join(kept.withColumn("_kept", F.lit(True)), keys, "left")
+    # Keys that go, and keys that stay but once.
+    marked = written(marked.filter("_kept IS NULL OR _n > 1").select(*keys, F.col("_kept").isNotNull().alias("_kept")), "marked")
+
+    def small(keys_of):
+        return F.broadcast(keys_of) if keys_of.count() <= broadcast_keys else keys_of
+
+    rows = df.select(
         F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"),
         F.col(doc_id).isNull().alias("_none"),
         F.coalesce(F.col(doc_id), F.lit(0)).alias("_id"),
         F.xxhash64(text).alias("_hash"),
     )
-    keys = ["_none", "_id", "_hash"]
-    place = F.row_number().over(Window.partitionBy(*keys).orderBy("_id"))
-    one = keyed.join(kept, keys, "left_semi").withColumn("_place", place).filter("_place = 1")
-    return one.select(*[F.col(f"row.`{c}`").alias(c) for c in df.columns])
+    rows = rows.join(small(marked.filter("NOT _kept").select(keys)), keys, "left_anti")
+    repeated = marked.filter("_kept").select(keys)
+    if not repeated.isEmpty():
+        place = F.row_number().over(Window.partitionBy(*keys).orderBy("_id"))
+        first = rows.join(small(repeated), keys, "left_semi").withColumn("_place", place).filter("_place = 1").drop("_place")
+        rows = rows.join(small(repeated), keys, "left_anti").unionByName(first)
+    return rows.select(*[F.col(f"row.`{c}`").alias(c) for c in df.columns])

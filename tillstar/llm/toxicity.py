@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillstar.llm.common import map_rows, written
+from tillstar.llm.common import map_rows, sampled, written
 
 DISCOUNT = 3.0
 SHARED_DISCOUNT = 0.75
@@ -263,17 +263,15 @@ def _logarithm(evidence):
 def train(docs, labels, text="text", fit_rows=FIT_ROWS):
     """A model from labelled documents."""
     marked = labels.filter(F.col("toxic").isin(0, 1)).select("doc_id", F.col("toxic").cast("int").alias("toxic")).distinct()
-    rows = docs.select("doc_id", F.col(text).alias("text")).join(marked, "doc_id").select("text", "toxic")
-    counted = written(word_counts(rows), "words")
+    rows = docs.select("doc_id", F.col(text).alias("text")).join(marked, "doc_id")
+    counted = written(word_counts(rows.select("text", "toxic")), "words")
     nodes = written(tree(counted), "tree")
     table = written(ratios(written(steps_of(nodes), "steps")), "ratios")
     sizes = {r["toxic"]: r["count"] for r in rows.groupBy("toxic").count().collect()}
     if len(sizes) < 2:
         return Model(None, 0.0, 0.0)
-    # The same rows whatever the layout: chosen by their text.
-    share = min(1.0, fit_rows / sum(sizes.values()))
-    chosen = rows.filter(F.pmod(F.xxhash64("text", F.lit(11)), F.lit(1 << 20)) < int(share * (1 << 20)))
-    found = with_evidence(chosen, table, "text", keep=["toxic"]).select("row.toxic", "evidence").toArrow()
+    chosen = sampled(rows, fit_rows / sum(sizes.values()), 11, "doc_id", "text")
+    found = with_evidence(chosen.select("text", "toxic"), table, "text", keep=["toxic"]).select("row.toxic", "evidence").toArrow()
     pairs = sorted(zip(found["evidence"].to_pylist(), found["toxic"].to_pylist(), strict=True))
     if len({toxic for _, toxic in pairs}) < 2:
         return Model(table, 1.0, -1.0)
