@@ -153,25 +153,26 @@ def date_range_check(star, first=None, last=None):
     )
 
 
-# Labels of the quality summary, in report order.
-FACT_LABELS = [
-    "Total fact_sales records",
-    "Orphaned facts (missing product)",
-    "Orphaned facts (missing customer)",
-    "Orphaned facts (missing date)",
-    "Invalid quantities (<=0)",
-    "Invalid prices (<=0)",
-    "Negative sales amounts",
-]
-DIMENSION_LABELS = {
-    "dim_date": "Unique dates (dim_date)",
-    "dim_product": "Unique products (dim_product)",
-    "dim_customer": "Unique customers (dim_customer)",
+# Labels of the quality summary, in report order, and what is counted under each.
+SUMMARY_LABELS = {
+    "Total fact_sales records": "n0",
+    "Unique dates (dim_date)": "dim_date",
+    "Unique products (dim_product)": "dim_product",
+    "Unique customers (dim_customer)": "dim_customer",
+    "Orphaned facts (missing product)": "n1",
+    "Orphaned facts (missing customer)": "n2",
+    "Orphaned facts (missing date)": "n3",
+    "Invalid quantities (<=0)": "n4",
+    "Invalid prices (<=0)": "n5",
+    "Negative sales amounts": "n6",
 }
 
 
 def quality_summary(star):
-    """Labelled counts over all tables; the fact table is read once for its seven counts."""
+    """Labelled counts over all tables, in report order; the fact table is read once for its seven.
+
+    Four frames of one row each become one, so that one ordered array of all counts can be made.
+    """
     counted = star.fact.agg(
         F.count(F.lit(1)).alias("n0"),
         F.count_if(F.col("ProductKey").isNull()).alias("n1"),
@@ -181,12 +182,10 @@ def quality_summary(star):
         F.count_if(F.col("UnitPrice") <= 0).alias("n5"),
         F.count_if(F.col("TotalSalesAmount") < 0).alias("n6"),
     )
-    names = ["QualityCheck", "RecordCount"]
-    parts = [
-        _as_rows(counted, names, [((label,), f"n{i}") for i, label in enumerate(FACT_LABELS)])
-    ]
     tables = star_tables(star)
-    for name, label in DIMENSION_LABELS.items():
-        rows = tables[name].agg(F.count(F.lit(1)).alias("n"))
-        parts.append(_as_rows(rows, names, [((label,), "n")]))
-    return _union(parts)
+    for name in [n for n in SUMMARY_LABELS.values() if n in tables]:
+        rows = tables[name].agg(F.count(F.lit(1)).alias(name))
+        counted = counted.unionByName(rows, allowMissingColumns=True)
+    counted = counted.agg(*[F.max(count).alias(count) for count in SUMMARY_LABELS.values()])
+    names = ["QualityCheck", "RecordCount"]
+    return _as_rows(counted, names, [((label,), count) for label, count in SUMMARY_LABELS.items()])
