@@ -129,10 +129,9 @@ def steps_of(nodes):
     ).filter(F.col("in_toxic") > DISCOUNT)
     # In how many contexts a letter follows: as many rows as there are letters.
     follows = inner.groupBy("letter").agg(F.count(F.lit(1)).alias("contexts"))
-    met = inner.join(contexts, "parent").join(follows, "letter").crossJoin(
-        F.broadcast(follows.agg(F.sum("contexts").alias("all_contexts")))
-    )
-    back = F.col("contexts") / F.col("all_contexts")
+    met = inner.join(contexts, "parent").join(follows, "letter")
+    # All pairs of a context and a letter that follows: the nodes themselves.
+    back = F.col("contexts") / F.lit(max(1, inner.count()))
     shared = (F.col("both") - SHARED_DISCOUNT + SHARED_DISCOUNT * F.col("kinds") * back) / (F.col("in_toxic") + F.col("in_ordinary"))
     toxic = _class_share(F.col("toxic"), F.col("in_toxic"), F.col("freed_toxic"), shared)
     ordinary = _class_share(F.col("ordinary"), F.col("in_ordinary"), F.col("freed_ordinary"), shared)
