@@ -43,6 +43,26 @@ def written(df, name):
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
+# Keys that hold more than this part of all rows are joined by broadcast: fewer keys than this number.
+HEAVY_KEYS = 1_000
+
+
+def attached(rows, table, key, size):
+    """Rows joined with a written table that is unique by key and counts its rows in the column `size`.
+
+    A key with more than one in HEAVY_KEYS of all rows is broadcast, so that no task meets all rows of
+    a hot key; there are fewer than HEAVY_KEYS such keys at any size. The others meet by their key.
+    Rows without a key, or with one the table does not have, are left out.
+    """
+    total = table.agg(F.sum(size)).first()[0] or 0
+    heavy = F.col(size) * HEAVY_KEYS > total
+    hot = table.filter(heavy)
+    if hot.isEmpty():
+        return rows.join(table, key)
+    rest = rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(table.filter(~heavy), key)
+    return rows.join(F.broadcast(hot), key).unionByName(rest)
+
+
 def map_rows(df, inputs, make, columns, keep=None):
     """Add computed columns to rows by a Python function over slices of Arrow batches.
 
