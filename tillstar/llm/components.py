@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from tillstar.llm.common import written
+from tillstar.llm.common import attached, written
 
 
 def connected_components(links):
@@ -42,5 +42,5 @@ def connected_components(links):
         moves = step.select(F.col("a").alias("root"), F.col("to").alias("new_root"))
         placed = placed.join(moves, "root", "left").select("node", F.coalesce("new_root", "root").alias("root"))
     placed = written(placed, "roots")
-    least = placed.groupBy("root").agg(F.least(F.min("node"), F.col("root")).alias("component"))
-    return placed.join(least, "root").select("node", "component")
+    least = placed.groupBy("root").agg(F.least(F.min("node"), F.col("root")).alias("component"), F.count(F.lit(1)).alias("n"))
+    return attached(placed, written(least, "components"), "root", "n").select("node", "component")

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tillstar.llm.common import map_rows, written
+from tillstar.llm.common import attached, map_rows, written
 from tillstar.llm.components import connected_components
 
 BITS = 4
@@ -223,15 +223,15 @@ def links(classes, bits=BITS, run_rows=RUN_ROWS):
 
 
 def _placed(df, doc_id, text, words, bits):
-    """(doc_id, text_hash, fp) of all documents, and (fp, least_id, root) of all fingerprints."""
+    """(doc_id, text_hash, fp) of all documents, and (fp, least_id, rows, root) of all fingerprints."""
     source = df.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     source = source.withColumn("text_hash", F.xxhash64("text"))
     made = fingerprints(source, words=words, keep=["doc_id", "text_hash"])
     docs = written(made.select("row.doc_id", "row.text_hash", "fp"), "fingerprints")
-    classes = written(docs.groupBy("fp").agg(F.min("doc_id").alias("least_id")), "classes")
+    classes = written(docs.groupBy("fp").agg(F.min("doc_id").alias("least_id"), F.count(F.lit(1)).alias("rows")), "classes")
     components = connected_components(links(classes, bits))
     placed = classes.join(components, classes["fp"] == components["node"], "left").select(
-        "fp", "least_id", F.coalesce("component", "fp").alias("root")
+        "fp", "least_id", "rows", F.coalesce("component", "fp").alias("root")
     )
     return docs, written(placed, "placed")
 
@@ -242,9 +242,9 @@ def groups(df, doc_id="doc_id", text="text", words=SHINGLE_WORDS, bits=BITS):
     component_id is the smallest id reachable by links, root a fingerprint of the component.
     """
     docs, placed = _placed(df, doc_id, text, words, bits)
-    least = placed.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    of_fp = placed.join(least, "root")
-    return docs.join(of_fp, "fp").select("doc_id", "text_hash", "fp", "root", "component_id")
+    least = placed.groupBy("root").agg(F.min("least_id").alias("component_id"), F.count(F.lit(1)).alias("n"))
+    of_fp = attached(placed, written(least, "least"), "root", "n").select("fp", "root", "rows", "component_id")
+    return attached(docs, written(of_fp, "of_fp"), "fp", "rows").select("doc_id", "text_hash", "fp", "root", "component_id")
 
 
 # Keys of rows to drop that are broadcast, 17 bytes each and as much again in a hash table: 100 MB.
