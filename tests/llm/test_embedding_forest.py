@@ -90,3 +90,42 @@ def test_recall_of_links_in_deep_trees(spark, levels):
     assert dense.sum() >= 700 and (got <= counts).all()
     assert got[dense].sum() >= 0.999 * counts[dense].sum() and (got[dense] >= 0.99 * counts[dense]).all()
     assert got[~dense].sum() >= 0.99 * counts[~dense].sum()
+
+
+def spread_groups(kind, size=4_000, dims=64, seed=8):
+    """Vectors without a dense centre, each second one a copy moved to a cosine of 0.901."""
+    rng = np.random.default_rng(seed)
+
+    def units(vectors):
+        return vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+
+    one = np.zeros((size // 2, dims))
+    if kind == "cone":
+        one = units(rng.standard_normal(one.shape)) * np.sqrt(0.4) + units(rng.standard_normal((1, dims))) * np.sqrt(0.6)
+    else:
+        one[:, :kind] = rng.standard_normal((size // 2, kind))
+    one = units(one)
+    across = np.zeros(one.shape)
+    wide = dims if kind == "cone" else kind
+    across[:, :wide] = rng.standard_normal((size // 2, wide))
+    across = units(across - (across * one).sum(axis=1, keepdims=True) * one)
+    return one, units(0.901 * one + np.sqrt(1 - 0.901**2) * across)
+
+
+@pytest.mark.parametrize("kind", [8, 12, 64, "cone"])
+@pytest.mark.parametrize("levels", [4, 7, 10])
+def test_pairs_without_a_centre_meet(kind, levels):
+    one, other = spread_groups(kind)
+    vectors = np.concatenate([one, other])
+    forest = ef.Forest(vectors, len(vectors), 0.9, leaf=len(vectors) * ef.SHRINK**levels * 1.001)
+    lists = [set(x.tolist()) for x in ef._leaf_lists(forest, vectors)]
+    met = np.mean([not lists[i].isdisjoint(lists[i + len(one)]) for i in range(len(one))])
+    assert forest.levels == levels and met >= 0.99
+
+
+def test_leaves_do_not_depend_on_what_comes_together():
+    vectors = loose_group(1_200)
+    forest = ef.Forest(vectors, len(vectors), 0.9, leaf=20)
+    whole = ef._leaf_lists(forest, vectors)
+    alone = [ef._leaf_lists(forest, vectors[i : i + 1])[0] for i in range(len(vectors))]
+    assert all(np.array_equal(a, b) for a, b in zip(whole, alone, strict=True))
