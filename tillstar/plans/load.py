@@ -15,7 +15,7 @@ from functools import reduce
 from pyspark import inheritable_thread_target
 from pyspark.sql import functions as F
 
-from tillstar.operators import cleaning, dimensions, facts, history, keys, updates
+from tillstar.operators import cleaning, dimensions, facts, history, keys, membership, updates
 from tillstar.schemas import (
     AUDIT,
     CLEAN_COLUMNS,
@@ -26,6 +26,7 @@ from tillstar.schemas import (
 )
 from tillstar.session import sized_shuffles
 from tillstar.sources.frames import as_raw
+from tillstar.sources.warehouse import INDEXED
 
 log = logging.getLogger(__name__)
 
@@ -337,11 +338,12 @@ def _load_facts(load, use_mark, customers):
     if summary["due_rows"] == 0:
         log.info("load %s: no new rows", load_id)
         warehouse.write_nothing("fact_sales", load_id)
+        warehouse.write_nothing("fact_index", load_id)
         return {"good": 0, "bad": 0, "last_key": last_key, "rewritten": []}, None
 
     due = load.cleaned.filter(F.col("InvoiceDate").isNotNull())
     if not use_mark and load_id > 1:
-        due = facts.not_loaded(due, warehouse.read("fact_sales", load_id - 1), facts.months_of(due))
+        due = _not_loaded(load, due)
     products = warehouse.read("dim_product", load_id)
     if customers == HISTORY:
         versions = warehouse.read_load("customer_versions", load_id)
@@ -371,13 +373,31 @@ def _load_facts(load, use_mark, customers):
         rows = old if rows is None else rows.unionByName(old)
     if rows is None:
         warehouse.write_nothing("fact_sales", load_id)
+        warehouse.write_nothing("fact_index", load_id)
     else:
-        warehouse.write("fact_sales", load_id, rows)
+        # Rewritten facts are in the index already. Its small job fills the cluster's gaps.
+        words = membership.words_of(resolved.filter(F.col("Reason").isNull()))
+        with ThreadPoolExecutor(1) as pool:
+            in_session = inheritable_thread_target(warehouse.spark)
+            indexed = pool.submit(in_session(warehouse.write), "fact_index", load_id, words)
+            warehouse.write("fact_sales", load_id, rows)
+        indexed.result()
         last_key = max(last_key, warehouse.read_load("fact_sales", load_id).agg(F.max("SalesKey")).first()[0] or 0)
     loaded = {"good": sizes["good"], "bad": sizes["bad"], "last_key": last_key, "rewritten": rewritten}
     return loaded, facts.as_rejects(resolved, "fact_sales")
 
 
+def _not_loaded(load, due):
+    """Dated rows that no published fact is a copy of."""
+    warehouse, last = load.warehouse, load.load_id - 1
+    fact, months = warehouse.read("fact_sales", last), facts.months_of(due)
+    if INDEXED not in load.base.bases:
+        return facts.not_loaded(due, fact, months)
+    index = warehouse.read("fact_index", last)
+    possible = membership.possible_copies(due, index, months, load.summary["due_rows"])
+    return membership.not_loaded(due, fact, warehouse.write_working("possible_copies", possible))
+
+
 def _write_rejects(warehouse, load_id, rejects):
     """Set rows aside that no earlier load has. Returns how many."""
     if not rejects:

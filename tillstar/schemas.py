@@ -112,6 +112,16 @@ FACT_SALES = T.StructType(
     ]
 )
 
+# Words of the index of facts: the bits of the rows of one load and month whose hashes share a word.
+FACT_INDEX = T.StructType(
+    [
+        T.StructField("SalesMonth", T.IntegerType(), False),
+        T.StructField("Scale", T.IntegerType(), False),
+        T.StructField("Word", T.LongType(), False),
+        T.StructField("Mask", T.LongType(), False),
+    ]
+)
+
 WATERMARK = T.StructType(
     [
         T.StructField("TableName", T.StringType(), False),

@@ -6,6 +6,7 @@
     <root>/customer_versions/load_id=<n>/   only of loads that keep history
     <root>/customer_days/load_id=<n>/       likewise
     <root>/fact_sales/load_id=<n>/SalesMonth=<yyyymm>/
+    <root>/fact_index/load_id=<n>/SalesMonth=<yyyymm>/   which rows a load may have taken
     <root>/rejects/load_id=<n>/
     <root>/load_audit/load_id=<n>/
     <root>/load_state/slot=<n % 2>/    written last: this publishes the load
@@ -32,6 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillstar import schemas
+from tillstar.operators import membership
 
 LOAD_ID = T.StructField("load_id", T.IntegerType())
 SALES_MONTH = T.StructField("SalesMonth", T.IntegerType())
@@ -46,6 +48,7 @@ STATE = T.StructType(
 # Stored columns per folder, in the order a reset clears them: facts before dimensions.
 STORED = {
     "fact_sales": T.StructType([*schemas.FACT_SALES.fields, schemas.ROW_HASH, SALES_MONTH]),
+    "fact_index": schemas.FACT_INDEX,
     "dim_product": schemas.DIM_PRODUCT,
     "dim_customer": schemas.DIM_CUSTOMER,
     "customer_versions": schemas.CUSTOMER_VERSIONS,
@@ -54,7 +57,10 @@ STORED = {
     "rejects": schemas.REJECTS,
     "load_audit": schemas.AUDIT,
 }
-PARTITIONS = {"fact_sales": ["SalesMonth"]}
+PARTITIONS = {"fact_sales": ["SalesMonth"], "fact_index": ["SalesMonth"]}
+# Among the bases of a warehouse whose index holds all its facts, as one does that create() or
+# compact() has made.
+INDEXED = "fact_index"
 
 # Default high-water mark before the first load.
 DEFAULT_SEED = datetime(1900, 1, 1)
@@ -115,7 +121,7 @@ class Warehouse:
         for table, schema in STORED.items():
             empty = self._empty(T.StructType([*schema.fields, LOAD_ID]))
             self._overwrite(self.path(table), empty, ["load_id"])
-        self.publish(State(0, seed, 0, {}, {}, uuid.uuid4().hex))
+        self.publish(State(0, seed, 0, {}, {INDEXED: 0}, uuid.uuid4().hex))
         return self
 
     def _empty(self, schema):
@@ -184,8 +190,9 @@ class Warehouse:
         state = self.state()
         load_id = state.load_id + 1
         for table in STORED:
-            rows = self.read(table)
-            if "SalesMonth" in rows.columns:
+            # One load's words for all facts, fewer than those of the loads they came with.
+            rows = membership.words_of(self.read("fact_sales")) if table == INDEXED else self.read(table)
+            if table == "fact_sales":
                 rows = rows.hint("rebalance", "SalesMonth").sortWithinPartitions("SalesMonth", "DateKey", "InvoiceNo")
             self.write(table, load_id, rows)
             for old in range(state.bases.get(table, 1)):

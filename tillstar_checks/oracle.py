@@ -614,6 +614,11 @@ batches AS (SELECT DISTINCT * FROM whole)"""
         ),
         delivered,
     )
+    sql["x1_membership_index"] = upto(
+        CLEAN,
+        f"SELECT DateKey // 100 AS SalesMonth, COUNT(*) AS rows, "
+        f"COUNT(*) FILTER ({NUMBER} % 3 = 0) AS loaded, CAST(0 AS BIGINT) AS missed FROM clean GROUP BY 1",
+    )
     return sql
 
 

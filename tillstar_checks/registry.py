@@ -12,8 +12,9 @@ from functools import cache
 from pyspark.sql import functions as F
 
 from tillstar_checks.oracle import EARLY_CUT, FULL_SEED, LATE_SEED
+from tillstar.functions import dates
 from tillstar.functions.dates import INVOICE_DATE_FORMAT
-from tillstar.operators import cleaning, dimensions, facts, keys, lookup, quality, updates
+from tillstar.operators import cleaning, dimensions, facts, keys, lookup, membership, quality, updates
 from tillstar.plans import analysis, flat, views
 from tillstar.plans.load import load_batch
 from tillstar.schemas import MALFORMED_LINE, RAW_COLUMNS
@@ -317,6 +318,30 @@ def stream_load(spark, folder):
     return fact_sales(_streamed(spark, folder))
 
 
+def membership_index(spark, folder):
+    """What the index of a warehouse with a third of the orders says of all rows, by month: how many
+    rows there are, how many are loaded, and how many of these the index has missed."""
+    warehouse = Warehouse(spark, new_folder(spark, "indexed")).create()
+    raw = raw_sales(spark, folder)
+    for i in (0, 3):
+        load_batch(raw.filter(_order_number(raw) % 6 == i), warehouse, use_mark=False)
+    rows = cleaning.classify(raw, None).filter((F.col("RowStatus") == cleaning.KEPT) & F.col("InvoiceDate").isNotNull())
+    rows = warehouse.write_working("rows", rows)
+    fact = warehouse.read("fact_sales")
+    months = facts.months_of(rows)
+    possible = membership.possible_copies(rows, warehouse.read("fact_index"), months, rows.count())
+    possible = warehouse.write_working("possible", possible)
+    new = membership.not_loaded(rows, fact, possible)
+    missed = fact.join(possible, ["SalesMonth", "RowHash"], "left_anti")
+    return (
+        rows.select("DateKey", F.lit(1).alias("rows"), F.lit(1).alias("loaded"), F.lit(0).alias("missed"))
+        .unionAll(new.select("DateKey", F.lit(0), F.lit(-1), F.lit(0)))
+        .unionAll(missed.select("DateKey", F.lit(0), F.lit(0), F.lit(1)))
+        .groupBy(dates.month_of_key(F.col("DateKey")).alias("SalesMonth"))
+        .agg(*[F.sum(name).alias(name) for name in ("rows", "loaded", "missed")])
+    )
+
+
 def stream_audit(spark, folder):
     """What became of the rows of a streamed load, over all its batches."""
     audit = _streamed(spark, folder).read("load_audit")
@@ -554,6 +579,7 @@ def registry():
         "c5_precision_broken": lambda spark, folder: quality.precision_check(_scaled(spark, folder)),
         "c6_load_rejects": load_rejects,
         "x1_stream_audit": stream_audit,
+        "x1_membership_index": membership_index,
         "x2_load_updates_customers": updated_customers,
         "x2_load_keeps_history": customer_history,
         "x2_load_updates_customers_varied": updated_varied_customers,
