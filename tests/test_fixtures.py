@@ -1,0 +1,55 @@
+"""What the registered queries make their input from."""
+
+from datetime import datetime
+
+import pytest
+
+from tillstar.session import shared_folder
+from tillstar_checks import registry
+
+ORDERS = 400
+
+
+@pytest.fixture(scope="module")
+def tables(spark, tmp_path_factory):
+    """Order tables of a few rows, made here; two lines an order, of which the second repeats for some."""
+    folder = str(tmp_path_factory.mktemp("tables"))
+    day = datetime(1996, 5, 17)
+    frames = {
+        "nation": spark.createDataFrame([(i, f"N{i}") for i in range(3)], "n_nationkey int, n_name string"),
+        "customer": spark.createDataFrame([(i, i % 3) for i in range(20)], "c_custkey long, c_nationkey int"),
+        "part": spark.createDataFrame([(i, f"part {i}") for i in range(30)], "p_partkey long, p_name string"),
+        "orders": spark.createDataFrame(
+            [(i, i % 20, day) for i in range(ORDERS)], "o_orderkey long, o_custkey long, o_orderdate timestamp_ntz"
+        ),
+        "lineitem": spark.createDataFrame(
+            [(i, (i + n) % 30, n, 5.0, 1000.0 + i, "N") for i in range(ORDERS) for n in (1, 2)],
+            "l_orderkey long, l_partkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_returnflag string",
+        ),
+    }
+    for name, frame in frames.items():
+        frame.write.parquet(f"{folder}/{name}.parquet")
+    return folder
+
+
+def test_a_folder_of_the_fixture_is_written_by_many_tasks(spark, tables, monkeypatch):
+    made = []
+
+    def noted(spark, name):
+        made.append(f"{shared_folder(spark)}/{name}-{len(made)}")
+        return made[-1]
+
+    monkeypatch.setattr(registry, "new_folder", noted)
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        rows = {r.StockCode: r.Description for r in registry.folder_order(spark, tables).collect()}
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    lines = spark.read.text(f"{made[0]}/b").select("_metadata.file_name", "value")
+    lines = [(r.file_name, r.value) for r in lines.collect() if not r.value.startswith("InvoiceNo")]
+    assert len({name for name, _ in lines}) > 1
+    by_path = [int(value.split(",")[0].removeprefix("C")) for _, value in sorted(lines, key=lambda x: x[0])]
+    assert by_path == sorted(by_path)
+    # Two parts have no price or no quantity in any line.
+    assert len(rows) == 28

@@ -440,7 +440,7 @@ def _versions_with_facts(warehouse):
     )
 
 
-# Fixed value: the sizes of the folder fixture's files, as tenths of the orders, by path.
+# Fixed value: the sizes of the folder fixture's folders, as tenths of the orders, by path.
 FILES = {"a": 1, "b": 7, "c": 2}
 
 
@@ -451,7 +451,9 @@ def folder_order(spark, folder):
     tenth, start = _order_number(raw) % 10, 0
     for name, size in FILES.items():
         part = raw.filter(tenth.between(start, start + size - 1)).withColumn("number", _order_number(raw))
-        rows = part.coalesce(1).sortWithinPartitions("number", "StockCode", F.asc_nulls_first("Description")).drop("number")
+        # Many tasks write a folder: their files' names follow the order of the lines, and so does the path.
+        order = ["number", "StockCode", F.asc_nulls_first("Description")]
+        rows = part.repartitionByRange("number").sortWithinPartitions(*order).drop("number")
         rows.write.options(
             header=True, encoding="ISO-8859-1", quote='"', escape='"',
             ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
