@@ -5,6 +5,7 @@ from datetime import datetime
 import pytest
 
 from tillstar.session import shared_folder
+from tillstar.sources.sample import raw_sales
 from tillstar_checks import registry
 
 ORDERS = 400
@@ -53,3 +54,27 @@ def test_a_folder_of_the_fixture_is_written_by_many_tasks(spark, tables, monkeyp
     assert by_path == sorted(by_path)
     # Two parts have no price or no quantity in any line.
     assert len(rows) == 28
+
+
+@pytest.mark.parametrize("query", ["x2_load_updates_customers", "x2_load_updates_customers_varied", "x2_load_keeps_history", "x2_history_any_order"])
+def test_lines_that_are_loaded_in_parts_are_derived_once(spark, tables, monkeypatch, query):
+    read = []
+    monkeypatch.setattr(registry, "load_batch", lambda raw, *_, **__: read.append(raw.inputFiles()))
+    monkeypatch.setattr(registry, "_versions_with_facts", lambda warehouse: warehouse.star().customers)
+    registry.registry()[query](spark, tables)
+    assert len(read) > 1
+    assert not [file for files in read for file in files if tables in file]
+
+
+def test_orders_get_their_country_before_they_meet_the_lines(spark, tables):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = raw_sales(spark, tables)
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    # Shuffled for a customer: the orders; the lines once for the part and once for the order.
+    by_customer = [line for line in plan.splitlines() if "Exchange hashpartitioning(o_custkey" in line]
+    assert len(by_customer) == 1 and "l_orderkey" not in plan[plan.index(by_customer[0]):]
+    assert rows.count() == 2 * ORDERS + ORDERS // 20

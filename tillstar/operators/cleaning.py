@@ -251,6 +251,15 @@ def classify(raw, mark=None):
     )
 
 
+# What a load's working table leaves out, as reading it derives it again.
+DERIVED = ["TotalSalesAmount", "InvoiceYear", "InvoiceMonth", "InvoiceDay", "DateKey"]
+
+
+def derived_again(rows):
+    """Classified rows that were written without the columns that follow from others."""
+    return rows.transform(add_amount).transform(add_date_parts).transform(add_date_key)
+
+
 def old_rows(raw, mark):
     """The rows at or before the mark that no rule drops, as far as the dimensions need them.
 
@@ -338,9 +347,10 @@ def null_counts():
     ]
 
 
-def batch_summary(rows, due=None):
+def batch_summary(rows, due=None, unfit=None):
     """Everything the audit, the null profile, the whole-batch checks and the fact load need to
-    know about a batch, as one row from one pass. due: which kept rows become facts."""
+    know about a batch, as one row from one pass. due: which kept rows become facts. unfit: which of
+    them do not fit."""
     status, date = F.col("RowStatus"), F.col("InvoiceDate")
     kept = status == KEPT
     loaded = kept if due is None else kept & due
@@ -353,6 +363,7 @@ def batch_summary(rows, due=None):
         F.max(F.when(kept, date)).alias("last_date"),
         F.count_if(kept).alias("kept_rows"),
         F.count_if(loaded).alias("due_rows"),
+        F.count_if(loaded & (F.lit(False) if unfit is None else unfit)).alias("unfit_rows"),
         F.min(F.when(loaded, date)).alias("due_first"),
         F.max(F.when(loaded, date)).alias("due_last"),
     )

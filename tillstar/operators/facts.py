@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from tillstar.functions import dates, money
 from tillstar.operators import history
-from tillstar.operators.lookup import attach_key
+from tillstar.operators.lookup import attach_key, is_small, written_once
 from tillstar.operators.membership import SAME
 from tillstar.schemas import FACT_SALES, REJECTS, ROW_HASH, TEXT_LIMITS
 
@@ -52,9 +52,15 @@ def new_rejects(rejects, known):
     return keyed.join(seen, ["_content", "TargetTable", "Reason"], "left_anti").select(REJECTS.fieldNames())
 
 
-def resolve(rows, products, customers):
-    """Cleaned rows with ProductKey, CustomerKey and the reason they cannot be loaded, if any."""
+def resolve(rows, products, customers, stored=False):
+    """Cleaned rows with ProductKey, CustomerKey and the reason they cannot be loaded, if any.
+
+    stored: the rows are those of a written table. Others are written first where a dimension is too
+    big to broadcast, as hot keys are counted before the join.
+    """
     customers = customers.withColumn("CustomerID", F.col("CustomerID").cast("bigint"))
+    if not (stored or is_small(products) and is_small(customers)):
+        rows = written_once(rows)
     keyed = attach_key(rows, products, "StockCode", "ProductKey")
     keyed = attach_key(keyed, customers, "CustomerID", "CustomerKey", source=rows)
     return keyed.withColumn("Reason", reject_reason())
@@ -70,16 +76,39 @@ def resolve_versions(rows, products, versions):
 
 def reject_reason():
     """First rule a row breaks on its way into the fact table; NULL for a good row."""
-    reason = F.when(F.col("ProductKey").isNull(), "missing product key").when(
+    missing = F.when(F.col("ProductKey").isNull(), "missing product key").when(
         F.col("CustomerKey").isNull(), "missing customer key"
     )
-    for column, limit in TEXT_LIMITS["fact_sales"].items():
-        reason = reason.when(F.length(column) > limit, f"{column} longer than {limit}")
-    price = money.to_money(money.exact_price(F.col("UnitPrice")))
-    reason = reason.when(price.isNull(), "UnitPrice does not fit")
-    return reason.when(
-        money.to_money(F.col("TotalSalesAmount")).isNull(), "TotalSalesAmount does not fit"
+    return F.coalesce(missing, unfit_reason())
+
+
+def unfit_reason():
+    """As reject_reason(), of a row whose keys are known to be there."""
+    reason = F.when(_price().isNull(), "UnitPrice does not fit").when(
+        _amount().isNull(), "TotalSalesAmount does not fit"
     )
+    limits = [
+        F.when(F.length(column) > limit, f"{column} longer than {limit}")
+        for column, limit in TEXT_LIMITS["fact_sales"].items()
+    ]
+    return F.coalesce(*limits, reason)
+
+
+def _price():
+    return money.to_money(money.exact_price(F.col("UnitPrice")))
+
+
+def _amount():
+    return money.to_money(F.col("TotalSalesAmount"))
+
+
+def to_look_up(rows, also=()):
+    """What a fact is made of, of rows that fit, in its types: the lookups shuffle no more than this."""
+    kept = [c for c in (*also, ROW_HASH.name) if c in rows.columns]
+    return rows.select(
+        "InvoiceNo", "DateKey", "StockCode", "CustomerID", "Quantity",
+        _price().alias("UnitPrice"), _amount().alias("TotalSalesAmount"), "Country", *kept,
+    )
 
 
 def fact_rows(resolved):
@@ -94,8 +123,8 @@ def fact_rows(resolved):
         "ProductKey",
         "CustomerKey",
         "Quantity",
-        money.to_money(money.exact_price(F.col("UnitPrice"))).alias("UnitPrice"),
-        money.to_money(F.col("TotalSalesAmount")).alias("TotalSalesAmount"),
+        _price().alias("UnitPrice"),
+        _amount().alias("TotalSalesAmount"),
         "Country",
     )
 

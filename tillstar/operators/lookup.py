@@ -1,5 +1,7 @@
 """Key lookups from big row sets into dimensions."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from tillstar.session import shared_folder
@@ -20,6 +22,14 @@ def is_small(df, bound=None):
     return df.count() <= bound
 
 
+def written_once(rows):
+    """The rows as a table in the shared folder, for steps that pass over them several times."""
+    spark = rows.sparkSession
+    folder = f"{shared_folder(spark)}/tillstar-{uuid.uuid4().hex[:12]}/rows"
+    rows.write.option("compression", "zstd").parquet(folder)
+    return spark.read.schema(rows.schema).parquet(folder)
+
+
 def attach_key(rows, dimension, on, key, source=None):
     """Left lookup of a surrogate key; rows without a match get NULL.
 
@@ -39,7 +49,8 @@ def salted_lookup(rows, entries, on, partitions=None, source=None):
     A key is hot if it holds more than one partition's fair share of the rows, so there are never
     more hot keys than partitions and broadcasting them is bounded by construction. Hot rows get
     a salt from a hash of their own content (stable if a task is retried), and the one matching
-    entry is repeated per salt.
+    entry is repeated per salt. The rows are passed over once for the counts and once for the join:
+    give it a table, or written_once() of a plan.
     """
     spark = rows.sparkSession
     shared_folder(spark)

@@ -48,7 +48,8 @@ class LoadReport:
 @dataclass
 class _Load:
     """One load under way. values: what the dimensions need of old rows, if there are any. moved: the
-    customers and days whose earlier facts belong to another version now, if there are any."""
+    customers and days whose earlier facts belong to another version now, if there are any. complete:
+    whether the dimensions have taken all their rows, so that every row of the batch has its keys."""
 
     warehouse: object
     load_id: int
@@ -57,6 +58,7 @@ class _Load:
     cleaned: object
     values: object = None
     moved: object = None
+    complete: bool = False
 
     def of(self, part, own, columns):
         """The batch's values of one dimension, those of the old rows included."""
@@ -103,8 +105,9 @@ def _load(raw, warehouse, state, use_mark, strict, customers):
     """Write everything of a load but its state, which is returned."""
     load_id = state.load_id + 1
     mark = state.mark if use_mark else None
-    rows = warehouse.write_working("cleaned", cleaning.classify(raw, mark))
-    summary = cleaning.batch_summary(rows, facts.is_due(mark)).first()
+    classified = cleaning.classify(raw, mark).drop(*cleaning.DERIVED)
+    rows = cleaning.derived_again(warehouse.write_working("cleaned", classified))
+    summary = cleaning.batch_summary(rows, facts.is_due(mark), facts.unfit_reason().isNotNull()).first()
     log.info("load %s: %s raw rows", load_id, summary["n0"])
     cleaning.check_batch(summary, strict)
     load = _Load(warehouse, load_id, state, summary, _kept(rows))
@@ -122,9 +125,12 @@ def _load(raw, warehouse, state, use_mark, strict, customers):
     }
     with ThreadPoolExecutor(len(steps)) as pool:
         started = {table: pool.submit(in_session(step), load) for table, step in steps.items()}
+    set_aside = []
     for table, result in started.items():
         added[table], bad = result.result()
-        rejects += bad
+        set_aside += bad
+    rejects += set_aside
+    load.complete = not set_aside
     loaded, bad = _load_facts(load, use_mark, customers)
     added["fact_sales"] = loaded["good"]
     if loaded["bad"]:
@@ -259,7 +265,13 @@ def _update_customers(load):
     good = updates.taking_over(good, existing, latest)
     warehouse.write("dim_customer", load_id, updates.update_in_place(existing, good, known["last"] or 0))
     written = warehouse.read_load("dim_customer", load_id).count()
-    return written - known["rows"], [facts.as_rejects(rolled, "dim_customer")]
+    return written - known["rows"], _set_aside(rolled)
+
+
+def _set_aside(rolled):
+    """Customers with a reason, as rejects, if there are any."""
+    found = facts.as_rejects(rolled, "dim_customer")
+    return [] if found.isEmpty() else [found]
 
 
 def _fitting(rows):
@@ -311,7 +323,7 @@ def _keep_versions(load):
     warehouse.write("dim_customer", load_id, written)
     moved = warehouse.write_working("moved", history.moved_days(met, old, new))
     load.moved = None if moved.isEmpty() else moved
-    return written.count() - known["rows"], [facts.as_rejects(rolled, "dim_customer")]
+    return written.count() - known["rows"], _set_aside(rolled)
 
 
 def _days_from_ever(load, good, versions, added):
@@ -341,22 +353,30 @@ def _load_facts(load, use_mark, customers):
         warehouse.write_nothing("fact_index", load_id)
         return {"good": 0, "bad": 0, "last_key": last_key, "rewritten": []}, None
 
-    due = load.cleaned.filter(F.col("InvoiceDate").isNotNull())
+    dated = due = load.cleaned.filter(F.col("InvoiceDate").isNotNull())
+    sizes = {"good": summary["due_rows"] - summary["unfit_rows"], "bad": summary["unfit_rows"]}
     if not use_mark and load_id > 1:
-        due = _not_loaded(load, due)
-    products = warehouse.read("dim_product", load_id)
-    if customers == HISTORY:
-        versions = warehouse.read_load("customer_versions", load_id)
-        resolved = facts.resolve_versions(due, products, versions)
+        due = _not_loaded(load, dated)
+    if due is not dated:
+        # Not twice: the lookups may count it first.
+        due = warehouse.write_working("due", due.drop(*cleaning.DERIVED))
+        due = cleaning.derived_again(due)
+    unfit = facts.unfit_reason()
+    if load.complete:
+        # Each row has its keys, so those that do not fit are told without a lookup, and the others
+        # go through the lookups with no more than a fact holds.
+        rejected = due.withColumn("Reason", unfit)
+        if due is not dated:
+            sizes = _sizes(rejected)
+        fitting = facts.to_look_up(due.filter(unfit.isNull()), also=["InvoiceDate"] if customers == HISTORY else [])
+        resolved = _looked_up(load, fitting, customers)
+        indexed_rows = fitting
     else:
-        # An update has written the whole dimension as this load's part.
-        read = warehouse.read_load if customers == UPDATE else warehouse.read
-        resolved = facts.resolve(due, products, read("dim_customer", load_id))
-    # Looked up once, then split into facts and rejects.
-    resolved = warehouse.write_working("resolved", resolved)
-    sizes = resolved.agg(
-        F.count_if(F.col("Reason").isNull()).alias("good"), F.count("Reason").alias("bad")
-    ).first()
+        # Looked up once, then split into facts and rejects.
+        resolved = warehouse.write_working("resolved", _looked_up(load, due, customers))
+        rejected = resolved
+        sizes = _sizes(resolved)
+        indexed_rows = resolved.filter(F.col("Reason").isNull())
     first, last = summary["due_first"], summary["due_last"]
     months = (last.year - first.year) * 12 + last.month - first.month + 1
     parts = int(warehouse.spark.conf.get("spark.sql.shuffle.partitions"))
@@ -376,15 +396,39 @@ def _load_facts(load, use_mark, customers):
         warehouse.write_nothing("fact_index", load_id)
     else:
         # Rewritten facts are in the index already. Its small job fills the cluster's gaps.
-        words = membership.words_of(resolved.filter(F.col("Reason").isNull()))
+        words = membership.words_of(indexed_rows)
         with ThreadPoolExecutor(1) as pool:
             in_session = inheritable_thread_target(warehouse.spark)
             indexed = pool.submit(in_session(warehouse.write), "fact_index", load_id, words)
             warehouse.write("fact_sales", load_id, rows)
         indexed.result()
-        last_key = max(last_key, warehouse.read_load("fact_sales", load_id).agg(F.max("SalesKey")).first()[0] or 0)
+        # Rewritten facts have earlier keys.
+        written = warehouse.read_load("fact_sales", load_id).agg(
+            F.max("SalesKey").alias("last"), F.count_if(F.col("SalesKey") > last_key).alias("new")
+        ).first()
+        if load.complete and written["new"] != sizes["good"]:
+            # Keys that are missing or not unique in a dimension after all: look every row up whole.
+            log.warning("load %s: %s facts of %s rows", load_id, written["new"], sizes["good"])
+            return _load_facts(replace(load, complete=False), use_mark, customers)
+        last_key = max(last_key, written["last"] or 0)
     loaded = {"good": sizes["good"], "bad": sizes["bad"], "last_key": last_key, "rewritten": rewritten}
-    return loaded, facts.as_rejects(resolved, "fact_sales")
+    return loaded, facts.as_rejects(rejected, "fact_sales")
+
+
+def _sizes(rows):
+    """How many rows have no Reason, and how many have one."""
+    return rows.agg(F.count_if(F.col("Reason").isNull()).alias("good"), F.count("Reason").alias("bad")).first()
+
+
+def _looked_up(load, due, customers):
+    """The rows, of a working table, with their keys."""
+    warehouse, load_id = load.warehouse, load.load_id
+    products = warehouse.read("dim_product", load_id)
+    if customers == HISTORY:
+        return facts.resolve_versions(due, products, warehouse.read_load("customer_versions", load_id))
+    # An update has written the whole dimension as this load's part.
+    read = warehouse.read_load if customers == UPDATE else warehouse.read
+    return facts.resolve(due, products, read("dim_customer", load_id), stored=True)
 
 
 def _not_loaded(load, due):

@@ -30,11 +30,16 @@ def raw_sales(spark, folder, varied=False):
     minute = F.lpad((order % 60).cast("string"), 2, "0")
     copies = F.when((line == 1) & (order % 20 == 0), 2).otherwise(1)
 
-    joined = (
-        lines.join(orders, lines.l_orderkey == orders.o_orderkey)
-        .join(customers, orders.o_custkey == customers.c_custkey)
-        .join(nations, customers.c_nationkey == nations.n_nationkey)
-        .join(parts, lines.l_partkey == parts.p_partkey)
+    # The orders get their customer's country before they meet the lines, which are many and narrow.
+    nation = F.broadcast(nations.select("n_nationkey", "n_name"))
+    sold = (
+        orders.select("o_orderkey", "o_custkey", F.to_date("o_orderdate").alias("o_orderdate"))
+        .join(customers.select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey"))
+        .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
+        .select("o_orderkey", "o_custkey", "o_orderdate", "n_name")
+    )
+    joined = lines.join(parts.select("p_partkey", "p_name"), part == F.col("p_partkey")).join(
+        sold, order == F.col("o_orderkey")
     )
     description = (
         F.when(part % 97 == 0, None)
@@ -60,7 +65,7 @@ def raw_sales(spark, folder, varied=False):
         .cast("int")
         .alias("Quantity"),
         F.concat(
-            F.date_format(F.to_date("o_orderdate"), "MM/dd/yyyy"),
+            F.date_format("o_orderdate", "MM/dd/yyyy"),
             F.lit(" "), hour, F.lit(":"), minute,
         ).alias("InvoiceDate"),
         F.when(part % 1013 == 7, 0.0)

@@ -132,6 +132,7 @@ class Warehouse:
         (
             rows.write.mode("overwrite")
             .option("partitionOverwriteMode", "static")
+            .option("compression", "zstd")
             .partitionBy(*partition_by)
             .parquet(folder)
         )
@@ -213,7 +214,7 @@ class Warehouse:
 
         A written table, not a cached one: it outlives executors and ends the lineage.
         """
-        rows.write.mode("overwrite").parquet(self.working(name))
+        rows.write.mode("overwrite").option("compression", "zstd").parquet(self.working(name))
         return self.spark.read.schema(rows.schema).parquet(self.working(name))
 
     # -- reading -----------------------------------------------------------------------
