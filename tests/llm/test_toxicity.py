@@ -60,6 +60,15 @@ def plain_evidence(text, ratio):
     return sum(n * max(0, ratio(w) - toxicity.MARGIN) for w, n in words.items()) / max(1, sum(words.values()))
 
 
+def test_texts_without_a_mark_are_not_shuffled(spark):
+    docs = spark.createDataFrame([(i, "text") for i in [*range(5000), 7, None]], "doc_id bigint, text string")
+    marked = spark.createDataFrame([(i, i % 2) for i in [*range(0, 5000, 50), 7, 9999, None]], "doc_id bigint, toxic int")
+    found = toxicity.may_be_marked(docs, marked)
+    ids = [r.doc_id for r in found.select("doc_id").collect()]
+    assert {*range(0, 5000, 50), 7} <= set(ids) and ids.count(7) == 2
+    assert found.columns == docs.columns and len(ids) < 150
+
+
 @pytest.fixture(scope="module")
 def rows():
     return [(i, text_of(i, i % 4 == 0)) for i in range(160)]

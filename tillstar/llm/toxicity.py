@@ -41,6 +41,8 @@ WORD_CHARS = 24
 FIT_ROWS = 20_000
 PREDICT_FROM = 0.5
 BROADCAST_NODES = 1_000_000
+# Words of 64 bits of the filter of labelled ids, and bits an id sets: a fixed size, however many labels.
+FILTER_WORDS, FILTER_BITS = 1 << 18, 4
 # Evidence below this, per word, is none.
 LEAST_EVIDENCE = 1e-4
 # Closes every word; no letter.
@@ -259,10 +261,29 @@ def _logarithm(evidence):
     return np.log((evidence + LEAST_EVIDENCE) / LEAST_EVIDENCE)
 
 
+def _filter_bits():
+    """The bits of an id within its word of the filter."""
+    place = "xxhash64(doc_id, 1)"
+    return F.expr(" | ".join(f"shiftleft(1L, cast(shiftrightunsigned({place}, {6 * i}) & 63 AS int))" for i in range(FILTER_BITS)))
+
+
+def may_be_marked(docs, marked):
+    """Documents without most of those whose id has no mark: a Bloom filter of the marked ids is
+    broadcast. More ids than it is made for let more documents through, and lose none."""
+    word = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_WORDS)).alias("_word")
+    words = marked.filter("doc_id IS NOT NULL").groupBy(word).agg(F.bit_or(_filter_bits()).alias("_bits"))
+    met = docs.withColumn("_word", word).join(F.broadcast(words), "_word")
+    return met.filter(F.col("_bits").bitwiseAND(_filter_bits()) == _filter_bits()).select(docs.columns)
+
+
 def train(docs, labels, text="text", fit_rows=FIT_ROWS):
     """A model from labelled documents."""
     marked = labels.filter(F.col("toxic").isin(0, 1)).select("doc_id", F.col("toxic").cast("int").alias("toxic")).distinct()
-    rows = docs.select("doc_id", F.col(text).alias("text")).join(marked, "doc_id")
+    rows = docs.select("doc_id", F.col(text).alias("text"))
+    if docs.schema["doc_id"].dataType == marked.schema["doc_id"].dataType:
+        # Texts are long, and few have a mark: the others are not shuffled.
+        rows = may_be_marked(rows, marked)
+    rows = rows.join(marked, "doc_id")
     counted = written(word_counts(rows.select("text", "toxic")), "words")
     nodes = written(tree(counted), "tree")
     table = written(ratios(written(steps_of(nodes), "steps")), "ratios")
