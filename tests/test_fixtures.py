@@ -78,3 +78,14 @@ def test_orders_get_their_country_before_they_meet_the_lines(spark, tables):
     by_customer = [line for line in plan.splitlines() if "Exchange hashpartitioning(o_custkey" in line]
     assert len(by_customer) == 1 and "l_orderkey" not in plan[plan.index(by_customer[0]):]
     assert rows.count() == 2 * ORDERS + ORDERS // 20
+
+
+def test_a_stream_lands_its_lines_as_they_lie(spark, tables, monkeypatch):
+    """Four batches of one stream, without a shuffle of their own."""
+
+    def shuffled(*args):
+        raise AssertionError("lines are shuffled for their files")
+
+    monkeypatch.setattr(type(spark.range(1)), "repartition", shuffled)
+    warehouse = registry._streamed(spark, tables)
+    assert list(warehouse.state().batches.values()) == [registry.SLICES - 1]

@@ -90,3 +90,36 @@ def test_an_index_that_is_not_whole_is_not_asked(lines, warehouse, monkeypatch):
     assert found.count() == 5
     load_batch(batch, warehouse, use_mark=False)
     assert len(facts_of(warehouse)) == 5
+
+
+def test_rows_stay_where_they_are_when_few_facts_can_be_copied(lines, warehouse):
+    load_batch(lines(*invoices(*FIRST)), warehouse)
+    spark, fact = warehouse.spark, warehouse.read("fact_sales")
+    rows = warehouse.write_working("rows", fact.drop("SalesMonth"))
+    possible = warehouse.write_working("possible", fact.limit(1).select("SalesMonth", "RowHash"))
+    bound = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        new = membership.not_loaded(rows, fact, possible)
+        assert new.count() == 3
+        plan = new._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", bound)
+    assert "SortMergeJoin" not in plan and "hashpartitioning" not in plan
+
+
+def test_asked_rows_are_shuffled_by_their_hash_alone(spark, monkeypatch):
+    monkeypatch.setattr(membership, "broadcast_rows", lambda spark: 0)
+    index = membership.words_of(hashed(spark, 0, 100))
+    found = membership.possible_copies(hashed(spark, 0, 200), index, [201101], 200)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    # Neither word nor bits of the rows are columns that a shuffle would carry.
+    assert "Asked" not in plan
+
+
+def test_an_update_sums_up_its_customers_once(lines, warehouse, monkeypatch):
+    summed = []
+    values = load.dimensions.customer_values
+    monkeypatch.setattr(load.dimensions, "customer_values", lambda rows: summed.append(1) or values(rows))
+    load_batch(lines(*invoices(*FIRST)), warehouse, customers="update")
+    assert len(summed) == 1

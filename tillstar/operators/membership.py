@@ -29,8 +29,8 @@ def _mask():
     return F.expr(" | ".join(bits))
 
 
-def _word():
-    return F.expr(f"{ROW_HASH.name} & (shiftleft(1L, Scale) - 1)")
+def _word(scale="Scale"):
+    return F.expr(f"{ROW_HASH.name} & (shiftleft(1L, {scale}) - 1)")
 
 
 def words_of(rows):
@@ -54,18 +54,20 @@ def possible_copies(rows, index, months, size):
 
     size: at most how many rows there are. So many that the broadcast bound allows it: the rows are
     broadcast and the index of their months is only scanned. Beyond, both are shuffled by (month,
-    word), which are spread evenly whatever the rows.
+    word), which are spread evenly whatever the rows; of a row no more than month, scale and hash, as
+    its word and bits follow from these.
     """
-    asked = rows.select(dates.month_of_key(F.col("DateKey")).alias("SalesMonth"), ROW_HASH.name).distinct()
+    asked = rows.select(dates.month_of_key(F.col("DateKey")).alias("SalesMonth"), ROW_HASH.name)
     index = index.filter(F.col("SalesMonth").isin(months))
     # Two numbers for each month and power of two that a load of it had.
     scales = index.select("SalesMonth", "Scale").distinct()
     probes = asked.join(F.broadcast(scales), "SalesMonth")
-    probes = probes.select("SalesMonth", "Scale", _word().alias("Word"), _mask().alias("Asked"), ROW_HASH.name)
+    probes = probes.select(F.col("SalesMonth").alias("_month"), F.col("Scale").alias("_scale"), ROW_HASH.name)
     if size <= broadcast_rows(rows.sparkSession):
-        probes = F.broadcast(probes)
-    met = index.join(probes, ["SalesMonth", "Scale", "Word"])
-    held = met.filter(F.col("Mask").bitwiseAND(F.col("Asked")) == F.col("Asked"))
+        probes = F.broadcast(probes.distinct())
+    same_word = (F.col("SalesMonth") == F.col("_month")) & (F.col("Scale") == F.col("_scale")) & (F.col("Word") == _word("_scale"))
+    met = index.join(probes, same_word)
+    held = met.filter(F.col("Mask").bitwiseAND(_mask()) == _mask())
     return held.select("SalesMonth", ROW_HASH.name).distinct()
 
 
@@ -73,12 +75,13 @@ def not_loaded(rows, fact, possible):
     """Rows that are not copies of published facts. possible: a written table of possible_copies().
 
     Without possible copies, no fact is read at all. Otherwise the facts of their months are, and
-    if they are few, only those with their hashes go on to the comparison.
+    if they are few, only those with their hashes go on to the comparison: as few, so broadcast, and
+    the rows stay where they are.
     """
     months = [r.SalesMonth for r in possible.select("SalesMonth").distinct().collect()]
     if not months:
         return rows
     known = fact.filter(F.col("SalesMonth").isin(sorted(months))).select(SAME)
     if possible.count() <= broadcast_rows(rows.sparkSession):
-        known = known.join(F.broadcast(possible.select(ROW_HASH.name)), ROW_HASH.name, "left_semi")
+        known = F.broadcast(known.join(F.broadcast(possible.select(ROW_HASH.name)), ROW_HASH.name, "left_semi"))
     return rows.join(known, SAME, "left_anti")

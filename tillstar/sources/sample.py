@@ -25,18 +25,21 @@ def raw_sales(spark, folder, varied=False):
     nations = table(spark, folder, "nation")
 
     order, part, line = F.col("l_orderkey"), F.col("l_partkey"), F.col("l_linenumber")
-    cancelled = (F.col("l_returnflag") == "R") & (order % 16 == 0)
+    cancelled = F.col("returned") & (order % 16 == 0)
     hour = F.lpad((order % 24).cast("string"), 2, "0")
     minute = F.lpad((order % 60).cast("string"), 2, "0")
     copies = F.when((line == 1) & (order % 20 == 0), 2).otherwise(1)
+    needed = ["l_orderkey", "l_partkey", "l_quantity", "l_extendedprice", (F.col("l_returnflag") == "R").alias("returned")]
+    lines = lines.select(*needed, *(["l_linenumber"] if varied else []), copies.alias("copies"))
 
-    # The orders get their customer's country before they meet the lines, which are many and narrow.
+    # The orders get their customer's country and the text of their day before they meet the lines,
+    # which are many and narrow.
     nation = F.broadcast(nations.select("n_nationkey", "n_name"))
     sold = (
         orders.select("o_orderkey", "o_custkey", F.to_date("o_orderdate").alias("o_orderdate"))
         .join(customers.select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey"))
         .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
-        .select("o_orderkey", "o_custkey", "o_orderdate", "n_name")
+        .select("o_orderkey", "o_custkey", F.date_format("o_orderdate", "MM/dd/yyyy").alias("day"), "n_name")
     )
     joined = lines.join(parts.select("p_partkey", "p_name"), part == F.col("p_partkey")).join(
         sold, order == F.col("o_orderkey")
@@ -65,14 +68,13 @@ def raw_sales(spark, folder, varied=False):
         .cast("int")
         .alias("Quantity"),
         F.concat(
-            F.date_format("o_orderdate", "MM/dd/yyyy"),
-            F.lit(" "), hour, F.lit(":"), minute,
+            "day", F.lit(" "), hour, F.lit(":"), minute,
         ).alias("InvoiceDate"),
         F.when(part % 1013 == 7, 0.0)
         .otherwise(F.col("l_extendedprice") / 1000)
         .alias("UnitPrice"),
         F.when(order % 4 != 3, (F.col("o_custkey") + 12000).cast("double")).alias("CustomerID"),
         country.alias("Country"),
-        F.explode(F.array_repeat(F.lit(0), copies)).alias("copy"),
+        F.explode(F.array_repeat(F.lit(0), F.col("copies"))).alias("copy"),
     )
     return rows.select(RAW_COLUMNS)
