@@ -239,10 +239,11 @@ def _insert_products(load):
     )
 
 
-def _rolled_up_customers(load):
+def _rolled_up_customers(load, own=None):
+    """own: the batch's customer_values(), if they are at hand."""
     columns = ["CustomerID", "Country", "seen", "earliest", "latest"]
-    values = load.of("customer", dimensions.customer_values(load.cleaned), columns)
-    return dimensions.customers_of(values)
+    own = dimensions.customer_values(load.cleaned) if own is None else own
+    return dimensions.customers_of(load.of("customer", own, columns))
 
 
 def _insert_customers(load):
@@ -255,13 +256,15 @@ def _insert_customers(load):
 def _update_customers(load):
     """The whole dimension anew: known customers with the batch's values merged in, new ones added."""
     warehouse, load_id = load.warehouse, load.load_id
+    # Twice of use, and far fewer than the rows.
+    values = warehouse.write_working("customer_values", dimensions.customer_values(load.cleaned))
     rolled = warehouse.write_working(
-        "new_dim_customer", _rolled_up_customers(load).withColumn("Reason", facts.customer_reason())
+        "new_dim_customer", _rolled_up_customers(load, values).withColumn("Reason", facts.customer_reason())
     )
     existing = warehouse.read("dim_customer", load_id - 1)
     known = existing.agg(F.count(F.lit(1)).alias("rows"), F.max("CustomerKey").alias("last")).first()
     good = rolled.filter(F.col("Reason").isNull()).drop("Reason")
-    latest = dimensions.latest_countries(dimensions.customer_values(_fitting(load.cleaned)))
+    latest = dimensions.latest_countries(_fitting(values))
     good = updates.taking_over(good, existing, latest)
     warehouse.write("dim_customer", load_id, updates.update_in_place(existing, good, known["last"] or 0))
     written = warehouse.read_load("dim_customer", load_id).count()
