@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tillstar.operators import cleaning, quality
+from tillstar.operators.lookup import BROADCAST_ROWS_SETTING
 from tillstar.plans import load
 from tillstar.plans.load import HISTORY, load_batch
 from tillstar.sources.warehouse import Warehouse
@@ -491,3 +492,46 @@ def test_an_update_takes_the_latest_known_country_of_new_sales(lines, new_wareho
         load_batch(lines(_sale(4, "1/1/2011", "Italy")), warehouse, customers="update", use_mark=False)
         row = warehouse.star().customers.first()
         assert (row.Country, row.FirstPurchaseDate) == ("Spain", date(2011, 1, 1))
+
+
+def _moving_batches(lines):
+    first = [_sale(i, f"{1 + i % 3}/{1 + i}/2011", "France", CustomerID=float(i % 5)) for i in range(20)]
+    later = [_sale(100 + i, f"{1 + i % 3}/1/2011", "Spain", CustomerID=float(i % 5)) for i in range(12)]
+    return lines(*first), lines(*later)
+
+
+def _load_in_turn(warehouse, batches, monkeypatch):
+    """Loads that keep history, and the plans of the months they have rewritten."""
+    plans = []
+    rewrite = load._rewritten
+
+    def noted(stored, moved, months, few):
+        rows = rewrite(stored, moved, months, few)
+        plans.append((months, rows._jdf.queryExecution().executedPlan().toString()))
+        return rows
+
+    monkeypatch.setattr(load, "_rewritten", noted)
+    for batch in batches:
+        load_batch(batch, warehouse, customers=HISTORY, use_mark=False)
+    monkeypatch.setattr(load, "_rewritten", rewrite)
+    facts = warehouse.star().fact.select("InvoiceNo", "DateKey", "CustomerKey", "SalesKey")
+    return plans, sorted(map(tuple, facts.collect())), _countries_of_facts(warehouse)
+
+
+def test_facts_whose_version_changes_are_rewritten_where_they_lie(spark, lines, new_warehouse, monkeypatch):
+    found = {}
+    for bound in (1_000_000, 4, 0):
+        spark.conf.set(BROADCAST_ROWS_SETTING, str(bound))
+        try:
+            found[bound] = _load_in_turn(new_warehouse(f"bound{bound}"), _moving_batches(lines), monkeypatch)
+        finally:
+            spark.conf.unset(BROADCAST_ROWS_SETTING)
+    at_once, in_turn, shuffled = found.values()
+    assert len(at_once[0]) == 1 and "hashpartitioning" not in at_once[0][0][1] and "REBALANCE" not in at_once[0][0][1]
+    # Months whose moved days are beyond the bound by themselves are shuffled; none is left out or written twice.
+    assert len(shuffled[0]) == 2 and all("hashpartitioning" in plan for _, plan in shuffled[0])
+    for plans, _, _ in found.values():
+        assert [m for months, _ in plans for m in months] == [201102, 201103]
+    assert [f[:2] for f in at_once[1]] == [f[:2] for f in in_turn[1]] == [f[:2] for f in shuffled[1]]
+    assert len(at_once[1]) == 32 and len({f[3] for f in in_turn[1]}) == 32
+    assert at_once[2] == in_turn[2] == shuffled[2] and set(at_once[2].values()) == {"France", "Spain"}

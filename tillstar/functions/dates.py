@@ -38,6 +38,11 @@ def month_of_key(key):
     return (key / 100).cast("int")
 
 
+def day_of_key(key):
+    """The date of a YYYYMMDD key."""
+    return F.make_date((key / 10000).cast("int"), (key / 100).cast("int") % 100, key % 100)
+
+
 def weekday_rank(name):
     rank = F.lit(None).cast("int")
     for position, weekday in reversed(list(enumerate(WEEKDAYS, start=1))):

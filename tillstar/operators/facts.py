@@ -32,6 +32,20 @@ def months_of(rows):
     return sorted(r.month for r in found.collect())
 
 
+def month_groups(rows, bound):
+    """The months of dated rows in runs of at most `bound` rows, each with its number of rows; a month
+    of more is a run of its own. At most as many as the calendar has months."""
+    month = dates.month_of_key(F.col("DateKey")).alias("month")
+    sizes = rows.groupBy(month).agg(F.count(F.lit(1)).alias("rows")).filter("month IS NOT NULL").collect()
+    groups = []
+    for r in sorted(sizes, key=lambda r: r.month):
+        if groups and groups[-1][1] + r["rows"] <= bound:
+            groups[-1] = ([*groups[-1][0], r.month], groups[-1][1] + r["rows"])
+        else:
+            groups.append(([r.month], r["rows"]))
+    return groups
+
+
 def not_loaded(rows, fact, months):
     """Rows that are not copies of published facts of these months.
 
@@ -67,10 +81,10 @@ def resolve(rows, products, customers, stored=False):
 
 
 def resolve_versions(rows, products, versions):
-    """As resolve(), with the customer's version that is valid on the row's date."""
+    """As resolve(), with the customer's version that is valid on the day of the row's DateKey."""
     keyed = attach_key(rows, products, "StockCode", "ProductKey")
     placed = attach_key(keyed, history.spans_of(versions), "CustomerID", "versions", source=rows)
-    key = history.key_on(F.col("versions"), F.to_date("InvoiceDate"))
+    key = history.key_on(F.col("versions"), dates.day_of_key(F.col("DateKey")))
     return placed.withColumn("CustomerKey", key).drop("versions").withColumn("Reason", reject_reason())
 
 
@@ -102,9 +116,9 @@ def _amount():
     return money.to_money(F.col("TotalSalesAmount"))
 
 
-def to_look_up(rows, also=()):
+def to_look_up(rows):
     """What a fact is made of, of rows that fit, in its types: the lookups shuffle no more than this."""
-    kept = [c for c in (*also, ROW_HASH.name) if c in rows.columns]
+    kept = [c for c in rows.columns if c == ROW_HASH.name]
     return rows.select(
         "InvoiceNo", "DateKey", "StockCode", "CustomerID", "Quantity",
         _price().alias("UnitPrice"), _amount().alias("TotalSalesAmount"), "Country", *kept,

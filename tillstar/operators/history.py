@@ -17,6 +17,7 @@ from datetime import date
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from tillstar.functions import dates
 from tillstar.operators.keys import assign_surrogate_keys
 from tillstar.schemas import CUSTOMER_DAYS, CUSTOMER_VERSIONS
 
@@ -58,8 +59,7 @@ def from_ever(customers):
 def days_of_facts(facts, customers):
     """The days of customers whose loads so far kept no history: all of the dimension's country."""
     sold = facts.select("CustomerKey", "DateKey").distinct().join(customers.select("CustomerKey", "CustomerID", "Country"), "CustomerKey")
-    key = F.col("DateKey")
-    day = F.make_date((key / 10000).cast("int"), (key / 100).cast("int") % 100, key % 100)
+    day = dates.day_of_key(F.col("DateKey"))
     return sold.select(
         F.col("CustomerID").cast("bigint").alias("CustomerID"), day.alias("Day"), day.cast("timestamp_ntz").alias("Moment"), "Country"
     )

@@ -15,7 +15,9 @@ from functools import reduce
 from pyspark import inheritable_thread_target
 from pyspark.sql import functions as F
 
+from tillstar.functions import dates
 from tillstar.operators import cleaning, dimensions, facts, history, keys, membership, updates
+from tillstar.operators.lookup import broadcast_rows
 from tillstar.schemas import (
     AUDIT,
     CLEAN_COLUMNS,
@@ -371,7 +373,7 @@ def _load_facts(load, use_mark, customers):
         rejected = due.withColumn("Reason", unfit)
         if due is not dated:
             sizes = _sizes(rejected)
-        fitting = facts.to_look_up(due.filter(unfit.isNull()), also=["InvoiceDate"] if customers == HISTORY else [])
+        fitting = facts.to_look_up(due.filter(unfit.isNull()))
         resolved = _looked_up(load, fitting, customers)
         indexed_rows = fitting
     else:
@@ -387,14 +389,15 @@ def _load_facts(load, use_mark, customers):
     if sizes["good"]:
         placed = facts.lay_out(facts.fact_rows(resolved), months, parts)
         rows = keys.assign_sales_keys(placed, last_key)
+    parts_of_facts = [] if rows is None else [rows]
     if load.moved is not None:
-        rewritten = facts.months_of(load.moved)
-        old = warehouse.read("fact_sales", load_id - 1).filter(F.col("SalesMonth").isin(rewritten))
+        bound = broadcast_rows(warehouse.spark)
+        groups = facts.month_groups(load.moved, bound)
+        rewritten = [month for months, _ in groups for month in months]
         log.info("load %s: rewriting months %s", load_id, rewritten)
-        old = history.rekeyed(old, load.moved).hint("rebalance", "SalesMonth")
-        old = old.sortWithinPartitions("SalesMonth", "DateKey", "InvoiceNo")
-        rows = old if rows is None else rows.unionByName(old)
-    if rows is None:
+        stored = warehouse.read("fact_sales", load_id - 1)
+        parts_of_facts += [_rewritten(stored, load.moved, months, size <= bound) for months, size in groups]
+    if not parts_of_facts:
         warehouse.write_nothing("fact_sales", load_id)
         warehouse.write_nothing("fact_index", load_id)
     else:
@@ -403,7 +406,9 @@ def _load_facts(load, use_mark, customers):
         with ThreadPoolExecutor(1) as pool:
             in_session = inheritable_thread_target(warehouse.spark)
             indexed = pool.submit(in_session(warehouse.write), "fact_index", load_id, words)
-            warehouse.write("fact_sales", load_id, rows)
+            warehouse.write("fact_sales", load_id, parts_of_facts[0])
+            for rows in parts_of_facts[1:]:
+                warehouse.write_more("fact_sales", load_id, rows)
         indexed.result()
         # Rewritten facts have earlier keys.
         written = warehouse.read_load("fact_sales", load_id).agg(
@@ -418,6 +423,18 @@ def _load_facts(load, use_mark, customers):
     return loaded, facts.as_rejects(rejected, "fact_sales")
 
 
+def _rewritten(stored, moved, months, few):
+    """The facts of these months with the keys of their versions as they are now. few: the customers
+    and days that moved there may be broadcast; the facts then stay in the layout they are stored in."""
+    old = stored.filter(F.col("SalesMonth").isin(months))
+    moved = moved.filter(dates.month_of_key(F.col("DateKey")).isin(months))
+    if few:
+        old = history.rekeyed(old, F.broadcast(moved))
+    else:
+        old = history.rekeyed(old, moved).hint("rebalance", "SalesMonth")
+    return old.sortWithinPartitions("SalesMonth", "DateKey", "InvoiceNo")
+
+
 def _sizes(rows):
     """How many rows have no Reason, and how many have one."""
     return rows.agg(F.count_if(F.col("Reason").isNull()).alias("good"), F.count("Reason").alias("bad")).first()

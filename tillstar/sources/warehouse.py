@@ -128,9 +128,9 @@ class Warehouse:
         columns = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema]
         return self.spark.range(0).select(columns)
 
-    def _overwrite(self, folder, rows, partition_by=()):
+    def _overwrite(self, folder, rows, partition_by=(), mode="overwrite"):
         (
-            rows.write.mode("overwrite")
+            rows.write.mode(mode)
             .option("partitionOverwriteMode", "static")
             .option("compression", "zstd")
             .partitionBy(*partition_by)
@@ -148,12 +148,16 @@ class Warehouse:
 
     # -- writing -----------------------------------------------------------------------
 
-    def write(self, table, load_id, rows):
+    def write(self, table, load_id, rows, mode="overwrite"):
         """Replace one load's part of a table."""
         stored = rows.select(
             [F.col(f.name).cast(f.dataType).alias(f.name) for f in STORED[table]]
         )
-        self._overwrite(self._part(table, load_id), stored, PARTITIONS.get(table, []))
+        self._overwrite(self._part(table, load_id), stored, PARTITIONS.get(table, []), mode)
+
+    def write_more(self, table, load_id, rows):
+        """Add rows to a load's part of a table, after the write() that has begun it."""
+        self.write(table, load_id, rows, mode="append")
 
     def write_nothing(self, table, load_id):
         """Leave one load's part of a table empty, also of what a failed attempt left there."""
