@@ -4,7 +4,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from tillstar.operators import cleaning, quality
+from tillstar.operators import cleaning, membership, quality
 from tillstar.operators.lookup import BROADCAST_ROWS_SETTING
 from tillstar.plans import load
 from tillstar.plans.load import HISTORY, load_batch
@@ -535,3 +535,19 @@ def test_facts_whose_version_changes_are_rewritten_where_they_lie(spark, lines,
     assert [f[:2] for f in at_once[1]] == [f[:2] for f in in_turn[1]] == [f[:2] for f in shuffled[1]]
     assert len(at_once[1]) == 32 and len({f[3] for f in in_turn[1]}) == 32
     assert at_once[2] == in_turn[2] == shuffled[2] and set(at_once[2].values()) == {"France", "Spain"}
+
+
+def test_rows_that_all_fit_are_not_asked_for_their_prices_again(lines, warehouse, monkeypatch):
+    """What the index and the counts of hot keys read, also where a version's day is looked up."""
+    asked = []
+    words = membership.words_of
+    monkeypatch.setattr(membership, "words_of", lambda rows: asked.append(rows) or words(rows))
+    load_batch(lines(_sale(1, "1/5/2011"), _sale(2, "2/5/2011")), warehouse, customers=HISTORY)
+    load_batch(lines(_sale(3, "1/5/2011"), _sale(4, "2/5/2011")), warehouse, customers=HISTORY, use_mark=False)
+    assert len(asked) == 2
+    for rows in asked:
+        # Days are told by DateKey: a lookup moves no moment.
+        assert "InvoiceDate" not in rows.columns
+        plan = rows.select("DateKey", "RowHash")._jdf.queryExecution().optimizedPlan().toString()
+        assert "decimal(18,6)" not in plan.lower()
+    assert warehouse.star().fact.count() == 4

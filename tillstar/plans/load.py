@@ -371,9 +371,16 @@ def _load_facts(load, use_mark, customers):
         # Each row has its keys, so those that do not fit are told without a lookup, and the others
         # go through the lookups with no more than a fact holds.
         rejected = due.withColumn("Reason", unfit)
-        if due is not dated:
-            sizes = _sizes(rejected)
-        fitting = facts.to_look_up(due.filter(unfit.isNull()))
+        if not summary["unfit_rows"]:
+            # Known of the whole batch already: no pass has to read prices for it again.
+            fitting = due
+            if due is not dated:
+                sizes = {"good": due.count(), "bad": 0}
+        else:
+            fitting = due.filter(unfit.isNull())
+            if due is not dated:
+                sizes = _sizes(rejected)
+        fitting = facts.to_look_up(fitting)
         resolved = _looked_up(load, fitting, customers)
         indexed_rows = fitting
     else:
