@@ -4,6 +4,7 @@ import os
 from datetime import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from tillstar_checks import registry
 from tillstar.operators import cleaning, dimensions, facts
@@ -117,3 +118,17 @@ def test_only_new_rows_enter_the_copy_removal(lines):
     assert found.count("Exchange hashpartitioning") == 1
     below = found[found.index("Exchange hashpartitioning"):]
     assert "partial_count(1)" in below and "AS Old#" in below
+
+
+def test_the_pass_over_old_rows_sums_up_each_moment_once(lines):
+    """Without a position in a file, where a value is seen first is its earliest date."""
+    old = cleaning.old_rows(lines({}), datetime(2011, 1, 1))
+    values = dimensions.all_values(old)
+    assert values.columns == ["part", "StockCode", "Description", "Country", "CustomerID", "FullDate", "seen", "earliest", "latest", "fractional"]
+    assert plan(values).count("partial_min(") == 1
+    # With one, both are asked for; the position decides.
+    placed = old.withColumn("SourcePosition", F.lit(7))
+    found = dimensions.all_values(placed)
+    assert plan(found).count("partial_min(") == 2
+    assert {r.seen for r in found.collect()} == {7}
+    assert {r.seen == r.earliest for r in values.collect()} == {True}

@@ -115,12 +115,13 @@ def all_values(rows):
     good = ~F.col("Fractional")
     keyed = rows.select(
         "StockCode", "Description", "CustomerID", "Country",
-        F.to_date("InvoiceDate").alias("FullDate"),
-        F.col(row_order(rows)).alias("order"), "InvoiceDate", "Fractional",
+        F.to_date("InvoiceDate").alias("FullDate"), "InvoiceDate", "Fractional",
+        *[c for c in rows.columns if c == SOURCE_POSITION],
     )
     sets = [["StockCode", "Description"], ["CustomerID", "Country"], ["FullDate"]]
     grouped = keyed.groupingSets([[F.col(k) for k in own] for own in sets], *[F.col(k) for k in keys]).agg(
-        F.min(F.when(good, F.col("order"))).alias("seen"),
+        # Without a position this is `earliest`, and summed up once for both.
+        F.min(F.when(good, F.col(row_order(rows)))).alias("seen"),
         F.min(F.when(good, F.col("InvoiceDate"))).alias("earliest"),
         F.max(F.when(good, F.col("InvoiceDate"))).alias("latest"),
         F.count_if("Fractional").alias("fractional"),
