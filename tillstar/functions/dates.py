@@ -5,6 +5,9 @@ from pyspark.sql import functions as F
 # Fixed value: the invoice date's text form; takes padded and unpadded fields.
 INVOICE_DATE_FORMAT = "M/d/yyyy H:m"
 
+# Names of the zone that has every local time once.
+ZONES_WITHOUT_SHIFTS = ["UTC", "Etc/UTC", "GMT", "Z", "+00:00"]
+
 # Weekday names, in report order.
 WEEKDAYS = ["Monday", "Tuesday", "Wednesday", "Thursday", "Friday", "Saturday", "Sunday"]
 
@@ -14,6 +17,16 @@ def is_bad_date(text):
     return text.isNotNull() & F.try_to_timestamp(text, F.lit(INVOICE_DATE_FORMAT)).isNull()
 
 
+def date_or_null(text, spark):
+    """As read_date(); NULL for a text that is not a date.
+
+    Where no local time is skipped the moment in the session's zone says both, so a text is read once.
+    """
+    if spark.conf.get("spark.sql.session.timeZone") in ZONES_WITHOUT_SHIFTS:
+        return F.try_to_timestamp(text, F.lit(INVOICE_DATE_FORMAT)).cast("timestamp_ntz")
+    return F.when(~is_bad_date(text), read_date(text))
+
+
 def read_date(text):
     """Timestamp without zone of a text that is known to be a date."""
     return F.to_timestamp_ntz(text, F.lit(INVOICE_DATE_FORMAT))

@@ -177,12 +177,11 @@ def _malformed(rows):
     return F.col(MALFORMED_LINE).isNotNull() if MALFORMED_LINE in rows.columns else F.lit(False)
 
 
-def is_old(mark):
+def is_old(mark, spark):
     """Raw rows that have keys and a date at or before the mark: no facts, whatever else they are."""
     if mark is None:
         return F.lit(False)
-    text_date = F.col("InvoiceDate")
-    moment = F.when(~dates.is_bad_date(text_date), dates.read_date(text_date))
+    moment = dates.date_or_null(F.col("InvoiceDate"), spark)
     return _has_keys() & F.coalesce(moment <= F.lit(mark).cast("timestamp_ntz"), F.lit(False))
 
 
@@ -195,7 +194,7 @@ def condense(raw, mark=None):
     shrinks map-side as well.
     """
     good = ~_malformed(raw)
-    old = is_old(mark) & good
+    old = is_old(mark, raw.sparkSession) & good
     whole = _has_keys() & good & ~old
     blanked = raw.select(
         *[F.when(whole, F.col(c)).alias(c) for c in RAW_COLUMNS],
@@ -210,14 +209,17 @@ def condense(raw, mark=None):
     return blanked.groupBy(*RAW_COLUMNS, "MissingColumns", "Old", *line).agg(*sums)
 
 
-def row_status(rows):
-    """The first rule a row breaks, or kept. Condensed rows also say whether they are old."""
+def row_status(rows, bad_date=None):
+    """The first rule a row breaks, or kept. Condensed rows also say whether they are old. bad_date:
+    which rows have one, if that is known already."""
+    if bad_date is None:
+        bad_date = dates.is_bad_date(F.col("InvoiceDate"))
     status = F.when(_malformed(rows), MALFORMED)
     if "Old" in rows.columns:
         status = status.when(F.col("Old"), AT_OR_BEFORE_MARK)
     return (
         status.when(~_has_keys(), MISSING_KEY)
-        .when(dates.is_bad_date(F.col("InvoiceDate")), BAD_DATE)
+        .when(bad_date, BAD_DATE)
         .when(text.is_cancelled(F.col("InvoiceNo")), CANCELLED)
         .when(~F.coalesce(_is_positive(), F.lit(False)), NON_POSITIVE)
         .when(_is_fractional(F.col("CustomerID")), FRACTIONAL_ID)
@@ -227,14 +229,16 @@ def row_status(rows):
 
 def _classified(rows):
     """As clean(), but nothing is dropped and nothing raises: RowStatus says what each row is."""
-    status = F.col("RowStatus")
+    moment = F.col("_moment")
     return (
         rows.withColumn(ROW_HASH.name, F.xxhash64(*RAW_COLUMNS))
-        .withColumn("RowStatus", row_status(rows))
-        .withColumn("InvoiceDate", F.when(status != BAD_DATE, F.col("InvoiceDate")))
+        # Read once, for the status and for the value.
+        .withColumn("_moment", dates.date_or_null(F.col("InvoiceDate"), rows.sparkSession))
+        .withColumn("RowStatus", row_status(rows, F.col("InvoiceDate").isNotNull() & moment.isNull()))
+        .withColumn("InvoiceDate", moment)
         .withColumn("CustomerID", F.when(~_is_fractional(F.col("CustomerID")), F.col("CustomerID")))
-        .transform(parse_invoice_date)
         .transform(_derive)
+        .drop("_moment")
     )
 
 
@@ -267,7 +271,7 @@ def old_rows(raw, mark):
     are few; a fractional id is flagged.
     """
     stays = ~text.is_cancelled(F.col("InvoiceNo")) & F.coalesce(_is_positive(), F.lit(False))
-    return raw.filter(is_old(mark) & ~_malformed(raw) & stays).select(
+    return raw.filter(is_old(mark, raw.sparkSession) & ~_malformed(raw) & stays).select(
         "StockCode", "Description", "Country", "CustomerID",
         dates.read_date(F.col("InvoiceDate")).alias("InvoiceDate"),
         _is_fractional(F.col("CustomerID")).alias("Fractional"),

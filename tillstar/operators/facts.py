@@ -4,11 +4,15 @@ from pyspark.sql import functions as F
 
 from tillstar.functions import dates, money
 from tillstar.operators import history
+from tillstar.operators.cleaning import KEPT
 from tillstar.operators.lookup import attach_key, is_small, written_once
 from tillstar.operators.membership import SAME
-from tillstar.schemas import FACT_SALES, REJECTS, ROW_HASH, TEXT_LIMITS
+from tillstar.schemas import FACT_SALES, REJECTS, ROW_HASH, TEXT_LIMITS, UNFIT
 
 INT_MIN, INT_MAX = -(2**31), 2**31 - 1
+# Below the first a price or amount fits DECIMAL(10,2), from the second on none does, however it was
+# rounded: six decimals of the price are at most 2,000 in an amount. Between them decimals tell.
+SURELY_FITS, SURELY_NOT = 90_000_000, 110_000_000
 
 
 def is_due(mark):
@@ -59,16 +63,23 @@ def not_loaded(rows, fact, months):
 
 
 def new_rejects(rejects, known):
-    """Rejects that earlier loads have not set aside."""
+    """Rejects that earlier loads have not set aside.
+
+    What is new is told by hash, table and reason alone. If little is, that is broadcast and the
+    rejects, which are wide, are not shuffled.
+    """
     content = F.xxhash64(*REJECTS.fieldNames())
-    seen = known.select(content.alias("_content"), "TargetTable", "Reason")
+    same = ["_content", "TargetTable", "Reason"]
+    seen = known.select(content.alias("_content"), *same[1:])
     keyed = rejects.withColumn("_content", content)
-    return keyed.join(seen, ["_content", "TargetTable", "Reason"], "left_anti").select(REJECTS.fieldNames())
+    new = written_once(keyed.select(same).join(seen, same, "left_anti").distinct())
+    return keyed.join(F.broadcast(new) if is_small(new) else new, same, "left_semi").select(REJECTS.fieldNames())
 
 
 def resolve(rows, products, customers, stored=False):
     """Cleaned rows with ProductKey, CustomerKey and the reason they cannot be loaded, if any.
 
+    Rows that say already whether they fit need no Country, UnitPrice and TotalSalesAmount for it.
     stored: the rows are those of a written table. Others are written first where a dimension is too
     big to broadcast, as hot keys are counted before the join.
     """
@@ -77,7 +88,7 @@ def resolve(rows, products, customers, stored=False):
         rows = written_once(rows)
     keyed = attach_key(rows, products, "StockCode", "ProductKey")
     keyed = attach_key(keyed, customers, "CustomerID", "CustomerKey", source=rows)
-    return keyed.withColumn("Reason", reject_reason())
+    return keyed.withColumn("Reason", reject_reason(rows))
 
 
 def resolve_versions(rows, products, versions):
@@ -85,21 +96,38 @@ def resolve_versions(rows, products, versions):
     keyed = attach_key(rows, products, "StockCode", "ProductKey")
     placed = attach_key(keyed, history.spans_of(versions), "CustomerID", "versions", source=rows)
     key = history.key_on(F.col("versions"), dates.day_of_key(F.col("DateKey")))
-    return placed.withColumn("CustomerKey", key).drop("versions").withColumn("Reason", reject_reason())
+    return placed.withColumn("CustomerKey", key).drop("versions").withColumn("Reason", reject_reason(rows))
 
 
-def reject_reason():
+def reject_reason(rows):
     """First rule a row breaks on its way into the fact table; NULL for a good row."""
     missing = F.when(F.col("ProductKey").isNull(), "missing product key").when(
         F.col("CustomerKey").isNull(), "missing customer key"
     )
-    return F.coalesce(missing, unfit_reason())
+    return F.coalesce(missing, F.col(UNFIT) if UNFIT in rows.columns else unfit_reason())
+
+
+def with_unfit(rows):
+    """Cleaned rows, or the kept ones of classified rows, with what unfit_reason() says: turning prices
+    into decimals is the dearest step of a row, and most steps of a load ask. The amount is that of
+    the row's quantity and price."""
+    reason = unfit_reason(F.col("Quantity") * F.col("UnitPrice"))
+    return rows.withColumn(UNFIT, F.when(F.col("RowStatus") == KEPT, reason) if "RowStatus" in rows.columns else reason)
+
+
+def _too_large(about, exact):
+    """Whether a number does not fit. about: it as a double, which mostly says it without the decimal;
+    not-a-number is above all numbers."""
+    size = F.abs(about)
+    return F.when(size < SURELY_FITS, False).when(size >= SURELY_NOT, True).otherwise(exact.isNull())
 
 
-def unfit_reason():
-    """As reject_reason(), of a row whose keys are known to be there."""
-    reason = F.when(_price().isNull(), "UnitPrice does not fit").when(
-        _amount().isNull(), "TotalSalesAmount does not fit"
+def unfit_reason(about=None):
+    """As reject_reason(), of a row whose keys are known to be there. about: the amount as a double, if
+    that is at hand."""
+    amount = _amount().isNull() if about is None else _too_large(about, _amount())
+    reason = F.when(_too_large(F.col("UnitPrice"), _price()), "UnitPrice does not fit").when(
+        amount, "TotalSalesAmount does not fit"
     )
     limits = [
         F.when(F.length(column) > limit, f"{column} longer than {limit}")
@@ -122,6 +150,7 @@ def to_look_up(rows):
     return rows.select(
         "InvoiceNo", "DateKey", "StockCode", "CustomerID", "Quantity",
         _price().alias("UnitPrice"), _amount().alias("TotalSalesAmount"), "Country", *kept,
+        F.lit(None).cast("string").alias(UNFIT),
     )
 
 

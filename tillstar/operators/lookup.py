@@ -4,13 +4,16 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from tillstar.session import shared_folder
+from tillstar.session import released_shuffles, shared_folder
 
 # A lookup side has two columns, a key of at most 50 characters and a number. A million such
 # rows stay well below 200 MB in memory on each executor.
 DEFAULT_BROADCAST_ROWS = 1_000_000
 BROADCAST_ROWS_SETTING = "spark.tillstar.broadcastRows"
 
+# Of the first count of hot keys, for each partition: a bucket's fair share is a small part of its bound.
+BUCKETS = 16
+
 
 def broadcast_rows(spark):
     return int(spark.conf.get(BROADCAST_ROWS_SETTING, str(DEFAULT_BROADCAST_ROWS)))
@@ -26,7 +29,8 @@ def written_once(rows):
     """The rows as a table in the shared folder, for steps that pass over them several times."""
     spark = rows.sparkSession
     folder = f"{shared_folder(spark)}/tillstar-{uuid.uuid4().hex[:12]}/rows"
-    rows.write.option("compression", "zstd").parquet(folder)
+    with released_shuffles(spark):
+        rows.write.option("compression", "zstd").parquet(folder)
     return spark.read.schema(rows.schema).parquet(folder)
 
 
@@ -43,6 +47,27 @@ def attach_key(rows, dimension, on, key, source=None):
     return salted_lookup(rows, entries, on, source=source)
 
 
+def hot_keys(rows, on, partitions):
+    """The keys that hold more than one partition's fair share of the rows, with their salts.
+
+    The rows are counted by a hash of the key first, in BUCKETS buckets a partition: that many numbers
+    a task, however many keys there are. Only in a bucket with more than the share can a key have
+    more, so the keys of such buckets are counted, mostly none.
+    """
+    spark = rows.sparkSession
+    shared_folder(spark)
+    bucket = F.pmod(F.xxhash64(on), F.lit(BUCKETS * partitions))
+    sizes = {r.bucket: r["count"] for r in rows.groupBy(bucket.alias("bucket")).count().collect()}
+    share = max(1, sum(sizes.values()) // partitions)
+    full = [number for number, size in sizes.items() if size > share]
+    if not full:
+        return spark.range(0).select(F.lit(None).cast(rows.schema[on].dataType).alias(on), F.lit(1).alias("_salts"))
+    counts = rows.filter(F.col(on).isNotNull() & bucket.isin(full)).groupBy(on).agg(F.count(F.lit(1)).alias("_n"))
+    return counts.filter(F.col("_n") > share).select(
+        on, F.ceil(F.col("_n") / share).cast("int").alias("_salts")
+    ).checkpoint()
+
+
 def salted_lookup(rows, entries, on, partitions=None, source=None):
     """Left join that splits each hot key over several tasks.
 
@@ -52,16 +77,8 @@ def salted_lookup(rows, entries, on, partitions=None, source=None):
     entry is repeated per salt. The rows are passed over once for the counts and once for the join:
     give it a table, or written_once() of a plan.
     """
-    spark = rows.sparkSession
-    shared_folder(spark)
-    partitions = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    counted = rows if source is None else source
-    counts = counted.groupBy(on).agg(F.count(F.lit(1)).alias("_n")).checkpoint()
-    total = counts.agg(F.sum("_n")).first()[0] or 0
-    share = max(1, total // partitions)
-    hot = counts.filter(F.col(on).isNotNull() & (F.col("_n") > share)).select(
-        on, F.ceil(F.col("_n") / share).cast("int").alias("_salts")
-    )
+    partitions = partitions or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    hot = hot_keys(rows if source is None else source, on, partitions)
     salts = F.coalesce(F.col("_salts"), F.lit(1))
     content = F.xxhash64(*[F.col(c) for c in rows.columns])
     salted_rows = (

@@ -13,7 +13,7 @@ about one in a hundred others, is looked up exactly, in the months of these rows
 from pyspark.sql import functions as F
 
 from tillstar.functions import dates
-from tillstar.operators.lookup import broadcast_rows
+from tillstar.operators.lookup import broadcast_rows, is_small, written_once
 from tillstar.schemas import FACT_INDEX, ROW_HASH
 
 BITS = 4
@@ -76,12 +76,20 @@ def not_loaded(rows, fact, possible):
 
     Without possible copies, no fact is read at all. Otherwise the facts of their months are, and
     if they are few, only those with their hashes go on to the comparison: as few, so broadcast, and
-    the rows stay where they are.
+    the rows stay where they are. If few rows are left beside the possible copies, as of a batch that
+    comes again, what is new is told by what a copy shares alone; as long as that is few as well,
+    it is broadcast, and the rows stay where they are too.
     """
+    bound = broadcast_rows(rows.sparkSession)
     months = [r.SalesMonth for r in possible.select("SalesMonth").distinct().collect()]
     if not months:
         return rows
     known = fact.filter(F.col("SalesMonth").isin(sorted(months))).select(SAME)
-    if possible.count() <= broadcast_rows(rows.sparkSession):
+    copies = possible.count()
+    if copies <= bound:
         known = F.broadcast(known.join(F.broadcast(possible.select(ROW_HASH.name)), ROW_HASH.name, "left_semi"))
+    elif rows.count() - copies <= bound:
+        new = written_once(rows.select(SAME).join(known, SAME, "left_anti").distinct())
+        if is_small(new):
+            return rows.join(F.broadcast(new), SAME, "left_semi")
     return rows.join(known, SAME, "left_anti")

@@ -25,6 +25,7 @@ from tillstar.schemas import (
     ROW_HASH,
     SOURCE_POSITION,
     TEXT_LIMITS,
+    UNFIT,
 )
 from tillstar.session import sized_shuffles
 from tillstar.sources.frames import as_raw
@@ -107,9 +108,9 @@ def _load(raw, warehouse, state, use_mark, strict, customers):
     """Write everything of a load but its state, which is returned."""
     load_id = state.load_id + 1
     mark = state.mark if use_mark else None
-    classified = cleaning.classify(raw, mark).drop(*cleaning.DERIVED)
+    classified = facts.with_unfit(cleaning.classify(raw, mark)).drop(*cleaning.DERIVED)
     rows = cleaning.derived_again(warehouse.write_working("cleaned", classified))
-    summary = cleaning.batch_summary(rows, facts.is_due(mark), facts.unfit_reason().isNotNull()).first()
+    summary = cleaning.batch_summary(rows, facts.is_due(mark), F.col(UNFIT).isNotNull()).first()
     log.info("load %s: %s raw rows", load_id, summary["n0"])
     cleaning.check_batch(summary, strict)
     load = _Load(warehouse, load_id, state, summary, _kept(rows))
@@ -358,29 +359,23 @@ def _load_facts(load, use_mark, customers):
         warehouse.write_nothing("fact_index", load_id)
         return {"good": 0, "bad": 0, "last_key": last_key, "rewritten": []}, None
 
-    dated = due = load.cleaned.filter(F.col("InvoiceDate").isNotNull())
+    dated = load.cleaned.filter(F.col("InvoiceDate").isNotNull())
     sizes = {"good": summary["due_rows"] - summary["unfit_rows"], "bad": summary["unfit_rows"]}
+    # Each row of a complete load has its keys, so those that do not fit are told without a lookup, and
+    # were no facts before either. The others go through the lookups with no more than a fact holds.
+    fits = load.complete and summary["unfit_rows"]
+    asked = due = dated.filter(F.col(UNFIT).isNull()) if fits else dated
     if not use_mark and load_id > 1:
-        due = _not_loaded(load, dated)
-    if due is not dated:
+        due = _not_loaded(load, asked)
+    if due is not asked:
         # Not twice: the lookups may count it first.
         due = warehouse.write_working("due", due.drop(*cleaning.DERIVED))
         due = cleaning.derived_again(due)
-    unfit = facts.unfit_reason()
     if load.complete:
-        # Each row has its keys, so those that do not fit are told without a lookup, and the others
-        # go through the lookups with no more than a fact holds.
-        rejected = due.withColumn("Reason", unfit)
-        if not summary["unfit_rows"]:
-            # Known of the whole batch already: no pass has to read prices for it again.
-            fitting = due
-            if due is not dated:
-                sizes = {"good": due.count(), "bad": 0}
-        else:
-            fitting = due.filter(unfit.isNull())
-            if due is not dated:
-                sizes = _sizes(rejected)
-        fitting = facts.to_look_up(fitting)
+        rejected = dated.withColumn("Reason", F.col(UNFIT))
+        if due is not asked:
+            sizes["good"] = due.count()
+        fitting = facts.to_look_up(due)
         resolved = _looked_up(load, fitting, customers)
         indexed_rows = fitting
     else:
@@ -492,5 +487,5 @@ def load_csv(spark, path, warehouse, multi_line=False, strict=True, **options):
 def _kept(rows):
     """The rows that passed every cleaning rule, from a load's working table."""
     return rows.filter(F.col("RowStatus") == cleaning.KEPT).select(
-        *CLEAN_COLUMNS, ROW_HASH.name, *[c for c in rows.columns if c == SOURCE_POSITION]
+        *CLEAN_COLUMNS, ROW_HASH.name, UNFIT, *[c for c in rows.columns if c == SOURCE_POSITION]
     )

@@ -26,6 +26,8 @@ MALFORMED_LINE = "MalformedLine"
 OPTIONAL_COLUMNS = [SOURCE_POSITION, MALFORMED_LINE]
 # What tells a raw row from others after a load: a hash of its untouched columns.
 ROW_HASH = T.StructField("RowHash", T.LongType())
+# Why a clean row does not fit the fact table, whatever its keys; told once, when the row is classified.
+UNFIT = "Unfit"
 
 CLEAN = T.StructType(
     [

@@ -50,17 +50,17 @@ def input_bytes(df):
     return sum(size for size in sizes if size < UNKNOWN_BYTES)
 
 
-@contextmanager
-def sized_shuffles(df, *sessions, partitions=None):
-    """Within, shuffles have partitions of a size that fits a task for what the frame reads.
+# Whether the shuffle files of a query are removed when it ends. Otherwise they stay until the driver
+# collects the garbage of its plans, which may be long after.
+RELEASE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
-    Never fewer than the session has set. partitions: a number to use instead.
-    """
-    key = "spark.sql.shuffle.partitions"
-    confs = {id(s): s.conf for s in (df.sparkSession, *sessions)}.values()
+
+@contextmanager
+def _set_within(confs, key, value):
+    """value: of what the setting was."""
     before = [conf.get(key) for conf in confs]
     for conf, old in zip(confs, before, strict=True):
-        conf.set(key, str(partitions or partitions_for(input_bytes(df), int(old))))
+        conf.set(key, value(old))
     try:
         yield
     finally:
@@ -68,6 +68,29 @@ def sized_shuffles(df, *sessions, partitions=None):
             conf.set(key, old)
 
 
+@contextmanager
+def released_shuffles(*sessions):
+    """Within, what a query shuffled is removed when it ends: for steps whose results are tables."""
+    with _set_within([s.conf for s in sessions], RELEASE, lambda old: "true"):
+        yield
+
+
+@contextmanager
+def sized_shuffles(df, *sessions, partitions=None):
+    """Within, shuffles have partitions of a size that fits a task for what the frame reads, and their
+    files go with the query.
+
+    Never fewer than the session has set. partitions: a number to use instead.
+    """
+    sessions = list({id(s): s for s in (df.sparkSession, *sessions)}.values())
+
+    def sized(old):
+        return str(partitions or partitions_for(input_bytes(df), int(old)))
+
+    with _set_within([s.conf for s in sessions], "spark.sql.shuffle.partitions", sized), released_shuffles(*sessions):
+        yield
+
+
 def shared_folder(spark):
     """The folder for checkpoints and working tables.
 
